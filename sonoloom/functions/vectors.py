@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from math import ceil
 
 import numpy as np
@@ -16,6 +16,11 @@ BLOCK_ROWS = 4_096
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once per row, also inside a lambda."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def dot(a: Column, b: Column) -> Column:
     products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
     return F.aggregate(products, F.lit(0.0), lambda s, x: s + x)
@@ -26,7 +31,7 @@ def norm(a: Column) -> Column:
 
 
 def unit(a: Column) -> Column:
-    return F.transform(a, lambda x: x / norm(a))
+    return let(norm(a), lambda length: F.transform(a, lambda x: x / length))
 
 
 def cosine_distance(a: Column, b: Column) -> Column:
@@ -34,9 +39,10 @@ def cosine_distance(a: Column, b: Column) -> Column:
 
 
 def softmax(logits: Column) -> Column:
-    top = F.array_max(logits)
-    powers = F.transform(logits, lambda x: F.exp(x - top))
-    return F.transform(powers, lambda p: p / F.aggregate(powers, F.lit(0.0), lambda s, x: s + x))
+    def share(powers: Column) -> Column:
+        return let(total(powers), lambda all_: F.transform(powers, lambda p: p / all_))
+
+    return let(F.array_max(logits), lambda top: let(F.transform(logits, lambda x: F.exp(x - top)), share))
 
 
 def score_strings(scores: Column) -> Column:
@@ -47,16 +53,26 @@ def language_scores(languages: Column, scores: Column) -> Column:
     return F.map_from_arrays(languages, scores)
 
 
+def total(a: Column) -> Column:
+    return F.aggregate(a, F.lit(0.0), lambda s, x: s + x.cast("double"))
+
+
 def mean(a: Column) -> Column:
-    return F.aggregate(a, F.lit(0.0), lambda s, x: s + x.cast("double")) / F.size(a)
+    return total(a) / F.size(a)
 
 
 def z_normalise(frame: Column, log: bool = True) -> Column:
     """(x - mean) / (population deviation + 1e-5) of one frame, after ``log1p`` by default."""
     values = F.transform(frame, lambda x: F.log1p(x.cast("double")) if log else x.cast("double"))
-    centre = mean(values)
-    deviation = F.sqrt(mean(F.transform(values, lambda x: (x - centre) * (x - centre))))
-    return F.transform(values, lambda x: (x - centre) / (deviation + F.lit(1e-5)))
+
+    def scale(centred: Column) -> Column:
+        deviation = F.sqrt(mean(F.transform(centred, lambda x: x * x))) + F.lit(1e-5)
+        return let(deviation, lambda d: F.transform(centred, lambda x: x / d))
+
+    def centre(v: Column) -> Column:
+        return let(mean(v), lambda m: let(F.transform(v, lambda x: x - m), scale))
+
+    return let(values, centre)
 
 
 def pad_to(a: Column, length: int) -> Column:
@@ -104,15 +120,20 @@ def block_pairs(vectors: DataFrame, key: str, vector: str, block_rows: int = BLO
         F.pmod(F.xxhash64(key), F.lit(count)).cast("int").alias("_k"),
     )
     first = rows.select("_id", "_v", F.col("_k").alias("_a"), F.explode(F.sequence("_k", F.lit(count - 1))).alias("_b"))
-    second = rows.select("_id", "_v", F.explode(F.sequence(F.lit(0), "_k")).alias("_a"), F.col("_k").alias("_b"))
+    second = rows.select(
+        F.col("_id").alias("_id2"),
+        F.col("_v").alias("_v2"),
+        F.explode(F.sequence(F.lit(0), "_k")).alias("_a2"),
+        F.col("_k").alias("_b2"),
+    )
     return first, second
 
 
 def _close(left: pd.DataFrame, right: pd.DataFrame, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Positions and similarity of the pairs at or above the bound, each pair of a block once."""
-    scores = matrix(left["_v"]) @ matrix(right["_v"]).T
+    scores = matrix(left["_v"]) @ matrix(right["_v2"]).T
     if left["_a"].iat[0] == left["_b"].iat[0]:
-        keep = left["_id"].to_numpy()[:, None] < right["_id"].to_numpy()[None, :]
+        keep = left["_id"].to_numpy()[:, None] < right["_id2"].to_numpy()[None, :]
         i, j = np.nonzero((scores >= similarity) & keep)
     else:
         i, j = np.nonzero(scores >= similarity)
@@ -128,13 +149,13 @@ def similar_pairs(
         if left.empty or right.empty:
             return pd.DataFrame({"id_a": [], "id_b": [], "similarity": []})
         i, j, score = _close(left, right, similarity)
-        a, b = left["_id"].to_numpy()[i], right["_id"].to_numpy()[j]
+        a, b = left["_id"].to_numpy()[i], right["_id2"].to_numpy()[j]
         return pd.DataFrame({"id_a": np.minimum(a, b), "id_b": np.maximum(a, b), "similarity": score})
 
     first, second = block_pairs(vectors, key, vector, block_rows)
     return (
         first.groupBy("_a", "_b")
-        .cogroup(second.groupBy("_a", "_b"))
+        .cogroup(second.groupBy("_a2", "_b2"))
         .applyInPandas(compare, "id_a bigint, id_b bigint, similarity double")
     )
 
@@ -151,9 +172,9 @@ def linking_edges(
     def forest(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
             return pd.DataFrame({"a": [], "b": []})
-        ids = np.unique(np.concatenate([left["_id"].to_numpy(), right["_id"].to_numpy()]))
+        ids = np.unique(np.concatenate([left["_id"].to_numpy(), right["_id2"].to_numpy()]))
         rows = np.searchsorted(ids, left["_id"].to_numpy())
-        columns = np.searchsorted(ids, right["_id"].to_numpy())
+        columns = np.searchsorted(ids, right["_id2"].to_numpy())
         i, j, _ = _close(left, right, similarity)
         label = np.arange(len(ids))
         a, b = rows[i], columns[j]
@@ -168,7 +189,7 @@ def linking_edges(
         return pd.DataFrame({"a": ids[label[linked]], "b": ids[linked]})
 
     first, second = block_pairs(vectors, key, vector, block_rows)
-    return first.groupBy("_a", "_b").cogroup(second.groupBy("_a", "_b")).applyInPandas(forest, "a bigint, b bigint")
+    return first.groupBy("_a", "_b").cogroup(second.groupBy("_a2", "_b2")).applyInPandas(forest, "a bigint, b bigint")
 
 
 def _nearest(ids: pd.Series, vectors: pd.Series, centre_ids: np.ndarray, centres: np.ndarray) -> pd.DataFrame:

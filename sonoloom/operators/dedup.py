@@ -95,7 +95,7 @@ def reject_in_order(
             break
         if left <= finish_rows:
             ranked = row_index(undecided, ["rank"], output="_rank").select("_rank", "id", "name", "digest")
-            walked = ranked.groupBy(F.lit(0)).applyInPandas(_in_order, f"id {dict(batch.dtypes)[key]}")
+            walked = ranked.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(_in_order, f"id {dict(batch.dtypes)[key]}")
             accepted = accepted.union(walked)
             break
         by_name = undecided.groupBy("name").agg(F.min("rank").alias("rank"))

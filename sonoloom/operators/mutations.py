@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sonoloom.operators.catalog import assign_ids, new_speakers
 from sonoloom.operators.selection import FILE_NAME
@@ -114,8 +115,9 @@ def add_speakers(speakers: DataFrame, staging: DataFrame, **sizes: int) -> DataF
     """Speaker table with the unseen speakers of staging appended."""
     fresh = assign_ids(new_speakers(staging, speakers), speakers, "speaker_id", ["speaker_name", "source"], **sizes)
     fresh = fresh.withColumn("voice_signature", F.lit(None).cast("string"))
-    typed = fresh.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SPEAKER.fields])
-    return speakers.select(*SPEAKER.names).unionByName(typed)
+    schema = StructType.fromDDL(SPEAKER)
+    typed = fresh.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return speakers.select(*schema.names).unionByName(typed)
 
 
 def upsert_speakers(speakers: DataFrame, names: DataFrame, source: str, **sizes: int) -> DataFrame:

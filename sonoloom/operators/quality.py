@@ -39,11 +39,10 @@ def quality_gate(
 
 
 def cleaned_minutes(clips: DataFrame, duration: str = "clipped_utterance_duration") -> DataFrame:
-    """(audio_id, cleaned_duration): minutes of clean clips, two decimals, 0 when none."""
+    """(audio_id, cleaned_duration): minutes of clean clips, two decimals (halves to even), 0 when none."""
     clean = F.sum(F.when(F.col("status") == "Clean", micros(duration)))
-    return clips.groupBy("audio_id").agg(
-        F.round(F.coalesce(clean, F.lit(0)) / F.lit(60_000_000.0), 2).alias("cleaned_duration")
-    )
+    minutes = F.coalesce(clean, F.lit(0)) / F.lit(60_000_000.0)
+    return clips.groupBy("audio_id").agg((F.rint(minutes * 100) / 100).alias("cleaned_duration"))
 
 
 def clip_duration(samples: Column, rate: Column) -> Column:

@@ -105,7 +105,9 @@ def _by_chunks(frames: DataFrame, keys: list[str], idx: str, flag: str, ring: in
 
     def run(starts: DataFrame) -> DataFrame:
         wanted = chunked.join(starts.select(*chunk_keys), chunk_keys, "left_semi")
-        return wanted.groupBy(*chunk_keys).cogroup(starts.groupBy(*chunk_keys)).applyInPandas(scan, schema)
+        state = starts.select(*[F.col(c).alias(f"at_{c}") for c in chunk_keys], "in_triggered", "in_ring", "in_open")
+        by_state = state.groupBy(*[f"at_{c}" for c in chunk_keys])
+        return wanted.groupBy(*chunk_keys).cogroup(by_state).applyInPandas(scan, schema)
 
     no_ring, no_open = F.array().cast("array<boolean>"), F.lit(None).cast("bigint")
     starts = checkpointed(

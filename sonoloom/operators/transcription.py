@@ -27,11 +27,12 @@ def transcription_gate(files: DataFrame, utterances: DataFrame, skip_rejected: b
     rejected = F.col("status") == "Rejected"
     if skip_rejected:
         known = known.filter(~F.coalesce(rejected, F.lit(False)))
+    before = F.col("reason") if "reason" in known.columns else F.lit(None).cast("string")
     usable = known.filter(F.col(DURATION).between(0.5, 15) & F.col(FILE_NAME).contains(".wav"))
     return usable.select(
         *[c for c in usable.columns if c not in ("status", "reason")],
         F.when(rejected, "Clean").otherwise(F.col("status")).alias("status"),
-        F.when(rejected, "redacted").alias("reason"),
+        F.when(rejected, "redacted").otherwise(before).alias("reason"),
     )
 
 
@@ -40,7 +41,7 @@ def transcribe(utterances: DataFrame, engine: Callable[[str], str], path: str =
 
     ``engine`` is any client or model of the caller; a failure is kept in its row.
     """
-    schema = StructType(utterances.schema.fields).add("raw_text", "string").add("engine_error", "string")
+    schema = StructType([*utterances.schema.fields]).add("raw_text", "string").add("engine_error", "string")
 
     def call(file: str) -> tuple[str | None, str | None]:
         try:

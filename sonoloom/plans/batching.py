@@ -56,7 +56,7 @@ def fixed_batches(spark, sf_dir):
 @query(
     sql(
         "U",
-        """SELECT audio_id, CAST((rn - 1) // ceil(n / 5.0) AS BIGINT) AS batch FROM (
+        """SELECT audio_id, CAST(floor((rn - 1) / ceil(n / 5.0)) AS BIGINT) AS batch FROM (
   SELECT audio_id, row_number() OVER (ORDER BY audio_id) AS rn, count(*) OVER () AS n FROM (SELECT DISTINCT audio_id FROM U))""",
     )
 )

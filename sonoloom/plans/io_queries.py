@@ -210,7 +210,7 @@ def stems(spark, sf_dir):
     return listing(spark, sf_dir).select(name.alias("name"), F.split_part(name, F.lit("."), F.lit(1)).alias("stem"))
 
 
-@query("SELECT doc_id, CAST((row_number() OVER (ORDER BY h, doc_id) - 1) // ceil(count(*) OVER () / 10.0) AS BIGINT) >= 9 AS held_out FROM (SELECT doc_id, md5(concat_ws('|', '11', doc_id)) AS h FROM documents)")
+@query("SELECT doc_id, floor((row_number() OVER (ORDER BY h, doc_id) - 1) / ceil(count(*) OVER () / 10.0)) >= 9 AS held_out FROM (SELECT doc_id, md5(concat_ws('|', '11', doc_id)) AS h FROM documents)")
 def random_split(spark, sf_dir):
     """A seeded 90/10 split: tenths of a hashed order, the last one held out."""
     rows = table(spark, sf_dir, "documents").select("doc_id")

@@ -34,7 +34,7 @@ def quality_gate(spark, sf_dir):
 @query(
     sql(
         "U",
-        f"""SELECT audio_id, round(coalesce(sum(CASE WHEN status = 'Clean' THEN {SECONDS} END), 0) / 60, 2)
+        f"""SELECT audio_id, round_even(coalesce(sum(CASE WHEN status = 'Clean' THEN {SECONDS} END), 0) / 60 * 100, 0) / 100
   AS cleaned_duration FROM U GROUP BY audio_id""",
     )
 )
