@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sonoloom.functions.vectors import let
+
 # Characters valid in a transcript of each language (hexadecimal code points,
 # inclusive ranges), and the punctuation that is deleted.
 VALID_CODE_POINTS = {
@@ -37,10 +39,19 @@ VALID_CODE_POINTS = {
 PUNCTUATION = "!\"#%&'()*+,./;<=>?@[\\]^_`{|}~।"
 GENDER_NAMES = {"m": "male", "f": "female"}
 
-# Whitespace as Python's str.strip sees it.
-_SPACE = (
-    r"\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-)
+# Whitespace as Python's str.strip sees it.
+_SPACE_POINTS = "0009-000D 001C-0020 0085 00A0 1680 2000-200A 2028 2029 202F 205F 3000"
+
+
+def _characters(code_points: str) -> str:
+    """The characters of ranges such as ``0009-000D 0020``."""
+    ends = [part.split("-") for part in code_points.split()]
+    return "".join(chr(c) for pair in ends for c in range(int(pair[0], 16), int(pair[-1], 16) + 1))
+
+
+def _pattern(code_points: str) -> str:
+    """The same ranges inside a regular-expression class, always as escapes."""
+    return "".join("-".join(rf"\x{{{end}}}" for end in part.split("-")) for part in code_points.split())
 
 
 @dataclass(frozen=True)
@@ -53,8 +64,7 @@ class LanguageRule:
 
     def outside(self) -> str:
         """Pattern of a character that is neither valid nor whitespace."""
-        ranges = "".join("-".join(rf"\x{{{end}}}" for end in part.split("-")) for part in self.code_points.split())
-        return f"[^{ranges}{_SPACE}]"
+        return f"[^{_pattern(self.code_points)}{_pattern(_SPACE_POINTS)}]"
 
 
 RULES = {name: LanguageRule(points) for name, points in VALID_CODE_POINTS.items()}
@@ -68,28 +78,34 @@ def register_rule(language: str, rule: LanguageRule) -> None:
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"^[{_SPACE}]+|[{_SPACE}]+$", "")
+    return F.trim(text, F.lit(_characters(_SPACE_POINTS)))
 
 
-def sanitise(text: Column, language: str) -> tuple[Column, Column]:
-    """(clean text, reject reason); exactly one of them is NULL for a non-NULL text."""
+def _checked(text: Column, language: str) -> Column:
     rule = RULES.get(language, RULES["default"])
     first = strip(text)
-    kept = strip(F.translate(F.translate(first, "-", " "), rule.punctuation, ""))
-    reason = F.when(F.lit(rule.reject_colon) & first.contains(":"), "transcription has :")
-    reason = reason.when(F.length(kept) == 0, "transcription is empty")
-    reason = reason.when(kept.rlike(rule.outside()), "transcription has a character outside its language")
-    return F.when(text.isNotNull() & reason.isNull(), kept), reason
+    kept = strip(F.translate(first, "-" + rule.punctuation, " "))
+
+    def judge(clean: Column) -> Column:
+        reason = F.when(F.lit(rule.reject_colon) & first.contains(":"), "transcription has :")
+        reason = reason.when(F.length(clean) == 0, "transcription is empty")
+        reason = reason.when(clean.rlike(rule.outside()), "transcription has a character outside its language")
+        return let(reason, lambda why: F.struct(F.when(why.isNull(), clean).alias("clean"), why.alias("reason")))
+
+    return let(kept, judge)
+
+
+def sanitise(text: Column, language: str) -> Column:
+    """struct(clean, reason): the clean text, or why it is rejected; the other one is NULL."""
+    return _checked(text, language)
 
 
-def sanitise_by(text: Column, language: Column, languages: Sequence[str] = tuple(VALID_CODE_POINTS)) -> tuple[Column, Column]:
+def sanitise_by(text: Column, language: Column, languages: Sequence[str] = tuple(VALID_CODE_POINTS)) -> Column:
     """As :func:`sanitise`, with the language of each row; an unknown one uses the default."""
-    clean, reason = sanitise(text, "default")
+    branches = F.when(F.lit(False), _checked(text, "default"))
     for name in languages:
-        one_clean, one_reason = sanitise(text, name)
-        clean = F.when(language == name, one_clean).otherwise(clean)
-        reason = F.when(language == name, one_reason).otherwise(reason)
-    return clean, reason
+        branches = branches.when(language == name, _checked(text, name))
+    return branches.otherwise(_checked(text, "default"))
 
 
 def condition_file_name(name: Column) -> Column:

@@ -37,35 +37,40 @@ def clean_duration(value: Column) -> Column:
     return F.when(~F.isnan(number), number)
 
 
-def utterance_fields(element: Column) -> Column:
-    """One element text as a typed struct; a plain ``name:duration`` text is accepted too."""
-    parsed = F.from_json(element, UTTERANCE_DDL)
-    plain = F.replace(element, F.lit(","), F.lit(""))
-    is_object = F.startswith(F.ltrim(element), F.lit("{"))
-    name = F.when(is_object, F.replace(parsed["name"], F.lit(","), F.lit(""))).otherwise(F.substring_index(plain, ":", 1))
-    duration = F.when(is_object, parsed["duration"]).otherwise(F.substring_index(plain, ":", -1))
-    return F.struct(
-        name.alias("name"),
-        clean_duration(duration).alias("duration"),
-        F.when(is_object, parsed["status"]).otherwise(F.when(element.isNotNull(), "")).alias("status"),
-        clean_snr(F.when(is_object, parsed["snr_value"])).alias("snr"),
-        F.when(is_object, parsed["reason"]).alias("reason"),
-        F.when(is_object, parsed["language_confidence_score"]).alias("language_confidence_score"),
+def _plain_element(element: Column) -> Column:
+    """An element of a mixed or old list: JSON text, or ``name:duration``."""
+    text = F.replace(element, F.lit(","), F.lit(""))
+    plain = F.struct(
+        F.substring_index(text, ":", 1).alias("name"),
+        F.substring_index(text, ":", -1).alias("duration"),
+        F.lit(None).cast("string").alias("snr_value"),
+        F.lit("").alias("status"),
+        F.lit(None).cast("string").alias("reason"),
+        F.lit(None).cast("double").alias("snr_threshold"),
+        F.lit(None).cast("double").alias("max_duration"),
+        F.lit(None).cast("map<string,string>").alias("language_confidence_score"),
     )
+    return F.when(F.startswith(F.ltrim(element), F.lit("{")), F.from_json(element, UTTERANCE_DDL)).otherwise(plain)
 
 
 def explode_utterances(recordings: DataFrame, raw: str = "utterances_files_list", keep_empty: bool = True) -> DataFrame:
-    """One row per utterance with typed columns; a list without elements keeps one empty row."""
+    """One row per utterance with typed columns; a list without elements keeps one empty row.
+
+    A list of objects is parsed once.  Only a list that is not one is read again, element by
+    element.
+    """
+    text = F.col(raw)
+    parsed = F.when(F.startswith(F.ltrim(text), F.lit("[")), F.from_json(text, f"array<struct<{UTTERANCE_DDL}>>"))
+    again = F.transform(list_elements(text), _plain_element)
     explode = F.explode_outer if keep_empty else F.explode
-    elements = recordings.withColumn("_element", explode(list_elements(F.col(raw))))
-    fields = elements.withColumn("_u", utterance_fields(F.col("_element")))
-    return fields.select(
+    rows = recordings.withColumn("_list", parsed).withColumn("_u", explode(F.coalesce("_list", again)))
+    return rows.select(
         *[c for c in recordings.columns if c != raw],
-        F.col("_element").alias("utterance_json"),
-        F.col("_u.name").alias("utterances_file_name"),
-        F.col("_u.duration").alias("utterances_file_duration"),
+        F.to_json("_u").alias("utterance_json"),
+        F.replace("_u.name", F.lit(","), F.lit("")).alias("utterances_file_name"),
+        clean_duration(F.col("_u.duration")).alias("utterances_file_duration"),
         F.col("_u.status").alias("utterances_file_status"),
-        F.col("_u.snr").alias("snr"),
+        clean_snr(F.col("_u.snr_value")).alias("snr"),
         F.col("_u.reason").alias("fail_reason"),
         F.col("_u.language_confidence_score").alias("language_confidence_score"),
     )

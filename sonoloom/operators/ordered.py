@@ -15,7 +15,6 @@ the carry table is small whatever the input, and may be broadcast.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,8 +22,6 @@ from pyspark.sql import functions as F
 from sonoloom.session import checkpointed
 
 MAX_GROUP_ROWS = 1_000_000
-ROWS_PER_PARTITION = 100_000
-MAX_PARTITIONS = 20_000
 LIMIT_ROWS = 100_000
 
 _PART = "_part"
@@ -43,13 +40,15 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
 
 
 def range_split(
-    df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], rows_per_partition: int | None = None
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[Column], partitions: int | None = None
 ) -> DataFrame:
-    """``df`` with a frozen range-partition number ``_part`` that follows (keys, order)."""
-    rows = df.count()
-    size = rows_per_partition or ROWS_PER_PARTITION
-    partitions = max(1, min(ceil(rows / size), MAX_PARTITIONS))
-    ranged = df.repartitionByRange(partitions, *[F.col(k).asc_nulls_first() for k in keys], *order_by)
+    """``df`` with a frozen range-partition number ``_part`` that follows (keys, order).
+
+    Without ``partitions`` the session's shuffle partitions are used, and adaptive execution
+    joins neighbouring small ones; the checkpoint keeps whatever numbers came out.
+    """
+    columns = [*[F.col(k).asc_nulls_first() for k in keys], *order_by]
+    ranged = df.repartitionByRange(*([partitions] if partitions else []), *columns)
     return checkpointed(ranged.withColumn(_PART, F.spark_partition_id()))
 
 
@@ -61,7 +60,7 @@ def running_total(
     output: str = "running_total",
     *,
     max_group_rows: int | None = None,
-    rows_per_partition: int | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Add ``sum(value)`` from the first row of the key up to this row."""
     order = [F.col(o) if isinstance(o, str) else o for o in order_by]
@@ -70,7 +69,7 @@ def running_total(
         window = Window.partitionBy(*partition_by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(output, F.sum(value).over(window))
 
-    parts = range_split(df.withColumn("_value", value), partition_by, order, rows_per_partition)
+    parts = range_split(df.withColumn("_value", value), partition_by, order, partitions)
     keys = [*partition_by, _PART]
     inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     earlier = Window.partitionBy(*partition_by).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)

@@ -11,6 +11,7 @@ from sonoloom.functions.text import base_name
 from sonoloom.functions.utterance_json import explode_utterances
 from sonoloom.operators.dedup import duplicate_groups, first_per_key
 from sonoloom.operators.ordered import list_parts, micros
+from sonoloom.session import checkpointed
 
 KEYS = ["audio_id", "utterances_file_name"]
 SHORTEST, LONGEST = 0.5, 15.0
@@ -106,14 +107,16 @@ def valid_utterances(matched: DataFrame, listing_status: str = "status") -> Data
 
 def valid_per_audio(matched: DataFrame, listing_status: str = "status", **sizes: int) -> DataFrame:
     """Per audio the minutes of its valid utterances and their JSON, in parts of bounded length."""
-    valid = valid_utterances(matched, listing_status)
-    minutes = valid.groupBy("audio_id").agg(
-        (F.sum(micros("utterances_file_duration")) / F.lit(60_000_000.0)).alias("cleaned_duration")
-    )
-    lists = list_parts(
-        valid, ["audio_id"], F.col("utterance_json"), ["utterances_file_name"], "utterances_files_list", **sizes
+    valid = valid_utterances(matched, listing_status).select(
+        "audio_id", "utterances_file_name", "utterance_json", micros("utterances_file_duration").alias("_micros")
     )
-    return lists.join(minutes, "audio_id")
+    element = F.struct("utterance_json", "_micros")
+    lists = list_parts(checkpointed(valid), ["audio_id"], element, ["utterances_file_name"], "_valid", **sizes)
+    in_part = F.aggregate("_valid", F.lit(0).cast("bigint"), lambda s, u: s + u["_micros"])
+    parts = lists.withColumn("_micros", in_part)
+    minutes = parts.groupBy("audio_id").agg((F.sum("_micros") / F.lit(60_000_000.0)).alias("cleaned_duration"))
+    texts = F.transform("_valid", lambda u: u["utterance_json"])
+    return parts.select("audio_id", "part", texts.alias("utterances_files_list")).join(minutes, "audio_id")
 
 
 def duplicate_names(catalogue: DataFrame) -> DataFrame:

@@ -62,16 +62,13 @@ def outcome(
 ) -> DataFrame:
     """Add transcript, original_transcript (where sanitising changed it), status, reason, is_transcribed."""
     text, error = F.col("raw_text"), F.col("engine_error")
-    if engine in raw_engines:
-        clean, reject = text, F.lit(None).cast("string")
-    else:
-        clean, reject = sanitise(text, language)
-    reason = outcome_reason(error, reject)
+    raw = F.struct(text.alias("clean"), F.lit(None).cast("string").alias("reason"))
+    checked = transcribed.withColumn("_s", raw if engine in raw_engines else sanitise(text, language))
     kept = [c for c in transcribed.columns if c not in ("status", "reason", "is_transcribed")]
-    return transcribed.withColumn("_clean", clean).withColumn("_why", reason).select(
+    return checked.withColumn("_why", outcome_reason(error, F.col("_s.reason"))).select(
         *kept,
-        F.when(F.col("_why").isNull(), F.col("_clean")).alias("transcript"),
-        F.when(F.col("_why").isNull() & (F.col("_clean") != text), text).alias("original_transcript"),
+        F.when(F.col("_why").isNull(), F.col("_s.clean")).alias("transcript"),
+        F.when(F.col("_why").isNull() & (F.col("_s.clean") != text), text).alias("original_transcript"),
         F.when(F.col("_why").isNull(), "Clean").otherwise("Rejected").alias("status"),
         F.col("_why").alias("reason"),
         F.col("_why").isNull().alias("is_transcribed"),

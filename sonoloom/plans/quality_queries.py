@@ -139,10 +139,13 @@ T3 AS (SELECT doc_id, t2, CASE WHEN {colon} THEN 'transcription has :'
 SELECT doc_id, CASE WHEN reason IS NULL THEN md5(t2) END AS clean_md5, reason FROM T3"""
 
 
+def _checked(documents):
+    return documents.select("doc_id", F.md5("_s.clean").alias("clean_md5"), F.col("_s.reason").alias("reason"))
+
+
 def _sanitise(language: str):
     def run(spark, sf_dir):
-        clean, reason = tx.sanitise(F.col("text"), language)
-        return table(spark, sf_dir, "documents").select("doc_id", F.md5(clean).alias("clean_md5"), reason.alias("reason"))
+        return _checked(table(spark, sf_dir, "documents").withColumn("_s", tx.sanitise(F.col("text"), language)))
 
     return run
 
@@ -161,8 +164,7 @@ FROM documents JOIN E USING (doc_id) JOIN H USING (doc_id)"""
 def sanitize_by_language(spark, sf_dir):
     """Each row by its own language; languages without a rule use the default one."""
     language = F.when(F.col("lang") == "en", "indian_english").otherwise(F.col("lang"))
-    clean, reason = tx.sanitise_by(F.col("text"), language)
-    return table(spark, sf_dir, "documents").select("doc_id", F.md5(clean).alias("clean_md5"), reason.alias("reason"))
+    return _checked(table(spark, sf_dir, "documents").withColumn("_s", tx.sanitise_by(F.col("text"), language)))
 
 
 @query("SELECT doc_id, md5(text) AS media_hash_code, count(*) OVER (PARTITION BY md5(text)) AS copies FROM documents")
@@ -290,9 +292,10 @@ FROM (SELECT doc_id, reason, doc_id % 11 = 3 AS failed FROM T)"""
 def outcome_routing(spark, sf_dir):
     """State and reason after recognition: engine failures first, then the sanitiser."""
     failed = F.when(F.col("doc_id") % 11 == 3, "no match")
-    _, reject = tx.sanitise(F.when(failed.isNull(), F.col("text")), "indian_english")
-    reason = outcome_reason(failed, reject)
-    return table(spark, sf_dir, "documents").select(
+    text = F.when(failed.isNull(), F.col("text"))
+    documents = table(spark, sf_dir, "documents").withColumn("_s", tx.sanitise(text, "indian_english"))
+    reason = outcome_reason(failed, F.col("_s.reason"))
+    return documents.select(
         "doc_id",
         F.when(reason.isNull(), "Clean").otherwise("Rejected").alias("status"),
         reason.alias("reason"),

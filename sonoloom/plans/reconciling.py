@@ -141,10 +141,7 @@ VALID = f"""(SELECT * FROM {CLEAN_MATCH} WHERE utterances_file_duration BETWEEN
 )
 def valid_per_audio(spark, sf_dir):
     rows = rec.valid_per_audio(matched(spark, sf_dir))
-    name = F.transform(
-        "utterances_files_list",
-        lambda u: F.when(F.startswith(u, F.lit("{")), F.get_json_object(u, "$.name")).otherwise(F.substring_index(u, ":", 1)),
-    )
+    name = F.transform("utterances_files_list", lambda u: F.get_json_object(u, "$.name"))
     return rows.select("audio_id", "cleaned_duration", F.concat_ws(",", name).alias("names"))
 
 

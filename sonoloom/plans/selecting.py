@@ -129,7 +129,7 @@ def running_by_speaker(spark, sf_dir):
         ["speaker_id"],
         "_total",
         max_group_rows=0,
-        rows_per_partition=5_000,
+        partitions=12,
     )
     return rows.select(*KEY, "speaker_id", (F.col("_total") / 1e6).alias("running_seconds"))
 

@@ -214,7 +214,7 @@ def test_quota_batches_against_a_loop(spark):
         quota = -(-sum(c for _, c in counts) // workers)
         want = quota_model(sorted(counts, key=lambda c: (-c[1], c[0])), quota)
         df = spark.createDataFrame(counts, "audio_id bigint, utterance_count bigint")
-        assert rows_of(plan.quota_batches(df, workers, rows_per_partition=4)) == want
+        assert rows_of(plan.quota_batches(df, workers, partitions=5)) == want
     assert plan.quota_batches(df.limit(0), 3).count() == 0
 
 

@@ -21,7 +21,7 @@ def test_running_total_forms_agree_with_a_loop(spark):
     for key in {r[0] for r in rows}:
         mine = sorted((r for r in rows if r[0] == key), key=lambda r: (r[1], r[2]))
         want.update(zip((r[2] for r in mine), accumulate(r[3] for r in mine)))
-    for sizes in ({}, {"max_group_rows": 0, "rows_per_partition": 17}, {"max_group_rows": 0, "rows_per_partition": 1000}):
+    for sizes in ({}, {"max_group_rows": 0, "partitions": 23}, {"max_group_rows": 0, "partitions": 1}, {"max_group_rows": 0}):
         got = o.running_total(df, F.col("v"), ["t", "i"], ["k"], **sizes)
         assert {r.i: r.running_total for r in got.collect()} == want
 
@@ -29,19 +29,19 @@ def test_running_total_forms_agree_with_a_loop(spark):
 def test_total_order_and_index(spark):
     rows, df = data(spark)
     ordered = sorted(rows, key=lambda r: (r[1], r[2]))
-    for size in (9, 57, 1000):
-        got = o.running_total(df, F.col("v"), ["t", "i"], rows_per_partition=size)
+    for size in (40, 7, 1, None):
+        got = o.running_total(df, F.col("v"), ["t", "i"], partitions=size)
         assert {r.i: r.running_total for r in got.collect()} == dict(
             zip((r[2] for r in ordered), accumulate(r[3] for r in ordered))
         )
-        index = o.row_index(df, ["t", "i"], rows_per_partition=size)
+        index = o.row_index(df, ["t", "i"], partitions=size)
         assert {r.i: r.row_index for r in index.collect()} == {r[2]: n for n, r in enumerate(ordered)}
 
 
 def test_order_may_be_descending(spark):
     rows, df = data(spark)
     ordered = sorted(rows, key=lambda r: (-r[1], r[2]))
-    got = o.row_index(df, [F.col("t").desc(), F.col("i").asc()], rows_per_partition=31)
+    got = o.row_index(df, [F.col("t").desc(), F.col("i").asc()], partitions=13)
     assert {r.i: r.row_index for r in got.collect()} == {r[2]: n for n, r in enumerate(ordered)}
 
 
@@ -51,8 +51,8 @@ def test_blocks_first_rows_and_lists(spark, monkeypatch):
     assert rows_of(counts) == [(0, 150), (1, 150), (2, 100)]
     small = o.first_rows(df, 37, ["t", "i"])
     monkeypatch.setattr(o, "LIMIT_ROWS", 0)
-    assert rows_of(small) == rows_of(o.first_rows(df, 37, ["t", "i"], rows_per_partition=11))
-    parts = o.list_parts(df, ["k"], F.col("i"), ["t", "i"], "ids", items=10, max_group_rows=0, rows_per_partition=20).collect()
+    assert rows_of(small) == rows_of(o.first_rows(df, 37, ["t", "i"], partitions=30))
+    parts = o.list_parts(df, ["k"], F.col("i"), ["t", "i"], "ids", items=10, max_group_rows=0, partitions=20).collect()
     assert max(len(p.ids) for p in parts) == 10
     for key in {r[0] for r in rows}:
         whole = [i for p in sorted((p for p in parts if p.k == key), key=lambda p: p.part) for i in p.ids]

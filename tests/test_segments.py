@@ -75,7 +75,7 @@ def test_rechunk_replaces_long_segments_once(spark):
     want = {s: sorted(v) for s, v in want.items() if v}
     segments = seg.hysteresis(df, 3)
     assert found(seg.rechunk(df, segments, 15, 3)) == want
-    assert found(seg.rechunk(df, segments, 15, 3, max_group_rows=0, rows_per_partition=20)) == want
+    assert found(seg.rechunk(df, segments, 15, 3, max_group_rows=0, partitions=15)) == want
 
 
 def test_framing_drops_a_frame_that_exactly_fits(spark):

@@ -113,7 +113,7 @@ def test_speaker_budget_same_in_split_form(spark):
     for rows in (SPEAKERS, NO_SPEAKER):
         args = {"gte_per_speaker_duration": 0.05, "lte_per_speaker_duration": 1, "with_threshold": 0.03}
         plain = sel.speaker_budget(frame(spark, rows), ["pos"], **args)
-        split = sel.speaker_budget(frame(spark, rows), ["pos"], **args, max_group_rows=0, rows_per_partition=3)
+        split = sel.speaker_budget(frame(spark, rows), ["pos"], **args, max_group_rows=0, partitions=6)
         assert rows_of(plain, "pos") == rows_of(split, "pos")
 
 
