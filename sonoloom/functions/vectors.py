@@ -12,7 +12,10 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sonoloom.session import checkpointed
+
 BLOCK_ROWS = 4_096
+PIVOTS = 1_024
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
@@ -107,32 +110,68 @@ def matrix(vectors: pd.Series) -> np.ndarray:
     return rows / np.where(lengths == 0, 1.0, lengths)
 
 
-def block_pairs(vectors: DataFrame, key: str, vector: str, block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:
-    """Both sides of a blocked self comparison: each side keyed by the block pair (_a, _b).
+def block_pairs(
+    vectors: DataFrame, key: str, vector: str, similarity: float, block_rows: int = BLOCK_ROWS, pivots: int = PIVOTS
+) -> tuple[DataFrame, DataFrame, list[str], list[str]]:
+    """Both sides of a blocked self comparison and their grouping keys.
 
-    Rows are hashed into blocks of about ``block_rows``; every unordered pair of blocks is one
-    task, so memory per task is fixed and the matrix products run in numpy.
+    Every row goes to its nearest pivot, a sampled row; a pivot with many rows is cut into
+    blocks of about ``block_rows`` by hash, so a group of near copies is spread as well.  Two
+    pivots are compared only where their angle is at most the sum of their radii and of the
+    wanted angle: beyond it, by the triangle inequality, no pair can be close enough.  One task
+    compares one pair of blocks, so its memory is fixed.
     """
-    count = max(1, ceil(vectors.count() / block_rows))
-    rows = vectors.select(
-        F.col(key).alias("_id"),
-        F.col(vector).cast("array<double>").alias("_v"),
-        F.pmod(F.xxhash64(key), F.lit(count)).cast("int").alias("_k"),
-    )
-    first = rows.select("_id", "_v", F.col("_k").alias("_a"), F.explode(F.sequence("_k", F.lit(count - 1))).alias("_b"))
-    second = rows.select(
+    rows = vectors.select(F.col(key).alias("_id"), F.col(vector).cast("array<double>").alias("_v"))
+    wanted = max(1, min(pivots, ceil(rows.count() / block_rows)))
+    sampled = rows.orderBy(F.xxhash64("_id"), "_id").limit(wanted).toPandas()
+    if sampled.empty:
+        centres = np.zeros((0, 1))
+    else:
+        centres = matrix(sampled["_v"])
+    kind = "_id bigint, _v array<double>, _p int, _angle double"
+
+    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                near = matrix(batch["_v"]) @ centres.T
+                best = np.argmax(near, axis=1)
+                angle = np.arccos(np.clip(near[np.arange(len(best)), best], -1.0, 1.0))
+                yield batch.assign(_p=best.astype("int32"), _angle=angle)
+
+    placed = checkpointed(rows.mapInPandas(assign, kind))
+    facts = placed.groupBy("_p").agg(F.count(F.lit(1)).alias("n"), F.max("_angle").alias("r")).orderBy("_p").toPandas()
+    where, radius = facts["_p"].to_numpy(dtype="int64"), facts["r"].to_numpy(dtype="float64")
+    parts = np.ceil(facts["n"].to_numpy(dtype="float64") / block_rows).astype("int64")
+    apart = np.arccos(np.clip(centres[where] @ centres[where].T, -1.0, 1.0))
+    reach = radius[:, None] + radius[None, :] + np.arccos(np.clip(similarity, -1.0, 1.0)) + 1e-6
+    i, j = np.nonzero(np.triu(apart <= reach))
+    spark = vectors.sparkSession
+    near = pd.DataFrame({"_p": where[i], "_q": where[j], "_np": parts[i], "_nq": parts[j]})
+    pairs = F.broadcast(spark.createDataFrame(near, "_p int, _q int, _np bigint, _nq bigint"))
+
+    def block(count: str) -> Column:
+        return F.pmod(F.xxhash64("_id"), F.col(count)).cast("bigint")
+
+    first = placed.join(pairs, "_p").withColumn("_a", block("_np"))
+    start = F.when(F.col("_p") == F.col("_q"), F.col("_a")).otherwise(F.lit(0))
+    first = first.select("_id", "_v", "_p", "_a", "_q", F.explode(F.sequence(start, F.col("_nq") - 1)).alias("_b"))
+    second = placed.withColumnRenamed("_p", "_q").join(pairs, "_q").withColumn("_b", block("_nq"))
+    end = F.when(F.col("_p") == F.col("_q"), F.col("_b")).otherwise(F.col("_np") - 1)
+    second = second.select(
         F.col("_id").alias("_id2"),
         F.col("_v").alias("_v2"),
-        F.explode(F.sequence(F.lit(0), "_k")).alias("_a2"),
-        F.col("_k").alias("_b2"),
+        F.col("_p").alias("_p2"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), end)).alias("_a2"),
+        F.col("_q").alias("_q2"),
+        F.col("_b").alias("_b2"),
     )
-    return first, second
+    return first, second, ["_p", "_a", "_q", "_b"], ["_p2", "_a2", "_q2", "_b2"]
 
 
 def _close(left: pd.DataFrame, right: pd.DataFrame, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Positions and similarity of the pairs at or above the bound, each pair of a block once."""
     scores = matrix(left["_v"]) @ matrix(right["_v2"]).T
-    if left["_a"].iat[0] == left["_b"].iat[0]:
+    if (left["_p"].iat[0], left["_a"].iat[0]) == (left["_q"].iat[0], left["_b"].iat[0]):
         keep = left["_id"].to_numpy()[:, None] < right["_id2"].to_numpy()[None, :]
         i, j = np.nonzero((scores >= similarity) & keep)
     else:
@@ -152,10 +191,10 @@ def similar_pairs(
         a, b = left["_id"].to_numpy()[i], right["_id2"].to_numpy()[j]
         return pd.DataFrame({"id_a": np.minimum(a, b), "id_b": np.maximum(a, b), "similarity": score})
 
-    first, second = block_pairs(vectors, key, vector, block_rows)
+    first, second, keys, keys2 = block_pairs(vectors, key, vector, similarity, block_rows)
     return (
-        first.groupBy("_a", "_b")
-        .cogroup(second.groupBy("_a2", "_b2"))
+        first.groupBy(*keys)
+        .cogroup(second.groupBy(*keys2))
         .applyInPandas(compare, "id_a bigint, id_b bigint, similarity double")
     )
 
@@ -188,8 +227,8 @@ def linking_edges(
         linked = label != np.arange(len(ids))
         return pd.DataFrame({"a": ids[label[linked]], "b": ids[linked]})
 
-    first, second = block_pairs(vectors, key, vector, block_rows)
-    return first.groupBy("_a", "_b").cogroup(second.groupBy("_a2", "_b2")).applyInPandas(forest, "a bigint, b bigint")
+    first, second, keys, keys2 = block_pairs(vectors, key, vector, similarity, block_rows)
+    return first.groupBy(*keys).cogroup(second.groupBy(*keys2)).applyInPandas(forest, "a bigint, b bigint")
 
 
 def _nearest(ids: pd.Series, vectors: pd.Series, centre_ids: np.ndarray, centres: np.ndarray) -> pd.DataFrame:

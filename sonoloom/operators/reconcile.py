@@ -93,8 +93,13 @@ def not_rejected(status: str) -> Column:
     return ~F.lower(F.col(status)).eqNullSafe(F.lit("rejected"))
 
 
+def in_report_order(rows: DataFrame) -> DataFrame:
+    """Sorted by raw name; the keys behind it let Spark split a name with many rows."""
+    return rows.orderBy("raw_file_name", *[k for k in KEYS if k in rows.columns])
+
+
 def invalid_durations(matched: DataFrame) -> DataFrame:
-    return matched.filter(~valid_duration()).orderBy("raw_file_name")
+    return in_report_order(matched.filter(~valid_duration()))
 
 
 def clean_listing(listing: DataFrame) -> DataFrame:
@@ -120,7 +125,7 @@ def valid_per_audio(matched: DataFrame, listing_status: str = "status", **sizes:
 
 
 def duplicate_names(catalogue: DataFrame) -> DataFrame:
-    return duplicate_groups(catalogue, "raw_file_name").orderBy("raw_file_name")
+    return in_report_order(duplicate_groups(catalogue, "raw_file_name"))
 
 
 def unique_names(catalogue: DataFrame, order_by: Sequence[str]) -> DataFrame:

@@ -48,7 +48,7 @@ def shuffle_key(key: Sequence[str], seed: int) -> Column:
 
 def cap_total(df: DataFrame, hours: float, order_by: Sequence[str], duration: str = DURATION, **sizes: int) -> DataFrame:
     """Rows, in order, while their running duration stays within ``hours``."""
-    total = running_total(df, micros(duration), order_by, output="_total", **sizes)
+    total = running_total(df, micros(duration).cast("decimal(20,0)"), order_by, output="_total", **sizes)
     return total.filter(F.col(duration).isNotNull() & (F.col("_total") <= round(hours * 3_600_000_000))).drop("_total")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sonoloom.functions.text import base_name
+from sonoloom.functions.utterance_json import list_elements
 from sonoloom.operators.hooks import encode
 from sonoloom.operators.mutations import transcription_outcome
 from sonoloom.operators.planning import even_chunks
@@ -37,20 +38,26 @@ def _metadata_round_trip(spark, sf_dir, with_license):
     _metadata(spark, sf_dir, with_license).write.options(header=True, escape='"').csv(path)
     rows = readers.read_metadata_csv(spark, path)
     assert set(METADATA_COLUMNS) <= set(rows.columns)
+    elements = F.greatest(F.coalesce(F.size(list_elements(F.col("utterances_files_list"))), F.lit(-1)), F.lit(-1)).cast("bigint")
     return rows.select(
-        "audio_id", "raw_file_name", "speaker_name", "duration", "license", F.md5("utterances_files_list").alias("list_md5"), "is_normalized"
+        "audio_id", "raw_file_name", "speaker_name", "duration", "license", elements.alias("elements"), "is_normalized"
     )
 
 
-@query()
+METADATA = """SELECT S.audio_id, raw_file_name, speaker_name, duration, {license} AS license,
+  CASE WHEN S.audio_id % 50 = 1 THEN -1 WHEN S.audio_id % 50 = 2 THEN 0 ELSE coalesce(n, -1) END AS elements,
+  false AS is_normalized FROM S LEFT JOIN (SELECT audio_id, count(*) AS n FROM U GROUP BY audio_id) USING (audio_id)"""
+
+
+@query(sql("SU", METADATA.format(license="'cc-by'")))
 def read_metadata_csv(spark, sf_dir):
     return _metadata_round_trip(spark, sf_dir, True)
 
 
-@query(sql("S", "SELECT audio_id, raw_file_name, speaker_name, duration, CAST(NULL AS VARCHAR) AS license, false AS is_normalized FROM S"))
+@query(sql("SU", METADATA.format(license="CAST(NULL AS VARCHAR)")))
 def read_metadata_csv_short(spark, sf_dir):
     """A file without the ``license`` column."""
-    return _metadata_round_trip(spark, sf_dir, False).drop("list_md5")
+    return _metadata_round_trip(spark, sf_dir, False)
 
 
 SUMMARY = """SELECT source, CAST(count(DISTINCT speaker_name) AS INTEGER) AS num_speaker, sum(audio_id) / 2.0::DOUBLE AS total_duration,

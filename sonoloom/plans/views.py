@@ -137,21 +137,20 @@ def with_lists(spark: SparkSession, sf_dir: str, staging: DataFrame | None = Non
     """
     rows = staging if staging is not None else recordings(spark, sf_dir)
     status, snr, name = F.col("status"), F.col("snr"), F.col("clipped_utterance_file_name")
-    seconds = F.col("clipped_utterance_duration").cast("string")
     element = F.struct(
         name.alias("name"),
-        seconds.alias("duration"),
+        F.col("clipped_utterance_duration").cast("string").alias("duration"),
         F.when(snr == 7, F.lit(float("nan"))).otherwise(snr).alias("snr_value"),
         status.alias("status"),
         F.when(status == "Rejected", F.when(snr < 15, "High-SNR").otherwise("High Audio Duration")).alias("reason"),
     )
-    old_form = F.concat(F.lit('"'), F.concat_ws(":", name, seconds), F.lit('"'))
-    text = F.when(F.col("audio_id") % 50 == 3, old_form).otherwise(F.to_json(element))
     number = F.floor((F.substring_index(name, "_", 1).cast("bigint") - 1) / F.lit(LIST_ROWS))
+    old_form = F.transform("_list", lambda u: F.concat_ws(":", u["name"], u["duration"]))
     lists = (
         utterances(spark, sf_dir)
         .groupBy("audio_id", number.alias("_part"))
-        .agg(F.concat(F.lit("["), F.concat_ws(",", F.array_sort(F.collect_list(text))), F.lit("]")).alias("_list"))
+        .agg(F.array_sort(F.collect_list(element)).alias("_list"))
+        .withColumn("_list", F.when(F.col("audio_id") % 50 == 3, F.to_json(old_form)).otherwise(F.to_json("_list")))
     )
     special = F.when(F.col("audio_id") % 50 == 1, "null").when(F.col("audio_id") % 50 == 2, "[]")
     joined = rows.join(lists, "audio_id", "left").withColumn("utterances_files_list", F.coalesce(special, F.col("_list")))

@@ -205,3 +205,20 @@ def test_vector_expressions(spark):
     assert np.allclose(row.u, x / np.linalg.norm(x))
     assert row.p == [1, 2, 3, 4, 0, 0] and row.q == [1, 2, 3, 4] and row.d == [1, 2, 3, 4]
     assert row.c == [2.0, 3.0] and abs(row.self) < 1e-12 and row.m == {"a": "0.1", "b": "0.9"}
+
+
+def test_pairs_are_complete_and_far_blocks_are_skipped(spark):
+    points, _ = blobs(centres=8, each=25, dims=12, spread=0.05)
+    df = frame(spark, points)
+    for bound in (0.97, 0.5, -1.0):
+        scores = points @ points.T
+        want = {(i, j) for i in range(len(points)) for j in range(i + 1, len(points)) if scores[i, j] >= bound}
+        got = vec.similar_pairs(df, "vec_id", "embedding", bound, block_rows=10)
+        assert {(r.id_a, r.id_b) for r in got.collect()} == want
+    first, _, keys, _ = vec.block_pairs(df, "vec_id", "embedding", 0.97, block_rows=10)
+    everything, _, _, _ = vec.block_pairs(df, "vec_id", "embedding", -1.0, block_rows=10)
+    assert first.select(*keys).distinct().count() < everything.select(*keys).distinct().count() / 2
+    copies = spark.createDataFrame([(i, [1.0, 0.0]) for i in range(60)], "id bigint, v array<double>")
+    sizes = vec.block_pairs(copies, "id", "v", 0.9, block_rows=10)[0].groupBy(*keys).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 30
+    assert vec.similar_pairs(copies.limit(0), "id", "v", 0.9).count() == 0
