@@ -19,10 +19,15 @@ def apply_changes(
     """``table`` with columns reassigned where a change row has the same keys.
 
     ``assign`` maps a column to a function of (old value, change value).  Several change rows
-    of one key count once: the least of them is taken, so that reruns agree.
+    of one key count once: the least of them is taken, so that reruns agree.  A change set of
+    keys alone is only made distinct.
     """
     columns = [c for c in changes.columns if c not in keys]
-    one = changes.groupBy(*keys).agg(F.min(F.struct(*[F.col(c) for c in columns], F.lit(True).alias("_hit"))).alias("_c"))
+    hit_row = F.struct(*[F.col(c) for c in columns], F.lit(True).alias("_hit"))
+    if columns:
+        one = changes.groupBy(*keys).agg(F.min(hit_row).alias("_c"))
+    else:
+        one = changes.distinct().withColumn("_c", hit_row)
     joined = table.join(one, list(keys), "left")
     hit = F.coalesce(F.col("_c._hit"), F.lit(False))
     updated = {
@@ -65,9 +70,9 @@ def stage_utterances(
     changes = inside.join(names.select(FILE_NAME).distinct(), FILE_NAME, "left_semi")
     return apply_changes(
         mapping,
-        changes.withColumn("data_type", F.lit(data_set)),
+        changes,
         ["audio_id", FILE_NAME],
-        {"staged_for_transcription": lambda o, n: F.lit(True), "data_type": take_new},
+        {"staged_for_transcription": lambda o, n: F.lit(True), "data_type": lambda o, n: F.lit(data_set)},
     )
 
 
@@ -76,9 +81,9 @@ def tag_recordings(staging: DataFrame, ids: DataFrame, source: str, language: st
     mine = (F.col("source") == source) & (F.col("language") == language)
     return apply_changes(
         staging,
-        ids.select("audio_id").distinct().withColumn("data_set_used_for", F.lit(data_set)),
+        ids.select("audio_id"),
         ["audio_id"],
-        {"data_set_used_for": lambda o, n: F.when(mine, n).otherwise(o)},
+        {"data_set_used_for": lambda o, n: F.when(mine, F.lit(data_set)).otherwise(o)},
     )
 
 
@@ -152,8 +157,8 @@ def gender_letter(gender: Column) -> Column:
 def record_artifact(mapping: DataFrame, exported: DataFrame, artifact: str, is_labelled: bool) -> DataFrame:
     """Note the artifact on the (audio_id, name) rows it holds."""
     column = "labelled_artifact_name" if is_labelled else "unlabelled_artifact_name"
-    changes = exported.select("audio_id", FILE_NAME).distinct().withColumn(column, F.lit(artifact))
-    return apply_changes(mapping, changes, ["audio_id", FILE_NAME], {column: take_new})
+    changes = exported.select("audio_id", FILE_NAME)
+    return apply_changes(mapping, changes, ["audio_id", FILE_NAME], {column: lambda o, n: F.lit(artifact)})
 
 
 def replace_utterances(staging: DataFrame, lists: DataFrame) -> DataFrame:
@@ -163,4 +168,4 @@ def replace_utterances(staging: DataFrame, lists: DataFrame) -> DataFrame:
 
 
 def mark_normalised(staging: DataFrame, ids: DataFrame) -> DataFrame:
-    return apply_changes(staging, ids.select("audio_id").distinct(), ["audio_id"], {"is_normalized": lambda o, n: F.lit(True)})
+    return apply_changes(staging, ids.select("audio_id"), ["audio_id"], {"is_normalized": lambda o, n: F.lit(True)})

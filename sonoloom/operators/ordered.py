@@ -59,15 +59,21 @@ def running_total(
     partition_by: Sequence[str] = (),
     output: str = "running_total",
     *,
+    ceiling: int | None = None,
     max_group_rows: int | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
-    """Add ``sum(value)`` from the first row of the key up to this row."""
+    """Add ``sum(value)`` from the first row of the key up to this row.
+
+    With a ``ceiling`` (values must not be negative) only rows up to it are returned, and
+    partitions that start beyond it are dropped before they are shuffled.
+    """
     order = [F.col(o) if isinstance(o, str) else o for o in order_by]
     limit = MAX_GROUP_ROWS if max_group_rows is None else max_group_rows
     if partition_by and largest_group(df, partition_by) <= limit:
         window = Window.partitionBy(*partition_by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumn(output, F.sum(value).over(window))
+        total = df.withColumn(output, F.sum(value).over(window))
+        return total if ceiling is None else total.filter(F.col(output) <= ceiling)
 
     parts = range_split(df.withColumn("_value", value), partition_by, order, partitions)
     keys = [*partition_by, _PART]
@@ -83,12 +89,13 @@ def running_total(
     match = F.lit(True)
     for key in keys:
         match = match & F.col(key).eqNullSafe(F.col(f"_c_{key}"))
-    return (
-        parts.withColumn(output, F.sum("_value").over(inside))
-        .join(F.broadcast(carry), match, "left")
-        .withColumn(output, F.col(output) + F.coalesce("_carry", F.lit(0)))
-        .drop("_value", "_carry", _PART, *[f"_c_{k}" for k in keys])
-    )
+    placed = parts.join(F.broadcast(carry), match, "left").withColumn("_carry", F.coalesce("_carry", F.lit(0)))
+    if ceiling is not None:
+        placed = placed.filter(F.col("_carry") <= ceiling)
+    total = placed.withColumn(output, F.sum("_value").over(inside) + F.col("_carry"))
+    if ceiling is not None:
+        total = total.filter(F.col(output) <= ceiling)
+    return total.drop("_value", "_carry", _PART, *[f"_c_{k}" for k in keys])
 
 
 def row_index(

@@ -48,8 +48,10 @@ def shuffle_key(key: Sequence[str], seed: int) -> Column:
 
 def cap_total(df: DataFrame, hours: float, order_by: Sequence[str], duration: str = DURATION, **sizes: int) -> DataFrame:
     """Rows, in order, while their running duration stays within ``hours``."""
-    total = running_total(df, micros(duration).cast("decimal(20,0)"), order_by, output="_total", **sizes)
-    return total.filter(F.col(duration).isNotNull() & (F.col("_total") <= round(hours * 3_600_000_000))).drop("_total")
+    value = micros(duration).cast("decimal(20,0)")
+    limit = round(hours * 3_600_000_000)
+    known = df.filter(F.col(duration).isNotNull())
+    return running_total(known, value, order_by, output="_total", ceiling=limit, **sizes).drop("_total")
 
 
 def speaker_budget(
@@ -71,17 +73,18 @@ def speaker_budget(
     """
     low = round((gte_per_speaker_duration - with_threshold) * 60_000_000)
     high = round((lte_per_speaker_duration + with_threshold) * 60_000_000)
-    known = df.filter(F.col(speaker).isNotNull())
+    known = df.filter(F.col(speaker).isNotNull() & F.col(duration).isNotNull())
     in_bounds = F.col("_total").between(low, high)
     if largest_group(known, [speaker]) <= max_group_rows:
         ordered = Window.partitionBy(speaker).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
         totals = known.withColumn("_total", F.sum(micros(duration)).over(ordered))
-        kept = totals.withColumn("_kept", F.max(in_bounds).over(Window.partitionBy(speaker))).filter("_kept").drop("_kept")
-    else:
-        totals = running_total(known, micros(duration), order_by, [speaker], "_total", max_group_rows=0, **sizes)
-        qualified = totals.filter(in_bounds).select(speaker).distinct()
-        kept = totals.join(qualified, speaker, "left_semi")
-    return kept.filter(F.col(duration).isNotNull() & (F.col("_total") <= high)).drop("_total")
+        kept = totals.withColumn("_kept", F.max(in_bounds).over(Window.partitionBy(speaker)))
+        return kept.filter(F.col("_kept") & (F.col("_total") <= high)).drop("_kept", "_total")
+    totals = running_total(
+        known, micros(duration), order_by, [speaker], "_total", ceiling=high, max_group_rows=0, **sizes
+    )
+    qualified = totals.filter(in_bounds).select(speaker).distinct()
+    return totals.join(qualified, speaker, "left_semi").drop("_total")
 
 
 @dataclass

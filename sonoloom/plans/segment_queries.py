@@ -39,7 +39,25 @@ def hysteresis_chunks(spark, sf_dir):
     return seg.hysteresis(numbered(spark, sf_dir), 3, "user_id", max_group_rows=0, chunk_frames=40)
 
 
-@query()
+# The segmenter frame by frame: one recursion step reads one frame of every stream.
+WIDE = """WITH RECURSIVE F AS (
+  SELECT user_id, value > 20 AS flag, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS idx,
+    count(*) OVER (PARTITION BY user_id) AS n FROM events),
+W AS (
+  SELECT DISTINCT user_id, CAST(-1 AS BIGINT) AS idx, n, false AS is_on, CAST(0 AS BIGINT) AS bits, CAST(0 AS BIGINT) AS len,
+    CAST(NULL AS BIGINT) AS open_idx, CAST(NULL AS BIGINT) AS start_idx, CAST(NULL AS BIGINT) AS end_idx FROM F
+  UNION ALL
+  SELECT user_id, idx, n, is_on <> turn, CASE WHEN turn THEN 0 ELSE bits END, CASE WHEN turn THEN 0 ELSE len END,
+    CASE WHEN NOT turn THEN open_idx WHEN NOT is_on THEN idx - len + 1 END,
+    CASE WHEN is_on AND (turn OR idx = n - 1) THEN open_idx WHEN turn AND idx = n - 1 THEN idx - len + 1 END,
+    CASE WHEN is_on AND (turn OR idx = n - 1) OR turn AND idx = n - 1 THEN idx END
+  FROM (SELECT *, CASE WHEN is_on THEN len - bit_count(bits) ELSE bit_count(bits) END > 0.9 * 12 AS turn FROM (
+    SELECT W.user_id, F.idx, W.n, is_on, open_idx, ((bits << 1) | CAST(F.flag AS BIGINT)) & 4095 AS bits, least(len + 1, 12) AS len
+    FROM W JOIN F ON F.user_id = W.user_id AND F.idx = W.idx + 1)))
+SELECT user_id, start_idx, end_idx FROM W WHERE end_idx IS NOT NULL"""
+
+
+@query(WIDE)
 def hysteresis_wide(spark, sf_dir):
     """A ring of 12 frames, where one frame of the ring may disagree."""
     return seg.hysteresis(numbered(spark, sf_dir), 12, "user_id")

@@ -153,3 +153,16 @@ def test_row_without_duration_is_dropped_from_totals(spark):
         "clipped_utterance_duration", F.when(F.col("pos") != 1, F.col("clipped_utterance_duration"))
     )
     assert [r.pos for r in sel.cap_total(rows, 8 / 3600, ["pos"]).orderBy("pos").collect()] == [0, 2]
+
+
+def test_total_cap_same_with_any_split(spark):
+    rows = frame(spark, [(i % 5, f"f{i}", 1 + i % 4, str(i), 20) for i in range(300)])
+    want = rows_of(sel.cap_total(rows, 0.05, ["pos"], partitions=1), "pos")
+    for parts in (3, 17, 60):
+        assert rows_of(sel.cap_total(rows, 0.05, ["pos"], partitions=parts), "pos") == want
+    total = 0
+    for kept, i in enumerate(range(300)):
+        total += 1 + i % 4
+        if total > 180:
+            break
+    assert len(want) == kept
