@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 from math import ceil
 
 import numpy as np
@@ -16,6 +17,7 @@ from sonoloom.session import checkpointed
 
 BLOCK_ROWS = 4_096
 PIVOTS = 1_024
+ANGLE_ERROR = 1e-6
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
@@ -110,44 +112,80 @@ def matrix(vectors: pd.Series) -> np.ndarray:
     return rows / np.where(lengths == 0, 1.0, lengths)
 
 
+@dataclass
+class BlockPairs:
+    """A blocked self comparison: both sides, their grouping keys, and links that need no test."""
+
+    first: DataFrame
+    second: DataFrame
+    keys: list[str]
+    keys2: list[str]
+    sure: DataFrame
+
+
+def _spread_out(sample: np.ndarray, count: int, enough: float) -> np.ndarray:
+    """Up to ``count`` rows, each the farthest from those before it, until all are ``enough`` near."""
+    if not len(sample):
+        return np.zeros((0, 1))
+    kept, nearest = [0], np.full(len(sample), np.inf)
+    while len(kept) < count:
+        nearest = np.minimum(nearest, np.arccos(np.clip(sample @ sample[kept[-1]], -1.0, 1.0)))
+        if nearest.max() <= enough:
+            break
+        kept.append(int(np.argmax(nearest)))
+    return sample[kept]
+
+
 def block_pairs(
-    vectors: DataFrame, key: str, vector: str, similarity: float, block_rows: int = BLOCK_ROWS, pivots: int = PIVOTS
-) -> tuple[DataFrame, DataFrame, list[str], list[str]]:
-    """Both sides of a blocked self comparison and their grouping keys.
-
-    Every row goes to its nearest pivot, a sampled row; a pivot with many rows is cut into
-    blocks of about ``block_rows`` by hash, so a group of near copies is spread as well.  Two
-    pivots are compared only where their angle is at most the sum of their radii and of the
-    wanted angle: beyond it, by the triangle inequality, no pair can be close enough.  One task
-    compares one pair of blocks, so its memory is fixed.
+    vectors: DataFrame,
+    key: str,
+    vector: str,
+    similarity: float,
+    block_rows: int = BLOCK_ROWS,
+    pivots: int = PIVOTS,
+    skip_sure: bool = False,
+) -> BlockPairs:
+    """Which rows have to be compared, cut into tasks of bounded size.
+
+    Every row goes to its nearest pivot, one of a bounded sample.  Rows within half the wanted
+    angle of their pivot form its core cell, the others its rest cell; a cell with many rows
+    is cut into blocks of about ``block_rows`` by hash.  Two cells are compared only where the
+    angle of their pivots is at most the sum of the cell radii and the wanted angle: beyond
+    it, by the triangle inequality, no pair is close enough.
+
+    By the same inequality all pairs inside a core are close enough.  With ``skip_sure`` they
+    are not compared but linked to the least member (``sure``), so a large group of near
+    copies costs one link per row.
     """
+    spark = vectors.sparkSession
+    angle = float(np.arccos(np.clip(similarity, -1.0, 1.0)))
     rows = vectors.select(F.col(key).alias("_id"), F.col(vector).cast("array<double>").alias("_v"))
     wanted = max(1, min(pivots, ceil(rows.count() / block_rows)))
-    sampled = rows.orderBy(F.xxhash64("_id"), "_id").limit(wanted).toPandas()
-    if sampled.empty:
-        centres = np.zeros((0, 1))
-    else:
-        centres = matrix(sampled["_v"])
-    kind = "_id bigint, _v array<double>, _p int, _angle double"
+    sampled = rows.orderBy(F.xxhash64("_id"), "_id").limit(4 * pivots).toPandas()
+    sample = matrix(sampled["_v"]) if len(sampled) else np.zeros((0, 1))
+    centres = _spread_out(sample, wanted, angle / 4)
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
                 near = matrix(batch["_v"]) @ centres.T
                 best = np.argmax(near, axis=1)
-                angle = np.arccos(np.clip(near[np.arange(len(best)), best], -1.0, 1.0))
-                yield batch.assign(_p=best.astype("int32"), _angle=angle)
+                away = np.arccos(np.clip(near[np.arange(len(best)), best], -1.0, 1.0))
+                rest = away > angle / 2 - ANGLE_ERROR
+                yield batch.assign(_p=(2 * best + rest).astype("int32"), _angle=away)
 
-    placed = checkpointed(rows.mapInPandas(assign, kind))
+    placed = checkpointed(rows.mapInPandas(assign, "_id bigint, _v array<double>, _p int, _angle double"))
     facts = placed.groupBy("_p").agg(F.count(F.lit(1)).alias("n"), F.max("_angle").alias("r")).orderBy("_p").toPandas()
     where, radius = facts["_p"].to_numpy(dtype="int64"), facts["r"].to_numpy(dtype="float64")
     parts = np.ceil(facts["n"].to_numpy(dtype="float64") / block_rows).astype("int64")
-    apart = np.arccos(np.clip(centres[where] @ centres[where].T, -1.0, 1.0))
-    reach = radius[:, None] + radius[None, :] + np.arccos(np.clip(similarity, -1.0, 1.0)) + 1e-6
-    i, j = np.nonzero(np.triu(apart <= reach))
-    spark = vectors.sparkSession
-    near = pd.DataFrame({"_p": where[i], "_q": where[j], "_np": parts[i], "_nq": parts[j]})
-    pairs = F.broadcast(spark.createDataFrame(near, "_p int, _q int, _np bigint, _nq bigint"))
+    pivot = centres[where // 2]
+    apart = np.arccos(np.clip(pivot @ pivot.T, -1.0, 1.0))
+    near = np.triu(apart <= radius[:, None] + radius[None, :] + angle + ANGLE_ERROR)
+    if skip_sure:
+        near &= ~np.diag(where % 2 == 0)
+    i, j = np.nonzero(near)
+    table = pd.DataFrame({"_p": where[i], "_q": where[j], "_np": parts[i], "_nq": parts[j]})
+    pairs = F.broadcast(spark.createDataFrame(table, "_p int, _q int, _np bigint, _nq bigint"))
 
     def block(count: str) -> Column:
         return F.pmod(F.xxhash64("_id"), F.col(count)).cast("bigint")
@@ -165,7 +203,10 @@ def block_pairs(
         F.col("_q").alias("_q2"),
         F.col("_b").alias("_b2"),
     )
-    return first, second, ["_p", "_a", "_q", "_b"], ["_p2", "_a2", "_q2", "_b2"]
+    core = placed.filter(F.col("_p") % 2 == 0).select("_id", "_p")
+    least = F.broadcast(core.groupBy("_p").agg(F.min("_id").alias("a")))
+    sure = core.join(least, "_p").filter("a <> _id").select("a", F.col("_id").alias("b"))
+    return BlockPairs(first, second, ["_p", "_a", "_q", "_b"], ["_p2", "_a2", "_q2", "_b2"], sure)
 
 
 def _close(left: pd.DataFrame, right: pd.DataFrame, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -191,10 +232,10 @@ def similar_pairs(
         a, b = left["_id"].to_numpy()[i], right["_id2"].to_numpy()[j]
         return pd.DataFrame({"id_a": np.minimum(a, b), "id_b": np.maximum(a, b), "similarity": score})
 
-    first, second, keys, keys2 = block_pairs(vectors, key, vector, similarity, block_rows)
+    blocks = block_pairs(vectors, key, vector, similarity, block_rows)
     return (
-        first.groupBy(*keys)
-        .cogroup(second.groupBy(*keys2))
+        blocks.first.groupBy(*blocks.keys)
+        .cogroup(blocks.second.groupBy(*blocks.keys2))
         .applyInPandas(compare, "id_a bigint, id_b bigint, similarity double")
     )
 
@@ -227,8 +268,9 @@ def linking_edges(
         linked = label != np.arange(len(ids))
         return pd.DataFrame({"a": ids[label[linked]], "b": ids[linked]})
 
-    first, second, keys, keys2 = block_pairs(vectors, key, vector, similarity, block_rows)
-    return first.groupBy(*keys).cogroup(second.groupBy(*keys2)).applyInPandas(forest, "a bigint, b bigint")
+    blocks = block_pairs(vectors, key, vector, similarity, block_rows, skip_sure=True)
+    tested = blocks.first.groupBy(*blocks.keys).cogroup(blocks.second.groupBy(*blocks.keys2))
+    return tested.applyInPandas(forest, "a bigint, b bigint").union(blocks.sure)
 
 
 def _nearest(ids: pd.Series, vectors: pd.Series, centre_ids: np.ndarray, centres: np.ndarray) -> pd.DataFrame:

@@ -8,6 +8,7 @@ from sonoloom.functions import text as tx
 from sonoloom.functions import utterance_json as uj
 from sonoloom.operators import quality
 from sonoloom.operators.mutations import replace_utterances
+from sonoloom.operators.ordered import list_parts
 from sonoloom.operators.reconcile import cleanse
 from sonoloom.operators.transcription import outcome_reason, transcription_gate
 from sonoloom.plans.registry import query
@@ -191,7 +192,7 @@ def name_cleanup(spark, sf_dir):
 
 
 @query(
-    """SELECT conv_id, md5(string_agg(text, ' ' ORDER BY turn)) AS transcript_md5 FROM conversations
+    """SELECT conv_id, CAST(0 AS BIGINT) AS part, md5(string_agg(text, ' ' ORDER BY turn)) AS transcript_md5 FROM conversations
 WHERE text IS NOT NULL GROUP BY conv_id"""
 )
 def stt_text_join(spark, sf_dir):
@@ -201,10 +202,8 @@ def stt_text_join(spark, sf_dir):
         F.struct(F.col("text").alias("transcript"), F.lit(0.9).alias("confidence")),
         F.struct(F.upper("text").alias("transcript"), F.lit(0.4).alias("confidence")),
     )
-    results = turns.groupBy("conv_id").agg(
-        F.array_sort(F.collect_list(F.struct("turn", alternatives.alias("alternatives")))).alias("results")
-    )
-    return results.select("conv_id", F.md5(tx.join_alternatives(F.col("results"))).alias("transcript_md5"))
+    results = list_parts(turns, ["conv_id"], F.struct(alternatives.alias("alternatives")), ["turn"], "results")
+    return results.select("conv_id", "part", F.md5(tx.join_alternatives(F.col("results"))).alias("transcript_md5"))
 
 
 @query(
