@@ -104,7 +104,14 @@ def first_chunks(spark, sf_dir):
     return plan.first_chunks(with_companions(spark, sf_dir), 25).select("path")
 
 
-@query(sql("L", "SELECT replace(path, '.wav', '') AS stem, true AS has_embeddings FROM L WHERE length % 4 <> 0"))
+@query(
+    sql(
+        "L",
+        """SELECT replace(path, '.wav', '') AS stem, true AS has_embeddings FROM (
+  SELECT path FROM L WHERE length % 4 <> 3 UNION ALL SELECT path FROM L WHERE length % 4 IN (0, 3))
+GROUP BY path HAVING count(*) % 2 = 1""",
+    )
+)
 def missing_embeddings(spark, sf_dir):
     """Batch lists without their embedding file, and embeddings without a list."""
     files, quarter = listing(spark, sf_dir), F.col("length") % 4
