@@ -6,12 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sonoloom.functions.utterance_json import explode_utterances, list_state, utterances_as_json
 from sonoloom.operators.dedup import latest_with_ties
 from sonoloom.operators.ordered import first_rows, row_index
 from sonoloom.operators.selection import DURATION, FILE_NAME
 from sonoloom.operators.skew import join_lookup
+from sonoloom.schemas import MAPPING, MEDIA
 
 FIRST_AUDIO_ID = 101
 FIRST_SPEAKER_ID = 1
@@ -102,6 +104,13 @@ def media_increment(staging: DataFrame, media: DataFrame, *, compat: bool = Fals
     return latest_with_ties(staging, "audio_id", "load_datetime").filter(above & F.col("speaker_name").isNotNull())
 
 
+def media_rows(staging_rows: DataFrame) -> DataFrame:
+    """Staging rows in the shape of the media table."""
+    return staging_rows.withColumn("total_duration", F.col("duration")).select(
+        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in StructType.fromDDL(MEDIA).fields]
+    )
+
+
 def new_speakers(staging: DataFrame, speakers: DataFrame) -> DataFrame:
     """One row per (name, source) whose name is in no speaker row of any source."""
     grouped = (
@@ -164,6 +173,21 @@ def mapping_unknown_speaker(staging: DataFrame) -> DataFrame:
     return _mapping_rows(pending.select("audio_id", "utterances_files_list", "load_datetime"), F.lit(None))
 
 
+def complete_mapping(rows: DataFrame, *, compat: bool = False) -> DataFrame:
+    """Rows with every mapping column: not staged, no engine used, the rest NULL.
+
+    ``compat`` starts with the engine ``google`` marked as used, as the old default did.
+    """
+    engines = F.array(F.lit("google")) if compat else F.array().cast("array<string>")
+    defaults = {"staged_for_transcription": F.lit(False), "stt_api_used": engines}
+    return rows.select(
+        *[
+            (F.col(f.name) if f.name in rows.columns else defaults.get(f.name, F.lit(None))).cast(f.dataType).alias(f.name)
+            for f in StructType.fromDDL(MAPPING).fields
+        ]
+    )
+
+
 def insert_absent(mapping: DataFrame, rows: DataFrame) -> DataFrame:
     """Rows not yet in the mapping by (audio_id, name), so that a rerun inserts nothing."""
     return rows.join(mapping.select("audio_id", FILE_NAME).distinct(), ["audio_id", FILE_NAME], "left_anti")

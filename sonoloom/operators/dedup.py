@@ -76,7 +76,7 @@ def reject_in_order(
     finish_rows: int = FINISH_ROWS,
 ) -> DataFrame:
     """Rows accepted when they are taken in order and one that shares its name or hash with an
-    accepted earlier row is rejected.
+    accepted earlier row is rejected.  ``key`` must be unique.
 
     Each round accepts the rows that come first both for their name and for their hash among
     the undecided, then drops everything sharing either with them.  Copies of one (name, hash)

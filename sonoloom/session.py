@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app_name: str = "sonoloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -39,6 +40,12 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/work/{name}-{uuid.uuid4().hex}"
 
 
+def load_moment(spark: SparkSession) -> Column:
+    """The current local time as a constant, the same however often a plan is run."""
+    now = spark.range(1).select(F.localtimestamp().cast("string")).first()[0]
+    return F.lit(now).cast("timestamp_ntz")
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint, so a lost executor loses no state."""
     shared_dir(df.sparkSession)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sonoloom.functions.text import first_stem
 from sonoloom.schemas import MANIFEST, SOURCE_SUMMARY, metadata_schema
+from sonoloom.session import load_moment
 
 SELECTION_DDL = "speaker_id double, clipped_utterance_file_name string, clipped_utterance_duration double, audio_id bigint, snr double"
 
@@ -25,7 +26,7 @@ def read_metadata_csv(spark: SparkSession, path: str) -> DataFrame:
     )
     if not with_license:
         rows = rows.withColumn("license", F.lit(None).cast("string"))
-    return rows.withColumn("load_datetime", F.localtimestamp()).withColumn("is_normalized", F.lit(False))
+    return rows.withColumn("load_datetime", load_moment(spark)).withColumn("is_normalized", F.lit(False))
 
 
 def read_source_summary(spark: SparkSession, path: str) -> DataFrame:
