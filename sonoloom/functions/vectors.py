@@ -17,6 +17,7 @@ from sonoloom.session import checkpointed
 
 BLOCK_ROWS = 4_096
 PIVOTS = 1_024
+SAMPLE_ROWS = 2_048
 ANGLE_ERROR = 1e-6
 BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -123,16 +124,27 @@ class BlockPairs:
     sure: DataFrame
 
 
-def _spread_out(sample: np.ndarray, count: int, enough: float) -> np.ndarray:
-    """Up to ``count`` rows, each the farthest from those before it, until all are ``enough`` near."""
+def _choose_pivots(sample: np.ndarray, count: int, near: float) -> np.ndarray:
+    """Pivots out of a bounded sample: first the middle of every crowd, then rows far from the rest.
+
+    A crowd is at least 1/200 of the sample within ``near`` radians, so there are at most 200
+    of them; up to ``count`` further pivots are each the farthest row from those before it.
+    """
     if not len(sample):
         return np.zeros((0, 1))
-    kept, nearest = [0], np.full(len(sample), np.inf)
-    while len(kept) < count:
-        nearest = np.minimum(nearest, np.arccos(np.clip(sample @ sample[kept[-1]], -1.0, 1.0)))
-        if nearest.max() <= enough:
-            break
+    apart = np.arccos(np.clip(sample @ sample.T, -1.0, 1.0))
+    close, kept = apart <= near, []
+    crowd = close.sum(axis=1)
+    while crowd.max() >= max(2, len(sample) / 200):
+        kept.append(int(np.argmax(crowd)))
+        close = close & ~close[kept[-1]]
+        close[:, kept[-1]] = False
+        crowd = close.sum(axis=1)
+    kept = kept or [0]
+    nearest, limit = apart[kept].min(axis=0), len(kept) + count - 1
+    while len(kept) < limit and nearest.max() > near:
         kept.append(int(np.argmax(nearest)))
+        nearest = np.minimum(nearest, apart[kept[-1]])
     return sample[kept]
 
 
@@ -161,9 +173,9 @@ def block_pairs(
     angle = float(np.arccos(np.clip(similarity, -1.0, 1.0)))
     rows = vectors.select(F.col(key).alias("_id"), F.col(vector).cast("array<double>").alias("_v"))
     wanted = max(1, min(pivots, ceil(rows.count() / block_rows)))
-    sampled = rows.orderBy(F.xxhash64("_id"), "_id").limit(4 * pivots).toPandas()
+    sampled = rows.orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE_ROWS).toPandas()
     sample = matrix(sampled["_v"]) if len(sampled) else np.zeros((0, 1))
-    centres = _spread_out(sample, wanted, angle / 4)
+    centres = _choose_pivots(sample, wanted, angle / 4)
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

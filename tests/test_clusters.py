@@ -96,6 +96,19 @@ def test_copies_give_few_edges(spark):
     assert rows_of(components(edges).select("component").distinct()) == [(0,)]
 
 
+def test_crowd_among_spread_out_rows_is_linked_once(spark):
+    rng = np.random.default_rng(4)
+    crowd = unit(np.eye(12)[:1] + 0.005 * rng.normal(size=(300, 12)))
+    points = np.vstack([crowd, unit(rng.normal(size=(600, 12)))])
+    edges = vec.linking_edges(frame(spark, points), "vec_id", "embedding", 0.95, block_rows=60)
+    assert edges.count() < 600
+    scores = points @ points.T
+    linked = {r.node: r.component for r in components(edges).collect()}
+    assert all(linked[i] == 0 for i in range(300))
+    for i, j in zip(*np.nonzero(np.triu(scores >= 0.95, 1))):
+        assert linked[i] == linked[j]
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (10, 11), (12, 11), (5, 4), (3, 3), (20, 21), (21, 22), (22, 23), (23, 24), (24, 20)]
     got = components(spark.createDataFrame(edges, "a bigint, b bigint"))
