@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sonoloom.functions.vectors import let
 
 # Characters valid in a transcript of each language (hexadecimal code points,
-# inclusive ranges), and the punctuation that is deleted.
+# inclusive ranges), the punctuation that is deleted, and the gender names.
 VALID_CODE_POINTS = {
     "assamese": "0020 0981-0983 0985-098B 098F-0990 0993-099A 099A-09A8 09AA-09AF 09B2 09B6-09B9 09BE-09C3 "
     "09C7-09C8 09CB-09CE 09D7 09DC-09DD 09DF-09E0 09F0-09F1 09FA",

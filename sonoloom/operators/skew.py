@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 HOT_SHARE = 1_000
 HOT_ROWS = 1_000_000
 SALTS = 64
+BROADCAST_BYTES = 32 * 1024 * 1024
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list:
@@ -23,6 +24,11 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list:
     return [r[0] for r in heavy.filter(F.col("n") * HOT_SHARE > rows).select(key).take(HOT_SHARE)]
 
 
+def text_bytes(df: DataFrame) -> int:
+    """Size of all rows as JSON text, an upper measure of what a broadcast would carry."""
+    return df.agg(F.coalesce(F.sum(F.length(F.to_json(F.struct("*")))), F.lit(0))).first()[0]
+
+
 def join_lookup(
     facts: DataFrame,
     lookup: DataFrame,
@@ -32,12 +38,16 @@ def join_lookup(
     spread_by: Column | None = None,
     hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join ``facts`` to a lookup that is unique on ``key``.
 
-    Rows of a hot key are spread over ``salts`` tasks and only that key's lookup row is
+    A lookup measured to be small is broadcast and the facts are not shuffled.  With a larger
+    one, rows of a hot key are spread over ``salts`` tasks and only that key's lookup row is
     repeated; rows with a NULL key match nothing and are spread too.
     """
+    if text_bytes(lookup) <= broadcast_bytes:
+        return facts.join(F.broadcast(lookup), key, how)
     hot = hot_keys(facts, key, hot_rows)
     spread = F.pmod(F.xxhash64(spread_by if spread_by is not None else F.struct("*")), F.lit(salts)).cast("int")
     is_hot = F.col(key).isin(hot) if hot else F.lit(False)
