@@ -24,22 +24,22 @@ def path_attributes(listing: DataFrame, base: str, path: str = "path") -> DataFr
     that do not parse are left out.
     """
     cleaned = F.replace(F.col(path), F.lit(","), F.lit(""))
-    rest = F.split(F.substring_index(cleaned, base.rstrip("/") + "/", -1), "/")
-    shift = F.when(F.lower(F.get(rest, 1)).isin("train", "test"), 1).otherwise(0)
-    name = base_name(cleaned)
-    tail = F.regexp_extract(name, r"^[^_]*_(.*)$", 1)
-    return (
+    split = (
         listing.filter(F.col(path).contains("wav"))
-        .select(
-            cleaned.alias("bucket_file_path"),
-            F.get(rest, 0).alias("source"),
-            F.get(rest, 1 + shift).try_cast("bigint").alias("audio_id"),
-            F.when(name.contains("_"), F.substring_index(tail, ".", 1)).otherwise("NA").alias("raw_file_name"),
-            name.alias("utterances_file_name"),
-            F.get(rest, 2 + shift).alias("status"),
-        )
-        .filter(F.col("audio_id").isNotNull() & F.col("status").isNotNull())
+        .select(cleaned.alias("bucket_file_path"))
+        .withColumn("_rest", F.split(F.substring_index("bucket_file_path", base.rstrip("/") + "/", -1), "/"))
+        .withColumn("_at", F.when(F.lower(F.get("_rest", F.lit(1))).isin("train", "test"), 2).otherwise(1))
     )
+    name = F.element_at("_rest", -1)
+    raw_name = F.substring_index(F.substring(name, F.instr(name, "_") + 1, F.length(name)), ".", 1)
+    return split.select(
+        "bucket_file_path",
+        F.get("_rest", 0).alias("source"),
+        F.get("_rest", F.col("_at")).try_cast("bigint").alias("audio_id"),
+        F.when(name.contains("_"), raw_name).otherwise("NA").alias("raw_file_name"),
+        name.alias("utterances_file_name"),
+        F.get("_rest", F.col("_at") + 1).alias("status"),
+    ).filter(F.col("audio_id").isNotNull() & F.col("status").isNotNull())
 
 
 def listing_row(listing: DataFrame) -> Column:
@@ -53,7 +53,7 @@ def cleanse(catalogue: DataFrame, name: str) -> DataFrame:
     """Drop rows without an audio id, strip commas from the name, ids as integers."""
     return (
         catalogue.filter(F.col("audio_id").isNotNull())
-        .withColumn(name, F.translate(name, ",", ""))
+        .withColumn(name, F.replace(name, F.lit(","), F.lit("")))
         .withColumn("audio_id", F.col("audio_id").cast("bigint"))
     )
 
@@ -192,11 +192,14 @@ def validation_report(
     stage: str = "pre",
     order_by: Sequence[str] = ("audio_id",),
 ) -> dict[str, DataFrame]:
-    """All report tables by name.  ``listing`` is (path, length)."""
+    """All report tables by name.  ``listing`` is (path, length).
+
+    The parsed listing and the exploded catalogue feed every table and are written once.
+    """
     recordings = cleanse(catalogue, "raw_file_name")
-    stored = path_attributes(listing, base)
+    stored = checkpointed(path_attributes(listing, base))
     check_inputs(recordings, stored)
-    exploded = explode_utterances(recordings)
+    exploded = checkpointed(explode_utterances(recordings))
     matched = stored_and_catalogued(stored, exploded)
     clean = stored_and_catalogued(clean_listing(stored), exploded)
     status = "status_x" if "status_x" in matched.columns else "status"

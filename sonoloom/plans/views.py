@@ -153,7 +153,8 @@ def with_lists(spark: SparkSession, sf_dir: str, staging: DataFrame | None = Non
         .withColumn("_list", F.when(F.col("audio_id") % 50 == 3, F.to_json(old_form)).otherwise(F.to_json("_list")))
     )
     special = F.when(F.col("audio_id") % 50 == 1, "null").when(F.col("audio_id") % 50 == 2, "[]")
-    joined = rows.join(lists, "audio_id", "left").withColumn("utterances_files_list", F.coalesce(special, F.col("_list")))
+    # The list texts are the bulk of the data and compress well: keep adaptive execution from broadcasting them.
+    joined = rows.join(lists.hint("merge"), "audio_id", "left").withColumn("utterances_files_list", F.coalesce(special, F.col("_list")))
     return joined.filter(special.isNull() | (F.coalesce("_part", F.lit(0)) == 0)).drop("_part", "_list")
 
 
