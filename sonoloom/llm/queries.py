@@ -10,11 +10,22 @@ from pyspark.sql import functions as F
 from sonoloom.llm.common import table
 from sonoloom.llm.decontaminate import containments
 from sonoloom.llm.kd_shards import kd_shards
+from sonoloom.llm.language_id import fit as fit_languages
+from sonoloom.llm.language_id import identify
 from sonoloom.llm.line_dedup import dedup_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from three quarters of them."""
+    docs = table(spark, sf_dir, "documents").withColumn("_out", F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False)))
+    models = fit_languages(docs.filter(~F.col("_out")))
+    return identify(docs, models).select(
+        "doc_id", F.col("_out").alias("held_out"), "_language.lang_pred", "_language.score", "_language.entropy"
+    )
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines found in at least 10 documents, dropped everywhere."""
     done = dedup_lines(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
@@ -84,6 +95,7 @@ def op8_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_language_id,
         op2_line_dedup,
         op5_benchmark_decontamination,
         op8_kd_sharding,
