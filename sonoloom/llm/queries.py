@@ -13,6 +13,7 @@ from sonoloom.llm.kd_shards import kd_shards
 from sonoloom.llm.language_id import fit as fit_languages
 from sonoloom.llm.language_id import identify
 from sonoloom.llm.line_dedup import dedup_lines
+from sonoloom.llm.near_dup import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,6 +55,11 @@ FROM k LEFT JOIN f USING (key) GROUP BY doc_id
 """
 
 
+def op3_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose five-word shingles agree to 0.85."""
+    return near_duplicates(table(spark, sf_dir, "documents"), 85).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that contain at least 0.8 of a test item's five-word shingles."""
     found = containments(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -97,6 +103,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_language_id,
         op2_line_dedup,
+        op3_setsketch_near_dedup,
         op5_benchmark_decontamination,
         op8_kd_sharding,
     )
