@@ -13,6 +13,7 @@ from sonoloom.llm.kd_shards import kd_shards
 from sonoloom.llm.language_id import fit as fit_languages
 from sonoloom.llm.language_id import identify
 from sonoloom.llm.line_dedup import dedup_lines
+from sonoloom.llm.maxscore import top_k
 from sonoloom.llm.near_dup import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +85,25 @@ FROM c JOIN n ON n.id = c.item_id WHERE m * 10 >= n * 8
 """
 
 
+def op7_maxscore_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five largest inner products of every fiftieth vector with all others."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0), 5)
+
+
+OP7_SQL = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+"""
+
+
 def op8_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards of near equal bytes."""
     placed = kd_shards(table(spark, sf_dir, "documents"), 24)
@@ -105,10 +125,12 @@ QUERIES: dict[str, Query] = {
         op2_line_dedup,
         op3_setsketch_near_dedup,
         op5_benchmark_decontamination,
+        op7_maxscore_topk,
         op8_kd_sharding,
     )
 }
 CHECKS: dict[str, str] = {
     "op2_line_dedup": OP2_SQL,
     "op5_benchmark_decontamination": OP5_SQL,
+    "op7_maxscore_topk": OP7_SQL,
 }
