@@ -172,10 +172,10 @@ def scorer(docs: DataFrame, models: list[LanguageModel], *, sigmas: float = 12.0
     a language's own text has a known mean and variance of the cost per character, and a text is rejected if it costs more
     than the mean by ``slack`` nats and by ``sigmas`` standard errors.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(models)
+    shared = docs.sparkSession.sparkContext.broadcast([vars(m) for m in models])
 
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        models, classes = shared.value, letter_classes()
+        models, classes = [LanguageModel(**m) for m in shared.value], letter_classes()
         names = np.array([m.language for m in models] + [UNKNOWN], object)
         for series in texts:
             sums, chars, letters = np.zeros((len(series), len(models))), np.zeros(len(series)), np.zeros(len(series))

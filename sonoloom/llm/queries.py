@@ -15,6 +15,7 @@ from sonoloom.llm.language_id import identify
 from sonoloom.llm.line_dedup import dedup_lines
 from sonoloom.llm.maxscore import top_k
 from sonoloom.llm.near_dup import near_duplicates
+from sonoloom.llm.sentencepiece_lattice import segmentations
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,6 +86,12 @@ FROM c JOIN n ON n.id = c.item_id WHERE m * 10 >= n * 8
 """
 
 
+def op6_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best and sampled segmentations of every document, as counts, checksums and inclusion scores."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return segmentations(docs, digest=True)
+
+
 def op7_maxscore_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five largest inner products of every fiftieth vector with all others."""
     vectors = table(spark, sf_dir, "embeddings")
@@ -125,6 +132,7 @@ QUERIES: dict[str, Query] = {
         op2_line_dedup,
         op3_setsketch_near_dedup,
         op5_benchmark_decontamination,
+        op6_sentencepiece_sampling,
         op7_maxscore_topk,
         op8_kd_sharding,
     )
