@@ -16,6 +16,8 @@ from sonoloom.llm.line_dedup import dedup_lines
 from sonoloom.llm.maxscore import top_k
 from sonoloom.llm.near_dup import near_duplicates
 from sonoloom.llm.sentencepiece_lattice import segmentations
+from sonoloom.llm.toxicity import fit as fit_toxicity
+from sonoloom.llm.toxicity import score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -125,6 +127,16 @@ def op8_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, learned from four fifths of the labelled ones."""
+    out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", out.alias("_out"))
+    labels = table(spark, sf_dir, "labels").filter(~out)
+    return score_toxicity(docs, fit_toxicity(docs, labels)).select(
+        "doc_id", F.col("_out").alias("held_out"), "_toxicity.score", "_toxicity.predicted", "_toxicity.evidence"
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -135,6 +147,7 @@ QUERIES: dict[str, Query] = {
         op6_sentencepiece_sampling,
         op7_maxscore_topk,
         op8_kd_sharding,
+        op9_toxicity,
     )
 }
 CHECKS: dict[str, str] = {
