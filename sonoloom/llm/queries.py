@@ -16,8 +16,10 @@ from sonoloom.llm.line_dedup import dedup_lines
 from sonoloom.llm.maxscore import top_k
 from sonoloom.llm.near_dup import near_duplicates
 from sonoloom.llm.sentencepiece_lattice import segmentations
+from sonoloom.llm.token_counts import TokenLedger
 from sonoloom.llm.toxicity import fit as fit_toxicity
 from sonoloom.llm.toxicity import score_toxicity
+from sonoloom.session import work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,6 +66,16 @@ def op3_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), 85).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens by source, language and tokenizer after all documents came in, as two batches."""
+    docs = table(spark, sf_dir, "documents")
+    odd = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 1
+    ledger = TokenLedger(spark, work_path(spark, "token-ledger"))
+    ledger.insert("even", docs.filter(~odd))
+    ledger.insert("odd", docs.filter(odd))
+    return ledger.totals()
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that contain at least 0.8 of a test item's five-word shingles."""
     found = containments(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -143,6 +155,7 @@ QUERIES: dict[str, Query] = {
         op1_language_id,
         op2_line_dedup,
         op3_setsketch_near_dedup,
+        op4_token_counts,
         op5_benchmark_decontamination,
         op6_sentencepiece_sampling,
         op7_maxscore_topk,
