@@ -5,13 +5,17 @@ Characters fall into 128 classes (7 bits); an n-gram is n classes packed into on
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 CLASS_BITS = 7
 CLASSES = 1 << CLASS_BITS
 PIECE_CHARS = 1 << 20
+FLUSH_ROWS = 1 << 20
 CODE_POINTS = 0x110000
 
 
@@ -90,3 +94,37 @@ def sums_by_row(values: np.ndarray, sizes: np.ndarray, rows: list[int], out: np.
     if len(full):
         starts = (np.cumsum(sizes) - sizes)[full]
         np.add.at(out, np.asarray(rows)[full], np.add.reduceat(values, starts, axis=0))
+
+
+def count_grams(texts: DataFrame, label: str, order: int, classes_of: Callable[[], np.ndarray]) -> DataFrame:
+    """(label, gram, n) of all character n-grams of ``texts`` (string label, text); tasks add up before the shuffle."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes = classes_of()
+        held: dict[str, list] = {}
+        rows = 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            for name, found in held.items():
+                keys, at = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
+                n = np.bincount(at, np.concatenate([c for _, c in found])).astype(np.int64)
+                labels = pa.array([name] * len(keys), pa.string())
+                yield pa.RecordBatch.from_arrays([labels, pa.array(keys, pa.int64()), pa.array(n)], [label, "gram", "n"])
+            held.clear()
+
+        for batch in batches:
+            names = np.array(batch.column(label).to_pylist(), object)
+            here = batch.column("text").to_pylist()
+            for name in sorted(set(names)):
+                for _, parts, context in pieces((here[i] for i in np.flatnonzero(names == name)), order - 1):
+                    packed, _ = grams(parts, context, classes, order, True)
+                    keys, n = np.unique(packed, return_counts=True)
+                    held.setdefault(name, []).append((keys, n))
+                    rows += len(keys)
+                    if rows >= FLUSH_ROWS:
+                        yield from flush()
+                        rows = 0
+        yield from flush()
+
+    part = texts.select(label, "text").mapInArrow(count, f"{label} string, gram bigint, n bigint")
+    return part.groupBy(label, "gram").agg(F.sum("n").alias("n"))

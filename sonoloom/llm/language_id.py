@@ -13,18 +13,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sonoloom.llm.chargrams import CLASS_BITS, CLASSES, grams, letter_classes, pieces, sums_by_row
+from sonoloom.llm.chargrams import CLASS_BITS, CLASSES, count_grams, grams, letter_classes, pieces, sums_by_row
 from sonoloom.session import checkpointed
 
 ORDER = 4
 SLOT_BITS = 19
 MAX_LANGUAGES = 32
 UNKNOWN = "und"
-FLUSH_ROWS = 1 << 20
 
 
 def slot(gram, order: int):
@@ -69,40 +67,6 @@ def look_up(slots: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> tuple[
     return values[at], slots[at] == wanted
 
 
-def count_grams(texts: DataFrame, label: str) -> DataFrame:
-    """(label, gram, n) of all character n-grams of ``texts`` (label, text); tasks add up before the shuffle."""
-    kind = texts.schema[label].dataType.simpleString()
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes = letter_classes()
-        held: dict[str, list] = {}
-        rows = 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            for name, found in held.items():
-                keys, at = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
-                n = np.bincount(at, np.concatenate([c for _, c in found])).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([name] * len(keys), pa.string()), pa.array(keys), pa.array(n)], [label, "gram", "n"])
-            held.clear()
-
-        for batch in batches:
-            names = np.array(batch.column(label).to_pylist(), object)
-            texts_here = batch.column("text").to_pylist()
-            for name in sorted(set(names)):
-                for _, parts, context in pieces((texts_here[i] for i in np.flatnonzero(names == name)), ORDER - 1):
-                    packed, _ = grams(parts, context, classes, ORDER, True)
-                    keys, n = np.unique(packed, return_counts=True)
-                    held.setdefault(name, []).append((keys, n))
-                    rows += len(keys)
-                    if rows >= FLUSH_ROWS:
-                        yield from flush()
-                        rows = 0
-        yield from flush()
-
-    part = texts.select(label, "text").mapInArrow(count, f"{label} {kind}, gram bigint, n bigint")
-    return part.groupBy(label, "gram").agg(F.sum("n").alias("n"))
-
-
 def _smoothed(counts: pd.DataFrame, contexts: pd.DataFrame, order: int, lower: LanguageModel) -> None:
     """Add one order to ``lower``: P(c|h) = max(n(hc) - D, 0) / n(h) + D types(h) / n(h) * P(c|h')."""
     ones, twos = (counts["n"] == 1).sum(), (counts["n"] == 2).sum()
@@ -126,7 +90,7 @@ def fit(docs: DataFrame, *, lang: str = "lang", max_languages: int = MAX_LANGUAG
     Only the ``max_languages`` most frequent languages are learned (ties by name), which bounds the models' size.
     """
     known = docs.filter(F.col(lang).isNotNull() & F.col("text").isNotNull()).select(F.col(lang).cast("string").alias("_lang"), "text")
-    found = checkpointed(count_grams(known, "_lang"))
+    found = checkpointed(count_grams(known, "_lang", ORDER, letter_classes))
     sizes = found.groupBy("_lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "_lang").limit(max_languages).collect()
     names = sorted(r["_lang"] for r in sizes)
     found = found.filter(F.col("_lang").isin(names))

@@ -113,3 +113,23 @@ def dedup_lines(
         (F.size("_all") - F.size("_some")).cast("bigint").alias("_dropped"),
         F.array_join("_some", "\n").alias("_kept"),
     )
+
+
+def without_repeated_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, **options: int) -> DataFrame:
+    """``docs`` with the kept lines as text; ``n_chars`` follows where there is such a column, all else stays.
+
+    A null text with nothing to drop stays null, and a document that loses every line stays with an empty text.
+    """
+    done = dedup_lines(docs, min_docs, min_chars, **options)
+    changed = F.col("_dropped") > 0
+    text = F.when(changed, F.col("_kept")).otherwise(F.col("text"))
+    columns = []
+    for name in docs.columns:
+        if name == "text":
+            columns.append(text.alias(name))
+        elif name == "n_chars":
+            kind = docs.schema[name].dataType
+            columns.append(F.when(changed, F.char_length("_kept").cast(kind)).otherwise(F.col(name)).alias(name))
+        else:
+            columns.append(F.col(f"`{name}`"))
+    return done.select(*columns)

@@ -15,6 +15,7 @@ from sonoloom.llm.language_id import identify
 from sonoloom.llm.line_dedup import dedup_lines
 from sonoloom.llm.maxscore import top_k
 from sonoloom.llm.near_dup import near_duplicates
+from sonoloom.llm.quality_lm import judge_quality
 from sonoloom.llm.sentencepiece_lattice import segmentations
 from sonoloom.llm.token_counts import TokenLedger
 from sonoloom.llm.toxicity import fit as fit_toxicity
@@ -149,6 +150,12 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of every document under models of the documents labelled good, and whether it passes."""
+    trusted = table(spark, sf_dir, "labels").filter(F.col("quality") == 1)
+    return judge_quality(table(spark, sf_dir, "documents"), trusted)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -161,6 +168,7 @@ QUERIES: dict[str, Query] = {
         op7_maxscore_topk,
         op8_kd_sharding,
         op9_toxicity,
+        op10_quality_classifier,
     )
 }
 CHECKS: dict[str, str] = {
