@@ -33,6 +33,18 @@ def with_words(rows: DataFrame, *columns: str) -> DataFrame:
     return rows.select(*columns, F.explode(F.array(words(F.col("text")))).alias("_w"))
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, _row): all columns but the text wait in ``_row``, so no name of theirs can clash with one used here."""
+    others = [F.col(f"`{c}`").alias(c) for c in docs.columns if c != "text"]
+    return docs.select("doc_id", "text", F.struct(*others).alias("_row"))
+
+
+def unpacked(columns: list[str], **changed: Column) -> list[Column]:
+    """The columns as they were before ``packed``, but for those ``changed``."""
+    whole = {"text": F.col("text"), **changed}
+    return [(whole[c] if c in whole else F.col("_row").getField(c)).alias(c) for c in columns]
+
+
 def content_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     """128 bits of (doc_id, text) as a struct of two longs, never null.
 

@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sonoloom.llm.common import content_key, keep_possible, with_words
+from sonoloom.llm.common import content_key, keep_possible, packed, unpacked, with_words
 
 SHINGLE = 5
 CONTAINMENT = 0.8
@@ -96,7 +96,5 @@ def containments(
 def without_leaks(docs: DataFrame, benchmark: DataFrame, **options: float) -> DataFrame:
     """``docs`` without the documents that contain a test item; all columns pass through."""
     leaks = containments(docs, benchmark, **options).select("_key").distinct()
-    names = docs.columns
-    return docs.withColumn("__key", content_key()).join(
-        leaks.withColumnRenamed("_key", "__key"), "__key", "left_anti"
-    ).select(*[F.col(f"`{c}`") for c in names])
+    rest = packed(docs).withColumn("_key", content_key()).join(leaks, "_key", "left_anti")
+    return rest.select(*unpacked(docs.columns))

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sonoloom.llm.chargrams import CLASS_BITS, CLASSES, count_grams, grams, letter_classes, pieces, sums_by_row
+from sonoloom.llm.common import packed, unpacked
 from sonoloom.session import checkpointed
 
 ORDER = 4
@@ -127,7 +128,7 @@ def fit(docs: DataFrame, *, lang: str = "lang", max_languages: int = MAX_LANGUAG
 SCORED = "lang_pred string, score double, entropy double, rejected boolean"
 
 
-def scorer(docs: DataFrame, models: list[LanguageModel], *, sigmas: float = 12.0, slack: float = 0.6, evidence: int = 40):
+def scorer(docs: DataFrame, models: list[LanguageModel], *, sigmas: float = 12.0, slack: float = 1.0, evidence: int = 40):
     """A column function text -> struct(lang_pred, score, entropy, rejected).
 
     ``lang_pred`` has the lowest cross-entropy per character (ties: first by name), ``und`` for texts without a letter (null
@@ -177,5 +178,5 @@ def identify(docs: DataFrame, models: list[LanguageModel], **options: float) ->
 
 def in_learned_language(docs: DataFrame, models: list[LanguageModel], **options: float) -> DataFrame:
     """``docs`` without the rows that language ID rejects; the columns stay."""
-    kept = identify(docs, models, **options).filter(~F.col("_language.rejected"))
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = identify(packed(docs), models, **options).filter(~F.col("_language.rejected"))
+    return kept.select(*unpacked(docs.columns))

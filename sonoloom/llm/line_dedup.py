@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sonoloom.llm.common import BLANKS, ascii_lower, content_key
+from sonoloom.llm.common import BLANKS, ascii_lower, content_key, packed, unpacked
 from sonoloom.session import checkpointed, work_path
 
 BATCHES = 4
@@ -79,15 +79,14 @@ class LineRuns:
 def dedup_lines(
     docs: DataFrame, min_docs: int = 10, min_chars: int = 1, *, batches: int = BATCHES, fanout: int = FANOUT
 ) -> DataFrame:
-    """``docs`` plus ``_lines`` (count before), ``_dropped`` and ``_kept`` (text without the dropped lines).
+    """(doc_id, text, _row, lines, dropped, kept) of every row: line count before, lines dropped, and the text without them.
 
     Lines whose key (stripped of blanks, A-Z lower-cased) has at least ``min_chars`` code points and is found in at least
     ``min_docs`` documents lose all their copies everywhere.  A row is a document: repeated rows count each.  Null and empty texts
-    are one empty line, which is never dropped.  An empty table gives no rows; other columns pass through unless they bear
-    one of the three names, which are replaced.  Ties do not arise: a line is dropped or kept by its count alone.
+    are one empty line, which is never dropped.  An empty table gives no rows; other columns wait in ``_row``.  Ties do not
+    arise: a line is dropped or kept by its count alone.
     """
     spark = docs.sparkSession
-    docs = docs.drop("_lines", "_dropped", "_kept", "_key", "_drop")
     keyed = docs.select(content_key().alias("_key"), F.explode(line_hashes(F.col("text"), min_chars)).alias("h"))
     batch = F.pmod(F.col("_key.a"), F.lit(batches)).alias("batch")
     counted = checkpointed(keyed.groupBy(batch, "h").agg(F.count(F.lit(1)).alias("n")))
@@ -100,7 +99,7 @@ def dedup_lines(
         .agg(F.collect_set("h").alias("_drop"))
     )
     drop = F.coalesce(F.col("_drop"), F.array().cast("array<bigint>"))
-    joined = docs.withColumn("_key", content_key()).join(drops, "_key", "left").withColumn("_all", lines(F.col("text")))
+    joined = packed(docs).withColumn("_key", content_key()).join(drops, "_key", "left").withColumn("_all", lines(F.col("text")))
     kept = joined.withColumn(
         "_some",
         F.when(F.col("_drop").isNull(), F.col("_all")).otherwise(
@@ -108,10 +107,12 @@ def dedup_lines(
         ),
     )
     return kept.select(
-        *[F.col(f"`{c}`") for c in docs.columns],
-        F.size("_all").cast("bigint").alias("_lines"),
-        (F.size("_all") - F.size("_some")).cast("bigint").alias("_dropped"),
-        F.array_join("_some", "\n").alias("_kept"),
+        "doc_id",
+        "text",
+        "_row",
+        F.size("_all").cast("bigint").alias("lines"),
+        (F.size("_all") - F.size("_some")).cast("bigint").alias("dropped"),
+        F.array_join("_some", "\n").alias("kept"),
     )
 
 
@@ -121,15 +122,9 @@ def without_repeated_lines(docs: DataFrame, min_docs: int = 10, min_chars: int =
     A null text with nothing to drop stays null, and a document that loses every line stays with an empty text.
     """
     done = dedup_lines(docs, min_docs, min_chars, **options)
-    changed = F.col("_dropped") > 0
-    text = F.when(changed, F.col("_kept")).otherwise(F.col("text"))
-    columns = []
-    for name in docs.columns:
-        if name == "text":
-            columns.append(text.alias(name))
-        elif name == "n_chars":
-            kind = docs.schema[name].dataType
-            columns.append(F.when(changed, F.char_length("_kept").cast(kind)).otherwise(F.col(name)).alias(name))
-        else:
-            columns.append(F.col(f"`{name}`"))
-    return done.select(*columns)
+    changed = F.col("dropped") > 0
+    replaced = {"text": F.when(changed, F.col("kept")).otherwise(F.col("text"))}
+    if "n_chars" in docs.columns:
+        length = F.char_length("kept").cast(docs.schema["n_chars"].dataType)
+        replaced["n_chars"] = F.when(changed, length).otherwise(F.col("_row.n_chars"))
+    return done.select(*unpacked(docs.columns, **replaced))

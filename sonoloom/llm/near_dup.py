@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sonoloom.llm.common import keep_possible
+from sonoloom.llm.common import keep_possible, packed, unpacked
 from sonoloom.operators.components import components
 from sonoloom.session import checkpointed
 
@@ -303,20 +303,17 @@ def without_near_duplicates(docs: DataFrame, percent: int = 85, size: int = SHIN
 
     Of several rows with that id and the same text one stays.
     """
-    names = docs.columns
     found = checkpointed(near_duplicates(docs, percent, size))
-    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
-    tagged = docs.withColumn("__hash", F.xxhash64("text"))
-    rest = tagged.join(gone, tagged["doc_id"].eqNullSafe(gone["__id"]) & (tagged["__hash"] == gone["__hash"]), "left_anti")
-    rest = rest.select(*[tagged[f"`{c}`"] for c in tagged.columns])
-    again = (
-        found.filter("kept AND n_shingles > 0")
-        .groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"))
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .filter("__n > 1")
-        .drop("__n")
-    )
+    keys = [F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")]
+    gone = found.filter(~F.col("kept")).select(*keys).distinct()
+    again = found.filter("kept AND n_shingles > 0").groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
+    rows = packed(docs).withColumn("_text_hash", F.xxhash64("text"))
+
+    def same() -> Column:
+        return F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash"))
+
+    rest = rows.join(gone, same(), "left_anti")
     if not again.isEmpty():
-        same = rest["doc_id"].eqNullSafe(again["__id"]) & (rest["__hash"] == again["__hash"])
-        rest = rest.join(again, same, "left_anti").unionByName(rest.join(again, same, "left_semi").dropDuplicates(["doc_id", "__hash"]))
-    return rest.select(*[F.col(f"`{c}`") for c in names])
+        single = rest.join(again, same(), "left_anti")
+        rest = single.unionByName(rest.join(again, same(), "left_semi").dropDuplicates(["doc_id", "_text_hash"]))
+    return rest.select(*unpacked(docs.columns))

@@ -35,12 +35,12 @@ def _tail(gram: str, order: int) -> Column:
 def _discounts(counts: DataFrame) -> DataFrame:
     """(lang, d1, d2, d3) after Chen and Goodman from the numbers of n-grams seen once to four times; 0.5, 1, 1.5 where undefined."""
     seen = [F.count(F.when(F.col("n") == i, 1)).alias(f"c{i}") for i in range(1, 5)]
-    y = F.col("c1") / (F.col("c1") + 2 * F.col("c2"))
+    y = F.try_divide(F.col("c1"), F.col("c1") + 2 * F.col("c2"))
 
     def discount(i: int) -> Column:
-        value = i - (i + 1) * y * F.col(f"c{i + 1}") / F.col(f"c{i}")
-        usable = (F.col(f"c{i}") > 0) & (F.col(f"c{i + 1}") > 0) & (F.col("c1") > 0)
-        return F.when(usable & (value > 0) & (value < i), value).otherwise(F.lit(i * 0.5))
+        value = i - (i + 1) * y * F.try_divide(F.col(f"c{i + 1}"), F.col(f"c{i}"))
+        usable = (F.col(f"c{i + 1}") > 0) & (value > 0) & (value < i)
+        return F.when(usable, value).otherwise(F.lit(i * 0.5))
 
     return counts.groupBy("lang").agg(*seen).select("lang", *[discount(i).alias(f"d{i}") for i in (1, 2, 3)])
 

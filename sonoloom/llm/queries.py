@@ -39,9 +39,9 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = dedup_lines(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
     return done.select(
         "doc_id",
-        F.col("_lines").alias("n_lines"),
-        F.col("_dropped").alias("n_dropped"),
-        F.sha2("_kept", 256).alias("kept_sha256"),
+        F.col("lines").alias("n_lines"),
+        F.col("dropped").alias("n_dropped"),
+        F.sha2("kept", 256).alias("kept_sha256"),
     )
 
 
