@@ -190,16 +190,20 @@ def _across(docs: DataFrame, buckets: DataFrame, nodes: DataFrame, links: DataFr
         .select("bucket", "node", F.coalesce("component", "node").alias("component"), F.coalesce("main", "first").alias("main"))
         .select("bucket", "node", "component", (F.col("component") != F.col("main")).cast("int").alias("side"))
     )
+    # two nodes were compared as a star; buckets of several bands that hold the same nodes are compared once
+    contents = [F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y")]
     open_buckets = (
         placed.groupBy("bucket")
-        .agg(F.sum("side").alias("rest"), F.count(F.lit(1)).alias("rows"))
-        .filter("rest > 0")
+        .agg(F.sum("side").alias("rest"), F.count(F.lit(1)).alias("rows"), *contents)
+        .filter("rest > 0 AND rows > 2")
+        .groupBy("rest", "rows", "x", "y")
+        .agg(F.min("bucket").alias("bucket"))
         .select("bucket", _blocks(F.col("rest")).alias("rests"), _blocks(F.col("rows") - F.col("rest")).alias("mains"))
     )
     members = checkpointed(placed.join(open_buckets, "bucket"))
     facts = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", "n", "bands", "text_hash")
     texts = _texts(docs, facts.select("text_hash").distinct())
-    full = checkpointed(facts.join(texts, "text_hash").drop("text_hash"))
+    full = checkpointed(facts.join(texts, "text_hash").mapInPandas(lambda rows: with_sets(rows, size), "node binary, n bigint, bands array<bigint>, shingles binary"))
     # the rest meets the first node's component block by block, and itself; that component's own pairs are done
     own = F.pmod(F.xxhash64("node"), F.when(F.col("side") == 1, F.col("rests")).otherwise(F.col("mains"))).cast("int")
     task = "array<struct<kind:int,one:int,two:int>>"
@@ -217,13 +221,7 @@ def _across(docs: DataFrame, buckets: DataFrame, nodes: DataFrame, links: DataFr
         n, block, side = rows["n"].to_numpy(float), rows["block"].to_numpy(), rows["side"].to_numpy()
         kind, lone = rows["kind"].iat[0], rows["one"].iat[0] == rows["two"].iat[0]
         group = pd.factorize(rows["component"])[0]
-        hashes, sets, found = WordHashes(), {}, []
-
-        def full_set(i: int) -> np.ndarray:
-            if i not in sets:
-                sets[i] = shingle_set(rows["text"].iat[i], hashes, size)
-            return sets[i]
-
+        sets, found = [np.frombuffer(s, np.uint64) for s in rows["shingles"]], []
         for i in np.flatnonzero(side == 1):
             later = np.arange(i + 1, len(rows))
             later = later[group[later] != group[i]]
@@ -235,19 +233,27 @@ def _across(docs: DataFrame, buckets: DataFrame, nodes: DataFrame, links: DataFr
             if len(later):
                 mine, size_i = np.broadcast_to(sketches[i], (len(later), REGISTERS)), np.full(len(later), n[i])
                 for j in later[at_least(mine, sketches[later], size_i, n[later], percent / 100 - MARGIN)]:
-                    if group[i] != group[j] and linked(full_set(i), full_set(j), percent):
+                    if group[i] != group[j] and linked(sets[i], sets[j], percent):
                         found.append((rows["node"].iat[i], rows["node"].iat[j]))
                         group[group == group[j]] = group[i]
         return pd.DataFrame(found, columns=["a", "b"])
 
     return (
         spread.join(full, "node")
-        .select("bucket", "task.kind", "task.one", "task.two", "node", "component", "side", "block", "n", "bands", "text")
+        .select("bucket", "task.kind", "task.one", "task.two", "node", "component", "side", "block", "n", "bands", "shingles")
         .groupBy("bucket", "kind", "one", "two")
         .applyInPandas(compare, "a binary, b binary")
     )
 
 
+def with_sets(batches: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
+    """Nodes with their full shingle sets instead of texts."""
+    hashes = WordHashes()
+    for rows in batches:
+        sets = [shingle_set(t, hashes, size).tobytes() for t in rows["text"]]
+        yield rows[["node", "n", "bands"]].assign(shingles=sets)
+
+
 def _blocks(rows: Column) -> Column:
     return F.ceil(rows / BLOCK).cast("int")
 
