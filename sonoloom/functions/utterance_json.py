@@ -84,7 +84,15 @@ def quarantine(recordings: DataFrame, raw: str = "utterances_files_list") -> Dat
 def utterances_as_json(
     utterances: DataFrame, keys: Sequence[str], fields: dict[str, str | Column], order_by: Sequence[str], **sizes: int
 ) -> DataFrame:
-    """Per key the utterances as a JSON array text, in parts of bounded length."""
+    """Per key the utterances as a JSON array text; with ``items`` in parts of bounded length."""
     element = F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(name) for name, c in fields.items()])
     parts = list_parts(utterances, keys, element, order_by, "_list", **sizes)
     return parts.select(*keys, "part", F.to_json("_list").alias("utterances_files_list"))
+
+
+def join_parts(lists: DataFrame, keys: Sequence[str], raw: str = "utterances_files_list") -> DataFrame:
+    """One JSON array per key out of its ``part`` rows, in their order."""
+    inner = F.regexp_extract(raw, r"(?s)^\s*\[(.*)\]\s*$", 1)
+    parts = F.array_sort(F.collect_list(F.struct("part", inner.alias("text"))))
+    filled = F.filter(F.transform(parts, lambda p: p["text"]), lambda t: F.trim(t) != "")
+    return lists.groupBy(*keys).agg(F.concat(F.lit("["), F.array_join(filled, ","), F.lit("]")).alias(raw))

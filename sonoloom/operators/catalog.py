@@ -214,13 +214,13 @@ def export_rows(
     source: str,
     language: str,
     *,
-    count: int | None = 10_000,
+    count: int | None = None,
     is_transcribed: bool = True,
     is_labelled: bool = True,
     include_rejected: bool = False,
     order_by: Sequence[str] = ("audio_id", "audio_file_name"),
 ) -> DataFrame:
-    """Staged utterances of a source that no artifact of this kind holds yet."""
+    """Staged utterances of a source that no artifact of this kind holds yet; all of them unless ``count`` is given."""
     flag = F.col("is_transcribed")
     wanted = (
         F.col("status").isin(["Clean", "Rejected"] if include_rejected else ["Clean"])
@@ -229,7 +229,8 @@ def export_rows(
         & F.col("labelled_artifact_name" if is_labelled else "unlabelled_artifact_name").isNull()
     )
     recordings = staging.filter((F.col("source") == source) & (F.col("language") == language))
-    joined = mapping.filter(wanted).join(recordings.select("audio_id", "source_url", "source_website"), "audio_id")
+    sites = recordings.groupBy("audio_id").agg(F.min(F.struct("source_url", "source_website")).alias("_site"))
+    joined = mapping.filter(wanted).join(sites.select("audio_id", "_site.*"), "audio_id")
     known = speakers.select("speaker_id", "speaker_name")
     rows = join_lookup(joined, known, "speaker_id", "left", spread_by=F.col(FILE_NAME)).select(
         F.col(FILE_NAME).alias("audio_file_name"),

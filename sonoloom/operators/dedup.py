@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sonoloom.operators.ordered import row_index
+from sonoloom.operators.components import components
 from sonoloom.session import checkpointed
 
-FINISH_ROWS = 10_000
+GROUP_ROWS = 10_000
 
 
 def known_by_name_or_hash(incoming: DataFrame, catalogue: DataFrame, name: str = "raw_file_name", digest: str = "media_hash_code") -> DataFrame:
@@ -73,15 +73,16 @@ def reject_in_order(
     order_by: Sequence[str],
     name: str = "raw_file_name",
     digest: str = "media_hash_code",
-    finish_rows: int = FINISH_ROWS,
+    group_rows: int = GROUP_ROWS,
 ) -> DataFrame:
     """Rows accepted when they are taken in order and one that shares its name or hash with an
     accepted earlier row is rejected.  ``key`` must be unique.
 
-    Each round accepts the rows that come first both for their name and for their hash among
-    the undecided, then drops everything sharing either with them.  Copies of one (name, hash)
-    collapse to the first beforehand.  When no more than ``finish_rows`` are undecided (a
-    count, so the bound holds) the rest is walked in order.
+    Copies of one (name, hash) collapse to the first beforehand.  Rows that no chain of shared
+    names and hashes connects do not bear on each other, so each component is walked in order
+    on its own, all of them in parallel.  Components of more than ``group_rows`` rows are
+    decided in rounds instead: a round accepts the rows that come first both for their name and
+    for their hash among the undecided, then drops everything sharing either with them.
     """
     rank = F.struct(*[F.col(o) for o in order_by])
     labelled = batch.select(F.col(key).alias("id"), rank.alias("rank"), F.col(name).alias("name"), F.col(digest).alias("digest"))
@@ -89,15 +90,16 @@ def reject_in_order(
     accepted = labelled.filter(alone).select("id")
     first = labelled.filter(~alone).groupBy("name", "digest").agg(F.min(F.struct("rank", "id")).alias("r"))
     undecided = checkpointed(first.select("r.rank", "r.id", "name", "digest"))
-    while True:
-        left = undecided.count()
-        if left == 0:
-            break
-        if left <= finish_rows:
-            ranked = row_index(undecided, ["rank"], output="_rank").select("_rank", "id", "name", "digest")
-            walked = ranked.withColumn("_all", F.lit(0)).groupBy("_all").applyInPandas(_in_order, f"id {dict(batch.dtypes)[key]}")
-            accepted = accepted.union(walked)
-            break
+    by_name, by_digest = F.concat(F.lit("n"), "name"), F.concat(F.lit("d"), "digest")
+    groups = components(undecided.select(by_name.alias("a"), by_digest.alias("b")).filter("a is not null and b is not null"))
+    placed = undecided.withColumn("node", F.coalesce(by_name, by_digest)).join(groups, "node", "left")
+    placed = placed.withColumn("component", F.coalesce("component", "node")).drop("node")
+    large = placed.groupBy("component").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > group_rows).select("component")
+    in_group = F.row_number().over(Window.partitionBy("component").orderBy("rank"))
+    small = placed.join(large, "component", "left_anti").select("component", "id", "name", "digest", in_group.alias("_rank"))
+    accepted = accepted.union(small.groupBy("component").applyInPandas(_in_order, f"id {dict(batch.dtypes)[key]}"))
+    undecided = checkpointed(placed.join(large, "component", "left_semi").drop("component"))
+    while not undecided.isEmpty():
         by_name = undecided.groupBy("name").agg(F.min("rank").alias("rank"))
         by_digest = undecided.groupBy("digest").agg(F.min("rank").alias("rank"))
         first_name = undecided.filter("name is not null").join(by_name, ["name", "rank"], "left_semi").select("id")

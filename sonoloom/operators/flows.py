@@ -167,7 +167,7 @@ def publish(
     transcripts: DataFrame | None = None,
     is_transcribed: bool = True,
     include_rejected: bool = False,
-    count: int | None = 10_000,
+    count: int | None = None,
 ) -> tuple[DataFrame, str, Catalogue]:
     """(records, artifact name, tables): export rows whose file is ``stored`` (name), and note it.
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from sonoloom.functions.utterance_json import join_parts
 from sonoloom.operators.catalog import assign_ids, new_speakers
 from sonoloom.operators.selection import FILE_NAME
 from sonoloom.schemas import SPEAKER
@@ -66,14 +67,13 @@ def stage_utterances(
 ) -> DataFrame:
     """Mark the selected file names of one source and language as staged for ``data_set``."""
     recordings = staging.filter((F.col("source") == source) & (F.col("language") == language)).select("audio_id").distinct()
-    inside = mapping.select("audio_id", FILE_NAME).join(recordings, "audio_id", "left_semi")
-    changes = inside.join(names.select(FILE_NAME).distinct(), FILE_NAME, "left_semi")
-    return apply_changes(
-        mapping,
-        changes,
-        ["audio_id", FILE_NAME],
-        {"staged_for_transcription": lambda o, n: F.lit(True), "data_type": lambda o, n: F.lit(data_set)},
+    chosen = names.select(FILE_NAME).distinct()
+    flagged = mapping.join(recordings.withColumn("_in", F.lit(True)), "audio_id", "left").join(
+        chosen.withColumn("_named", F.lit(True)), FILE_NAME, "left"
     )
+    hit = F.coalesce(F.col("_in") & F.col("_named"), F.lit(False))
+    new = {"staged_for_transcription": F.lit(True), "data_type": F.lit(data_set)}
+    return flagged.select(*[F.when(hit, new[c]).otherwise(F.col(c)).alias(c) if c in new else F.col(c) for c in mapping.columns])
 
 
 def tag_recordings(staging: DataFrame, ids: DataFrame, source: str, language: str, data_set: str) -> DataFrame:
@@ -87,18 +87,20 @@ def tag_recordings(staging: DataFrame, ids: DataFrame, source: str, language: st
     )
 
 
-def transcription_outcome(mapping: DataFrame, outcomes: DataFrame) -> DataFrame:
+def transcription_outcome(mapping: DataFrame, outcomes: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
     """Apply (audio_id, name, status, reason, is_transcribed, engine) outcomes.
 
-    ``is_transcribed`` once true stays true; the engine joins the sorted set of engines used.
+    All outcomes of a clip count: ``is_transcribed`` once true stays true, every engine joins
+    the sorted set of engines used, and the status is that of the last outcome in ``order_by``
+    (ties, and no order: the least engine's).
     """
-    changes = outcomes.select(
-        "audio_id",
-        FILE_NAME,
-        "status",
-        F.col("reason").alias("fail_reason"),
-        "is_transcribed",
-        F.array("engine").alias("stt_api_used"),
+    last = F.struct(*[F.col(o) for o in order_by], F.struct("status", F.col("reason").alias("fail_reason")).alias("_s"))
+    first_engine = F.min_by(F.struct("status", F.col("reason").alias("fail_reason")), F.struct("engine", "status", "reason"))
+    told = F.max(last)["_s"] if order_by else first_engine
+    changes = (
+        outcomes.groupBy("audio_id", FILE_NAME)
+        .agg(told.alias("_s"), F.max("is_transcribed").alias("is_transcribed"), F.collect_set("engine").alias("stt_api_used"))
+        .select("audio_id", FILE_NAME, "_s.status", "_s.fail_reason", "is_transcribed", "stt_api_used")
     )
     return apply_changes(
         mapping,
@@ -162,8 +164,9 @@ def record_artifact(mapping: DataFrame, exported: DataFrame, artifact: str, is_l
 
 
 def replace_utterances(staging: DataFrame, lists: DataFrame) -> DataFrame:
-    """Replace the utterance JSON of recordings."""
-    changes = lists.select("audio_id", "utterances_files_list")
+    """Replace the utterance JSON of recordings; lists that come in parts are joined first."""
+    whole = join_parts(lists, ["audio_id"]) if "part" in lists.columns else lists
+    changes = whole.select("audio_id", "utterances_files_list")
     return apply_changes(staging, changes, ["audio_id"], {"utterances_files_list": take_new})
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from sonoloom.session import checkpointed
 
 MAX_GROUP_ROWS = 1_000_000
-LIMIT_ROWS = 100_000
+LIMIT_ROWS = 1_000
 
 _PART = "_part"
 
@@ -136,14 +136,19 @@ def list_parts(
     order_by: Sequence[str],
     output: str,
     *,
-    items: int = 10_000,
+    items: int | None = None,
     **sizes: int,
 ) -> DataFrame:
-    """Ordered lists per key in parts of at most ``items`` elements.
+    """Ordered lists per key: one row per key with ``part`` 0, or parts of at most ``items`` elements.
 
-    A key with any number of rows becomes several rows (``part`` 0, 1, ...), so that no task
-    ever holds a list that grows with the table.
+    One list per key is one aggregate and fits where a key's rows make one value anyway, as a
+    recording's utterances do.  With ``items`` a key with any number of rows becomes several
+    rows (``part`` 0, 1, ...), so that no task ever holds a list that grows with the table.
     """
+    if items is None:
+        ordered = F.array_sort(F.collect_list(F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(order_by)], element.alias("e"))))
+        lists = df.groupBy(*keys).agg(ordered.alias("_items"))
+        return lists.select(*keys, F.lit(0).cast("bigint").alias("part"), F.transform("_items", lambda i: i["e"]).alias(output))
     numbered = row_index(df.withColumn("_element", element), order_by, keys, "_index", **sizes)
     gathered = numbered.groupBy(*keys, F.floor(F.col("_index") / F.lit(items)).cast("bigint").alias("part")).agg(
         F.array_sort(F.collect_list(F.struct("_index", "_element"))).alias("_items")

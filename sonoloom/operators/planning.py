@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sonoloom.functions.text import base_name, companion_name, extension, extension_matches, first_stem, parent_dir
-from sonoloom.operators.ordered import blocks, first_rows, running_total
+from sonoloom.operators.ordered import blocks, first_rows, row_index, running_total
 
 
 def smallest_files(listing: DataFrame, count: int) -> DataFrame:
@@ -78,6 +78,12 @@ def even_chunks(df: DataFrame, parallelism: int, order_by: Sequence[str], **size
     return blocks(df, max(1, ceil(df.count() / parallelism)), order_by, "batch", **sizes)
 
 
+def held_out_split(df: DataFrame, share: float, order_by: Sequence[str], **sizes: int) -> DataFrame:
+    """Add ``held_out``: false for the first ``int(share * n)`` rows of the order, true for the rest."""
+    kept = int(share * df.count())
+    return row_index(df, order_by, output="_index", **sizes).withColumn("held_out", F.col("_index") >= kept).drop("_index")
+
+
 def worker_quota(counts: DataFrame, parallelism: int, count: str = "utterance_count") -> DataFrame:
     """One row: utterances per worker, rounded up."""
     total = F.coalesce(F.sum(count), F.lit(0))

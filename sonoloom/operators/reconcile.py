@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sonoloom.functions.text import base_name
 from sonoloom.functions.utterance_json import explode_utterances
 from sonoloom.operators.dedup import duplicate_groups, first_per_key
-from sonoloom.operators.ordered import list_parts, micros
+from sonoloom.operators.ordered import micros
 from sonoloom.session import checkpointed
 
 KEYS = ["audio_id", "utterances_file_name"]
@@ -68,20 +68,33 @@ def check_inputs(catalogue: DataFrame, listing: DataFrame) -> None:
         raise ValueError("storage listing is empty")
 
 
+def _suffixed(listing: DataFrame, exploded: DataFrame) -> DataFrame:
+    """Columns of the listing that the catalogue has too get the suffix ``_x``."""
+    shared = [c for c in listing.columns if c in exploded.columns and c not in KEYS]
+    return listing.select(*[F.col(c).alias(f"{c}_x") if c in shared else F.col(c) for c in listing.columns])
+
+
+def _with_nulls(rows: DataFrame, other: DataFrame) -> DataFrame:
+    """``rows`` and, as NULLs, the columns that a match in ``other`` would have filled."""
+    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in other.schema.fields if f.name not in rows.columns]
+    return rows.select("*", *missing)
+
+
 def stored_not_catalogued(listing: DataFrame, exploded: DataFrame) -> DataFrame:
-    return listing.join(exploded.select(*KEYS), KEYS, "left_anti")
+    """Stored files without an utterance; the catalogue's columns are NULL."""
+    alone = _suffixed(listing, exploded).join(exploded.select(*KEYS), KEYS, "left_anti")
+    return _with_nulls(alone, exploded)
 
 
 def catalogued_not_stored(exploded: DataFrame, listing: DataFrame) -> DataFrame:
-    """Utterances without a stored file; a recording with an empty list counts too."""
-    return exploded.join(listing.select(*KEYS), KEYS, "left_anti")
+    """Utterances without a stored file; a recording with an empty list counts too.  The listing's columns are NULL."""
+    alone = exploded.join(listing.select(*KEYS), KEYS, "left_anti")
+    return _with_nulls(alone, _suffixed(listing, exploded))
 
 
 def stored_and_catalogued(listing: DataFrame, exploded: DataFrame) -> DataFrame:
     """Inner join; columns of the listing that the catalogue has too get the suffix ``_x``."""
-    shared = [c for c in listing.columns if c in exploded.columns and c not in KEYS]
-    renamed = listing.select(*[F.col(c).alias(f"{c}_x") if c in shared else F.col(c) for c in listing.columns])
-    return renamed.join(exploded, KEYS)
+    return _suffixed(listing, exploded).join(exploded, KEYS)
 
 
 def valid_duration(duration: str = "utterances_file_duration") -> Column:
@@ -110,18 +123,15 @@ def valid_utterances(matched: DataFrame, listing_status: str = "status") -> Data
     return matched.filter(valid_duration() & not_rejected(listing_status) & not_rejected("utterances_file_status"))
 
 
-def valid_per_audio(matched: DataFrame, listing_status: str = "status", **sizes: int) -> DataFrame:
-    """Per audio the minutes of its valid utterances and their JSON, in parts of bounded length."""
-    valid = valid_utterances(matched, listing_status).select(
-        "audio_id", "utterances_file_name", "utterance_json", micros("utterances_file_duration").alias("_micros")
+def valid_per_audio(matched: DataFrame, listing_status: str = "status") -> DataFrame:
+    """Per audio the minutes of its valid utterances and the list of their JSON, by name."""
+    listed = F.array_sort(F.collect_list(F.struct("utterances_file_name", "utterance_json")))
+    return (
+        valid_utterances(matched, listing_status)
+        .groupBy("audio_id")
+        .agg((F.sum(micros("utterances_file_duration")) / F.lit(60_000_000.0)).alias("cleaned_duration"), listed.alias("_valid"))
+        .select("audio_id", F.transform("_valid", lambda u: u["utterance_json"]).alias("utterances_files_list"), "cleaned_duration")
     )
-    element = F.struct("utterance_json", "_micros")
-    lists = list_parts(checkpointed(valid), ["audio_id"], element, ["utterances_file_name"], "_valid", **sizes)
-    in_part = F.aggregate("_valid", F.lit(0).cast("bigint"), lambda s, u: s + u["_micros"])
-    parts = lists.withColumn("_micros", in_part)
-    minutes = parts.groupBy("audio_id").agg((F.sum("_micros") / F.lit(60_000_000.0)).alias("cleaned_duration"))
-    texts = F.transform("_valid", lambda u: u["utterance_json"])
-    return parts.select("audio_id", "part", texts.alias("utterances_files_list")).join(minutes, "audio_id")
 
 
 def duplicate_names(catalogue: DataFrame) -> DataFrame:
@@ -133,10 +143,9 @@ def unique_names(catalogue: DataFrame, order_by: Sequence[str]) -> DataFrame:
 
 
 def valid_and_unique(valid: DataFrame, unique: DataFrame) -> DataFrame:
-    """Catalogue columns of unique recordings, with the clean minutes of their valid utterances."""
-    minutes = valid.select("audio_id", "cleaned_duration").distinct()
+    """Catalogue columns of unique recordings, with the clean minutes and the list of their valid utterances."""
     kept = [c for c in unique.columns if c not in ("cleaned_duration", "utterances_files_list")]
-    return minutes.join(unique.select(*kept), "audio_id")
+    return valid.select("audio_id", "cleaned_duration", "utterances_files_list").join(unique.select(*kept), "audio_id")
 
 
 def companion_text(path: Column) -> Column:

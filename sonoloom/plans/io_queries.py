@@ -8,7 +8,7 @@ from sonoloom.functions.text import base_name
 from sonoloom.functions.utterance_json import list_elements
 from sonoloom.operators.hooks import encode
 from sonoloom.operators.mutations import transcription_outcome
-from sonoloom.operators.planning import even_chunks
+from sonoloom.operators.planning import held_out_split
 from sonoloom.operators.transcription import outcome, transcribe
 from sonoloom.plans.cataloguing import mapping
 from sonoloom.plans.registry import query
@@ -217,9 +217,9 @@ def stems(spark, sf_dir):
     return listing(spark, sf_dir).select(name.alias("name"), F.split_part(name, F.lit("."), F.lit(1)).alias("stem"))
 
 
-@query("SELECT doc_id, floor((row_number() OVER (ORDER BY h, doc_id) - 1) / ceil(count(*) OVER () / 10.0)) >= 9 AS held_out FROM (SELECT doc_id, md5(concat_ws('|', '11', doc_id)) AS h FROM documents)")
+@query("SELECT doc_id, row_number() OVER (ORDER BY h, doc_id) > floor(0.9 * count(*) OVER ()) AS held_out FROM (SELECT doc_id, md5(concat_ws('|', '11', doc_id)) AS h FROM documents)")
 def random_split(spark, sf_dir):
-    """A seeded 90/10 split: tenths of a hashed order, the last one held out."""
+    """A seeded 90/10 split: the first ``int(0.9 n)`` rows of a hashed order are for training."""
     rows = table(spark, sf_dir, "documents").select("doc_id")
     hashed = rows.withColumn("h", F.md5(F.concat_ws("|", F.lit("11"), F.col("doc_id").cast("string"))))
-    return even_chunks(hashed, 10, ["h", "doc_id"]).select("doc_id", (F.col("batch") >= 9).alias("held_out"))
+    return held_out_split(hashed, 0.9, ["h", "doc_id"]).select("doc_id", "held_out")

@@ -48,26 +48,31 @@ def listing_table(spark, sf_dir):
 @query(
     sql(
         "AX",
-        """SELECT bucket_file_path, source, audio_id, status FROM A
+        """SELECT bucket_file_path, source, audio_id, status, CAST(NULL AS VARCHAR) AS catalogued_source,
+  CAST(NULL AS DOUBLE) AS utterances_file_duration FROM A
 WHERE NOT EXISTS (SELECT 1 FROM X WHERE X.audio_id = A.audio_id AND X.utterances_file_name = A.utterances_file_name)""",
     )
 )
 def bucket_not_in_catalog(spark, sf_dir):
     # Written once: the listing is a union, and the anti-join would run once per branch.
     rows = rec.stored_not_catalogued(checkpointed(stored(spark, sf_dir)), exploded(spark, sf_dir))
-    return rows.select("bucket_file_path", "source", "audio_id", "status")
+    named = [F.col("source_x").alias("source"), F.col("source").alias("catalogued_source")]
+    return rows.select("bucket_file_path", "audio_id", "status", *named, "utterances_file_duration")
 
 
 @query(
     sql(
         "AX",
-        """SELECT audio_id, raw_file_name, utterances_file_name, utterances_file_duration FROM X
+        """SELECT audio_id, raw_file_name, utterances_file_name, utterances_file_duration, CAST(NULL AS VARCHAR) AS bucket_file_path,
+  CAST(NULL AS VARCHAR) AS source_x FROM X
 WHERE NOT EXISTS (SELECT 1 FROM A WHERE X.audio_id = A.audio_id AND X.utterances_file_name = A.utterances_file_name)""",
     )
 )
 def catalog_not_in_bucket(spark, sf_dir):
     rows = rec.catalogued_not_stored(exploded(spark, sf_dir), stored(spark, sf_dir))
-    return rows.select("audio_id", "raw_file_name", "utterances_file_name", "utterances_file_duration")
+    return rows.select(
+        "audio_id", "raw_file_name", "utterances_file_name", "utterances_file_duration", "bucket_file_path", "source_x"
+    )
 
 
 @query(
@@ -150,14 +155,17 @@ def valid_per_audio(spark, sf_dir):
 @query(
     sql(
         "AX",
-        f"""SELECT V.audio_id, V.cleaned_duration, Q.raw_file_name FROM (
-  SELECT audio_id, sum(utterances_file_duration) / 60 AS cleaned_duration FROM {VALID} GROUP BY audio_id) V
+        f"""SELECT V.audio_id, V.cleaned_duration, V.names, Q.raw_file_name FROM (
+  SELECT audio_id, sum(utterances_file_duration) / 60 AS cleaned_duration,
+    string_agg(utterances_file_name, ',' ORDER BY utterances_file_name) AS names FROM {VALID} GROUP BY audio_id) V
 JOIN ({UNIQUE}) Q ON V.audio_id = Q.audio_id""",
     )
 )
 def valid_and_unique(spark, sf_dir):
     unique = rec.unique_names(recordings(spark, sf_dir).select("raw_file_name", "audio_id"), ["audio_id"])
-    return rec.valid_and_unique(rec.valid_per_audio(matched(spark, sf_dir)), unique)
+    rows = rec.valid_and_unique(rec.valid_per_audio(matched(spark, sf_dir)), unique)
+    name = F.transform("utterances_files_list", lambda u: F.get_json_object(u, "$.name"))
+    return rows.select("audio_id", "cleaned_duration", "raw_file_name", F.concat_ws(",", name).alias("names"))
 
 
 CLEANED = f"""SELECT audio_id, concat('gs://corpus/', bucket_file_path) AS wav_path_bucket,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -28,10 +29,12 @@ def build_session(app_name: str = "sonoloom", master: str | None = None, **conf:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Checkpoint folder of the cluster; a temporary one only where none is configured."""
+    """Checkpoint folder of the cluster.  Only a local session may go without one: it gets a temporary folder."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         configured = spark.conf.get("spark.checkpoint.dir", None)
+        if configured is None and not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="sonoloom-ckpt-"))
     return sc.getCheckpointDir()
 

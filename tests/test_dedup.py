@@ -19,8 +19,8 @@ def model(rows):
     return sorted(kept)
 
 
-@pytest.mark.parametrize("finish_rows", [0, 5, 10_000])
-def test_in_order_rejection(spark, finish_rows):
+@pytest.mark.parametrize("group_rows", [0, 5, 10_000])
+def test_in_order_rejection(spark, group_rows):
     for seed in range(2):
         rng = random.Random(seed)
         rows = []
@@ -29,13 +29,13 @@ def test_in_order_rejection(spark, finish_rows):
             digest = rng.choice([None, f"h{rng.randrange(30)}", f"h{rng.randrange(90)}", f"h{rng.randrange(90)}"])
             rows.append((i, rng.randrange(10_000) * 150 + i, name, digest))
         df = spark.createDataFrame(rows, SCHEMA)
-        got = dedup.reject_in_order(df, "id", ["pos"], finish_rows=finish_rows)
+        got = dedup.reject_in_order(df, "id", ["pos"], group_rows=group_rows)
         assert sorted(r.id for r in got.collect()) == model(rows)
 
 
 def test_chain_is_resolved_in_order(spark):
     rows = [(i, i, f"n{i // 2}", f"h{(i + 1) // 2}") for i in range(12)]
-    got = dedup.reject_in_order(spark.createDataFrame(rows, SCHEMA), "id", ["pos"], finish_rows=0)
+    got = dedup.reject_in_order(spark.createDataFrame(rows, SCHEMA), "id", ["pos"], group_rows=0)
     assert sorted(r.id for r in got.collect()) == model(rows)
 
 
