@@ -256,9 +256,9 @@ def distinct_audio_ids(spark, sf_dir):
     sql(
         "UL",
         f"""SELECT concat('base/', audio_id, '/', lower(status), '/', CASE ext WHEN 'wav' THEN {NAME} ELSE concat(split_part({NAME}, '.', 1), '.txt') END) AS src,
-  concat('work/', split_part({NAME}, '.', 1), '.', ext) AS dst FROM (SELECT *, unnest(['wav', 'txt']) AS ext FROM U WHERE snr > 30)""",
+  concat('work/', split_part({NAME}, '.', 1), '.', ext) AS dst FROM (SELECT *, unnest(['wav', 'txt']) AS ext FROM U)""",
     )
 )
 def download_manifest(spark, sf_dir):
-    rows = utterances(spark, sf_dir).filter("snr > 30").select(F.col(NAME).alias("audio_file_name"), "audio_id", "status")
+    rows = utterances(spark, sf_dir).select(F.col(NAME).alias("audio_file_name"), "audio_id", "status")
     return pub.download_manifest(rows, "base", "work", labelled=True, external=False)

@@ -288,24 +288,24 @@ def insert_absent(spark, sf_dir):
     return cat.insert_absent(present, rows).select("audio_id", NAME)
 
 
-IS_KNOWN = """(raw_file_name IN (SELECT raw_file_name FROM M WHERE audio_id % 20 = 0)
-  OR media_hash_code IN (SELECT media_hash_code FROM M WHERE audio_id % 20 = 0))"""
-INCOMING = "SELECT audio_id FROM S WHERE load_datetime >= TIMESTAMP '1997-01-01' AND"
+OLD = "(SELECT * FROM S WHERE load_datetime < TIMESTAMP '1995-02-01')"
+IS_KNOWN = f"(raw_file_name IN (SELECT raw_file_name FROM {OLD}) OR media_hash_code IN (SELECT media_hash_code FROM {OLD}))"
+INCOMING = "SELECT audio_id FROM S WHERE load_datetime >= TIMESTAMP '1995-02-01' AND"
 
 
 def _known(spark, sf_dir):
+    """The recordings of the first month as catalogue, all later ones as incoming."""
     staging = recordings(spark, sf_dir).select("audio_id", "raw_file_name", "media_hash_code", "load_datetime")
-    old = media(staging)
-    incoming = staging.filter(F.col("load_datetime") >= F.expr("timestamp_ntz '1997-01-01'")).drop("load_datetime")
-    return incoming, old.filter("audio_id % 20 = 0")
+    early = F.col("load_datetime") < F.expr("timestamp_ntz '1995-02-01'")
+    return staging.filter(~early).drop("load_datetime"), staging.filter(early)
 
 
-@query(sql("M", f"{INCOMING} {IS_KNOWN}"))
+@query(sql("S", f"{INCOMING} {IS_KNOWN}"))
 def dup_by_name_or_hash(spark, sf_dir):
     return dedup.known_by_name_or_hash(*_known(spark, sf_dir)).select("audio_id")
 
 
-@query(sql("M", f"{INCOMING} NOT {IS_KNOWN}"))
+@query(sql("S", f"{INCOMING} NOT {IS_KNOWN}"))
 def new_by_name_and_hash(spark, sf_dir):
     return dedup.unknown_by_name_or_hash(*_known(spark, sf_dir)).select("audio_id")
 

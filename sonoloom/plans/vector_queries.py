@@ -157,13 +157,13 @@ def big_clusters(spark, sf_dir):
 
 
 @query(
-    f"""{NEAREST} SELECT vec_id, CAST(centre AS BIGINT) AS cluster FROM Q WHERE vec_id % 5 = 0 AND distance <= 1 - 0.3"""
+    f"""{NEAREST} SELECT vec_id, CAST(centre AS BIGINT) AS cluster FROM Q WHERE distance <= 1 - 0.3"""
 )
 def noise_fit(spark, sf_dir):
-    """Every fifth vector as noise, fitted to the centroids of the given labels."""
+    """Every vector as noise, fitted to the centroids of the given labels."""
     rows = embeddings(spark, sf_dir)
     sums = cl.cluster_sums(rows, "embedding", "label")
-    return cl.fit_noise(rows.filter("vec_id % 5 = 0"), sums, 0.3)
+    return cl.fit_noise(rows, sums, 0.3)
 
 
 @query(

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LIST_ROWS = 1_000
 STORE = "data/processed/hindi"
 
 
@@ -132,8 +131,8 @@ RELOADS_SQL = """R AS (
 def with_lists(spark: SparkSession, sf_dir: str, staging: DataFrame | None = None) -> DataFrame:
     """Staging with the utterance JSON of each recording.
 
-    Some recordings have no list, an empty one, or the old ``name:duration`` form.  A list holds
-    at most 1000 utterances; a recording with more has several staging rows.
+    Some recordings have no list, an empty one, or the old ``name:duration`` form.  A recording
+    is one staging row, however many utterances it has.
     """
     rows = staging if staging is not None else recordings(spark, sf_dir)
     status, snr, name = F.col("status"), F.col("snr"), F.col("clipped_utterance_file_name")
@@ -144,18 +143,17 @@ def with_lists(spark: SparkSession, sf_dir: str, staging: DataFrame | None = Non
         status.alias("status"),
         F.when(status == "Rejected", F.when(snr < 15, "High-SNR").otherwise("High Audio Duration")).alias("reason"),
     )
-    number = F.floor((F.substring_index(name, "_", 1).cast("bigint") - 1) / F.lit(LIST_ROWS))
     old_form = F.transform("_list", lambda u: F.concat_ws(":", u["name"], u["duration"]))
     lists = (
         utterances(spark, sf_dir)
-        .groupBy("audio_id", number.alias("_part"))
+        .groupBy("audio_id")
         .agg(F.array_sort(F.collect_list(element)).alias("_list"))
         .withColumn("_list", F.when(F.col("audio_id") % 50 == 3, F.to_json(old_form)).otherwise(F.to_json("_list")))
     )
     special = F.when(F.col("audio_id") % 50 == 1, "null").when(F.col("audio_id") % 50 == 2, "[]")
     # The list texts are the bulk of the data and compress well: keep adaptive execution from broadcasting them.
     joined = rows.join(lists.hint("merge"), "audio_id", "left").withColumn("utterances_files_list", F.coalesce(special, F.col("_list")))
-    return joined.filter(special.isNull() | (F.coalesce("_part", F.lit(0)) == 0)).drop("_part", "_list")
+    return joined.drop("_list")
 
 
 # Utterances that an unreadable, empty or missing list does not hold are left out; the old
@@ -203,7 +201,7 @@ def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = F.concat_ws("/", F.lit(STORE), "source", level, audio_id.cast("string"), F.lower("status"), name)
     stored = kept.select(path.alias("path"), (F.length(name) * 100 + audio_id % 97).cast("bigint").alias("length"))
     event = F.col("event_id")
-    orphans = table(spark, sf_dir, "events").filter(event % 20 == 0).select(
+    orphans = table(spark, sf_dir, "events").select(
         F.concat(
             F.lit(f"{STORE}/src0/"), (event + 900_000_000).cast("string"), F.lit("/clean/"), event.cast("string"), F.lit("_orphan.wav")
         ).alias("path"),
@@ -220,7 +218,7 @@ LISTING_SQL = f"""L AS (
   UNION ALL
   SELECT concat('{STORE}/src0/', event_id + 900000000, '/clean/', event_id, '_orphan.wav'),
     CAST(length(CAST(event_id AS VARCHAR)) * 100 AS BIGINT)
-  FROM events WHERE event_id % 20 = 0)"""
+  FROM events)"""
 
 ATTRIBUTES_SQL = f"""A0 AS (
   SELECT path, string_split(substr(path, length('{STORE}/') + 1), '/') AS p FROM L),

@@ -182,6 +182,30 @@ def test_engine_state_and_null_arrays(spark):
     assert got["b"].status == "Clean" and got["b"].stt_api_used == []
 
 
+def test_all_outcomes_of_a_clip_count(spark):
+    ddl = f"audio_id bigint, {NAME} string, status string, fail_reason string, is_transcribed boolean, stt_api_used array<string>"
+    rows = spark.createDataFrame([(1, "a", "Clean", None, None, ["x"]), (1, "b", "Clean", None, True, None)], ddl)
+    done = spark.createDataFrame(
+        [(1, "a", "Rejected", "bad", False, "beta", 1), (1, "a", "Clean", None, True, "alpha", 2), (1, "b", "Rejected", "no", False, "beta", 3)],
+        f"audio_id bigint, {NAME} string, status string, reason string, is_transcribed boolean, engine string, pos int",
+    )
+    last = {r[NAME]: r for r in mut.transcription_outcome(rows, done, ["pos"]).collect()}
+    assert (last["a"].status, last["a"].fail_reason, last["a"].is_transcribed, last["a"].stt_api_used) == ("Clean", None, True, ["alpha", "beta", "x"])
+    assert (last["b"].status, last["b"].is_transcribed, last["b"].stt_api_used) == ("Rejected", True, ["beta"])
+    reverse = {r[NAME]: r for r in mut.transcription_outcome(rows, done.withColumn("pos", -F.col("pos")), ["pos"]).collect()}
+    assert (reverse["a"].status, reverse["a"].fail_reason, reverse["a"].stt_api_used) == ("Rejected", "bad", ["alpha", "beta", "x"])
+
+
+def test_no_part_of_a_list_is_lost(spark):
+    clips = spark.createDataFrame([(1, f"f{i}", float(i)) for i in range(5)], f"audio_id bigint, {NAME} string, d double")
+    staging = spark.createDataFrame([(1, "[]"), (2, "[]")], "audio_id bigint, utterances_files_list string")
+    for items in (None, 1, 2, 5):
+        lists = uj.utterances_as_json(clips, ["audio_id"], {"name": NAME, "duration": "d"}, [NAME], items=items)
+        after = mut.replace_utterances(staging, lists).orderBy("audio_id").collect()
+        assert [u["name"] for u in json.loads(after[0].utterances_files_list)] == [f"f{i}" for i in range(5)], items
+        assert len(after) == 2 and after[1].utterances_files_list == "[]"
+
+
 def test_repeated_changes_count_once(spark):
     table = spark.createDataFrame([(1, "x"), (2, "y")], "k int, v string")
     changes = spark.createDataFrame([(1, "b"), (1, "a"), (7, "z")], "k int, v string")

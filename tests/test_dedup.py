@@ -39,6 +39,12 @@ def test_chain_is_resolved_in_order(spark):
     assert sorted(r.id for r in got.collect()) == model(rows)
 
 
+def test_long_chain_is_one_component(spark):
+    rows = [(i, i, f"n{i // 2}", f"h{(i + 1) // 2}") for i in range(1000)]
+    got = dedup.reject_in_order(spark.createDataFrame(rows, SCHEMA), "id", ["pos"])
+    assert sorted(r.id for r in got.collect()) == model(rows)
+
+
 def test_known_and_unknown_split_the_input(spark):
     old = spark.createDataFrame([(1, 1, "a", "x"), (2, 2, None, None)], SCHEMA)
     new = spark.createDataFrame(
