@@ -7,8 +7,9 @@ it closes when more than 90 % is unvoiced, at that frame; the ring is emptied at
 * up to N = 10 "more than 90 %" means all N frames, so segments follow from run lengths
   (windows, used while the largest stream was measured to fit one task);
 * otherwise each stream is cut into chunks that are scanned at the same time.  A chunk starts
-  from the state its predecessor ended in; chunks whose assumed start turns out wrong are
-  scanned again, until all agree.
+  from the state (on or off, and the ring) its predecessor ended in; chunks whose assumed start
+  turns out wrong are scanned again, until all agree.  Where an open segment began is not part
+  of that state: it is filled in afterwards, so a stream that stays voiced settles at once.
 """
 
 from __future__ import annotations
@@ -54,24 +55,38 @@ def _by_runs(frames: DataFrame, stream: str, idx: str, flag: str, ring: int) ->
     )
 
 
+def _first_switch(voiced: np.ndarray, begin: int, start: int, size: int, triggered: bool) -> int | None:
+    """First frame from ``start`` on whose ring, begun at ``begin``, asks for a switch; ``voiced`` are cumulative counts."""
+    step = max(1024, 4 * size)
+    while start < len(voiced) - 1:
+        at = np.arange(start, min(start + step, len(voiced) - 1))
+        oldest = np.maximum(begin, at + 1 - size)
+        hits = voiced[at + 1] - voiced[oldest]
+        if triggered:
+            hits = at + 1 - oldest - hits
+        found = np.flatnonzero(hits > 0.9 * size)
+        if len(found):
+            return int(at[found[0]])
+        start, step = start + step, 2 * step
+    return None
+
+
 def scan_flags(flags: np.ndarray, first: int, size: int, triggered: bool, ring: list[bool], open_idx: int | None) -> tuple:
-    """Segments closed in one chunk and the state it ends in."""
-    ring, segments = list(ring), []
-    hits = sum(1 for f in ring if f != triggered)
-    for offset, voiced in enumerate(flags):
-        ring.append(bool(voiced))
-        hits += bool(voiced) != triggered
-        if len(ring) > size:
-            hits -= ring.pop(0) != triggered
-        if hits > 0.9 * size:
-            at = first + offset
-            if triggered:
-                segments.append((open_idx, at))
-                open_idx = None
-            else:
-                open_idx = at - len(ring) + 1
-            triggered, ring, hits = not triggered, [], 0
-    return segments, triggered, ring, open_idx
+    """Segments closed in one chunk and the state it ends in.
+
+    A chunk that begins inside a segment may be given no ``open_idx``: its first segment then has no start either.
+    """
+    frames = np.concatenate([np.array(ring, bool), np.asarray(flags, bool)])
+    voiced = np.concatenate([[0], np.cumsum(frames)])
+    base, begin, start, segments = first - len(ring), 0, len(ring), []
+    while (at := _first_switch(voiced, begin, max(begin, start), size, triggered)) is not None:
+        if triggered:
+            segments.append((open_idx, base + at))
+            open_idx = None
+        else:
+            open_idx = base + max(begin, at - size + 1)
+        triggered, begin = not triggered, at + 1
+    return segments, triggered, frames[max(begin, len(frames) - size) :].tolist(), open_idx
 
 
 def _by_chunks(frames: DataFrame, keys: list[str], idx: str, flag: str, ring: int, chunk_frames: int) -> DataFrame:
@@ -88,10 +103,9 @@ def _by_chunks(frames: DataFrame, keys: list[str], idx: str, flag: str, ring: in
         if frame.empty or state.empty:
             return pd.DataFrame({c: [] for c in [*chunk_keys, "segments", "last_idx", "triggered", "ring", "open_idx"]})
         rows, before = frame.sort_values("_idx"), state.iloc[0]
-        opened = None if pd.isna(before["in_open"]) else int(before["in_open"])
         first = int(rows["_idx"].iat[0])
         segments, triggered, kept, opened = scan_flags(
-            rows["_flag"].to_numpy(), first, ring, bool(before["in_triggered"]), list(before["in_ring"]), opened
+            rows["_flag"].to_numpy(), first, ring, bool(before["in_triggered"]), list(before["in_ring"]), None
         )
         values = {k: [rows[k].iat[0]] for k in chunk_keys}
         values.update(
@@ -105,15 +119,15 @@ def _by_chunks(frames: DataFrame, keys: list[str], idx: str, flag: str, ring: in
 
     def run(starts: DataFrame) -> DataFrame:
         wanted = chunked.join(starts.select(*chunk_keys), chunk_keys, "left_semi")
-        state = starts.select(*[F.col(c).alias(f"at_{c}") for c in chunk_keys], "in_triggered", "in_ring", "in_open")
+        state = starts.select(*[F.col(c).alias(f"at_{c}") for c in chunk_keys], "in_triggered", "in_ring")
         by_state = state.groupBy(*[f"at_{c}" for c in chunk_keys])
         return wanted.groupBy(*chunk_keys).cogroup(by_state).applyInPandas(scan, schema)
 
-    no_ring, no_open = F.array().cast("array<boolean>"), F.lit(None).cast("bigint")
+    no_ring = F.array().cast("array<boolean>")
     starts = checkpointed(
         chunked.select(*chunk_keys)
         .distinct()
-        .select(*chunk_keys, F.lit(False).alias("in_triggered"), no_ring.alias("in_ring"), no_open.alias("in_open"))
+        .select(*chunk_keys, F.lit(False).alias("in_triggered"), no_ring.alias("in_ring"))
     )
     scanned = checkpointed(run(starts))
     while True:
@@ -122,13 +136,11 @@ def _by_chunks(frames: DataFrame, keys: list[str], idx: str, flag: str, ring: in
             (F.col("_chunk") + 1).alias("_chunk"),
             F.col("triggered").alias("in_triggered"),
             F.col("ring").alias("in_ring"),
-            F.col("open_idx").alias("in_open"),
         )
         expected = starts.select(*chunk_keys).join(carried, chunk_keys, "left").select(
             *chunk_keys,
             F.coalesce("in_triggered", F.lit(False)).alias("in_triggered"),
             F.coalesce("in_ring", no_ring).alias("in_ring"),
-            "in_open",
         )
         expected = checkpointed(expected)
         wrong = expected.exceptAll(starts)
@@ -137,7 +149,14 @@ def _by_chunks(frames: DataFrame, keys: list[str], idx: str, flag: str, ring: in
         again = checkpointed(run(wrong))
         scanned = checkpointed(scanned.join(again.select(*chunk_keys), chunk_keys, "left_anti").unionByName(again))
         starts = expected
-    closed = scanned.select(*keys, F.explode("segments").alias("_s")).select(*keys, "_s.start_idx", "_s.end_idx")
+    # a segment that began in an earlier chunk starts where the last chunk with an opening left it open
+    earlier = Window.partitionBy(*keys).orderBy("_chunk")
+    opened = F.when(F.col("triggered"), F.col("open_idx"))
+    scanned = scanned.withColumn("_from", F.last(opened, True).over(earlier.rowsBetween(Window.unboundedPreceding, -1)))
+    scanned = scanned.withColumn("open_idx", F.coalesce(opened, "_from"))
+    closed = scanned.select(*keys, "_from", F.explode("segments").alias("_s")).select(
+        *keys, F.coalesce("_s.start_idx", "_from").alias("start_idx"), "_s.end_idx"
+    )
     last = scanned.groupBy(*keys).agg(F.max_by(F.struct("triggered", "open_idx", "last_idx"), "_chunk").alias("_e"))
     trailing = last.filter("_e.triggered").select(
         *keys, F.col("_e.open_idx").alias("start_idx"), F.col("_e.last_idx").alias("end_idx")

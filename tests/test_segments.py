@@ -61,6 +61,16 @@ def test_chunks_equal_the_loop(spark, size, chunk):
     assert found(seg.hysteresis(frames(spark, made), size, max_group_rows=0, chunk_frames=chunk)) == want
 
 
+def test_rounds_do_not_grow_with_the_chunks(spark, monkeypatch):
+    """64 voiced chunks, and with a pause in one of them, are scanned in a few rounds."""
+    made = {0: [True] * 1280, 1: [True] * 700 + [False] * 60 + [True] * 520}
+    saved, calls = seg.checkpointed, []
+    monkeypatch.setattr(seg, "checkpointed", lambda df: calls.append(1) or saved(df))
+    want = {s: model(flags, 12) for s, flags in made.items()}
+    assert found(seg.hysteresis(frames(spark, made), 12, chunk_frames=20)) == want
+    assert len(calls) <= 3 + 3 * 4
+
+
 def test_rechunk_replaces_long_segments_once(spark):
     made = streams(7, longest=200)
     rng = random.Random(3)
