@@ -17,6 +17,7 @@ def load() -> ModuleType:
         registry,
         segment_queries,
         selecting,
+        sink_queries,
         vector_queries,
     )
 
