@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 ALPHA = 0.5
-CACHED_WORDS = 300_000
+CACHED_WORDS = 400_000
 SPACE = "▁"
 
 
@@ -193,7 +193,7 @@ class Encoder:
             if len(self.words) + len(missing) > CACHED_WORDS:
                 self.words.clear()
                 missing = list(set(words))
-            self.words.update(zip(missing, self.processor.encode(missing)))
+            self.words.update(zip(missing, self.processor.encode(missing, num_threads=1)))
         return np.fromiter(chain.from_iterable(map(self.words.__getitem__, words)), np.int32)
 
     def piece_bytes(self) -> list[bytes]:
