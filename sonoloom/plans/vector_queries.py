@@ -205,6 +205,18 @@ def merge_components(spark, sf_dir):
     return cl.merge_pairs(_each_vector(spark, sf_dir), 0.38, closest_only=False, block_rows=200)
 
 
+@query(
+    """SELECT CAST(label - label % 2 AS BIGINT) AS cluster, count(*) AS size, round(sum(embedding[1]::DOUBLE), 4) AS first
+FROM embeddings GROUP BY 1"""
+)
+def absorb_clusters(spark, sf_dir):
+    """Sums and sizes after every odd label was merged into the even one before it."""
+    sums = cl.cluster_sums(embeddings(spark, sf_dir).withColumn("cluster", F.col("label").cast("bigint")))
+    merges = sums.filter("cluster % 2 = 1").select("cluster", (F.col("cluster") - 1).alias("key"))
+    whole = cl.absorb(sums, merges)
+    return whole.select("cluster", "size", F.round(F.get("total", F.lit(0)), 4).alias("first"))
+
+
 @query()
 def merge_repeat(spark, sf_dir):
     """Rounds from similarity 0.42 down to 0.40 over single-vector clusters."""
