@@ -43,6 +43,7 @@ HEADLINE = [
     "merge_round",
     "density_clusters",
     "hysteresis",
+    "hysteresis_wide",
     "framing",
 ]
 
