@@ -105,9 +105,9 @@ def fit(docs: DataFrame, *, lang: str = "lang", max_languages: int = MAX_LANGUAG
         by_context = keyed.groupBy("_lang", slot(F.col("context"), order - 1).alias("slot")).agg(
             F.sum("n").alias("total"), F.count(F.lit(1)).alias("types")
         )
-        one = by_gram.select("_lang", "slot", "n", "g.gram", "g.context").toPandas()  # bounded by languages and slots
+        one = by_gram.select("_lang", "slot", "n", "g.gram", "g.context").toArrow().to_pandas()  # bounded by languages and slots
         one["context"] = slot(one["context"].to_numpy(), order - 1)
-        tables.append((order, one, by_context.toPandas()))
+        tables.append((order, one, by_context.toArrow().to_pandas()))
         level = level.groupBy("_lang", F.col("gram").bitwiseAND(F.lit((1 << (CLASS_BITS * (order - 1))) - 1)).alias("gram")).agg(
             F.count(F.lit(1)).alias("n")
         )
