@@ -79,7 +79,7 @@ def grams(parts: list[str], context: list[int], classes: np.ndarray, order: int,
         total = np.concatenate([[0], np.cumsum(keep)])
         starts, ends, codes, counted = total[starts], total[ends], codes[keep], counted[keep]
     packed = codes.astype(np.int64)
-    for back in range(1, order):
+    for back in range(1, min(order, len(codes))):
         packed[back:] |= codes[: len(codes) - back].astype(np.int64) << (CLASS_BITS * back)
     for offset in range(order - 1):
         at = starts[starts + offset < ends] + offset

@@ -84,13 +84,14 @@ def log_probabilities(counted: DataFrame) -> DataFrame:
 def _sums(logs: dict[str, tuple[np.ndarray, np.ndarray]]):
     """A function (langs, texts) -> (characters, summed log-probabilities) of whole texts."""
     classes = print_classes()
+    none = (np.empty(0, np.int64), np.empty(0, np.float32))
 
     def sums(langs: pd.Series, texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
         chars, total = np.zeros(len(texts)), np.zeros(len(texts))
         names = langs.to_numpy(object)
         for name in sorted(set(names)):
             at = np.flatnonzero(names == name)
-            keys, values = logs[name]
+            keys, values = logs.get(name, none)  # a language without a visible character has no n-grams
             for rows, parts, context in pieces((texts.iat[i] for i in at), ORDER - 1):
                 packed, sizes = grams(parts, context, classes, ORDER, True)
                 if not len(packed):

@@ -329,6 +329,19 @@ def test_quality(spark, docs, none):
     assert quality_lm.judge_quality(none, trusted).count() == 0
 
 
+def test_quality_of_very_short_texts_and_blank_languages(spark):
+    short = [(i, "abcde"[:i], f"l{i}") for i in range(6)] + [(10 + i, "abcde"[:i], "en") for i in range(6)]
+    rows = [*short, (20, " \t\n ", "blank"), (21, None, "blank"), (22, "Re.", "fr")]
+    trusted = spark.createDataFrame([(3,), (14,), (22,)], "doc_id bigint")
+    found = [
+        {r.doc_id: r for r in quality_lm.judge_quality(table(spark, rows), trusted, broadcast_rows=n).collect()} for n in (quality_lm.BROADCAST_ROWS, 0)
+    ]
+    assert set(found[0]) == set(found[1]) == {r[0] for r in rows}
+    for i, text, _ in rows:
+        a, b = found[0][i].perplexity, found[1][i].perplexity
+        assert a is b is None if not (text or "").strip() else abs(a - b) < 1e-4
+
+
 def test_probabilities_of_a_context_add_up(spark):
     from pyspark.sql import functions as F
 
