@@ -278,6 +278,41 @@ def test_segmentations(spark, docs, none):
     assert sentencepiece_lattice.segmentations(none).count() == 0
 
 
+@pytest.mark.parametrize("text", ["the", "a the", "x  y", "r\u1234z"])
+def test_samples_follow_the_whole_lattice(text):
+    import math
+
+    encoder = sentencepiece_lattice.Encoder(sentencepiece_lattice.read_model())
+    sp = encoder.processor
+    lattice = sentencepiece_lattice.PieceLattice(sp, 0.5)
+    pieces = {sp.id_to_piece(i): i for i in range(sp.get_piece_size()) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i))}
+    spelt = "\u2581" + text.replace(" ", "\u2581")
+
+    def ways(at):
+        if at == len(spelt):
+            yield ()
+        heads = [(spelt[at:end], (pieces[spelt[at:end]],)) for end in range(at + 1, len(spelt) + 1) if spelt[at:end] in pieces]
+        if at < len(spelt) and spelt[at] not in pieces:
+            heads.append((spelt[at], tuple(sp.piece_to_id(f"<0x{b:02X}>") for b in spelt[at].encode())))
+        for head, ids in heads:
+            for rest in ways(at + len(head)):
+                yield ids + rest
+
+    weight = {w: math.prod((1 + i) ** -0.5 for i in w) for w in ways(0)}
+    share = {w: v / sum(weight.values()) for w, v in weight.items()}
+    words, runs = lattice.chains([text])[0], 4000
+    first, estimate = collections.Counter(), collections.Counter()
+    for seed in range(runs):
+        samples, scores = lattice.sample(words, 2, seed)
+        assert len({tuple(s) for s in samples}) == len(samples) == min(2, len(share))
+        first[tuple(samples[0].tolist())] += 1
+        for s, score in zip(samples, scores):
+            estimate[tuple(s.tolist())] += share[tuple(s.tolist())] / math.exp(score) / runs
+    assert all(abs(first[w] / runs - p) < 0.03 and abs(estimate[w] - p) < 0.03 for w, p in share.items())
+    every, scores = lattice.sample(words, len(share) + 1, 1)
+    assert {tuple(s.tolist()) for s in every} == set(share) and set(scores) == {0.0}
+
+
 def test_toxicity(spark, docs, none):
     bad, good = [], []
     for i in range(60):
