@@ -34,7 +34,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Best and sampled segmentations, as counts, checksums and inclusion scores; the text is left out."""
+    """Best and sampled segmentations with inclusion scores, and the text got back, beside counts and checksums."""
     return segmentations(docs, digest=True)
 
 

@@ -102,7 +102,7 @@ FROM c JOIN n ON n.id = c.item_id WHERE m * 10 >= n * 8
 
 
 def op6_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Best and sampled segmentations of every document, as counts, checksums and inclusion scores."""
+    """Best and sampled segmentations of every document with inclusion scores, and their counts and checksums."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return segmentations(docs, digest=True)
 

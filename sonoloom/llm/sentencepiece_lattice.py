@@ -16,8 +16,7 @@ from __future__ import annotations
 
 import heapq
 import re
-import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -365,22 +364,10 @@ def _run(rows: DataFrame, seed: Column, model: bytes, k: int, alpha: float) -> D
     return rows.withColumn("_seed", seed).mapInArrow(encode, schema)
 
 
-CHECKSUMS = "ids bigint, samples array<bigint>"
-
-
-def _checksums() -> Callable:
-    """A column function (ids, samples) -> struct of their CRC32s, taken over the ids as little-endian 32-bit integers."""
-
-    def check(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        def sums(lists: pa.ListArray) -> list[int]:
-            values, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
-            return [zlib.crc32(values[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:])]
-
-        for ids, samples in batches:
-            each = pa.array(sums(samples.values.field("ids")), pa.int64())
-            yield pa.StructArray.from_arrays([pa.array(sums(ids), pa.int64()), pa.ListArray.from_arrays(samples.offsets, each)], ["ids", "samples"])
-
-    return F.arrow_udf(check, CHECKSUMS)
+def _checksum(ids: Column) -> Column:
+    """CRC32 of token ids as little-endian 32-bit integers; ISO-8859-1 gives each character its own number as a byte."""
+    spelt = F.transform(ids, lambda x: F.concat(*[F.char(F.shiftright(x, bits).bitwiseAND(F.lit(255))) for bits in (0, 8, 16, 24)]))
+    return F.crc32(F.encode(F.array_join(spelt, ""), "ISO-8859-1"))
 
 
 def segmentations(
@@ -394,7 +381,7 @@ def segmentations(
     texts have no tokens and samples, and decode to ''; a text with fewer than k segmentations gives them all, with log score 0.
     Repeated rows give repeated results; an empty table gives no rows; columns that bear an output's name are replaced.
     """
-    outputs = {"ids", "samples", "decoded", "_text", "_seed"} | ({"n_tokens", "ids_crc32", "round_trip", "_crc"} if digest else set())
+    outputs = {"ids", "samples", "decoded", "_text", "_seed"} | ({"n_tokens", "ids_crc32", "round_trip"} if digest else set())
     others = [c for c in docs.columns if c != "text" and c not in outputs]
     rows = docs.select(*[F.col(f"`{c}`") for c in others], F.col("text").alias("_text"))
     seed = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.col("_text")))
@@ -403,16 +390,17 @@ def segmentations(
     if not digest:
         return found.select(*named, "ids", "samples", "decoded")
 
-    def described(sample: Column, i: Column) -> Column:
+    def described(sample: Column) -> Column:
         ids = sample["ids"]
-        return F.struct(
-            F.size(ids).alias("n_tokens"), F.get(F.col("_crc.samples"), i).alias("ids_crc32"), F.round(sample["log_inclusion"], 6).alias("log_inclusion")
-        )
+        size, crc, score = F.size(ids), _checksum(ids), F.round(sample["log_inclusion"], 6)
+        return F.struct(size.alias("n_tokens"), crc.alias("ids_crc32"), score.alias("log_inclusion"), ids.alias("ids"))
 
-    return found.withColumn("_crc", _checksums()("ids", "samples")).select(
+    return found.select(
         *named,
         F.size("ids").cast("bigint").alias("n_tokens"),
-        F.col("_crc.ids").alias("ids_crc32"),
+        _checksum(F.col("ids")).alias("ids_crc32"),
         (F.col("decoded") == F.coalesce("_text", F.lit(""))).alias("round_trip"),
         F.transform("samples", described).alias("samples"),
+        "ids",
+        "decoded",
     )

@@ -278,6 +278,16 @@ def test_segmentations(spark, docs, none):
     assert sentencepiece_lattice.segmentations(none).count() == 0
 
 
+def test_digest_stands_beside_the_segmentations(spark, docs):
+    whole = sentencepiece_lattice.segmentations(docs, digest=True).select("doc_id", "decoded", "ids", "ids_crc32", "samples", "n_tokens")
+    plain = {(r.doc_id, r.decoded): r for r in sentencepiece_lattice.segmentations(docs).collect()}
+    for r in whole.collect():
+        other = plain[(r.doc_id, r.decoded)]
+        assert r.ids == other.ids and [s.ids for s in r.samples] == [s.ids for s in other.samples] and r.n_tokens == len(r.ids)
+        for ids, crc in [(r.ids, r.ids_crc32), *[(s.ids, s.ids_crc32) for s in r.samples]]:
+            assert crc == zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids))
+
+
 @pytest.mark.parametrize("text", ["the", "a the", "x  y", "r\u1234z"])
 def test_samples_follow_the_whole_lattice(text):
     import math
