@@ -4,8 +4,9 @@ All documents are counted once: the n-grams of trusted documents train the model
 whose probabilities are needed.  Both are tables sharded by (language, n-gram).  From order 1 up, a level's probabilities come
 from equi-joins of the needed n-grams with the level's counts, its context totals and the level below.  The finished table has
 one row per n-gram that occurs anywhere; documents are scored with it, broadcast if it is within ``BROADCAST_ROWS`` and by a
-sharded join of each document's n-grams beyond that.  A document passes if its perplexity is within its language's threshold, a
-quantile over all trusted documents of the language times a slack.
+sharded join of each document's n-grams beyond that.  A document passes if its perplexity is within its language's threshold.
+For the thresholds, trusted texts are dealt to ``FOLDS`` folds and each is scored with its own fold's counts left out; the
+threshold is a quantile over all trusted documents of the language times a slack.
 """
 
 from __future__ import annotations
@@ -18,11 +19,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sonoloom.llm.chargrams import CLASS_BITS, CLASSES, count_grams, grams, pieces, print_classes, sums_by_row
+from sonoloom.llm.common import keep_possible
 from sonoloom.session import checkpointed
 
 ORDER = 5
 QUANTILE = 0.995
 SLACK = 1.1
+FOLDS = 5
 BROADCAST_ROWS = 4_000_000
 UNNAMED = "und"
 
@@ -67,10 +70,13 @@ def _level(needed: DataFrame, counts: DataFrame, lower: DataFrame | None, order:
     return rows.select("lang", "gram", p.alias("p"))
 
 
-def log_probabilities(counted: DataFrame) -> DataFrame:
-    """(lang, gram, log_p) of every n-gram in ``counted`` (lang, gram, trusted: count in trusted text, 0 for none)."""
+def log_probabilities(counted: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """(lang, gram, log_p) of every n-gram in ``wanted`` (lang, gram), or else in ``counted``.
+
+    ``counted`` is (lang, gram, trusted: count in trusted text, 0 for none).
+    """
     counts = {ORDER: counted.filter("trusted > 0").select("lang", "gram", F.col("trusted").alias("n"))}
-    needed = {ORDER: counted.select("lang", "gram")}
+    needed = {ORDER: (counted if wanted is None else wanted).select("lang", "gram")}
     for order in range(ORDER - 1, 0, -1):
         tail = _tail("gram", order).alias("gram")
         counts[order] = checkpointed(counts[order + 1].groupBy("lang", tail).agg(F.count(F.lit(1)).alias("n")))
@@ -149,6 +155,13 @@ def _scored_join(docs: DataFrame, table: DataFrame) -> DataFrame:
     return joined.withColumn("_s", F.coalesce("_s", zero)).drop("_row")
 
 
+def _perplexities(docs: DataFrame, table: DataFrame, n: int, broadcast_rows: int) -> DataFrame:
+    """(doc_id, _lang, perplexity) of ``docs`` by the ``n`` rows of ``table``."""
+    scored = _scored_broadcast(docs, table) if n <= broadcast_rows else _scored_join(docs, table)
+    perplexity = F.when(F.col("_s.chars") > 0, F.exp(-F.col("_s.logs") / F.col("_s.chars")))
+    return scored.select("doc_id", "_lang", perplexity.alias("perplexity"))
+
+
 def judge_quality(
     docs: DataFrame, trusted: DataFrame, *, quantile: float = QUANTILE, slack: float = SLACK, broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
@@ -156,23 +169,29 @@ def judge_quality(
 
     Perplexity is per character.  A null language is the language 'und'.  Texts without a visible character (null and empty
     too) have a null perplexity and are not kept; languages without trusted text have a null threshold and keep all others.
+    A language whose trusted texts are all in one fold gives them the uniform model's perplexity as a threshold.
     Repeated rows are judged alike, and each counts; null ids are never trusted; empty tables give no rows.
     """
-    ids = trusted.filter(F.col("doc_id").isNotNull()).select("doc_id").distinct().withColumn("_good", F.lit(True))
+    ids = trusted.filter(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast(docs.schema["doc_id"].dataType)).distinct()
     rows = docs.select("doc_id", F.coalesce(F.col("lang").cast("string"), F.lit(UNNAMED)).alias("_lang"), "text")
-    good = F.coalesce("_good", F.lit(False))
-    flagged = rows.join(ids, "doc_id", "left").select(F.concat(good.cast("int").cast("string"), F.col("_lang")).alias("_label"), "text")
-    by_label = count_grams(flagged, "_label", ORDER, print_classes)
-    count = F.sum(F.when(F.col("_label").startswith("1"), F.col("n")).otherwise(0)).alias("trusted")
-    counted = checkpointed(by_label.groupBy(F.substring("_label", 2, 1 << 30).alias("lang"), "gram").agg(count))
-    table = log_probabilities(counted)
-    scored = _scored_broadcast(rows, table) if counted.count() <= broadcast_rows else _scored_join(rows, table)
-    perplexity = F.when(F.col("_s.chars") > 0, F.exp(-F.col("_s.logs") / F.col("_s.chars")))
-    judged = checkpointed(scored.select("doc_id", "_lang", perplexity.alias("perplexity")))
-    limits = (
-        judged.join(ids, "doc_id", "left_semi")
-        .groupBy("_lang")
-        .agg((F.percentile_approx("perplexity", quantile, 10_000) * slack).alias("threshold"))
+    key = F.xxhash64("doc_id").alias("_key")
+    good = keep_possible(rows.select("*", key), "_key", ids.select(key)).join(ids, "doc_id", "left_semi")
+    fold = F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(FOLDS)).cast("string")  # by text: copies share a fold
+    good = checkpointed(good.select("doc_id", F.concat(fold, "_lang").alias("_lang"), "text"))
+    own = count_grams(good, "_lang", ORDER, print_classes)
+    own = checkpointed(own.select(F.substring("_lang", 1, 1).alias("fold"), F.substring("_lang", 2, 1 << 30).alias("lang"), "gram", "n"))
+    seen = count_grams(rows, "_lang", ORDER, print_classes).select(F.col("_lang").alias("lang"), "gram", F.lit(0).cast("bigint").alias("n"))
+    counted = checkpointed(seen.unionByName(own.drop("fold")).groupBy("lang", "gram").agg(F.sum("n").alias("trusted")))
+    judged = checkpointed(_perplexities(rows, log_probabilities(counted), counted.count(), broadcast_rows))
+    by_fold = own.groupBy("lang", "gram").agg(*[F.sum(F.when(F.col("fold") == str(f), F.col("n")).otherwise(0)).alias(f"n{f}") for f in range(FOLDS)])
+    total = sum(F.col(f"n{f}") for f in range(FOLDS))
+    left = F.explode(F.array(*[F.struct(F.lit(str(f)).alias("fold"), (total - F.col(f"n{f}")).alias("trusted"), (F.col(f"n{f}") > 0).alias("own")) for f in range(FOLDS)]))
+    others = by_fold.select("lang", "gram", left.alias("z")).select(F.concat("z.fold", "lang").alias("lang"), "gram", "z.trusted", "z.own")
+    others = checkpointed(others)
+    wanted = others.filter("own")
+    held_out = _perplexities(good, log_probabilities(others, wanted), wanted.count(), broadcast_rows)
+    limits = held_out.groupBy(F.substring("_lang", 2, 1 << 30).alias("_lang")).agg(
+        (F.percentile_approx("perplexity", quantile, 10_000) * slack).alias("threshold")
     )
     named = judged.join(F.broadcast(limits), "_lang", "left")
     keep = F.col("perplexity").isNotNull() & F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))

@@ -387,6 +387,21 @@ def test_quality_of_very_short_texts_and_blank_languages(spark):
         assert a is b is None if not (text or "").strip() else abs(a - b) < 1e-4
 
 
+def test_quality_keeps_held_out_good_documents_where_little_is_trusted(spark):
+    import random
+
+    rng = random.Random(5)
+    words = ["".join(rng.choice("bdfglmnprst") + rng.choice("aeiou") for _ in range(rng.randint(1, 4))) for _ in range(2000)]
+    weight = [1 / (i + 1) ** 0.8 for i in range(len(words))]
+    text = lambda: " ".join(rng.choices(words, weight, k=80))
+    noise = lambda: "".join(rng.choice("qxzjkvwyQXZ0123456789#$%&") for _ in range(400))
+    good = [(i, text(), "es") for i in range(111)]
+    bad = [(1000 + i, noise(), "es") for i in range(40)]
+    trusted = spark.createDataFrame([(i,) for i in range(11)], "doc_id bigint")
+    kept = {r.doc_id: r.keep for r in quality_lm.judge_quality(table(spark, good + bad), trusted).collect()}
+    assert sum(kept[i] for i in range(11, 111)) >= 90 and not any(kept[r[0]] for r in bad)
+
+
 def test_probabilities_of_a_context_add_up(spark):
     from pyspark.sql import functions as F
 
