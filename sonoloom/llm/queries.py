@@ -1,4 +1,4 @@
-"""The ten queries and their check SQL; ``__spark_entry__`` adds them where this package is present."""
+"""The queries of the numbered operators and their check SQL; ``__spark_entry__`` adds them where this package is present."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sonoloom.llm.common import table
 from sonoloom.llm.decontaminate import containments
+from sonoloom.llm.fill_in_middle import fill_in_middle, restored
 from sonoloom.llm.kd_shards import kd_shards
 from sonoloom.llm.language_id import fit as fit_languages
 from sonoloom.llm.language_id import identify
@@ -20,6 +21,7 @@ from sonoloom.llm.sentencepiece_lattice import segmentations
 from sonoloom.llm.token_counts import TokenLedger
 from sonoloom.llm.toxicity import fit as fit_toxicity
 from sonoloom.llm.toxicity import score_toxicity
+from sonoloom.llm.whitening import whiten
 from sonoloom.session import work_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -156,6 +158,61 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(table(spark, sf_dir, "documents"), trusted)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first four whitened components of every usable embedding."""
+    white = whiten(table(spark, sf_dir, "embeddings"), 4).select("vec_id", "_white.*")
+    parts = white.select("*", F.posexplode(F.arrays_zip("whitened", "explained")).alias("pos", "part"))
+    return parts.select(
+        "vec_id",
+        (F.col("pos") + 1).cast("int").alias("component"),
+        "n",
+        "deviation",
+        "part.whitened",
+        "part.explained",
+        "identity_error",
+    )
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut into prefix, middle and suffix, half of them rearranged, and the text got back."""
+    done = fill_in_middle(table(spark, sf_dir, "documents")).select("doc_id", "_fim.*")
+    return done.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+u AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u,
+         ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+         ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4
+  FROM d),
+c AS (
+  SELECT doc_id, t, u, len(u) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+              WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM u),
+p AS (
+  SELECT doc_id, t, n, form, coalesce(array_to_string(u[1:a], ''), '') AS p, coalesce(array_to_string(u[a + 1:b], ''), '') AS m,
+         coalesce(array_to_string(u[b + 1:], ''), '') AS s
+  FROM c)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p) END::BIGINT AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -169,10 +226,13 @@ QUERIES: dict[str, Query] = {
         op8_kd_sharding,
         op9_toxicity,
         op10_quality_classifier,
+        op11_whitening,
+        op12_fill_in_middle,
     )
 }
 CHECKS: dict[str, str] = {
     "op2_line_dedup": OP2_SQL,
     "op5_benchmark_decontamination": OP5_SQL,
     "op7_maxscore_topk": OP7_SQL,
+    "op12_fill_in_middle": OP12_SQL,
 }
