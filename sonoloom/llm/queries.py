@@ -19,6 +19,7 @@ from sonoloom.llm.near_dup import near_duplicates
 from sonoloom.llm.quality_lm import judge_quality
 from sonoloom.llm.sentencepiece_lattice import segmentations
 from sonoloom.llm.token_counts import TokenLedger
+from sonoloom.llm.set_relations import jaccard_groups
 from sonoloom.llm.toxicity import fit as fit_toxicity
 from sonoloom.llm.toxicity import score_toxicity
 from sonoloom.llm.whitening import whiten
@@ -213,6 +214,27 @@ FROM p
 """
 
 
+def op13_set_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose three-word shingles agree to 0.9."""
+    return jaccard_groups(table(spark, sf_dir, "documents"), 90)
+
+
+OP13_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 2, 1) + 1),
+         lambda i: array_to_string(w[i:i + 2], ' '))) AS x FROM w WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m FROM s a JOIN s b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * m >= 90 * (x.n + y.n - m)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM w UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b)
+SELECT r.a AS doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(r.b) AS component_id
+FROM r LEFT JOIN n ON n.doc_id = r.a GROUP BY r.a
+"""
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -228,6 +250,7 @@ QUERIES: dict[str, Query] = {
         op10_quality_classifier,
         op11_whitening,
         op12_fill_in_middle,
+        op13_set_relations,
     )
 }
 CHECKS: dict[str, str] = {
@@ -235,4 +258,5 @@ CHECKS: dict[str, str] = {
     "op5_benchmark_decontamination": OP5_SQL,
     "op7_maxscore_topk": OP7_SQL,
     "op12_fill_in_middle": OP12_SQL,
+    "op13_set_relations": OP13_SQL,
 }
