@@ -6,27 +6,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sonoloom.functions.text import first_stem
-from sonoloom.schemas import MANIFEST, SOURCE_SUMMARY, metadata_schema
+from sonoloom.schemas import MANIFEST, METADATA_COLUMNS, SOURCE_SUMMARY, metadata_schema
 from sonoloom.session import load_moment
+from sonoloom.sources.csv_records import csv_records, values_by_file
 
 SELECTION_DDL = "speaker_id double, clipped_utterance_file_name string, clipped_utterance_duration double, audio_id bigint, snr double"
 
 
 def read_metadata_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Recording metadata, bound by position; the ``license`` column is optional.
+    """Recording metadata, bound by position; the ``license`` column is optional, file by file.
 
-    New rows get the load time and are not normalised.
+    ``path`` is a file or a folder of files with and without that column; large files are read in splits, line breaks inside
+    quotes included.  Values that do not fit their type are null.  New rows get the load time and are not normalised.
     """
-    header = spark.read.text(path).limit(1).first()
-    with_license = header is not None and "license" in [c.strip().strip('"') for c in header[0].split(",")]
-    rows = (
-        spark.read.schema(metadata_schema(with_license))
-        .options(header=True, enforceSchema=True, escape='"', multiLine=True)
-        .csv(path)
-    )
-    if not with_license:
-        rows = rows.withColumn("license", F.lit(None).cast("string"))
-    return rows.withColumn("load_datetime", load_moment(spark)).withColumn("is_normalized", F.lit(False))
+    records, headers = csv_records(spark, path)
+    layouts = headers.select("file", F.array_contains("names", "license").alias("_with"))
+    rows = values_by_file(records, layouts, len(METADATA_COLUMNS))
+    license_at = METADATA_COLUMNS.index("license")
+    picked = []
+    for i, field in enumerate(metadata_schema().fields):
+        short = F.lit(None) if i == license_at else F.get("_v", F.lit(i if i < license_at else i - 1))
+        value = F.when(F.col("_with"), F.get("_v", F.lit(i))).otherwise(short)
+        picked.append(value.try_cast(field.dataType).alias(field.name))
+    return rows.select(*picked).withColumn("load_datetime", load_moment(spark)).withColumn("is_normalized", F.lit(False))
 
 
 def read_source_summary(spark: SparkSession, path: str) -> DataFrame:
@@ -34,14 +36,19 @@ def read_source_summary(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_selection(spark: SparkSession, path: str) -> DataFrame:
-    """Pre-filtered utterances: five columns by name, integer speaker ids; an empty file is an error."""
-    header = spark.read.text(path).limit(1).first()
+    """Pre-filtered utterances: five columns by the name they have in each file's header, integer speaker ids.
+
+    A file without one of the columns is an error, and so is a folder without utterances.
+    """
     types = dict(c.strip().split(" ") for c in SELECTION_DDL.split(","))
-    names = [] if header is None else [c.strip().strip('"') for c in header[0].split(",")]
-    schema = ", ".join(f"`{n}` {types.get(n, 'string')}" for n in names)
-    if not set(types) <= set(names):
-        raise ValueError(f"{path}: missing columns {sorted(set(types) - set(names))}")
-    rows = spark.read.schema(schema).options(header=True, escape='"').csv(path).select(*types)
+    records, headers = csv_records(spark, path)
+    places = {n: F.array_position("names", n).cast("int") for n in types}
+    short = headers.filter(F.least(*places.values()) == 0).select("file", "names").first()
+    width = headers.agg(F.max(F.size("names"))).first()[0]
+    if short is not None or width is None:
+        raise ValueError(f"{path if short is None else short.file}: missing columns {sorted(set(types) - set(short.names if short else []))}")
+    rows = values_by_file(records, headers.select("file", F.struct(*[p.alias(n) for n, p in places.items()]).alias("_at")), width)
+    rows = rows.select(*[F.get("_v", F.col(f"_at.{n}") - 1).try_cast(t).alias(n) for n, t in types.items()])
     if rows.isEmpty():
         raise ValueError(f"{path}: no utterances")
     return rows.withColumn("speaker_id", F.col("speaker_id").cast("int"))
