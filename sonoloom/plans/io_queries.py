@@ -16,6 +16,7 @@ from sonoloom.plans.views import STORE, embeddings, listing, recordings, sql, ta
 from sonoloom.schemas import METADATA_COLUMNS, metadata_schema
 from sonoloom.session import work_path
 from sonoloom.sources import readers
+from sonoloom.sources.store import write_lines
 
 NAME = "clipped_utterance_file_name"
 SECONDS = "clipped_utterance_duration"
@@ -36,6 +37,10 @@ def _metadata(spark, sf_dir, with_license):
 def _metadata_round_trip(spark, sf_dir, with_license):
     path = work_path(spark, "metadata")
     _metadata(spark, sf_dir, with_license).write.options(header=True, escape='"').csv(path)
+    return _metadata_read(spark, path)
+
+
+def _metadata_read(spark, path):
     rows = readers.read_metadata_csv(spark, path)
     assert set(METADATA_COLUMNS) <= set(rows.columns)
     elements = F.greatest(F.coalesce(F.size(list_elements(F.col("utterances_files_list"))), F.lit(-1)), F.lit(-1)).cast("bigint")
@@ -60,6 +65,23 @@ def read_metadata_csv_short(spark, sf_dir):
     return _metadata_round_trip(spark, sf_dir, False)
 
 
+@query(
+    sql(
+        "SU",
+        f"""SELECT * REPLACE (concat(raw_file_name, chr(10), '"', audio_id, '"') AS raw_file_name) FROM (
+  {METADATA.format(license="CASE WHEN S.audio_id % 2 = 0 THEN 'cc-by' END")})""",
+    )
+)
+def read_metadata_mixed(spark, sf_dir):
+    """One folder of files with and without ``license``, large enough for several splits each, with line breaks inside quotes."""
+    path = work_path(spark, "metadata")
+    broken = F.concat("raw_file_name", F.lit('\n"'), F.col("audio_id").cast("string"), F.lit('"'))
+    for rest in (0, 1):
+        rows = _metadata(spark, sf_dir, rest == 0).filter(F.col("audio_id") % 2 == rest).withColumn("raw_file_name", broken)
+        rows.coalesce(1).write.mode("append").options(header=True, escape='"').csv(path)
+    return _metadata_read(spark, path)
+
+
 SUMMARY = """SELECT source, CAST(count(DISTINCT speaker_name) AS INTEGER) AS num_speaker, sum(audio_id) / 2.0::DOUBLE AS total_duration,
   CAST(count(*) AS INTEGER) AS num_of_audio FROM S GROUP BY source"""
 
@@ -105,23 +127,13 @@ def read_experiment_chunks(spark, sf_dir):
     return readers.read_experiment_chunks(spark, path)
 
 
-@query("SELECT CAST(doc_id % 16 AS VARCHAR) AS part, count(*) AS documents, CAST(sum(length(text) + 1) AS BIGINT) AS characters FROM documents GROUP BY 1")
+@query("SELECT CAST(doc_id AS VARCHAR) AS stem, md5(concat(text, chr(10))) AS text_md5 FROM documents WHERE text IS NOT NULL")
 def read_transcripts(spark, sf_dir):
-    """Whole text files: the documents written as lines of a few files, read back file by file."""
+    """One text file for each document, in folders by source, read back as (stem, text)."""
     path = work_path(spark, "texts")
-    texts = table(spark, sf_dir, "documents").select(
-        (F.col("doc_id") % 16).cast("string").alias("part"), F.translate("text", "\n\r", "  ").alias("value")
-    )
-    texts.repartition("part").write.partitionBy("part").text(path)
-    files = readers.read_transcripts(spark, path)
-    sized = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(path, wholetext=True)
-    stems = sized.select(
-        F.regexp_extract("_metadata.file_path", r"part=(\d+)/", 1).alias("part"), F.col("_metadata.file_name").alias("file"), "value"
-    )
-    assert files.columns == ["stem", "text"]
-    return stems.groupBy("part").agg(
-        F.sum(F.regexp_count("value", F.lit("\n"))).cast("bigint").alias("documents"), F.sum(F.length("value")).cast("bigint").alias("characters")
-    )
+    docs = table(spark, sf_dir, "documents").filter("text IS NOT NULL")
+    write_lines(docs, path, F.concat("source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".v1.txt")), F.col("text"), [])
+    return readers.read_transcripts(spark, path).select("stem", F.md5("text").alias("text_md5"))
 
 
 @query("SELECT vec_id, label, round(list_sum(CAST(embedding AS DOUBLE[])), 6) AS total FROM embeddings")
@@ -136,16 +148,19 @@ def read_embeddings(spark, sf_dir):
     return read.select("vec_id", "label", F.round(total, 6).alias("total"))
 
 
-@query(sql("L", f"SELECT count(DISTINCT regexp_extract(path, '{STORE}/([^/]+)', 1)) AS sources, count(*) AS rows FROM L"))
+AUDIO = r"/(\d+)/[a-z]+/[^/]*$"
+FOLDER = f"""concat(split_part(path, '/', 4), '/', CAST(regexp_extract(path, '{AUDIO}', 1) AS BIGINT) % 100, '/', string_split(path, '/')[-2])"""
+
+
+@query(sql("L", f"SELECT concat({FOLDER}, '/list.txt') AS path, CAST(sum(strlen(path) + 1) AS BIGINT) AS length FROM L GROUP BY 1"))
 def list_store(spark, sf_dir):
-    """Listing of a real store: one file per source, holding that source's paths."""
+    """Listing of a real store: a file in each of many folders, three levels deep, holding that folder's paths."""
     path = work_path(spark, "store")
-    rows = listing(spark, sf_dir).select(F.split_part("path", F.lit("/"), F.lit(4)).alias("source"), F.col("path").alias("value"))
-    rows.repartition("source").write.partitionBy("source").text(path)
-    files = readers.list_store(spark, path, "*.txt").filter("length > 0")
-    sources = files.agg(F.count_distinct(F.regexp_extract("path", "source=([^/]+)/", 1)).alias("sources"), F.lit(1).alias("k"))
-    lines = spark.read.text(path).agg(F.count(F.lit(1)).alias("rows"), F.lit(1).alias("k"))
-    return sources.join(lines, "k").drop("k")
+    parts, audio = F.split("path", "/"), F.regexp_extract("path", AUDIO, 1).cast("bigint") % 100
+    folder = F.concat_ws("/", F.get(parts, F.lit(3)), audio.cast("string"), F.element_at(parts, F.lit(-2)))
+    write_lines(listing(spark, sf_dir), path, F.concat(folder, F.lit("/list.txt")), F.col("path"), ["path"])
+    files = readers.list_store(spark, path, "*.txt")
+    return files.select(F.substring("path", len(path) + 2, 10_000).alias("path"), "length")
 
 
 def _echo(path: str) -> str:

@@ -18,8 +18,8 @@ MOMENT = datetime(2021, 3, 4, 5, 6, 7)
 @query(CHECKS["cleaned_with_mapping"])
 def final_report_written(spark, sf_dir):
     rows = QUERIES["cleaned_with_mapping"](spark, sf_dir)
-    path = sinks.write_final_report(rows, work_path(spark, "final"), "src", MOMENT)
-    return spark.read.schema(rows.schema).option("header", True).csv(path)
+    files = sinks.write_final_report(rows, work_path(spark, "final"), "src", MOMENT)
+    return spark.read.schema(rows.schema).options(header=True, escape='"').csv(files)
 
 
 @query(CHECKS["invalid_duration"])
@@ -29,18 +29,26 @@ def report_tables_written(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-@query(CHECKS["fetched_only"].replace("SELECT audio_file_name FROM (", "SELECT audio_file_name, duration, snr, status FROM (", 1))
+@query(
+    "SELECT *, row_number() OVER (ORDER BY audio_file_name) - 1 AS position, 'Telugu' AS language FROM ("
+    + CHECKS["fetched_only"].replace("SELECT audio_file_name FROM (", "SELECT audio_file_name, duration, snr, status FROM (", 1)
+    + ")"
+)
 def corpus_written(spark, sf_dir):
-    """``data.json`` holds the corpus without internal columns."""
+    """``data.json`` and ``params.json`` read back by name: the array holds the corpus in order, without internal columns."""
     rows = publishing_queries._export(spark, sf_dir, count=None)
     files = publishing_queries.listing(spark, sf_dir).select(publishing_queries.base_name(F.col("path")).alias("name"))
     kept = publishing_queries.pub.fetched_only(rows, files)
     path = work_path(spark, "corpus")
-    sinks.write_corpus(kept.withColumn("audioId", F.lit(1)).withColumn("speaker", F.lit("x")), {"language": "Telugu"}, path)
-    written = spark.read.json(f"{path}/data.json")
-    if {"audioId", "speaker"} & set(written.columns):
+    marked = kept.withColumn("audioId", F.lit(1)).withColumn("speaker", F.lit("x"))
+    sinks.write_corpus(marked, {"language": "Telugu"}, path, ["audio_file_name"])
+    names = "audio_file_name string, duration double, snr double, status string, audioId int, speaker string"
+    data = spark.read.text(f"{path}/data.json", wholetext=True).select(F.posexplode(F.from_json("value", f"array<struct<{names.replace(' ', ':').replace(',:', ',')}>>")))
+    if not data.filter("col.audioId IS NOT NULL OR col.speaker IS NOT NULL").isEmpty():
         raise ValueError("internal columns were written")
-    return written.select("audio_file_name", "duration", "snr", "status")
+    params = spark.read.option("multiLine", True).schema("language string").json(f"{path}/params.json")
+    read = data.select(F.col("pos").cast("bigint").alias("position"), "col.*").drop("audioId", "speaker")
+    return read.join(F.broadcast(params))
 
 
 @query(CHECKS["distinct_audio_ids"])
@@ -58,13 +66,15 @@ def embeddings_written(spark, sf_dir):
     return spark.read.parquet(path).select("vec_id", "path", first, F.size("embedding").alias("size"))
 
 
-@query(CHECKS["fixed_batches"])
+@query(f"SELECT *, row_number() OVER (PARTITION BY batch_file ORDER BY line) - 1 AS position FROM ({CHECKS['fixed_batches']})")
 def batches_written(spark, sf_dir):
-    """Batch lists of another query's rows, read back from one directory per batch file."""
-    rows = QUERIES["fixed_batches"](spark, sf_dir)
+    """Batch lists read back from ``batch_file_<n>.txt``, with the place of each line in its file."""
     path = work_path(spark, "batches")
-    sinks.write_batches(rows.withColumn("line", F.to_json(F.struct("*"))), path)
-    return spark.read.text(path).select(F.from_json("value", rows.schema).alias("r")).select("r.*")
+    sinks.write_batches(QUERIES["fixed_batches"](spark, sf_dir), path)
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("batch_file"), F.split(F.rtrim("value", F.lit("\n")), "\n").alias("lines"))
+    lines = files.select("batch_file", F.posexplode("lines").alias("position", "line"))
+    number = F.regexp_extract("batch_file", r"^batch_file_(\d+)\.txt$", 1).cast("bigint")
+    return lines.select(number.alias("batch"), "batch_file", "line", F.col("position").cast("bigint").alias("position"))
 
 
 @query(sql("B", "SELECT speaker_name, path, was_noise, audio_id FROM B"))

@@ -9,6 +9,7 @@ from sonoloom.functions.text import first_stem
 from sonoloom.schemas import MANIFEST, METADATA_COLUMNS, SOURCE_SUMMARY, metadata_schema
 from sonoloom.session import load_moment
 from sonoloom.sources.csv_records import csv_records, values_by_file
+from sonoloom.sources.store import is_reachable, list_levels
 
 SELECTION_DDL = "speaker_id double, clipped_utterance_file_name string, clipped_utterance_duration double, audio_id bigint, snr double"
 
@@ -74,7 +75,7 @@ def read_experiment_chunks(spark: SparkSession, prefix: str) -> DataFrame:
 
 
 def read_transcripts(spark: SparkSession, path: str) -> DataFrame:
-    """(stem, text) of whole ``.txt`` files."""
+    """(stem, text) of whole ``.txt`` files at any depth; many small ones are packed into one task."""
     files = (
         spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(path, wholetext=True)
     )
@@ -91,7 +92,13 @@ def read_embeddings(spark: SparkSession, *paths: str) -> DataFrame:
 
 
 def list_store(spark: SparkSession, path: str, pattern: str = "*.wav") -> DataFrame:
-    """(path, length, modificationTime) of stored files; file contents are never read."""
+    """(path, length, modificationTime) of stored files; file contents are never read.
+
+    Folders are listed by tasks, level by level.  Only a store that tasks cannot reach by themselves is listed by Spark's
+    file index, on the driver.
+    """
+    if is_reachable(path):
+        return list_levels(spark, path, pattern)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
     return files.load(path).select("path", "length", "modificationTime")
 

@@ -1,6 +1,9 @@
 """Readers and sinks: what is written is read back."""
 
+import json
+import re
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from conftest import rows_of
@@ -8,6 +11,7 @@ from pyspark.sql import functions as F
 
 from sonoloom.operators.planning import audio_batches
 from sonoloom.sources import readers, sinks
+from sonoloom.sources.store import write_lines
 
 
 def test_metadata_is_bound_by_position(spark, tmp_path):
@@ -44,7 +48,7 @@ def test_transcripts_and_listing(spark, tmp_path):
     assert rows_of(readers.read_transcripts(spark, str(tmp_path))) == [("test1", "sample text 1"), ("test2", "sample\ntext 2")]
     listed = readers.list_store(spark, str(tmp_path))
     assert rows_of(listed.select(F.substring_index("path", "/", -1), "length")) == [("a.wav", 4)]
-    assert "content" not in str(listed._jdf.queryExecution().optimizedPlan().references())
+    assert listed.columns == ["path", "length", "modificationTime"]
 
 
 def test_children(spark):
@@ -68,20 +72,58 @@ def test_reports(spark, tmp_path):
     assert sinks.write_report_tables({"t": table}, str(tmp_path), "post") == []
     (path,) = sinks.write_report_tables({"t": table}, str(tmp_path), "pre-check")
     assert rows_of(spark.read.parquet(path)) == [(1, ["a"])]
-    path = sinks.write_final_report(table, str(tmp_path), "src", datetime(2021, 3, 4, 5, 6, 7))
+    (path,) = sinks.write_final_report(table, str(tmp_path), "src", datetime(2021, 3, 4, 5, 6, 7))
     assert path.endswith("Final_Report_03_04_2021_05_06_07_src.csv")
-    assert rows_of(spark.read.option("header", True).option("escape", "\\").csv(path), "k") == [("1",)]
+    assert Path(path).read_text() == 'k,l\n1,"[""a""]"\n'
+    more = spark.createDataFrame([(i, f"a{i}") for i in range(5, 0, -1)], "k int, l string")
+    files = sinks.write_final_report(more, str(tmp_path), "more", datetime(2021, 3, 4, 5, 6, 7), rows_per_file=2)
+    assert [Path(f).read_text() for f in files] == ["k,l\n1,a1\n2,a2\n", "k,l\n3,a3\n4,a4\n", "k,l\n5,a5\n"]
+    (empty,) = sinks.write_final_report(more.limit(0), str(tmp_path), "none", datetime(2021, 3, 4, 5, 6, 7))
+    assert Path(empty).read_text() == "k,l\n"
 
 
 def test_corpus_and_batches(spark, tmp_path):
     records = spark.createDataFrame([("a.wav", 1, "ann")], "audioFilename string, audioId bigint, speaker string")
     sinks.write_corpus(records, {"domain": "x"}, str(tmp_path / "c"))
-    assert spark.read.json(str(tmp_path / "c" / "data.json")).columns == ["audioFilename"]
-    assert spark.read.text(str(tmp_path / "c" / "params.json")).first()[0] == '{"domain": "x"}'
+    assert json.loads((tmp_path / "c" / "data.json").read_text()) == [{"audioFilename": "a.wav"}]
+    assert json.loads((tmp_path / "c" / "params.json").read_text()) == {"domain": "x"}
+    sinks.write_corpus(records.limit(0), {}, str(tmp_path / "none"))
+    assert json.loads((tmp_path / "none" / "data.json").read_text()) == []
+    many = spark.createDataFrame([(f"{i}.wav",) for i in range(5, 0, -1)], "audioFilename string")
+    sinks.write_corpus(many, {}, str(tmp_path / "many"), records_per_file=2)
+    got = [[r["audioFilename"] for r in json.loads((tmp_path / "many" / f"data{k}.json").read_text())] for k in ("", "_2", "_3")]
+    assert got == [["1.wav", "2.wav"], ["3.wav", "4.wav"], ["5.wav"]]
     listing = spark.createDataFrame([(f"s/{i}/clean/{i}.wav", 1) for i in range(7)] + [("s/9/rejected/9.wav", 1)], "path string, length bigint")
     sinks.write_batches(audio_batches(listing, "wav", 3, "b"), str(tmp_path / "batches"))
-    sizes = spark.read.text(str(tmp_path / "batches")).groupBy("batch_file").count()
-    assert rows_of(sizes) == [("batch_file_1.txt", 3), ("batch_file_2.txt", 3), ("batch_file_3.txt", 1)]
+    written = {f.name: f.read_text().split() for f in (tmp_path / "batches").iterdir()}
+    assert written == {f"batch_file_{k + 1}.txt": [f"b/s/{i}/clean/{i}.wav" for i in range(3 * k, min(3 * k + 3, 7))] for k in range(3)}
+
+
+def test_failed_writing_leaves_no_file(spark, tmp_path):
+    rows = spark.range(40).select(F.col("id"), F.when(F.col("id") == 33, F.raise_error(F.lit("no"))).otherwise("x").alias("line"))
+    with pytest.raises(Exception, match="no"):
+        write_lines(rows, str(tmp_path), F.concat((F.col("id") % 5).cast("string"), F.lit(".txt")), F.col("line"), ["id"])
+    assert [f for f in tmp_path.rglob("*") if f.is_file()] == []
+
+
+def test_listing_by_levels(spark, tmp_path):
+    want = {}
+    for i in range(150):
+        folder = tmp_path / f"s{i % 3}" / f"{i}" / "clean"
+        folder.mkdir(parents=True)
+        (folder / f"{i}.wav").write_bytes(b"x" * i)
+        (folder / f"{i}.txt").write_bytes(b"x")
+        want[f"{tmp_path}/s{i % 3}/{i}/clean/{i}.wav"] = i
+    (tmp_path / "_hidden.wav").write_bytes(b"x")
+    (tmp_path / "top [1].wav").write_bytes(b"12")
+    want[f"{tmp_path}/top [1].wav"] = 2
+    for root in (str(tmp_path), f"file:{tmp_path}/", f"file://{tmp_path}"):
+        found = readers.list_store(spark, root).collect()
+        assert {re.sub(r"^file:/+", "/", r.path): r.length for r in found} == want
+        assert all(r.modificationTime is not None for r in found)
+    assert readers.list_store(spark, str(tmp_path), "*.mp4").count() == 0
+    with pytest.raises(Exception, match="nowhere"):
+        readers.list_store(spark, str(tmp_path / "nowhere")).count()
 
 
 def test_other_sinks(spark, tmp_path):
