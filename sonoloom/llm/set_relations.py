@@ -6,14 +6,19 @@
    shingles are mostly common is ordered over its whole set.
 3. A list is an index by position.  A list of a common shingle is cut into blocks by set size, and pairs whose sizes or positions
    leave too little room for a shared t are skipped.  The entry with the least position (the fewest shingles of its own)
-   is the list's pivot and is compared with the other entries: these are the pivot's answers.
-4. Linked nodes are contracted; lists inside one component are done.  In the others the rest meets the list, and a set's answers
-   are derived from the pivot's: sets at a distance from the pivot that rules a link out are skipped, and for sets highly
-   similar to the pivot the overlap follows from their differences to it,
-   |x & y| = |p| - |(p - x) | (p - y)| + |(x - p) & (y - p)|.  Only pairs without such a pivot are compared in full.
+   is the list's pivot and is compared with the other entries.  Its answers are the sets near it, a reach of several link radii, and how
+   they differ from it.  Linked nodes are contracted.
+4. What is left is derived from the pivots' answers.  For two sets near a pivot p the symmetric difference is that of their
+   differences D to p, so they are linked iff |D_x| + |D_y| - 2 |D_x & D_y| is small enough.  Either the sizes alone decide, then
+   one link to the set with the most slack stands for all, or they share some of their differences: these are listed by
+   position once more, rare ones first, in blocks by slack, and a block without room for a link is skipped as a whole.  Groups of
+   near copies thus meet only where they share edits, and overlaps follow from the differences alone:
+   |x & y| = |p| - |(p - x) | (p - y)| + |(x - p) & (y - p)|.
+   A set beyond the reach of a pivot can be linked only to sets that are less than one radius inside it: lists go on with these,
+   and a new pivot, for a few turns, and what is left then is compared.
 5. Components of the links name each document's group by its least doc_id.
 
-Before any comparison a histogram of 64 bins per node bounds the symmetric difference from below, so it never loses a pair.
+Before any comparison a histogram of 256 bins per node bounds the symmetric difference from below, so it never loses a pair.
 """
 
 from __future__ import annotations
@@ -35,7 +40,10 @@ from sonoloom.session import checkpointed, work_path
 
 SHINGLE = 3
 COMMON = 32
-BINS = 64
+BINS = 256
+REACH = 30
+ROUNDS = 2
+LIST = ["token", "block"]
 
 
 def _written(df: DataFrame, name: str) -> DataFrame:
@@ -70,7 +78,7 @@ def set_rows(docs: DataFrame, size: int, percent: int) -> DataFrame:
                 some = len(values) > 0
                 sizes.append(len(values))
                 nodes.append(hashlib.blake2b(values.tobytes(), digest_size=16).digest() if some else None)
-                bins.append(np.minimum(np.bincount(values & (BINS - 1), minlength=BINS), 65_535).astype(np.uint16).tobytes() if some else None)
+                bins.append(np.minimum(np.bincount(values & (BINS - 1), minlength=BINS), 255).astype(np.uint8).tobytes() if some else None)
                 heads.append(_head(values, percent) if some else None)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -158,7 +166,7 @@ def _maybe(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     def test(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             if len(rows):
-                left, right = (np.frombuffer(b"".join(rows[c]), np.uint16).reshape(-1, BINS).astype(np.int32) for c in ("bins_a", "bins_b"))
+                left, right = (np.frombuffer(b"".join(rows[c]), np.uint8).reshape(-1, BINS).astype(np.int16) for c in ("bins_a", "bins_b"))
                 both = rows["n_a"].to_numpy() + rows["n_b"].to_numpy()
                 rows = rows[(100 + percent) * np.abs(left - right).sum(axis=1) <= (100 - percent) * both]
             yield rows[columns]
@@ -186,10 +194,10 @@ def _compared(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, pe
                 gone, new = np.setdiff1d(first, second, True), np.setdiff1d(second, first, True)
                 shared = len(first) - len(gone)
                 if 100 * shared >= percent * (shared + len(gone) + len(new)):
-                    found.append((a, b, len(first), len(second), shared, gone.tobytes(), new.tobytes()))
+                    found.append((a, b, len(first), len(second), shared, gone.view(np.int64), new.view(np.int64)))
             yield pd.DataFrame(found, columns=["a", "b", "n_a", "n_b", "shared", "gone", "new"])
 
-    schema = "a bigint, b bigint, n_a bigint, n_b bigint, shared bigint, gone binary, new binary"
+    schema = "a bigint, b bigint, n_a bigint, n_b bigint, shared bigint, gone array<bigint>, new array<bigint>"
     return sided.select("a", "b", "text_a", "text_b").mapInPandas(compare, schema)
 
 
@@ -204,8 +212,7 @@ def _derived(pairs: DataFrame, percent: int) -> DataFrame:
         for rows in batches:
             good = []
             for n, n_a, n_b, gone_a, gone_b, new_a, new_b in zip(*(rows[c] for c in ("n_p", "n_a", "n_b", "gone_a", "gone_b", "new_a", "new_b"))):
-                ga, gb, na, nb = (np.frombuffer(x, np.uint64) for x in (gone_a, gone_b, new_a, new_b))
-                shared = n - len(np.union1d(ga, gb)) + len(np.intersect1d(na, nb, True))
+                shared = n - len(np.union1d(gone_a, gone_b)) + len(np.intersect1d(new_a, new_b, True))
                 good.append(100 * shared >= percent * (n_a + n_b - shared))
             yield rows.loc[np.array(good, bool), ["a", "b"]]
 
@@ -214,81 +221,142 @@ def _derived(pairs: DataFrame, percent: int) -> DataFrame:
 
 def links(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
     """Links (a, b) between node ids: enough for the components of all links."""
-    near = max(2 * percent - 100, 1)
-    entries = listed(docs, nodes, size, percent)
-    key = ["token", "block"]
-    pivots = entries.groupBy(*key).agg(
-        F.min(F.struct("pos", "n", "id")).alias("p"), F.count(F.lit(1)).alias("_n"), F.max("own").alias("_own")
-    )
-    lists = _written(entries.join(pivots.filter("_n > 1 AND _own").drop("_n", "_own"), key), "lists")
-    others = lists.filter("id <> p.id")
-    sized = 100 * F.least("n", "p.n") >= near * F.greatest("n", "p.n")
-    stars = others.filter(sized & _room(F.col("n"), F.col("pos"), F.col("p.n"), F.col("p.pos"), near))
-    pairs = stars.select(F.col("p.id").alias("a"), F.col("id").alias("b")).distinct()
-    answers = _written(_compared(docs, nodes, checkpointed(_maybe(pairs, nodes, near)), size, near), "answers")
-    direct = answers.filter(_is_link(F.col("shared"), F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
-    groups = checkpointed(components(direct))
-    return direct.unionByName(_rest(docs, nodes, lists, answers, groups, size, percent, near))
-
-
-def _rest(
-    docs: DataFrame, nodes: DataFrame, lists: DataFrame, answers: DataFrame, groups: DataFrame, size: int, percent: int, near: int
-) -> DataFrame:
-    """Links between nodes of one list that the pivots' answers left in different components."""
-    key = ["token", "block"]
-    named = groups.select(F.col("node").alias("id"), "component")
-    placed = lists.join(named, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    unsettled = placed.groupBy(*key).agg(F.min("component").alias("_x"), F.max("component").alias("_y"), F.count(F.lit(1)).alias("_n"))
-    open_lists = unsettled.filter("_x <> _y AND _n > 2").select(*key)
-    # what the pivot's answer says of an entry: its distance where it is near, else that it is farther than two link radii
+    near = max(percent - REACH, 1)
+    entries = listed(docs, nodes, size, percent).withColumn("near", F.lit(0))
+    lists = _with_pivots(entries, entries.filter("own"), "lists")
+    answers, named = None, None
+    for turn in range(ROUNDS):
+        others = lists.filter("id <> p.id")
+        sized = 100 * F.least("n", "p.n") >= near * F.greatest("n", "p.n")
+        stars = others.filter(sized & _room(F.col("n"), F.col("pos"), F.col("p.n"), F.col("p.pos"), near))
+        pairs = stars.select(F.col("p.id").alias("a"), F.col("id").alias("b")).distinct()
+        if answers is not None:
+            pairs = pairs.join(answers.select("a", "b"), ["a", "b"], "left_anti")
+        told = _written(_compared(docs, nodes, checkpointed(_maybe(pairs, nodes, near)), size, near), "answers")
+        answers = told if answers is None else answers.unionByName(told)
+        direct = answers.filter(_is_link(F.col("shared"), F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
+        named = checkpointed(components(direct)).select(F.col("node").alias("id"), "component")
+        lists = _beyond(lists, answers, named, turn, percent, near)
+    likely = checkpointed(_difference_pairs(answers, named, percent))
+    parts = answers.select(F.col("a").alias("p"), "n_a", "n_b", "b", "gone", "new")
+    left = parts.select("p", F.col("n_a").alias("n_p"), F.col("b").alias("a"), F.col("n_b").alias("n_a"), F.col("gone").alias("gone_a"), F.col("new").alias("new_a"))
+    right = parts.select("p", "b", "n_b", F.col("gone").alias("gone_b"), F.col("new").alias("new_b"))
+    derived = _derived(likely.filter("NOT sure").join(left, ["p", "a"]).join(right, ["p", "b"]), percent)
+    far = checkpointed(_maybe(_far_pairs(lists, percent), nodes, percent))
+    compared = _compared(docs, nodes, far, size, percent)
+    return direct.unionByName(likely.filter("sure").select("a", "b")).unionByName(derived).unionByName(compared.select("a", "b"))
+
+
+def _with_pivots(entries: DataFrame, candidates: DataFrame, name: str) -> DataFrame:
+    """The entries of lists that have others beside a pivot, with that pivot ``p``: the candidate with the least position."""
+    sizes = entries.groupBy(*LIST).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(*LIST)
+    pivots = candidates.groupBy(*LIST).agg(F.min(F.struct("pos", "n", "id")).alias("p"))
+    return _written(entries.join(sizes.join(pivots, LIST), LIST), name)
+
+
+def _beyond(lists: DataFrame, answers: DataFrame, named: DataFrame, turn: int, percent: int, near: int) -> DataFrame:
+    """What is left of the lists after their pivots' answers, with new pivots.
+
+    ``near`` has a bit for every turn in whose pivot's answers the entry was; two entries with a common bit are covered by these.
+    An entry that is not among the answers is beyond the pivot's reach, so by the triangle inequality it is not
+    linked to entries that are one radius inside: those leave the list.  Lists go on where entries of different components have no
+    bit in common; the next pivot is an entry far from this one.
+    """
     distance = F.lit(1.0) - F.col("shared") / (F.col("n_a") + F.col("n_b") - F.col("shared"))
-    told = answers.select(F.col("a").alias("_p"), F.col("b").alias("id"), distance.alias("far"))
-    main = named.select(F.col("id").alias("_p"), F.col("component").alias("main"))
-    members = (
-        placed.join(open_lists, key)
-        .withColumn("_p", F.col("p.id"))
-        .join(told, ["_p", "id"], "left")
-        .join(main, "_p", "left")
+    told = answers.select(F.col("a").alias("_p"), F.col("b").alias("id"), distance.alias("away"))
+    close = (percent - near) / 100 + 1e-9
+    left = (
+        lists.withColumn("_p", F.col("p.id"))
+        .drop("p", "component")
         .filter("id <> _p")
-        .withColumn("apart", F.col("component") != F.coalesce("main", "_p"))
-        .select(*key, "own", "id", "n", "pos", "component", F.col("_p").alias("pivot"), "far", "apart")
+        .join(told, ["_p", "id"], "left")
+        .filter(F.col("away").isNull() | (F.col("away") > close))
+        .withColumn("near", F.when(F.col("away").isNull(), F.col("near")).otherwise(F.col("near").bitwiseOR(F.lit(1 << turn))))
+        .join(named, "id", "left")
+        .withColumn("component", F.coalesce("component", "id"))
+        .withColumn("far", F.col("away").isNull())
+        .drop("away", "_p")
     )
-    members = _written(members, "open-lists")
-    x, y = members.filter("apart").alias("x"), members.alias("y")
-    # an entry without an answer has a similarity below ``near`` to the pivot, so by the triangle inequality it has no link to
-    # a set close to the pivot
-    radius, close = (100 - percent) / 100 + 1e-9, (percent - near) / 100 + 1e-9
-    far_x, far_y = F.col("x.far"), F.col("y.far")
-    ruled_out = (
-        F.when(far_x.isNotNull() & far_y.isNotNull(), F.abs(far_x - far_y) > radius)
-        .when(far_x.isNotNull() | far_y.isNotNull(), F.coalesce(far_x, far_y) <= close)
-        .otherwise(F.lit(False))
+    mixed = left.groupBy(*LIST).agg(
+        F.max("far").alias("_far"), F.min("component").alias("_x"), F.max("component").alias("_y"), F.bit_and("near").alias("_all"), F.max("own").alias("_own")
+    )
+    left = _written(left.join(mixed.filter("_far AND _own AND _x <> _y AND _all = 0").select(*LIST), LIST), "beyond")
+    return _with_pivots(left, left.filter("far"), "lists")
+
+
+def _ordered(a: Column, b: Column) -> list[Column]:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+
+def _difference_pairs(answers: DataFrame, named: DataFrame, percent: int) -> DataFrame:
+    """(p, a, b, sure): pairs in different components that are both near pivot p and may be linked, or are for sure.
+
+    x and y are linked iff |x - y| + |y - x| <= c (|x| + |y|) with c = (1 - t) / (1 + t).  With slack = c |x| - |D_x|, all in units
+    of 1 / (100 + percent), that is 2 |D_x & D_y| >= -(slack_x + slack_y).
+    """
+    unit = 100 + percent
+    slack = (100 - percent) * F.col("n") - unit * F.col("d")
+    own, centre = named.select("id", "component"), named.select(F.col("id").alias("p"), F.col("component").alias("main"))
+    balls = (
+        answers.select(F.col("a").alias("p"), F.col("b").alias("id"), F.col("n_b").alias("n"), F.concat("gone", "new").alias("_d"))
+        .withColumn("d", F.size("_d").cast("bigint"))
+        .join(own, "id", "left")
+        .join(centre, "p", "left")
+        .withColumn("component", F.coalesce("component", "id"))
+        .withColumn("apart", F.col("component") != F.coalesce("main", "p"))
+        .select("p", "id", "component", "apart", "d", slack.alias("slack"), "_d")
+    )
+    tops = balls.groupBy("p").agg(
+        F.max(F.struct("slack", "id")).alias("best"), F.max(F.when(F.col("apart"), F.col("slack"))).alias("best_apart"), F.max("apart").alias("_open")
+    )
+    balls = _written(balls.join(tops.filter("_open").drop("_open"), "p"), "balls")
+    sure = balls.filter("apart AND id <> best.id AND slack + best.slack >= 0").select("p", *_ordered(F.col("id"), F.col("best.id")), F.lit(True).alias("sure"))
+
+    def needed(slacks: Column) -> Column:
+        return F.greatest(F.lit(1), F.ceil(-slacks / (2.0 * unit) - 1e-9)).cast("int")
+
+    other = F.when(F.col("apart"), F.col("best.slack")).otherwise(F.col("best_apart"))
+    tokens = balls.select("p", "id", "component", "apart", "d", "slack", needed(F.col("slack") + other).alias("_need"), F.explode("_d").alias("token"))
+    often = tokens.groupBy("p", "token").agg(F.count(F.lit(1)).alias("_f"), F.max("apart").alias("_hit"))
+    place = F.row_number().over(Window.partitionBy("p", "id").orderBy("_f", "token")) - 1
+    entries = _written(
+        tokens.join(often, ["p", "token"])
+        .withColumn("room", (F.col("d") - place).cast("int"))
+        .filter("room >= _need AND _f > 1 AND _hit")
+        .select("p", "token", F.floor(F.col("slack") / (8.0 * unit)).cast("int").alias("block"), "id", "component", "apart", "slack", "room"),
+        "differences",
+    )
+    blocks = entries.groupBy("p", "token", "block").agg(F.max("room").alias("most"), F.max("slack").alias("top"))
+    probes = (
+        entries.filter("apart")
+        .select("p", "token", F.col("id").alias("x"), F.col("component").alias("_cx"), F.col("slack").alias("_sx"), F.col("room").alias("_rx"))
+        .join(blocks, ["p", "token"])
+        .filter(F.least("_rx", "most") >= needed(F.col("_sx") + F.col("top")))
     )
     meet = (
-        (F.col("x.component") != F.col("y.component"))
-        & (~F.col("y.apart") | (F.col("x.id") < F.col("y.id")))
+        (F.col("component") != F.col("_cx"))
+        & (~F.col("apart") | (F.col("x") < F.col("id")))
+        & (F.least("_rx", "room") >= needed(F.col("_sx") + F.col("slack")))
+    )
+    shared = probes.join(entries, ["p", "token", "block"]).filter(meet)
+    pairs = shared.select("p", *_ordered(F.col("x"), F.col("id"))).groupBy("a", "b").agg(F.max("p").alias("p"))
+    return sure.unionByName(pairs.select("p", "a", "b", F.lit(False).alias("sure")))
+
+
+def _far_pairs(lists: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs in what is left of a list, in different components and near no common pivot."""
+    x, y = lists.filter("far").alias("x"), lists.alias("y")
+    meet = (
+        (F.col("x.token") == F.col("y.token"))
+        & (F.col("x.block") == F.col("y.block"))
+        & (F.col("x.component") != F.col("y.component"))
+        & (F.col("x.near").bitwiseAND(F.col("y.near")) == 0)
+        & (~F.col("y.far") | (F.col("x.id") < F.col("y.id")))
         & (F.col("x.own") | F.col("y.own"))
         & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
         & _room(F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos"), percent)
-        & ~ruled_out
-    )
-    same_list = (F.col("x.token") == F.col("y.token")) & (F.col("x.block") == F.col("y.block"))
-    pairs = (
-        x.join(y, same_list & meet)
-        .select(
-            F.least("x.id", "y.id").alias("a"),
-            F.greatest("x.id", "y.id").alias("b"),
-            F.when(F.col("x.far").isNotNull() & F.col("y.far").isNotNull(), F.col("x.pivot")).alias("p"),
-        )
-        .groupBy("a", "b")
-        .agg(F.max("p").alias("p"))
     )
-    likely = checkpointed(_maybe(pairs, nodes, percent))
-    told = answers.select(F.col("a").alias("p"), "n_a", "n_b", "b", "gone", "new")
-    left = told.select("p", F.col("n_a").alias("n_p"), F.col("b").alias("a"), F.col("n_b").alias("n_a"), F.col("gone").alias("gone_a"), F.col("new").alias("new_a"))
-    right = told.select("p", "b", "n_b", F.col("gone").alias("gone_b"), F.col("new").alias("new_b"))
-    derived = _derived(likely.filter("p IS NOT NULL").join(left, ["p", "a"]).join(right, ["p", "b"]), percent)
-    return derived.unionByName(_compared(docs, nodes, likely.filter("p IS NULL"), size, percent).select("a", "b"))
+    return x.join(y, meet).select(*_ordered(F.col("x.id"), F.col("y.id"))).distinct()
 
 
 def jaccard_groups(docs: DataFrame, percent: int = 90, size: int = SHINGLE) -> DataFrame:
