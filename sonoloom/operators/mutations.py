@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,30 +15,59 @@ from sonoloom.operators.selection import FILE_NAME
 from sonoloom.schemas import SPEAKER
 
 
+class Rule(NamedTuple):
+    """How a column takes changes.
+
+    ``merge`` makes one change of all changes of a key, given (value, order): an aggregate, combined before the shuffle, so
+    a key with any number of changes stays one row.  ``apply`` is the new value of (old value, merged change).  Applying the merged
+    change must equal applying the changes in turn.
+    """
+
+    merge: Callable[[Column, Column], Column]
+    apply: Callable[[Column, Column], Column]
+
+
 def apply_changes(
-    table: DataFrame, changes: DataFrame, keys: Sequence[str], assign: dict[str, Callable[[Column, Column], Column]]
+    table: DataFrame,
+    changes: DataFrame,
+    keys: Sequence[str],
+    assign: Mapping[str, Rule | Callable[[Column, Column], Column]],
+    order_by: Sequence[str] = (),
 ) -> DataFrame:
     """``table`` with columns reassigned where a change row has the same keys.
 
-    ``assign`` maps a column to a function of (old value, change value).  Several change rows
-    of one key count once: the least of them is taken, so that reruns agree.  A change set of
+    ``assign`` maps a column to a function of (old value, change value), or to a ``Rule``.  Several changes of one key are applied
+    in turn, in the order of the change columns ``order_by`` (at a tie, of all change columns): with a plain function the
+    last one counts, a null included.  Without an order the least of them counts, so that reruns agree.  A change set of
     keys alone is only made distinct.
     """
-    columns = [c for c in changes.columns if c not in keys]
-    hit_row = F.struct(*[F.col(c) for c in columns], F.lit(True).alias("_hit"))
+    columns = [c for c in changes.columns if c not in keys and c not in order_by]
+    rules = {c: r if isinstance(r, Rule) else Rule(F.max_by if order_by else F.min_by, r) for c, r in assign.items()}
     if columns:
-        one = changes.groupBy(*keys).agg(F.min(hit_row).alias("_c"))
+        order = F.struct(*order_by, *columns)
+        plain = Rule(F.max_by if order_by else F.min_by, take_new)
+        merged = [rules.get(c, plain).merge(F.col(c), order).alias(c) for c in columns]
+        one = changes.groupBy(*keys).agg(*merged).select(*keys, F.struct(*columns, F.lit(True).alias("_hit")).alias("_c"))
     else:
-        one = changes.distinct().withColumn("_c", hit_row)
+        one = changes.select(*keys).distinct().withColumn("_c", F.struct(F.lit(True).alias("_hit")))
     joined = table.join(one, list(keys), "left")
     hit = F.coalesce(F.col("_c._hit"), F.lit(False))
     updated = {
-        name: F.when(hit, rule(F.col(name), F.col(f"_c.{name}") if name in columns else F.lit(None))).otherwise(F.col(name))
-        for name, rule in assign.items()
+        name: F.when(hit, rule.apply(F.col(name), F.col(f"_c.{name}") if name in columns else F.lit(None))).otherwise(F.col(name))
+        for name, rule in rules.items()
     }
     return joined.select(*[updated[c].alias(c) if c in updated else F.col(c) for c in table.columns])
 
 
+def change_log(change_sets: Sequence[DataFrame], order: str = "change") -> DataFrame:
+    """Change sets as one log: ``order`` is the place of a row's set, so later sets come later."""
+    numbered = [changes.withColumn(order, F.lit(place)) for place, changes in enumerate(change_sets)]
+    log = numbered[0]
+    for changes in numbered[1:]:
+        log = log.unionByName(changes)
+    return log
+
+
 def take_new(_old: Column, new: Column) -> Column:
     return new
 
@@ -52,14 +82,10 @@ def bulk_apply(
     table: DataFrame, change_sets: Sequence[DataFrame], keys: Sequence[str], columns: Sequence[str]
 ) -> DataFrame:
     """Many row changes in one pass; on a repeated key the later change set wins."""
-    stacked = None
-    for position, changes in enumerate(change_sets):
-        numbered = changes.select(*keys, *columns, F.lit(position).alias("_n"))
-        stacked = numbered if stacked is None else stacked.unionByName(numbered)
-    if stacked is None:
+    if not change_sets:
         return table
-    last = stacked.groupBy(*keys).agg(F.max_by(F.struct(*columns), F.col("_n")).alias("_c")).select(*keys, "_c.*")
-    return apply_changes(table, last, keys, {c: take_new for c in columns})
+    log = change_log([c.select(*keys, *columns) for c in change_sets], "_change")
+    return apply_changes(table, log, keys, {c: take_new for c in columns}, ["_change"])
 
 
 def stage_utterances(
@@ -118,6 +144,10 @@ def engine_union(old: Column, new: Column) -> Column:
     return F.array_sort(F.array_union(F.coalesce(old, F.array().cast("array<string>")), new))
 
 
+STICKY_TRUE = Rule(lambda value, _: F.max(value), sticky_true)
+ENGINE_UNION = Rule(lambda value, _: F.array_distinct(F.flatten(F.collect_set(value))), engine_union)
+
+
 def add_speakers(speakers: DataFrame, staging: DataFrame, **sizes: int) -> DataFrame:
     """Speaker table with the unseen speakers of staging appended."""
     fresh = assign_ids(new_speakers(staging, speakers), speakers, "speaker_id", ["speaker_name", "source"], **sizes)
@@ -135,21 +165,21 @@ def upsert_speakers(speakers: DataFrame, names: DataFrame, source: str, **sizes:
     return speakers.unionByName(numbered.withColumn("speaker_id", F.col("speaker_id").cast("int")), allowMissingColumns=True)
 
 
-def assign_speakers(mapping: DataFrame, speakers: DataFrame, members: DataFrame) -> DataFrame:
+def assign_speakers(mapping: DataFrame, speakers: DataFrame, members: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
     """Set speaker and noise flag by file name alone, across recordings.
 
     ``members`` is (speaker_name, file name, was_noise); a name owned by several speaker rows
-    takes the least id.
+    takes the least id.  A file named by several members takes the last one in ``order_by``.
     """
     ids = speakers.groupBy("speaker_name").agg(F.min("speaker_id").alias("speaker_id"))
-    changes = members.join(ids, "speaker_name").select(FILE_NAME, "speaker_id", "was_noise")
-    return apply_changes(mapping, changes, [FILE_NAME], {"speaker_id": take_new, "was_noise": take_new})
+    changes = members.join(ids, "speaker_name").select(FILE_NAME, "speaker_id", "was_noise", *order_by)
+    return apply_changes(mapping, changes, [FILE_NAME], {"speaker_id": take_new, "was_noise": take_new}, order_by)
 
 
-def assign_gender(mapping: DataFrame, genders: DataFrame) -> DataFrame:
-    """Set the gender by file name alone; anything but ``m`` is ``f``."""
-    changes = genders.select(FILE_NAME, gender_letter(F.col("gender")).alias("speaker_gender"))
-    return apply_changes(mapping, changes, [FILE_NAME], {"speaker_gender": take_new})
+def assign_gender(mapping: DataFrame, genders: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
+    """Set the gender by file name alone; anything but ``m`` is ``f``; of several the last in ``order_by``."""
+    changes = genders.select(FILE_NAME, gender_letter(F.col("gender")).alias("speaker_gender"), *order_by)
+    return apply_changes(mapping, changes, [FILE_NAME], {"speaker_gender": take_new}, order_by)
 
 
 def gender_letter(gender: Column) -> Column:

@@ -399,19 +399,64 @@ def speaker_assign(spark, sf_dir):
 
 @query(
     sql(
-        "BS",
-        """SELECT speaker_name, source, CAST(CASE WHEN old THEN n + 1 ELSE 0 END AS INTEGER) AS old_id FROM (
-  SELECT DISTINCT speaker_name, 'src0' AS source, CAST(split_part(speaker_name, '_', 3) AS INTEGER) AS n,
-    CAST(split_part(speaker_name, '_', 3) AS INTEGER) % 2 = 0 AS old FROM B)""",
+        "B",
+        """SELECT speaker_name, 'src0' AS source, CAST(CASE WHEN n % 2 = 0 THEN n + 1
+    ELSE max(CASE WHEN n % 2 = 0 THEN n + 1 END) OVER () + row_number() OVER (PARTITION BY n % 2 ORDER BY speaker_name) END AS INTEGER) AS speaker_id
+  FROM (SELECT DISTINCT speaker_name, CAST(split_part(speaker_name, '_', 3) AS INTEGER) AS n FROM B)""",
     )
 )
 def speaker_upsert(spark, sf_dir):
-    """Cluster names added once per source; names it already has keep their id."""
+    """Cluster names added once per source with ids after the greatest; names it already has keep theirs."""
     names = members(spark, sf_dir).select("speaker_name").distinct()
     number = F.substring_index("speaker_name", "_", -1).cast("int")
     known = names.filter(number % 2 == 0).select((number + 1).alias("speaker_id"), "speaker_name", F.lit("src0").alias("source"))
-    table = mut.upsert_speakers(known, names, "src0")
-    return table.select("speaker_name", "source", F.when(number % 2 == 0, F.col("speaker_id")).otherwise(0).alias("old_id"))
+    return mut.upsert_speakers(known, names, "src0").select("speaker_name", "source", "speaker_id")
+
+
+@query(
+    sql(
+        "SU",
+        f"""SELECT S.audio_id, CASE WHEN C.audio_id IS NULL THEN S.language ELSE last_status END AS language,
+  coalesce(S.is_normalized, false) OR coalesce(any_true, false) AS is_normalized, coalesce(engines, []) AS engines
+FROM S LEFT JOIN (
+  SELECT audio_id, arg_max(status, seq) AS last_status, bool_or(is_transcribed) AS any_true, list_sort(list_distinct(flatten(list(stt_api_used)))) AS engines
+  FROM (SELECT *, CAST(split_part({NAME}, '_', 1) AS BIGINT) AS seq FROM U) GROUP BY audio_id) C USING (audio_id)""".replace(
+            "coalesce(engines, []) AS engines", "array_to_string(coalesce(engines, []), ',') AS engines"
+        ),
+    )
+)
+def changes_in_turn(spark, sf_dir):
+    """Several changes of one recording in one log, by sequence: the last value, a flag that stays true, a growing set."""
+    log = utterances(spark, sf_dir).select(
+        "audio_id",
+        F.split_part(NAME, F.lit("_"), F.lit(1)).cast("bigint").alias("seq"),
+        F.col("status").alias("language"),
+        F.col("is_transcribed").alias("is_normalized"),
+        F.col("stt_api_used").alias("engines"),
+    )
+    rows = recordings(spark, sf_dir).select("audio_id", "language", "is_normalized", F.array().cast("array<string>").alias("engines"))
+    rules = {"language": mut.take_new, "is_normalized": mut.STICKY_TRUE, "engines": mut.ENGINE_UNION}
+    done = mut.apply_changes(rows, log, ["audio_id"], rules, ["seq"])
+    return done.select("audio_id", "language", F.coalesce("is_normalized", F.lit(False)).alias("is_normalized"), F.concat_ws(",", "engines").alias("engines"))
+
+
+@query(
+    sql(
+        "U",
+        f"""SELECT audio_id, {NAME}, 'spk_' || split_part({NAME}, '_', 1) AS speaker_name, CASE WHEN snr % 2 = 0 THEN 'm' ELSE 'f' END AS speaker_gender FROM U""",
+    )
+)
+def assigned_in_turn(spark, sf_dir):
+    """Speaker and gender given several times for each file; the later assignment stands."""
+    rows = mapping(spark, sf_dir)
+    number = F.split_part(NAME, F.lit("_"), F.lit(1)).cast("int")
+    ids = rows.select(F.concat(F.lit("spk_"), number.cast("string")).alias("speaker_name"), number.alias("speaker_id")).distinct()
+    wrong = F.concat(F.lit("spk_"), (number % 3 + 1).cast("string"))
+    named = [rows.select(NAME, who.alias("speaker_name"), F.lit(False).alias("was_noise")) for who in (wrong, F.concat(F.lit("spk_"), number.cast("string")))]
+    placed = mut.assign_speakers(rows, ids, mut.change_log(named), ["change"])
+    letters = [rows.select(NAME, letter.alias("gender")) for letter in (F.lit("m"), F.when(F.col("snr") % 2 == 0, "m").otherwise("f"))]
+    done = mut.assign_gender(placed, mut.change_log(letters), ["change"])
+    return done.select("audio_id", NAME, F.concat(F.lit("spk_"), F.col("speaker_id").cast("string")).alias("speaker_name"), "speaker_gender")
 
 
 @query(
