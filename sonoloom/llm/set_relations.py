@@ -41,7 +41,7 @@ from sonoloom.session import checkpointed, work_path
 SHINGLE = 3
 COMMON = 32
 BINS = 256
-REACH = 30
+REACH = 40
 ROUNDS = 2
 LIST = ["token", "block"]
 
