@@ -75,7 +75,9 @@ def grams(parts: list[str], context: list[int], classes: np.ndarray, order: int,
         counted[start : start + skip] = False
     if squeeze and len(codes):
         keep = codes != 0
-        keep[1:] |= codes[:-1] != 0
+        after = np.concatenate([[False], codes[:-1] != 0])
+        after[starts[starts < len(codes)]] = False  # what lies before a string's first character is another string
+        keep |= after
         total = np.concatenate([[0], np.cumsum(keep)])
         starts, ends, codes, counted = total[starts], total[ends], codes[keep], counted[keep]
     packed = codes.astype(np.int64)

@@ -18,6 +18,8 @@ SHARD_ROWS = 8_192
 QUERY_ROWS = 2_048
 PROBE = 8
 
+NO_ID = (1 << 63) - 1
+
 
 def usable(vector: Column) -> Column:
     """Not null, and neither null nor non-finite in any component."""
@@ -32,8 +34,8 @@ def quantised(vector: Column, scale: int) -> Column:
 class Shard:
     """Posting lists of some vectors: one row per term, with the least and largest component."""
 
-    def __init__(self, ids: np.ndarray, vectors: list, width: int):
-        self.ids = ids
+    def __init__(self, ids: np.ndarray, none: np.ndarray, vectors: list, width: int):
+        self.ids, self.none = ids, none
         self.lists = np.zeros((width, len(ids)), np.int64)
         for i, vector in enumerate(vectors):
             self.lists[: len(vector), i] = vector
@@ -47,7 +49,7 @@ class Shard:
         order = order[query[order] != 0]
         rest = np.concatenate([np.cumsum((hi - lo)[order][::-1])[::-1], [0]])  # what the terms from here on can add above lo
         base = int(lo[order].sum())
-        alive = np.flatnonzero(self.ids != own)
+        alive = np.flatnonzero((self.ids != own) | self.none)
         if len(alive) <= k:
             threshold, essential = None, len(order)
         else:
@@ -69,7 +71,7 @@ class Shard:
             partial = partial + query[step] @ self.lists[np.ix_(step, alive)] - lo[step].sum()
             done += len(step)
         scores = partial + base
-        best = np.lexsort((self.ids[alive], -scores))[:k]
+        best = np.lexsort((self.ids[alive], self.none[alive], -scores))[:k]
         return alive[best], scores[best]
 
 
@@ -83,9 +85,13 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, *, id_column: str = "v
     """
 
     def narrow(rows: DataFrame) -> DataFrame:
-        return rows.filter(usable(F.col(vector))).select(F.col(id_column).cast("bigint").alias("_id"), quantised(F.col(vector), scale).alias("_v"))
+        # ids go through pandas without nulls, so that they stay 64-bit integers; the flag tells the rows without an id
+        number = F.col(id_column).cast("bigint")
+        return rows.filter(usable(F.col(vector))).select(
+            F.coalesce(number, F.lit(NO_ID)).alias("_id"), number.isNull().alias("_none"), quantised(F.col(vector), scale).alias("_v")
+        )
 
-    candidates, asked = narrow(vectors), narrow(queries).filter(F.col("_id").isNotNull()).distinct()
+    candidates, asked = narrow(vectors), narrow(queries).filter("NOT _none").drop("_none").distinct()
     n_candidates, n_queries = vectors.count(), queries.count()
     shards, blocks = max(1, -(-n_candidates // SHARD_ROWS)), max(1, -(-n_queries // QUERY_ROWS))
     spread = F.monotonically_increasing_id()
@@ -100,24 +106,23 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, *, id_column: str = "v
         found = []
         if len(rows) and len(wanted):
             width = max(rows["_v"].map(len).max(), wanted["_v"].map(len).max())
-            ids = rows["_id"].fillna(np.iinfo(np.int64).max).to_numpy(np.int64)
-            shard = Shard(ids, rows["_v"].to_list(), width)
+            none = rows["_none"].to_numpy(bool)
+            shard = Shard(rows["_id"].to_numpy(np.int64), none, rows["_v"].to_list(), width)
             for own, values in zip(wanted["_id"], wanted["_v"]):
                 query = np.zeros(width, np.int64)
                 query[: len(values)] = values
                 at, scores = shard.top(query, own, k)
-                found.append(pd.DataFrame({"query_id": own, "vec_id": shard.ids[at], "score": scores, "_copy": at}))
-        return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "score": [], "_copy": []}, dtype="int64")
+                found.append(pd.DataFrame({"query_id": own, "vec_id": shard.ids[at], "none": none[at], "score": scores, "_copy": at}))
+        return pd.concat(found) if found else pd.DataFrame({"query_id": [], "vec_id": [], "none": [], "score": [], "_copy": []}, dtype="int64")
 
     hits = (
         left.groupBy("_shard", "_block")
         .cogroup(right.groupBy("_shard", "_block"))
-        .applyInPandas(search, "query_id bigint, vec_id bigint, score bigint, _copy bigint")
+        .applyInPandas(search, "query_id bigint, vec_id bigint, none boolean, score bigint, _copy bigint")
     )
-    place = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id", "_copy")
-    missing = F.lit(np.iinfo(np.int64).max)
+    place = Window.partitionBy("query_id").orderBy(F.desc("score"), "none", "vec_id", "_copy")
     return (
         hits.withColumn("rank", F.row_number().over(place))
         .filter(F.col("rank") <= k)
-        .select("query_id", "rank", F.when(F.col("vec_id") != missing, F.col("vec_id")).alias("vec_id"), "score")
+        .select("query_id", "rank", F.when(~F.col("none"), F.col("vec_id")).alias("vec_id"), "score")
     )

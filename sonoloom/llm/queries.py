@@ -71,12 +71,20 @@ def op3_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tokens by source, language and tokenizer after all documents came in, as two batches."""
+    """Tokens by source, language and tokenizer after inserts, a revision, deletes, their return, and replays of every batch."""
     docs = table(spark, sf_dir, "documents")
-    odd = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 1
+    share = F.pmod(F.xxhash64("doc_id"), F.lit(10))
+    named = docs.filter("doc_id IS NOT NULL")
     ledger = TokenLedger(spark, work_path(spark, "token-ledger"))
-    ledger.insert("even", docs.filter(~odd))
-    ledger.insert("odd", docs.filter(odd))
+    batches = [
+        lambda: ledger.insert("even", docs.filter(share % 2 == 0)),
+        lambda: ledger.insert("odd", docs.filter(share % 2 == 1)),
+        lambda: ledger.revise("revised", named.filter(share == 7)),
+        lambda: ledger.delete("deleted", named.filter(share == 3)),
+        lambda: ledger.insert("again", named.filter(share == 3)),
+    ]
+    for commit in [*batches, *batches]:
+        commit()
     return ledger.totals()
 
 

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import heapq
 import re
+import zlib
 from collections.abc import Iterator
 from itertools import chain
 
@@ -28,9 +29,10 @@ from pyspark.sql import functions as F
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 ALPHA = 0.5
-CACHED_WORDS = 400_000
-CACHED_EDGES = 3_000_000
-GROUP_CHARS = 1_000_000
+CACHED_WORDS = 120_000
+CACHED_IDS = 1_000_000
+CACHED_EDGES = 800_000
+GROUP_CHARS = 200_000
 SPACE = "▁"
 WORDS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 
@@ -265,25 +267,38 @@ class PieceLattice:
 
 
 class Encoder:
-    """Best segmentation of whole texts.  No piece goes on over a blank, so words are encoded once and kept while there is room."""
+    """Best segmentation of whole texts.  No piece goes on over a blank, so words are encoded once.
+
+    The ids of known words lie end to end in one array; ``words`` gives a word's number.  Both are emptied when they are full.
+    """
 
     def __init__(self, model: bytes):
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=model)
-        self.words: dict[str, list[int]] = {}
-
-    def encode(self, text: str) -> np.ndarray:
-        if not text:
-            return np.empty(0, np.int32)
-        if "  " in text or text[0] == " " or text[-1] == " " or SPACE in text:
-            return np.array(self.processor.encode(text), np.int32)
-        words = text.split(" ")
-        missing = [w for w in set(words) if w not in self.words]
+        self.reset()
+
+    def reset(self) -> None:
+        self.words: dict[str, int] = {}
+        self.ids, self.ends = np.empty(0, np.int32), np.zeros(1, np.int64)
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text; texts with blanks that belong to no word go to the processor as they are."""
+        split = [t.split(" ") if t and not ("  " in t or t[0] == " " or t[-1] == " " or SPACE in t) else None for t in texts]
+        if len(self.words) > CACHED_WORDS or len(self.ids) > CACHED_IDS:
+            self.reset()
+        missing = [w for w in dict.fromkeys(chain.from_iterable(filter(None, split))) if w not in self.words]
         if missing:
-            if len(self.words) + len(missing) > CACHED_WORDS:
-                self.words.clear()
-                missing = list(set(words))
-            self.words.update(zip(missing, self.processor.encode(missing, num_threads=1)))
-        return np.fromiter(chain.from_iterable(map(self.words.__getitem__, words)), np.int32)
+            fresh = self.processor.encode(missing, num_threads=1)
+            self.words.update(zip(missing, range(len(self.words), len(self.words) + len(missing))))
+            sizes = np.fromiter(map(len, fresh), np.int64, len(fresh))
+            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(fresh), np.int32, int(sizes.sum()))])
+            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+        return [self._gathered(words) if words else np.array(self.processor.encode(text) if text else [], np.int32) for text, words in zip(texts, split)]
+
+    def _gathered(self, words: list[str]) -> np.ndarray:
+        number = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+        first, sizes = self.ends[number], self.ends[number + 1] - self.ends[number]
+        total = np.cumsum(sizes)
+        return self.ids[np.arange(total[-1]) + np.repeat(first - (total - sizes), sizes)]
 
     def piece_bytes(self) -> list[bytes]:
         """What each id adds to the decoded text; the blank put before every text is to be cut off."""
@@ -308,7 +323,7 @@ def read_model(path: str = MODEL) -> bytes:
 
 
 OUTPUT = (
-    "ids array<int>, samples array<struct<ids:array<int>,log_inclusion:double>>, decoded string"
+    "ids array<int>, ids_crc32 bigint, samples array<struct<ids:array<int>,ids_crc32:bigint,log_inclusion:double>>, decoded string"
 )
 
 
@@ -330,6 +345,11 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
 
 
+def _checksums(arrays: list[np.ndarray]) -> pa.Array:
+    """CRC32 of each array as little-endian 32-bit integers."""
+    return pa.array([zlib.crc32(a.astype("<i4", copy=False).tobytes()) for a in arrays], pa.int64())
+
+
 def _run(rows: DataFrame, seed: Column, model: bytes, k: int, alpha: float) -> DataFrame:
     names = [c for c in rows.columns if c != "_seed"]
     schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in names) + ", " + OUTPUT
@@ -348,28 +368,22 @@ def _run(rows: DataFrame, seed: Column, model: bytes, k: int, alpha: float) -> D
             for low, high in _groups(texts):
                 here = texts[low:high]
                 ids, samples, scores, sizes, decoded = [], [], [], [], []
-                for text, words, row_seed in zip(here, lattice.chains(here), seeds[low:high]):
-                    ids.append(encoder.encode(text))
+                for best, words, row_seed in zip(encoder.encode(here), lattice.chains(here), seeds[low:high]):
+                    ids.append(best)
                     drawn, logs = lattice.sample(words, k, row_seed) if len(words) else ([], [])
                     samples += drawn
                     scores += logs
                     sizes.append(len(drawn))
                     decoded.append(decode((drawn[0] if drawn else ids[-1]).tolist(), spelt))
-                each = pa.StructArray.from_arrays([_lists(samples), pa.array(scores, pa.float64())], ["ids", "log_inclusion"])
+                each = pa.StructArray.from_arrays([_lists(samples), _checksums(samples), pa.array(scores, pa.float64())], ["ids", "ids_crc32", "log_inclusion"])
                 offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-                made = [_lists(ids), pa.ListArray.from_arrays(pa.array(offsets), each), pa.array(decoded, pa.string())]
+                made = [_lists(ids), _checksums(ids), pa.ListArray.from_arrays(pa.array(offsets), each), pa.array(decoded, pa.string())]
                 part = batch.slice(low, high - low)
-                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in names], *made], [*names, "ids", "samples", "decoded"])
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in names], *made], [*names, "ids", "ids_crc32", "samples", "decoded"])
 
     return rows.withColumn("_seed", seed).mapInArrow(encode, schema)
 
 
-def _checksum(ids: Column) -> Column:
-    """CRC32 of token ids as little-endian 32-bit integers; ISO-8859-1 gives each character its own number as a byte."""
-    spelt = F.transform(ids, lambda x: F.concat(*[F.char(F.shiftright(x, bits).bitwiseAND(F.lit(255))) for bits in (0, 8, 16, 24)]))
-    return F.crc32(F.encode(F.array_join(spelt, ""), "ISO-8859-1"))
-
-
 def segmentations(
     docs: DataFrame, *, model: str = MODEL, k: int = SAMPLES, alpha: float = ALPHA, digest: bool = False
 ) -> DataFrame:
@@ -381,24 +395,25 @@ def segmentations(
     texts have no tokens and samples, and decode to ''; a text with fewer than k segmentations gives them all, with log score 0.
     Repeated rows give repeated results; an empty table gives no rows; columns that bear an output's name are replaced.
     """
-    outputs = {"ids", "samples", "decoded", "_text", "_seed"} | ({"n_tokens", "ids_crc32", "round_trip"} if digest else set())
+    outputs = {"ids", "ids_crc32", "samples", "decoded", "_text", "_seed"} | ({"n_tokens", "round_trip"} if digest else set())
     others = [c for c in docs.columns if c != "text" and c not in outputs]
     rows = docs.select(*[F.col(f"`{c}`") for c in others], F.col("text").alias("_text"))
     seed = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.col("_text")))
     found = _run(rows, seed, read_model(model), k, alpha)
     named = [F.col(f"`{c}`") for c in others]
     if not digest:
-        return found.select(*named, "ids", "samples", "decoded")
+        bare = F.transform("samples", lambda s: F.struct(s["ids"].alias("ids"), s["log_inclusion"].alias("log_inclusion")))
+        return found.select(*named, "ids", bare.alias("samples"), "decoded")
 
     def described(sample: Column) -> Column:
         ids = sample["ids"]
-        size, crc, score = F.size(ids), _checksum(ids), F.round(sample["log_inclusion"], 6)
-        return F.struct(size.alias("n_tokens"), crc.alias("ids_crc32"), score.alias("log_inclusion"), ids.alias("ids"))
+        size, score = F.size(ids), F.round(sample["log_inclusion"], 6)
+        return F.struct(size.alias("n_tokens"), sample["ids_crc32"].alias("ids_crc32"), score.alias("log_inclusion"), ids.alias("ids"))
 
     return found.select(
         *named,
         F.size("ids").cast("bigint").alias("n_tokens"),
-        _checksum(F.col("ids")).alias("ids_crc32"),
+        "ids_crc32",
         (F.col("decoded") == F.coalesce("_text", F.lit(""))).alias("round_trip"),
         F.transform("samples", described).alias("samples"),
         "ids",

@@ -1,26 +1,34 @@
-"""Token counts kept up to date by signed deltas.
+"""Token counts kept up to date by signed deltas and maintained rollups.
 
-Every batch is committed once under its own id as a Parquet folder of per-document deltas: +count for an insert, -count for a
-delete, both for a revised document.  Totals by source, language and tokenizer version are sums over deltas, so batches may be
-added in any order, and a batch that is committed again (a retried job) replaces itself and changes nothing.
+Every batch writes per-document deltas: +count for an insert, -count for a delete, both for a revised document; and their
+sums by source, language and tokenizer version.  Totals are sums of these rollups only.  A log kept with the data gives every batch
+its place at its first commit.  A batch that is committed again keeps that place and computes its deltas from the
+batches before it, so a replay changes nothing, whichever batches came since and whichever driver does it.
 """
 
 from __future__ import annotations
 
 import base64
 import re
+import sys
+import types
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import tiktoken
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 TOKENIZERS = {"byte_bpe_50k": "/opt/tokenizers/byte_bpe_50k.tiktoken", "byte_bpe_multi_50k": "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"}
 # fixed value: the vocabulary's published split pattern
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CACHED_WORDS = 300_000
+CACHED_CHARS = 2_000_000
 KEYS = ("source", "lang", "tokenizer")
+SUMS = ("docs", "tokens", "bytes")
+DELTAS = "doc_id {}, source string, lang string, tokenizer string, docs bigint, tokens bigint, bytes bigint"
+LOG = "seq bigint, attempt bigint, batch string, deltas string, rollup string"
 UNSPLIT = re.compile(r"\s\s|^\s|\s$")
 
 
@@ -31,6 +39,7 @@ class WordCounter:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
         self.encoding = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.known: dict[str, int] = {}
+        self.held = 0
 
     def count(self, text: str | None) -> int:
         if not text:
@@ -39,9 +48,10 @@ class WordCounter:
             return len(self.encoding.encode_ordinary(text))
         first, *rest = text.split(" ")
         missing = [w for w in set(rest) if w not in self.known]
-        if len(self.known) + len(missing) > CACHED_WORDS:
+        if self.held > CACHED_CHARS:
             self.known.clear()
-            missing = list(set(rest))
+            missing, self.held = list(set(rest)), 0
+        self.held += sum(map(len, missing)) + 20 * len(missing)
         for word in missing:
             self.known[word] = len(self.encoding.encode_ordinary(" " + word))
         return len(self.encoding.encode_ordinary(first)) + sum(map(self.known.__getitem__, rest))
@@ -57,10 +67,15 @@ def read_vocabularies(paths: dict[str, str]) -> dict[str, bytes]:
 
 def counter(spark: SparkSession, tokenizers: dict[str, str] | None = None) -> Column | Callable:
     """A column function text -> array<bigint>: tokens of the text by each tokenizer in name order; 0 for null and empty texts."""
+    paths = repr(sorted((tokenizers or TOKENIZERS).items()))
     shared = spark.sparkContext.broadcast(read_vocabularies(tokenizers or TOKENIZERS))
 
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        counters = [WordCounter(v) for _, v in sorted(shared.value.items())]
+        # a vocabulary takes long to build and much memory, so a worker process keeps its counters from task to task
+        kept = sys.modules.setdefault("_sonoloom_worker", types.ModuleType("_sonoloom_worker")).__dict__
+        if paths not in kept:
+            kept[paths] = [WordCounter(v) for _, v in sorted(shared.value.items())]
+        counters = kept[paths]
         for texts in batches:
             yield pa.array([[c.count(t) for c in counters] for t in texts.to_pylist()], pa.list_(pa.int64()))
 
@@ -68,11 +83,14 @@ def counter(spark: SparkSession, tokenizers: dict[str, str] | None = None) -> Co
 
 
 class TokenLedger:
-    """Deltas (doc_id, source, lang, tokenizer, docs, tokens, bytes) of committed batches below ``root``."""
+    """Deltas (doc_id, source, lang, tokenizer, docs, tokens, bytes) and rollups of committed batches below ``root``.
+
+    A ledger opened again on the same folder goes on where the last one stopped.  A batch that is committed again must hold the
+    same rows.  Batches are committed one at a time.
+    """
 
     def __init__(self, spark: SparkSession, root: str, tokenizers: dict[str, str] | None = None):
         self.spark, self.root, self.tokenizers = spark, root, tokenizers or TOKENIZERS
-        self.committed: list[str] = []
 
     def counted(self, docs: DataFrame) -> DataFrame:
         """One row per document and tokenizer; the texts are read once for all tokenizers."""
@@ -89,52 +107,62 @@ class TokenLedger:
             "doc_id", "source", "lang", F.col("z.t").alias("tokenizer"), "docs", F.col("z.n").alias("tokens"), "bytes"
         )
 
-    def _path(self, batch: str) -> str:
-        return f"{self.root}/batch={batch}"
-
-    def _commit(self, batch: str, deltas: DataFrame) -> None:
-        """Write a batch; Spark's committer makes it visible as a whole, and a second commit overwrites the first."""
-        deltas.write.mode("overwrite").parquet(self._path(batch))
-        if batch not in self.committed:
-            self.committed.append(batch)
+    def entries(self) -> list[Row]:
+        """The last attempt of every batch, in the order of their first commits."""
+        try:
+            rows = self.spark.read.schema(LOG).json(f"{self.root}/log").collect()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return []
+        last = {r.batch: r for r in sorted(rows, key=lambda r: r.attempt)}
+        return sorted(last.values(), key=lambda r: r.seq)
+
+    def _commit(self, batch: str, deltas_of: Callable[[DataFrame | None], DataFrame]) -> None:
+        """Write a batch's deltas and their rollup to new folders, then name them in the log: it counts from there on, or not at all."""
+        entries = self.entries()
+        mine = next((e for e in entries if e.batch == batch), None)
+        seq = mine.seq if mine else max((e.seq for e in entries), default=0) + 1
+        earlier = [e.deltas for e in entries if e.seq < seq]
+        deltas, rollup = (f"{self.root}/{kind}/{uuid.uuid4().hex}" for kind in ("deltas", "rollups"))
+        deltas_of(self._standing(self.spark.read.parquet(*earlier)) if earlier else None).write.parquet(deltas)
+        self.spark.read.parquet(deltas).groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in SUMS]).write.parquet(rollup)
+        entry = (seq, mine.attempt + 1 if mine else 0, batch, deltas, rollup)
+        self.spark.createDataFrame([entry], LOG).coalesce(1).write.mode("append").json(f"{self.root}/log")
 
-    def deltas(self, but: str | None = None) -> DataFrame | None:
-        paths = [self._path(b) for b in self.committed if b != but]
-        return self.spark.read.parquet(*paths) if paths else None
-
-    def current(self, but: str | None = None) -> DataFrame | None:
-        """What stands for each document now, without the deltas of batch ``but``."""
-        found = self.deltas(but)
-        if found is None:
-            return None
-        sums = found.groupBy("doc_id", *KEYS).agg(*[F.sum(c).alias(c) for c in ("docs", "tokens", "bytes")])
+    @staticmethod
+    def _standing(deltas: DataFrame) -> DataFrame:
+        """What stands for each document after these deltas."""
+        sums = deltas.groupBy("doc_id", *KEYS).agg(*[F.sum(c).alias(c) for c in SUMS])
         return sums.filter("docs <> 0 OR tokens <> 0 OR bytes <> 0")
 
     @staticmethod
-    def _negative(rows: DataFrame) -> DataFrame:
-        return rows.select("doc_id", *KEYS, *[(-F.col(c)).alias(c) for c in ("docs", "tokens", "bytes")])
+    def _negative(now: DataFrame, ids: DataFrame) -> DataFrame:
+        gone = now.join(ids.select("doc_id").distinct(), "doc_id", "left_semi")
+        return gone.select("doc_id", *KEYS, *[(-F.col(c)).alias(c) for c in SUMS])
 
     def insert(self, batch: str, docs: DataFrame) -> None:
         """Add documents."""
-        self._commit(batch, self.counted(docs))
+        self._commit(batch, lambda _: self.counted(docs))
 
     def delete(self, batch: str, ids: DataFrame) -> None:
         """Take documents back; ids that are unknown or null change nothing."""
-        now = self.current(batch)
-        if now is not None:
-            self._commit(batch, self._negative(now.join(ids.select("doc_id").distinct(), "doc_id", "left_semi")))
+        none = self.spark.createDataFrame([], DELTAS.format(ids.schema["doc_id"].dataType.simpleString()))
+        self._commit(batch, lambda now: none if now is None else self._negative(now, ids))
 
     def revise(self, batch: str, docs: DataFrame) -> None:
         """Replace documents: the old counts go, the new ones come, in one commit."""
-        new, now = self.counted(docs), self.current(batch)
-        if now is not None:
-            new = new.unionByName(self._negative(now.join(docs.select("doc_id").distinct(), "doc_id", "left_semi")))
-        self._commit(batch, new)
+
+        def deltas(now: DataFrame | None) -> DataFrame:
+            new = self.counted(docs)
+            return new if now is None else new.unionByName(self._negative(now, docs))
+
+        self._commit(batch, deltas)
 
     def totals(self) -> DataFrame | None:
         """(source, lang, tokenizer, docs, tokens, bytes); nulls in a key are a key of their own, empty keys are left out."""
-        found = self.deltas()
-        if found is None:
+        rollups = [e.rollup for e in self.entries()]
+        if not rollups:
             return None
-        sums = found.groupBy(*KEYS).agg(*[F.sum(c).cast("bigint").alias(c) for c in ("docs", "tokens", "bytes")])
+        sums = self.spark.read.parquet(*rollups).groupBy(*KEYS).agg(*[F.sum(c).cast("bigint").alias(c) for c in SUMS])
         return sums.filter("docs <> 0 OR tokens <> 0 OR bytes <> 0")

@@ -1,15 +1,20 @@
 """Every operator on nulls, empty and very long texts, ties, repeated rows, empty tables and clashing column names."""
 
 import collections
+import math
+import random
 import zlib
 
+import numpy as np
 import pytest
 
 from sonoloom.llm import (
+    chargrams,
     decontaminate,
     kd_shards,
     language_id,
     line_dedup,
+    maxscore,
     near_dup,
     quality_lm,
     sentencepiece_lattice,
@@ -257,6 +262,66 @@ def test_token_counts(spark, docs, none, tmp_path):
     assert got() == want([r for r in rest if r[0] != 4] + new)
 
 
+def test_ledger_replays_of_earlier_batches(spark, tmp_path):
+    one = {"bpe": token_counts.TOKENIZERS["byte_bpe_50k"]}
+    length = token_counts.WordCounter(token_counts.read_vocabularies(one)["bpe"]).count
+
+    def doc(text):
+        return table(spark, [(1, text, "en")])
+
+    def tokens(path):
+        return sum(r.tokens for r in token_counts.TokenLedger(spark, path, one).totals().collect())
+
+    path = str(tmp_path / "a")
+    first, second, third = "five words are in here", "now seven words are all in here", "and then nine words are all put in here"
+    steps = [("insert", "a", first), ("revise", "b", second), ("revise", "c", third)]
+    for name, batch, text in steps:
+        getattr(token_counts.TokenLedger(spark, path, one), name)(batch, doc(text))
+        assert tokens(path) == length(text)
+    for name, batch, text in steps[::-1] + steps:
+        getattr(token_counts.TokenLedger(spark, path, one), name)(batch, doc(text))
+        assert tokens(path) == length(third)
+    path = str(tmp_path / "b")
+    ledger = token_counts.TokenLedger(spark, path, one)
+    ledger.insert("a", doc(first))
+    ledger.delete("b", doc(first))
+    assert ledger.totals().count() == 0
+    ledger.insert("c", doc("two words"))
+    for _ in range(2):
+        ledger.delete("b", doc(first))
+        assert tokens(path) == length("two words")
+
+
+def test_top_k_of_odd_vectors(spark):
+    big, inf, nan = 1 << 60, float("inf"), float("nan")
+    rows = [
+        (None, [1.0, 2.0], 1), (None, [1.0, 2.0], 1), (big + 1, [1.0, 2.0], 1), (big + 3, [1.0, 2.0], 1), (big + 3, [1.0, 2.0], 2),
+        (50, [1.0, 2.0], 1), (50, [1.0, 2.0], 1), (100, [-1.0], 1), (150, [], 1), (200, None, 1), (250, [1.0, None], 1), (300, [nan, 1.0], 1),
+        (350, [inf, 1.0], 1), (7, [0.5, 0.001], 1), ((1 << 63) - 1, [1.0, 2.0], 1),
+    ]
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, score int")
+    usable = [(i, [math.floor(256 * x) for x in v]) for i, v, _ in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    want = []
+    for own, q in sorted({(i, tuple(v)) for i, v in usable if i is not None and i % 50 == 0}):
+        scored = [(-sum(a * b for a, b in zip(q, v)), i is None, i or 0) for i, v in usable if i != own]
+        want += [(own, rank, None if none else i, -score) for rank, (score, none, i) in enumerate(sorted(scored)[:5], 1)]
+    got = maxscore.top_k(vectors, vectors.filter("vec_id % 50 = 0"), 5)
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[:2]) == sorted(want, key=lambda r: r[:2])
+    assert maxscore.top_k(vectors.limit(0), vectors, 5).count() == maxscore.top_k(vectors, vectors.limit(0), 5).count() == 0
+
+
+def test_grams_do_not_depend_on_the_texts_beside(spark):
+    rng = random.Random(1)
+    texts = ["".join(rng.choice(" .abcé\n") for _ in range(rng.randrange(9))) for _ in range(300)] + [" xyz", "", " ", ". a"]
+    for classes in (chargrams.letter_classes(), chargrams.print_classes()):
+        alone = [chargrams.grams([t], [0], classes, 4, True)[0].tolist() for t in texts]
+        for _ in range(3):
+            order = rng.sample(range(len(texts)), len(texts))
+            found, sizes = chargrams.grams([texts[i] for i in order], [0] * len(texts), classes, 4, True)
+            parts = np.split(found, np.cumsum(sizes)[:-1])
+            assert [p.tolist() for p in parts] == [alone[i] for i in order]
+
+
 @pytest.mark.parametrize("text", ["a  b", " a", "a ", "a\n b", "it's 12 o'clock,\tnow… x", "é\r\n\r\nx y", "a 　b"])
 def test_word_counter_agrees_with_the_tokenizer(text):
     counter = token_counts.WordCounter(token_counts.read_vocabularies({"t": token_counts.TOKENIZERS["byte_bpe_50k"]})["t"])
