@@ -41,14 +41,16 @@ from sonoloom.session import checkpointed, work_path
 SHINGLE = 3
 COMMON = 32
 BINS = 256
-REACH = 40
+# (largest pivot, reach in hundredths): wide where the histograms of unrelated sets still tell them apart
+REACHES = ((500, 40), (2_500, 20))
+LEAST_REACH = 10
 ROUNDS = 2
 LIST = ["token", "block"]
 
 
 def _written(df: DataFrame, name: str) -> DataFrame:
     path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
@@ -61,6 +63,14 @@ def _prefix_length(n: Column, percent: int) -> Column:
     return (n - F.ceil(n * percent / 100.0 - 1e-9) + 1).cast("int")
 
 
+def _near(pivot_size: Column, percent: int) -> Column:
+    """Least similarity, in hundredths, of a pivot's answers."""
+    reach = F.lit(LEAST_REACH)
+    for largest, wider in REACHES[::-1]:
+        reach = F.when(pivot_size <= largest, F.lit(wider)).otherwise(reach)
+    return F.greatest(F.lit(percent) - reach, F.lit(1))
+
+
 def _head(values: np.ndarray, percent: int) -> np.ndarray:
     """Twice the prefix by hash: enough to find the prefix unless more than half of it is common."""
     return values[: 2 * prefix_length(len(values), percent)]
@@ -149,14 +159,14 @@ def listed(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFr
     return entries.select("token", "id", "n", "pos", F.explode(blocks).alias("_b")).select("token", "_b.*", "id", "n", "pos")
 
 
-def _room(n1: Column, i1: Column, n2: Column, i2: Column, percent: int) -> Column:
+def _room(n1: Column, i1: Column, n2: Column, i2: Column, percent: int | Column) -> Column:
     """Whether two sets that share a shingle at these positions may have a Jaccard similarity of ``percent``."""
-    need = percent * (n1 + n2) / (100.0 + percent) - 1e-9
+    need = percent * (n1 + n2) / (percent + 100.0) - 1e-9
     return F.least(i1, i2) + 1 + F.least(n1 - i1, n2 - i2) - 1 >= need
 
 
-def _maybe(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose histograms allow a Jaccard similarity of ``percent``."""
+def _maybe(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b, least) whose histograms allow a Jaccard similarity of ``least`` hundredths."""
     facts = nodes.select("id", "n", "bins")
     sided = pairs
     for side in ("a", "b"):
@@ -167,19 +177,19 @@ def _maybe(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
         for rows in batches:
             if len(rows):
                 left, right = (np.frombuffer(b"".join(rows[c]), np.uint8).reshape(-1, BINS).astype(np.int16) for c in ("bins_a", "bins_b"))
-                both = rows["n_a"].to_numpy() + rows["n_b"].to_numpy()
-                rows = rows[(100 + percent) * np.abs(left - right).sum(axis=1) <= (100 - percent) * both]
+                both, least = rows["n_a"].to_numpy() + rows["n_b"].to_numpy(), rows["least"].to_numpy(np.int64)
+                rows = rows[(100 + least) * np.abs(left - right).sum(axis=1) <= (100 - least) * both]
             yield rows[columns]
 
     return sided.mapInPandas(test, pairs.schema)
 
 
-def _compared(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """(a, b, n_a, n_b, shared, gone, new) of the pairs with similarity of at least ``percent``: ``gone`` is a - b, ``new`` is b - a."""
+def _compared(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
+    """(a, b, n_a, n_b, shared, gone, new) of the pairs with similarity of at least ``least``: ``gone`` is a - b, ``new`` is b - a."""
     hashes = nodes.select("id", "text_hash")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(hashes, "id")
-    texts = checkpointed(wanted.join(_texts(docs, wanted.select("text_hash").distinct()), "text_hash").select("id", "text"))
-    sided = pairs.select("a", "b")
+    texts = _written(wanted.join(_texts(docs, wanted.select("text_hash").distinct()), "text_hash").select("id", "text"), "texts")
+    sided = pairs.select("a", "b", "least")
     for side in ("b", "a"):
         sided = sided.join(texts.select(F.col("id").alias(side), F.col("text").alias(f"text_{side}")), side)
 
@@ -187,18 +197,18 @@ def _compared(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, pe
         hashes, last, first = WordHashes(), None, None
         for rows in batches:
             found = []
-            for a, b, left, right in zip(rows["a"], rows["b"], rows["text_a"], rows["text_b"]):
+            for a, b, least, left, right in zip(*(rows[c] for c in ("a", "b", "least", "text_a", "text_b"))):
                 if a != last:
                     last, first = a, shingle_set(left, hashes, size)
                 second = shingle_set(right, hashes, size)
                 gone, new = np.setdiff1d(first, second, True), np.setdiff1d(second, first, True)
                 shared = len(first) - len(gone)
-                if 100 * shared >= percent * (shared + len(gone) + len(new)):
+                if 100 * shared >= least * (shared + len(gone) + len(new)):
                     found.append((a, b, len(first), len(second), shared, gone.view(np.int64), new.view(np.int64)))
             yield pd.DataFrame(found, columns=["a", "b", "n_a", "n_b", "shared", "gone", "new"])
 
     schema = "a bigint, b bigint, n_a bigint, n_b bigint, shared bigint, gone array<bigint>, new array<bigint>"
-    return sided.select("a", "b", "text_a", "text_b").mapInPandas(compare, schema)
+    return sided.select("a", "b", "least", "text_a", "text_b").mapInPandas(compare, schema)
 
 
 def _is_link(shared: Column, n_a: Column, n_b: Column, percent: int) -> Column:
@@ -221,40 +231,38 @@ def _derived(pairs: DataFrame, percent: int) -> DataFrame:
 
 def links(docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
     """Links (a, b) between node ids: enough for the components of all links."""
-    near = max(percent - REACH, 1)
     entries = listed(docs, nodes, size, percent).withColumn("near", F.lit(0))
-    lists = _with_pivots(entries, entries.filter("own"), "lists")
-    answers, named = None, None
+    lists = _with_pivots(entries, F.col("own"), "lists")
+    answers, named, near = None, None, _near(F.col("p.n"), percent)
     for turn in range(ROUNDS):
         others = lists.filter("id <> p.id")
         sized = 100 * F.least("n", "p.n") >= near * F.greatest("n", "p.n")
         stars = others.filter(sized & _room(F.col("n"), F.col("pos"), F.col("p.n"), F.col("p.pos"), near))
-        pairs = stars.select(F.col("p.id").alias("a"), F.col("id").alias("b")).distinct()
+        pairs = stars.select(F.col("p.id").alias("a"), F.col("id").alias("b"), near.cast("bigint").alias("least")).distinct()
         if answers is not None:
             pairs = pairs.join(answers.select("a", "b"), ["a", "b"], "left_anti")
-        told = _written(_compared(docs, nodes, checkpointed(_maybe(pairs, nodes, near)), size, near), "answers")
+        told = _written(_compared(docs, nodes, checkpointed(_maybe(pairs, nodes)), size), "answers")
         answers = told if answers is None else answers.unionByName(told)
         direct = answers.filter(_is_link(F.col("shared"), F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
         named = checkpointed(components(direct)).select(F.col("node").alias("id"), "component")
-        lists = _beyond(lists, answers, named, turn, percent, near)
+        lists = _beyond(lists, answers, named, turn, percent)
     likely = checkpointed(_difference_pairs(answers, named, percent))
     parts = answers.select(F.col("a").alias("p"), "n_a", "n_b", "b", "gone", "new")
     left = parts.select("p", F.col("n_a").alias("n_p"), F.col("b").alias("a"), F.col("n_b").alias("n_a"), F.col("gone").alias("gone_a"), F.col("new").alias("new_a"))
     right = parts.select("p", "b", "n_b", F.col("gone").alias("gone_b"), F.col("new").alias("new_b"))
     derived = _derived(likely.filter("NOT sure").join(left, ["p", "a"]).join(right, ["p", "b"]), percent)
-    far = checkpointed(_maybe(_far_pairs(lists, percent), nodes, percent))
-    compared = _compared(docs, nodes, far, size, percent)
+    far = checkpointed(_maybe(_far_pairs(lists, percent), nodes))
+    compared = _compared(docs, nodes, far, size)
     return direct.unionByName(likely.filter("sure").select("a", "b")).unionByName(derived).unionByName(compared.select("a", "b"))
 
 
-def _with_pivots(entries: DataFrame, candidates: DataFrame, name: str) -> DataFrame:
+def _with_pivots(entries: DataFrame, candidate: Column, name: str) -> DataFrame:
     """The entries of lists that have others beside a pivot, with that pivot ``p``: the candidate with the least position."""
-    sizes = entries.groupBy(*LIST).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(*LIST)
-    pivots = candidates.groupBy(*LIST).agg(F.min(F.struct("pos", "n", "id")).alias("p"))
-    return _written(entries.join(sizes.join(pivots, LIST), LIST), name)
+    pivots = entries.groupBy(*LIST).agg(F.count(F.lit(1)).alias("_n"), F.min(F.when(candidate, F.struct("pos", "n", "id"))).alias("p"))
+    return _written(entries.join(pivots.filter("_n > 1 AND p IS NOT NULL").drop("_n"), LIST), name)
 
 
-def _beyond(lists: DataFrame, answers: DataFrame, named: DataFrame, turn: int, percent: int, near: int) -> DataFrame:
+def _beyond(lists: DataFrame, answers: DataFrame, named: DataFrame, turn: int, percent: int) -> DataFrame:
     """What is left of the lists after their pivots' answers, with new pivots.
 
     ``near`` has a bit for every turn in whose pivot's answers the entry was; two entries with a common bit are covered by these.
@@ -264,24 +272,24 @@ def _beyond(lists: DataFrame, answers: DataFrame, named: DataFrame, turn: int, p
     """
     distance = F.lit(1.0) - F.col("shared") / (F.col("n_a") + F.col("n_b") - F.col("shared"))
     told = answers.select(F.col("a").alias("_p"), F.col("b").alias("id"), distance.alias("away"))
-    close = (percent - near) / 100 + 1e-9
     left = (
         lists.withColumn("_p", F.col("p.id"))
+        .withColumn("_close", (F.lit(percent) - _near(F.col("p.n"), percent)) / 100.0 + 1e-9)
         .drop("p", "component")
         .filter("id <> _p")
         .join(told, ["_p", "id"], "left")
-        .filter(F.col("away").isNull() | (F.col("away") > close))
+        .filter(F.col("away").isNull() | (F.col("away") > F.col("_close")))
         .withColumn("near", F.when(F.col("away").isNull(), F.col("near")).otherwise(F.col("near").bitwiseOR(F.lit(1 << turn))))
         .join(named, "id", "left")
         .withColumn("component", F.coalesce("component", "id"))
         .withColumn("far", F.col("away").isNull())
-        .drop("away", "_p")
+        .drop("away", "_p", "_close")
     )
     mixed = left.groupBy(*LIST).agg(
         F.max("far").alias("_far"), F.min("component").alias("_x"), F.max("component").alias("_y"), F.bit_and("near").alias("_all"), F.max("own").alias("_own")
     )
     left = _written(left.join(mixed.filter("_far AND _own AND _x <> _y AND _all = 0").select(*LIST), LIST), "beyond")
-    return _with_pivots(left, left.filter("far"), "lists")
+    return _with_pivots(left, F.col("far"), "lists")
 
 
 def _ordered(a: Column, b: Column) -> list[Column]:
@@ -344,7 +352,7 @@ def _difference_pairs(answers: DataFrame, named: DataFrame, percent: int) -> Dat
 
 
 def _far_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs in what is left of a list, in different components and near no common pivot."""
+    """(a, b, least): pairs in what is left of a list, in different components and near no common pivot."""
     x, y = lists.filter("far").alias("x"), lists.alias("y")
     meet = (
         (F.col("x.token") == F.col("y.token"))
@@ -356,7 +364,7 @@ def _far_pairs(lists: DataFrame, percent: int) -> DataFrame:
         & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
         & _room(F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos"), percent)
     )
-    return x.join(y, meet).select(*_ordered(F.col("x.id"), F.col("y.id"))).distinct()
+    return x.join(y, meet).select(*_ordered(F.col("x.id"), F.col("y.id"))).distinct().withColumn("least", F.lit(percent).cast("bigint"))
 
 
 def jaccard_groups(docs: DataFrame, percent: int = 90, size: int = SHINGLE) -> DataFrame:
