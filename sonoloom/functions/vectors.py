@@ -156,6 +156,7 @@ def block_pairs(
     block_rows: int = BLOCK_ROWS,
     pivots: int = PIVOTS,
     skip_sure: bool = False,
+    moved: str | None = None,
 ) -> BlockPairs:
     """Which rows have to be compared, cut into tasks of bounded size.
 
@@ -168,10 +169,13 @@ def block_pairs(
     By the same inequality all pairs inside a core are close enough.  With ``skip_sure`` they
     are not compared but linked to the least member (``sure``), so a large group of near
     copies costs one link per row.
+
+    With ``moved``, a flag, two cells without a flagged row are not compared.
     """
     spark = vectors.sparkSession
     angle = float(np.arccos(np.clip(similarity, -1.0, 1.0)))
-    rows = vectors.select(F.col(key).alias("_id"), F.col(vector).cast("array<double>").alias("_v"))
+    flag = F.col(moved) if moved else F.lit(True)
+    rows = vectors.select(F.col(key).alias("_id"), F.col(vector).cast("array<double>").alias("_v"), flag.alias("_moved"))
     wanted = max(1, min(pivots, ceil(rows.count() / block_rows)))
     sampled = rows.orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE_ROWS).toPandas()
     sample = matrix(sampled["_v"]) if len(sampled) else np.zeros((0, 1))
@@ -186,13 +190,15 @@ def block_pairs(
                 rest = away > angle / 2 - ANGLE_ERROR
                 yield batch.assign(_p=(2 * best + rest).astype("int32"), _angle=away)
 
-    placed = checkpointed(rows.mapInPandas(assign, "_id bigint, _v array<double>, _p int, _angle double"))
-    facts = placed.groupBy("_p").agg(F.count(F.lit(1)).alias("n"), F.max("_angle").alias("r")).orderBy("_p").toPandas()
+    placed = checkpointed(rows.mapInPandas(assign, "_id bigint, _v array<double>, _moved boolean, _p int, _angle double"))
+    facts = placed.groupBy("_p").agg(F.count(F.lit(1)).alias("n"), F.max("_angle").alias("r"), F.max("_moved").alias("moved")).orderBy("_p").toPandas()
     where, radius = facts["_p"].to_numpy(dtype="int64"), facts["r"].to_numpy(dtype="float64")
     parts = np.ceil(facts["n"].to_numpy(dtype="float64") / block_rows).astype("int64")
     pivot = centres[where // 2]
     apart = np.arccos(np.clip(pivot @ pivot.T, -1.0, 1.0))
     near = np.triu(apart <= radius[:, None] + radius[None, :] + angle + ANGLE_ERROR)
+    fresh = facts["moved"].to_numpy(dtype=bool)
+    near &= fresh[:, None] | fresh[None, :]
     if skip_sure:
         near &= ~np.diag(where % 2 == 0)
     i, j = np.nonzero(near)
@@ -253,9 +259,9 @@ def similar_pairs(
 
 
 def linking_edges(
-    vectors: DataFrame, key: str, vector: str, similarity: float, block_rows: int = BLOCK_ROWS
+    vectors: DataFrame, key: str, vector: str, similarity: float, block_rows: int = BLOCK_ROWS, moved: str | None = None
 ) -> DataFrame:
-    """Edges (a, b) with the same connected components as all similar pairs.
+    """Edges (a, b) with the same connected components as all similar pairs, or as those with a row that ``moved`` flags.
 
     Each block pair returns only a spanning forest, fewer edges than it has rows, so a large
     group of near copies does not produce a quadratic edge list.
@@ -280,7 +286,7 @@ def linking_edges(
         linked = label != np.arange(len(ids))
         return pd.DataFrame({"a": ids[label[linked]], "b": ids[linked]})
 
-    blocks = block_pairs(vectors, key, vector, similarity, block_rows, skip_sure=True)
+    blocks = block_pairs(vectors, key, vector, similarity, block_rows, skip_sure=True, moved=moved)
     tested = blocks.first.groupBy(*blocks.keys).cogroup(blocks.second.groupBy(*blocks.keys2))
     return tested.applyInPandas(forest, "a bigint, b bigint").union(blocks.sure)
 

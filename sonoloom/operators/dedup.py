@@ -9,9 +9,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sonoloom.operators.components import components
+from sonoloom.operators.ordered import blocks
 from sonoloom.session import checkpointed
 
 GROUP_ROWS = 10_000
+SCAN_ROWS = 200_000
 
 
 def known_by_name_or_hash(incoming: DataFrame, catalogue: DataFrame, name: str = "raw_file_name", digest: str = "media_hash_code") -> DataFrame:
@@ -74,6 +76,7 @@ def reject_in_order(
     name: str = "raw_file_name",
     digest: str = "media_hash_code",
     group_rows: int = GROUP_ROWS,
+    scan_rows: int = SCAN_ROWS,
 ) -> DataFrame:
     """Rows accepted when they are taken in order and one that shares its name or hash with an
     accepted earlier row is rejected.  ``key`` must be unique.
@@ -81,8 +84,9 @@ def reject_in_order(
     Copies of one (name, hash) collapse to the first beforehand.  Rows that no chain of shared
     names and hashes connects do not bear on each other, so each component is walked in order
     on its own, all of them in parallel.  Components of more than ``group_rows`` rows are
-    decided in rounds instead: a round accepts the rows that come first both for their name and
-    for their hash among the undecided, then drops everything sharing either with them.
+    scanned in blocks of ``scan_rows`` rows in order: a block loses what shares a name or a hash with the rows accepted
+    so far, which are kept as written tables, and what is left of it is decided by its own components.  So the
+    rounds follow the number of rows, not the length of a chain.
     """
     rank = F.struct(*[F.col(o) for o in order_by])
     labelled = batch.select(F.col(key).alias("id"), rank.alias("rank"), F.col(name).alias("name"), F.col(digest).alias("digest"))
@@ -90,28 +94,36 @@ def reject_in_order(
     accepted = labelled.filter(alone).select("id")
     first = labelled.filter(~alone).groupBy("name", "digest").agg(F.min(F.struct("rank", "id")).alias("r"))
     undecided = checkpointed(first.select("r.rank", "r.id", "name", "digest"))
-    by_name, by_digest = F.concat(F.lit("n"), "name"), F.concat(F.lit("d"), "digest")
-    groups = components(undecided.select(by_name.alias("a"), by_digest.alias("b")).filter("a is not null and b is not null"))
-    placed = undecided.withColumn("node", F.coalesce(by_name, by_digest)).join(groups, "node", "left")
-    placed = placed.withColumn("component", F.coalesce("component", "node")).drop("node")
+    placed = _grouped(undecided)
     large = placed.groupBy("component").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > group_rows).select("component")
-    in_group = F.row_number().over(Window.partitionBy("component").orderBy("rank"))
-    small = placed.join(large, "component", "left_anti").select("component", "id", "name", "digest", in_group.alias("_rank"))
-    accepted = accepted.union(small.groupBy("component").applyInPandas(_in_order, f"id {dict(batch.dtypes)[key]}"))
-    undecided = checkpointed(placed.join(large, "component", "left_semi").drop("component"))
-    while not undecided.isEmpty():
-        by_name = undecided.groupBy("name").agg(F.min("rank").alias("rank"))
-        by_digest = undecided.groupBy("digest").agg(F.min("rank").alias("rank"))
-        first_name = undecided.filter("name is not null").join(by_name, ["name", "rank"], "left_semi").select("id")
-        first_digest = undecided.filter("digest is not null").join(by_digest, ["digest", "rank"], "left_semi").select("id")
-        winners = undecided.join(
-            first_name.union(undecided.filter("name is null").select("id")), "id", "left_semi"
-        ).join(first_digest.union(undecided.filter("digest is null").select("id")), "id", "left_semi")
-        winners = checkpointed(winners)
-        accepted = accepted.union(winners.select("id"))
-        undecided = checkpointed(
-            undecided.join(winners.select("name").distinct(), "name", "left_anti").join(
-                winners.select("digest").distinct(), "digest", "left_anti"
-            )
-        )
+    small = placed.join(large, "component", "left_anti").select("component", "id", "rank", "name", "digest")
+    kind = dict(batch.dtypes)[key]
+    accepted = accepted.union(_walked(small, kind))
+    undecided = placed.join(large, "component", "left_semi").select("id", "rank", "name", "digest")
+    numbered = checkpointed(blocks(undecided, scan_rows, ["rank"], "_block"))
+    taken = None
+    for block in range((numbered.agg(F.max("_block")).first()[0] + 1) if not numbered.isEmpty() else 0):
+        rows = numbered.filter(F.col("_block") == block).drop("_block")
+        if taken is not None:
+            rows = rows.join(taken.select("name").distinct(), "name", "left_anti").join(taken.select("digest").distinct(), "digest", "left_anti")
+        rows = checkpointed(rows.select("id", "rank", "name", "digest"))
+        winners = checkpointed(rows.join(_walked(_grouped(rows), kind), "id", "left_semi").select("id", "name", "digest"))
+        taken = winners if taken is None else taken.unionByName(winners)
+    if taken is not None:
+        accepted = accepted.union(taken.select("id"))
     return batch.join(accepted.withColumnRenamed("id", key), key, "left_semi")
+
+
+def _grouped(rows: DataFrame) -> DataFrame:
+    """Add ``component``, of the graph of shared names and hashes; no row lacks both."""
+    by_name, by_digest = F.concat(F.lit("n"), "name"), F.concat(F.lit("d"), "digest")
+    groups = components(rows.select(by_name.alias("a"), by_digest.alias("b")).filter("a is not null and b is not null"))
+    placed = rows.withColumn("node", F.coalesce(by_name, by_digest)).join(groups, "node", "left")
+    return placed.withColumn("component", F.coalesce("component", "node")).drop("node")
+
+
+def _walked(rows: DataFrame, kind: str) -> DataFrame:
+    """(id) of the rows accepted when each component is taken in order."""
+    in_group = F.row_number().over(Window.partitionBy("component").orderBy("rank"))
+    ranked = rows.select("component", "id", "name", "digest", in_group.alias("_rank"))
+    return ranked.groupBy("component").applyInPandas(_in_order, f"id {kind}")

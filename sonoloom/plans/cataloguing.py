@@ -310,7 +310,20 @@ def new_by_name_and_hash(spark, sf_dir):
     return dedup.unknown_by_name_or_hash(*_known(spark, sf_dir)).select("audio_id")
 
 
-@query()
+# rows are taken one by one in order, with the names and hashes accepted so far as lists of their numbers
+IN_ORDER = """, D AS MATERIALIZED (SELECT audio_id, raw_file_name, n, h, row_number() OVER (ORDER BY load_datetime, audio_id) AS k FROM (
+  SELECT *, dense_rank() OVER (ORDER BY raw_file_name) AS n, dense_rank() OVER (ORDER BY media_hash_code) AS h FROM S
+  QUALIFY row_number() OVER (PARTITION BY raw_file_name, media_hash_code ORDER BY load_datetime, audio_id) = 1)),
+W AS (
+  SELECT CAST(0 AS BIGINT) AS k, CAST([] AS BIGINT[]) AS names, CAST([] AS BIGINT[]) AS hashes, CAST(NULL AS BIGINT) AS audio_id, CAST(NULL AS VARCHAR) AS raw_file_name
+  UNION ALL
+  SELECT D.k, CASE WHEN fresh THEN list_append(names, n) ELSE names END, CASE WHEN fresh THEN list_append(hashes, h) ELSE hashes END,
+    CASE WHEN fresh THEN D.audio_id END, CASE WHEN fresh THEN D.raw_file_name END
+  FROM (SELECT W.k, names, hashes, D.*, NOT list_contains(names, n) AND NOT list_contains(hashes, h) AS fresh FROM W JOIN D ON D.k = W.k + 1) D)
+SELECT audio_id, raw_file_name FROM W WHERE audio_id IS NOT NULL"""
+
+
+@query(sql("S", "").replace("WITH ", "WITH RECURSIVE ", 1) + IN_ORDER.replace("SELECT W.k, names, hashes, D.*,", "SELECT names, hashes, D.*,"))
 def batch_dedup_exact(spark, sf_dir):
     """Recordings accepted when taken in load order, each against those accepted before it."""
     batch = recordings(spark, sf_dir).select("audio_id", "raw_file_name", "media_hash_code", "load_datetime")
@@ -417,12 +430,10 @@ def speaker_upsert(spark, sf_dir):
     sql(
         "SU",
         f"""SELECT S.audio_id, CASE WHEN C.audio_id IS NULL THEN S.language ELSE last_status END AS language,
-  coalesce(S.is_normalized, false) OR coalesce(any_true, false) AS is_normalized, coalesce(engines, []) AS engines
+  coalesce(S.is_normalized, false) OR coalesce(any_true, false) AS is_normalized, array_to_string(coalesce(engines, []), ',') AS engines
 FROM S LEFT JOIN (
-  SELECT audio_id, arg_max(status, seq) AS last_status, bool_or(is_transcribed) AS any_true, list_sort(list_distinct(flatten(list(stt_api_used)))) AS engines
-  FROM (SELECT *, CAST(split_part({NAME}, '_', 1) AS BIGINT) AS seq FROM U) GROUP BY audio_id) C USING (audio_id)""".replace(
-            "coalesce(engines, []) AS engines", "array_to_string(coalesce(engines, []), ',') AS engines"
-        ),
+  SELECT audio_id, (max({{'seq': seq, 'status': status}})).status AS last_status, bool_or(is_transcribed) AS any_true, list_sort(list_distinct(flatten(list(stt_api_used)))) AS engines
+  FROM (SELECT *, CAST(split_part({NAME}, '_', 1) AS BIGINT) AS seq FROM U) GROUP BY audio_id) C USING (audio_id)""",
     )
 )
 def changes_in_turn(spark, sf_dir):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sonoloom.functions import vectors as vec
@@ -217,13 +218,92 @@ def absorb_clusters(spark, sf_dir):
     return whole.select("cluster", "size", F.round(F.get("total", F.lit(0)), 4).alias("first"))
 
 
-@query()
+def _merge_rounds(start: float, end: float, step: float, rounds: int) -> str:
+    """SQL of repeated merging with every round written out: Ci the clusters, Ti the bound, Mi the merges of round i."""
+    parts = [
+        UNIT,
+        "C0 AS MATERIALIZED (SELECT vec_id AS cluster, CAST(embedding AS DOUBLE[]) AS total, 1 AS size FROM embeddings)",
+        f"T0 AS MATERIALIZED (SELECT {start}::DOUBLE AS bound, false AS lowered, false AS done)",
+    ]
+    for i in range(rounds):
+        parts += [
+            f"""H{i} AS MATERIALIZED (SELECT a.cluster AS x, b.cluster AS y FROM C{i} a JOIN C{i} b ON a.cluster <> b.cluster, T{i}
+  WHERE NOT done AND list_cosine_similarity(a.total, b.total) >= bound)""",
+            f"W{i} AS (SELECT x AS node, x AS seen FROM H{i} UNION SELECT W{i}.node, H{i}.y FROM W{i} JOIN H{i} ON W{i}.seen = H{i}.x)",
+            f"""M{i} AS MATERIALIZED (SELECT node AS cluster, head AS key FROM (SELECT node, min(seen) AS head FROM W{i} GROUP BY node)
+  JOIN H{i} ON x = node AND y = head WHERE node <> head)""",
+            f"""C{i + 1} AS MATERIALIZED (SELECT cluster, list(v ORDER BY d) AS total, any_value(size) AS size FROM (
+  SELECT cluster, d, sum(v) AS v, any_value(size) AS size FROM (
+    SELECT coalesce(key, C{i}.cluster) AS cluster, unnest(total) AS v, unnest(range(len(total))) AS d,
+      sum(size) OVER (PARTITION BY coalesce(key, C{i}.cluster)) AS size FROM C{i} LEFT JOIN M{i} ON M{i}.cluster = C{i}.cluster)
+  GROUP BY cluster, d) GROUP BY cluster)""",
+            f"""T{i + 1} AS MATERIALIZED (SELECT CASE WHEN n = 0 AND NOT lowered AND bound > {end} THEN bound - {step} ELSE bound END AS bound,
+  n = 0 AS lowered, done OR (n = 0 AND (lowered OR NOT bound > {end})) AS done FROM T{i}, (SELECT count(*) AS n FROM M{i}))""",
+        ]
+    return f"WITH RECURSIVE {', '.join(parts)} SELECT cluster, CAST(size AS BIGINT) AS size FROM C{rounds}"
+
+
+@query(_merge_rounds(0.42, 0.40, 0.01, 12))
 def merge_repeat(spark, sf_dir):
     """Rounds from similarity 0.42 down to 0.40 over single-vector clusters."""
     clusters, _ = cl.merge_until_stable(_each_vector(spark, sf_dir), 0.42, 0.40)
     return clusters.select("cluster", "size")
 
 
+SPLIT = """G AS (SELECT vec_id, CASE WHEN label <> 0 THEN CAST(label AS BIGINT) END AS cluster FROM embeddings),
+Z AS (SELECT cluster FROM G WHERE cluster IS NOT NULL GROUP BY cluster HAVING count(*) >= (SELECT avg(n) FROM (SELECT count(*) AS n FROM G WHERE cluster IS NOT NULL GROUP BY cluster))),
+I AS (SELECT vec_id, cluster, CASE WHEN cluster IN (SELECT cluster FROM Z) THEN
+    CASE WHEN vec_id % 7 <> 0 THEN 1000 + 10 * cluster + vec_id % 3 END ELSE cluster END AS part FROM G)"""
+# parts 0 and 1 of a split cluster move to part 2, clusters that are not split move to the one 4 above, in chains
+MOVED = """CASE WHEN part >= 1000 THEN part - part % 10 + 2 WHEN part IS NOT NULL THEN
+    (SELECT max(c) FROM (SELECT DISTINCT part AS c FROM I WHERE part < 1000) WHERE c % 4 = I.part % 4) END"""
+
+
+@query(f"WITH {SPLIT} SELECT vec_id, coalesce(cluster IN (SELECT cluster FROM Z), false) AS was_big, {MOVED} AS cluster FROM I")
+def split_and_recombined(spark, sf_dir):
+    """Given labels: the larger clusters split by given parts, put back together, and renamed by a log of chained moves."""
+    members, big, inside, moves = _given_split(spark, sf_dir)
+    whole = cl.renamed(cl.recombine(members, big, inside), cl.compose_moves(moves))
+    flagged = members.join(big.withColumn("_big", F.lit(True)), "cluster", "left").select("vec_id", F.coalesce("_big", F.lit(False)).alias("was_big"))
+    return whole.select("vec_id", "cluster").join(flagged, "vec_id")
+
+
+@query(f"""WITH {SPLIT} SELECT cluster, count(*) AS size, sum(first) AS first FROM (SELECT part AS cluster, CAST(floor(embedding[1]::DOUBLE * 1000) AS BIGINT) AS first
+  FROM I JOIN embeddings USING (vec_id) WHERE part IS NOT NULL) GROUP BY cluster""")
+def recombined_sums(spark, sf_dir):
+    """Sums of the clusters that were not split and of the parts, as one table of clusters."""
+    members, big, inside, _ = _given_split(spark, sf_dir)
+    scaled = F.transform("embedding", lambda x: F.floor(x.cast("double") * 1000).cast("double"))
+
+    def sums(rows):
+        return cl.cluster_sums(rows.withColumn("embedding", scaled))
+
+    whole = cl.recombined_sums(sums(members), big, sums(inside))
+    return whole.select("cluster", "size", F.round(F.get("total", F.lit(0))).cast("bigint").alias("first"))
+
+
+@query(f"WITH {SPLIT} SELECT vec_id, cluster IS NOT NULL AS lost_in_split FROM I WHERE part IS NULL")
+def noise_complement(spark, sf_dir):
+    """What is in no cluster after the split: the noise from before, and what the split left over."""
+    members, big, inside, _ = _given_split(spark, sf_dir)
+    noise = cl.recombine(members, big, inside).filter("cluster IS NULL").select("vec_id")
+    return noise.join(members.select("vec_id", F.col("cluster").isNotNull().alias("lost_in_split")), "vec_id")
+
+
+def _given_split(spark, sf_dir):
+    """Members by label (0 is noise), the clusters of at least mean size, their members by parts, and moves between clusters."""
+    members = embeddings(spark, sf_dir).select("vec_id", "embedding", F.when(F.col("label") != 0, F.col("label").cast("bigint")).alias("cluster"))
+    sizes = members.filter("cluster IS NOT NULL").groupBy("cluster").count()
+    big = sizes.join(sizes.agg(F.avg("count").alias("mean"))).filter("count >= mean").select("cluster")
+    part = F.when(F.col("vec_id") % 7 != 0, 1000 + 10 * F.col("cluster") + F.col("vec_id") % 3)
+    inside = members.join(big, "cluster", "left_semi").withColumn("cluster", part)
+    parts = inside.filter("cluster IS NOT NULL").select(F.col("cluster").alias("old")).distinct()
+    down = parts.select("old", (F.col("old") - F.col("old") % 10 + F.least(F.col("old") % 10 + 1, F.lit(2))).alias("new"))
+    kept = sizes.join(big, "cluster", "left_anti").select(F.col("cluster").alias("old"))
+    onward = kept.withColumn("new", F.lead("old").over(Window.partitionBy(F.col("old") % 4).orderBy("old"))).filter("new IS NOT NULL")
+    return members, big, inside, down.filter("old <> new").unionByName(onward)
+
+
 @query()
 def density_clusters(spark, sf_dir):
     found = cl.density_clusters(embeddings(spark, sf_dir), set_size=250, min_cluster_size=3)

@@ -2,6 +2,7 @@ import random
 
 import pytest
 from conftest import rows_of
+from pyspark.sql import functions as F
 
 from sonoloom.operators import dedup
 
@@ -19,8 +20,8 @@ def model(rows):
     return sorted(kept)
 
 
-@pytest.mark.parametrize("group_rows", [0, 5, 10_000])
-def test_in_order_rejection(spark, group_rows):
+@pytest.mark.parametrize("group_rows, scan_rows", [(0, 17), (0, 1_000), (5, 40), (10_000, 40)])
+def test_in_order_rejection(spark, group_rows, scan_rows):
     for seed in range(2):
         rng = random.Random(seed)
         rows = []
@@ -29,7 +30,7 @@ def test_in_order_rejection(spark, group_rows):
             digest = rng.choice([None, f"h{rng.randrange(30)}", f"h{rng.randrange(90)}", f"h{rng.randrange(90)}"])
             rows.append((i, rng.randrange(10_000) * 150 + i, name, digest))
         df = spark.createDataFrame(rows, SCHEMA)
-        got = dedup.reject_in_order(df, "id", ["pos"], group_rows=group_rows)
+        got = dedup.reject_in_order(df, "id", ["pos"], group_rows=group_rows, scan_rows=scan_rows)
         assert sorted(r.id for r in got.collect()) == model(rows)
 
 
@@ -39,6 +40,13 @@ def test_chain_is_resolved_in_order(spark):
     assert sorted(r.id for r in got.collect()) == model(rows)
 
 
+def test_chain_of_many_rows_in_few_rounds(spark):
+    n = 100_000
+    rows = spark.range(n).selectExpr("id", "cast(id as int) as pos", "concat('n', id div 2) as raw_file_name", "concat('h', (id + 1) div 2) as media_hash_code")
+    got = dedup.reject_in_order(rows, "id", ["pos"], scan_rows=60_000)
+    assert got.agg(F.count(F.lit(1)), F.sum("id")).first() == (n // 2, sum(range(0, n, 2)))
+
+
 def test_long_chain_is_one_component(spark):
     rows = [(i, i, f"n{i // 2}", f"h{(i + 1) // 2}") for i in range(1000)]
     got = dedup.reject_in_order(spark.createDataFrame(rows, SCHEMA), "id", ["pos"])
