@@ -268,7 +268,7 @@ def split_and_recombined(spark, sf_dir):
     return whole.select("vec_id", "cluster").join(flagged, "vec_id")
 
 
-@query(f"""WITH {SPLIT} SELECT cluster, count(*) AS size, sum(first) AS first FROM (SELECT part AS cluster, CAST(floor(embedding[1]::DOUBLE * 1000) AS BIGINT) AS first
+@query(f"""WITH {SPLIT} SELECT cluster, count(*) AS size, CAST(sum(first) AS BIGINT) AS first FROM (SELECT part AS cluster, CAST(floor(embedding[1]::DOUBLE * 1000) AS BIGINT) AS first
   FROM I JOIN embeddings USING (vec_id) WHERE part IS NOT NULL) GROUP BY cluster""")
 def recombined_sums(spark, sf_dir):
     """Sums of the clusters that were not split and of the parts, as one table of clusters."""
