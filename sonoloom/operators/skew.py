@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_SHARE = 1_000
 HOT_ROWS = 1_000_000
 SALTS = 64
-BROADCAST_BYTES = 32 * 1024 * 1024
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list:
@@ -24,11 +25,6 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list:
     return [r[0] for r in heavy.filter(F.col("n") * HOT_SHARE > rows).select(key).take(HOT_SHARE)]
 
 
-def text_bytes(df: DataFrame) -> int:
-    """Size of all rows as JSON text, an upper measure of what a broadcast would carry."""
-    return df.agg(F.coalesce(F.sum(F.length(F.to_json(F.struct("*")))), F.lit(0))).first()[0]
-
-
 def join_lookup(
     facts: DataFrame,
     lookup: DataFrame,
@@ -36,22 +32,18 @@ def join_lookup(
     how: str = "inner",
     *,
     spread_by: Column | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot: Sequence = (),
     salts: int = SALTS,
-    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Join ``facts`` to a lookup that is unique on ``key``.
+    """Join ``facts`` to a lookup that is unique on ``key``, in one pass.
 
-    A lookup measured to be small is broadcast and the facts are not shuffled.  With a larger
-    one, rows of a hot key are spread over ``salts`` tasks and only that key's lookup row is
-    repeated; rows with a NULL key match nothing and are spread too.
+    Adaptive execution broadcasts a lookup that turns out small, and splits skewed partitions of the facts.  What it cannot see is
+    done here: rows with a NULL key match nothing and are spread over tasks, and so are the rows of keys the caller knows to be
+    ``hot`` (as ``hot_keys`` finds them), whose lookup rows are repeated ``salts`` times.
     """
-    if text_bytes(lookup) <= broadcast_bytes:
-        return facts.join(F.broadcast(lookup), key, how)
-    hot = hot_keys(facts, key, hot_rows)
     spread = F.pmod(F.xxhash64(spread_by if spread_by is not None else F.struct("*")), F.lit(salts)).cast("int")
-    is_hot = F.col(key).isin(hot) if hot else F.lit(False)
+    is_hot = F.col(key).isin(list(hot)) if hot else F.lit(False)
     left = facts.withColumn("_salt", F.when(F.col(key).isNull() | is_hot, spread).otherwise(F.lit(0)))
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    right = lookup.withColumn("_salt", F.explode(copies))
+    right = lookup.withColumn("_salt", F.explode(copies) if hot else F.lit(0))
     return left.join(right, [key, "_salt"], how).drop("_salt")

@@ -250,6 +250,18 @@ def merge_repeat(spark, sf_dir):
     return clusters.select("cluster", "size")
 
 
+@query(
+    """SELECT a.vec_id, round(1 - list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS distance
+FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1"""
+)
+def cosine_distances(spark, sf_dir):
+    """The column expression: each vector's distance to the next one."""
+    rows = embeddings(spark, sf_dir)
+    onward = rows.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("_next"))
+    distance = vec.cosine_distance(F.transform("embedding", lambda x: x.cast("double")), F.transform("_next", lambda x: x.cast("double")))
+    return rows.join(onward, "vec_id").select("vec_id", F.round(distance, 6).alias("distance"))
+
+
 SPLIT = """G AS (SELECT vec_id, CASE WHEN label <> 0 THEN CAST(label AS BIGINT) END AS cluster FROM embeddings),
 Z AS (SELECT cluster FROM G WHERE cluster IS NOT NULL GROUP BY cluster HAVING count(*) >= (SELECT avg(n) FROM (SELECT count(*) AS n FROM G WHERE cluster IS NOT NULL GROUP BY cluster))),
 I AS (SELECT vec_id, cluster, CASE WHEN cluster IN (SELECT cluster FROM Z) THEN

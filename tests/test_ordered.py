@@ -69,7 +69,7 @@ def test_lookup_join_with_hot_and_null_keys(spark):
     lookup = spark.createDataFrame([("hot", 1), ("a", 2), ("unused", 3)], "k string, n int")
     for how in ("inner", "left"):
         want = rows_of(df.join(lookup, "k", how).select("k", "i", "n"))
-        for options in ({}, {"broadcast_bytes": 0}, {"broadcast_bytes": 0, "hot_rows": 50, "salts": 5}):
+        for options in ({}, {"hot": ["hot"], "salts": 5}, {"hot": ["hot", "unused"], "spread_by": F.col("i")}):
             assert rows_of(skew.join_lookup(df, lookup, "k", how, **options).select("k", "i", "n")) == want
     assert "hot" in skew.hot_keys(df, "k", 50)
 
