@@ -3,11 +3,10 @@
 1. Every text becomes a set of hashed word shingles.  Documents with the same set are one node.
 2. A node's SetSketch has 128 registers: exponentially spaced, truncated logs of minima, which merge by maximum.  Four registers
    are one band of 64 bits.  Two sets with similarity s share a band with probability near 1 - (1 - s^4)^32: 0.9999999999 at 0.85.
-3. In a bucket of equal bands every node is paired with the bucket's first node.  Pairs pass a size test and the joint likelihood
-   test of the registers, and are then verified on the full sets.
-4. Buckets whose nodes are in one component by then are done.  In the others, nodes of different components are compared in
-   blocks, so that no link is lost where the first node of a bucket is not close to all.  A block task unites what it has
-   verified and reports a spanning forest, so its output has fewer rows than its input.
+3. A bucket of equal bands is a list: its smallest node is the pivot, compared with the others.  Pairs pass the joint likelihood test
+   of the registers and are then verified on the full sets; linked nodes are contracted.
+4. In buckets with nodes of several components the rest is derived from how the nodes differ from the pivot, or gets a new pivot
+   (``answers``), so that no link is lost where a pivot is not close to all, and no bucket is compared all with all.
 5. Components of the verified links name each document's group by its least doc_id.
 """
 
@@ -19,10 +18,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sonoloom.llm.common import keep_possible, packed, unpacked
+from sonoloom.llm.answers import WordHashes, links, shingle_set, written
+from sonoloom.llm.common import packed, unpacked
 from sonoloom.operators.components import components
 from sonoloom.session import checkpointed
 
@@ -32,38 +32,11 @@ BASE = 1.001
 RATE = 20.0
 LARGEST = 65_535
 SHINGLE = 5
-BLOCK = 256
 MARGIN = 0.13
-CACHED_WORDS = 400_000
 SEED = 0x5E7
 MASK = (1 << 64) - 1
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, kept while there is room."""
-
-    def __missing__(self, word: bytes) -> int:
-        value = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        self[word] = value
-        return value
-
-
-def shingle_set(text: str | None, hashes: WordHashes, size: int) -> np.ndarray:
-    """Sorted different hashes of the text's word shingles; fewer words than ``size`` are one shingle, no words none."""
-    found = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-    if not found:
-        return np.empty(0, np.uint64)
-    w = np.fromiter(map(hashes.__getitem__, found), np.uint64, len(found))
-    take = min(size, len(w))
-    rolled = np.full(len(w) - take + 1, take, np.uint64)
-    for k in range(take):
-        rolled = (rolled ^ w[k : len(w) - take + 1 + k]) * np.uint64(0x9E3779B97F4A7C15)
-        rolled ^= rolled >> np.uint64(29)
-    return np.unique(rolled)
-
-
 def multipliers() -> np.ndarray:
     """One odd multiplier per register, from a seed."""
     return np.random.default_rng(SEED).integers(0, 1 << 63, REGISTERS, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -79,7 +52,7 @@ def registers(values: np.ndarray, factors: np.ndarray) -> np.ndarray:
     return np.clip(np.floor(1 - np.log(x) / np.log(BASE)), 0, LARGEST).astype(np.uint16)
 
 
-def at_least(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, similarity: float) -> np.ndarray:
+def at_least(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, similarity: np.ndarray | float) -> np.ndarray:
     """Whether the joint likelihood of the registers is still rising in J at ``similarity``: the estimate is at least that.
 
     With u, v the shares of the two set sizes and p(x) = -log_b(1 - x (b-1)/b), a register is larger in the first set with
@@ -97,15 +70,6 @@ def at_least(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, sim
     return slope - (REGISTERS - more - less) * (dp + dq) / np.maximum(1 - p - q, 1e-12) >= 0
 
 
-def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    """Exact test on full sets: 100 * intersection >= percent * union."""
-    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
-        return False
-    both = np.sort(np.concatenate([a, b]))
-    shared = int((both[1:] == both[:-1]).sum())
-    return 100 * shared >= percent * (len(a) + len(b) - shared)
-
-
 def sketched(docs: DataFrame, size: int) -> DataFrame:
     """(doc_id, text_hash, n, node, bands) of every row; node is 128 bits of the set, null and without bands for empty sets."""
 
@@ -135,132 +99,23 @@ def sketched(docs: DataFrame, size: int) -> DataFrame:
     )
 
 
-def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of nodes that may be linked by their sizes and registers, with text hashes."""
-    facts = nodes.select("node", "n", "bands", "text_hash")
+def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b, least) whose registers allow a similarity of ``least`` hundredths, with a margin."""
+    facts = nodes.select("id", "n", "bands")
     sided = pairs
     for side in ("a", "b"):
-        sided = sided.join(facts.select(*[F.col(c).alias(f"{side}_{c}" if c != "node" else side) for c in facts.columns]), side)
-    sized = sided.filter(100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n"))
+        sided = sided.join(facts.select(F.col("id").alias(side), F.col("n").alias(f"n_{side}"), F.col("bands").alias(f"bands_{side}")), side)
+    columns = pairs.columns
 
     def test(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
             if len(rows):
-                left, right = (np.stack(rows[c].to_list()).astype(np.int64).view(np.uint16) for c in ("a_bands", "b_bands"))
-                sizes = rows["a_n"].to_numpy(float), rows["b_n"].to_numpy(float)
-                rows = rows[at_least(left, right, *sizes, percent / 100 - MARGIN)]
-            yield rows[["a", "b", "a_text_hash", "b_text_hash"]]
-
-    return sized.mapInPandas(test, "a binary, b binary, a_text_hash bigint, b_text_hash bigint")
-
-
-def _texts(docs: DataFrame, hashes: DataFrame) -> DataFrame:
-    """(text_hash, text) of the wanted hashes, one row each."""
-    texts = docs.select(F.xxhash64("text").alias("text_hash"), "text")
-    return keep_possible(texts, "text_hash", hashes).join(hashes, "text_hash", "left_semi").groupBy("text_hash").agg(F.first("text").alias("text"))
-
-
-def _verified(docs: DataFrame, likely: DataFrame, percent: int, size: int) -> DataFrame:
-    """The likely pairs whose full sets are similar enough."""
-    hashes = likely.select(F.explode(F.array("a_text_hash", "b_text_hash")).alias("text_hash")).distinct()
-    texts = checkpointed(_texts(docs, hashes))
-    sided = likely
-    for side in ("a", "b"):
-        sided = sided.join(texts.select(F.col("text_hash").alias(f"{side}_text_hash"), F.col("text").alias(f"{side}_text")), f"{side}_text_hash")
-
-    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, last, first_set = WordHashes(), None, None
-        for rows in batches:
-            good = []
-            for left, right in zip(rows["a_text"], rows["b_text"]):
-                if left != last:
-                    last, first_set = left, shingle_set(left, hashes, size)
-                good.append(linked(first_set, shingle_set(right, hashes, size), percent))
-            yield rows.loc[np.array(good, bool), ["a", "b"]]
+                left, right = (np.stack(rows[c].to_list()).astype(np.int64).view(np.uint16) for c in ("bands_a", "bands_b"))
+                sizes = rows["n_a"].to_numpy(float), rows["n_b"].to_numpy(float)
+                rows = rows[at_least(left, right, *sizes, np.maximum(rows["least"].to_numpy() / 100 - MARGIN, 0.01))]
+            yield rows[columns]
 
-    return sided.select("a", "b", "a_text", "b_text").mapInPandas(verify, "a binary, b binary")
-
-
-def _across(docs: DataFrame, buckets: DataFrame, nodes: DataFrame, links: DataFrame, percent: int, size: int) -> DataFrame:
-    """Links between nodes that share a bucket but are in different components of ``links`` so far."""
-    groups = components(links)
-    placed = (
-        buckets.join(groups, "node", "left")
-        .join(groups.select(F.col("node").alias("first"), F.col("component").alias("main")), "first", "left")
-        .select("bucket", "node", F.coalesce("component", "node").alias("component"), F.coalesce("main", "first").alias("main"))
-        .select("bucket", "node", "component", (F.col("component") != F.col("main")).cast("int").alias("side"))
-    )
-    # two nodes were compared as a star; buckets of several bands that hold the same nodes are compared once
-    contents = [F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y")]
-    open_buckets = (
-        placed.groupBy("bucket")
-        .agg(F.sum("side").alias("rest"), F.count(F.lit(1)).alias("rows"), *contents)
-        .filter("rest > 0 AND rows > 2")
-        .groupBy("rest", "rows", "x", "y")
-        .agg(F.min("bucket").alias("bucket"))
-        .select("bucket", _blocks(F.col("rest")).alias("rests"), _blocks(F.col("rows") - F.col("rest")).alias("mains"))
-    )
-    members = checkpointed(placed.join(open_buckets, "bucket"))
-    facts = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", "n", "bands", "text_hash")
-    texts = _texts(docs, facts.select("text_hash").distinct())
-    full = checkpointed(facts.join(texts, "text_hash").mapInPandas(lambda rows: with_sets(rows, size), "node binary, n bigint, bands array<bigint>, shingles binary"))
-    # the rest meets the first node's component block by block, and itself; that component's own pairs are done
-    own = F.pmod(F.xxhash64("node"), F.when(F.col("side") == 1, F.col("rests")).otherwise(F.col("mains"))).cast("int")
-    task = "array<struct<kind:int,one:int,two:int>>"
-    against_main = F.transform(_upto("mains"), lambda j: F.struct(F.lit(0).alias("kind"), F.col("block").alias("one"), j.alias("two")))
-    against_rest = F.transform(
-        _upto("rests"), lambda j: F.struct(F.lit(1).alias("kind"), F.least("block", j).alias("one"), F.greatest("block", j).alias("two"))
-    )
-    from_main = F.transform(_upto("rests"), lambda j: F.struct(F.lit(0).alias("kind"), j.alias("one"), F.col("block").alias("two")))
-    tasks = F.when(F.col("side") == 1, F.concat(against_main.cast(task), against_rest.cast(task))).otherwise(from_main.cast(task))
-    spread = members.withColumn("block", own).select("bucket", "node", "component", "side", "block", F.explode(tasks).alias("task"))
-
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("side", ascending=False).reset_index(drop=True)
-        sketches = np.stack(rows["bands"].to_list()).astype(np.int64).view(np.uint16)
-        n, block, side = rows["n"].to_numpy(float), rows["block"].to_numpy(), rows["side"].to_numpy()
-        kind, lone = rows["kind"].iat[0], rows["one"].iat[0] == rows["two"].iat[0]
-        group = pd.factorize(rows["component"])[0]
-        sets, found = [np.frombuffer(s, np.uint64) for s in rows["shingles"]], []
-        for i in np.flatnonzero(side == 1):
-            later = np.arange(i + 1, len(rows))
-            later = later[group[later] != group[i]]
-            if kind == 0:
-                later = later[side[later] == 0]
-            elif not lone:
-                later = later[block[later] != block[i]]
-            later = later[100 * np.minimum(n[later], n[i]) >= percent * np.maximum(n[later], n[i])]
-            if len(later):
-                mine, size_i = np.broadcast_to(sketches[i], (len(later), REGISTERS)), np.full(len(later), n[i])
-                for j in later[at_least(mine, sketches[later], size_i, n[later], percent / 100 - MARGIN)]:
-                    if group[i] != group[j] and linked(sets[i], sets[j], percent):
-                        found.append((rows["node"].iat[i], rows["node"].iat[j]))
-                        group[group == group[j]] = group[i]
-        return pd.DataFrame(found, columns=["a", "b"])
-
-    return (
-        spread.join(full, "node")
-        .select("bucket", "task.kind", "task.one", "task.two", "node", "component", "side", "block", "n", "bands", "shingles")
-        .groupBy("bucket", "kind", "one", "two")
-        .applyInPandas(compare, "a binary, b binary")
-    )
-
-
-def with_sets(batches: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
-    """Nodes with their full shingle sets instead of texts."""
-    hashes = WordHashes()
-    for rows in batches:
-        sets = [shingle_set(t, hashes, size).tobytes() for t in rows["text"]]
-        yield rows[["node", "n", "bands"]].assign(shingles=sets)
-
-
-def _blocks(rows: Column) -> Column:
-    return F.ceil(rows / BLOCK).cast("int")
-
-
-def _upto(count: str) -> Column:
-    """0 to count - 1; empty for 0."""
-    return F.filter(F.sequence(F.lit(0), F.greatest(F.col(count) - 1, F.lit(0))), lambda j: j < F.col(count))
+    return sided.mapInPandas(test, pairs.schema)
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, size: int = SHINGLE) -> DataFrame:
@@ -277,22 +132,21 @@ def near_duplicates(docs: DataFrame, percent: int = 85, size: int = SHINGLE) ->
         rows.filter(F.col("n") > 0)
         .groupBy("node")
         .agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.min("text_hash").alias("text_hash"))
+        .withColumn("id", F.monotonically_increasing_id())
+    )
+    banded = nodes.select("id", "n", F.posexplode("bands").alias("_band", "_value"))
+    buckets = banded.select(
+        F.xxhash64("_band", "_value").alias("token"), F.lit(0).alias("block"), F.lit(True).alias("own"), "id", "n", F.lit(0).alias("pos")
     )
-    banded = nodes.select("node", F.posexplode("bands")).select(F.xxhash64("pos", "col").alias("bucket"), "node")
-    firsts = banded.groupBy("bucket").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
-    buckets = checkpointed(banded.join(firsts, "bucket"))
-    stars = buckets.filter("first <> node").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-    links = checkpointed(_verified(docs, checkpointed(_likely(stars, nodes, percent)), percent, size))
-    more = checkpointed(_across(docs, buckets, nodes, links, percent, size))
-    groups = components(links.union(more).distinct())
+    groups = components(written(links(buckets, docs, nodes, size, percent, lambda pairs: _likely(pairs, nodes)), "links"))
     named = (
-        groups.join(nodes.select("node", "least"), "node")
+        groups.join(nodes.select(F.col("id").alias("node"), "least"), "node")
         .groupBy("component")
         .agg(F.min("least").alias("_group"))
         .join(groups, "component")
-        .select("node", "_group")
+        .select(F.col("node").alias("id"), "_group")
     )
-    ids = nodes.select("node", "least").join(named, "node", "left").select("node", F.coalesce("_group", "least").alias("_group"))
+    ids = nodes.select("id", "node", "least").join(named, "id", "left").select("node", F.coalesce("_group", "least").alias("_group"))
     placed = rows.select("doc_id", "n", "node", "text_hash").join(ids, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("_group"))
     return placed.select(

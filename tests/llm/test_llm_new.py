@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sonoloom.llm import fill_in_middle, queries, set_relations, whitening
+from sonoloom.llm import answers, fill_in_middle, queries, set_relations, whitening
 
 TOKENS = re.compile("[\x20\x09-\x0d]*[^\x20\x09-\x0d]+|[\x20\x09-\x0d]+")
 
@@ -139,7 +139,7 @@ def edited(rng, words, edits):
 def test_set_join_finds_every_group(spark, seed, monkeypatch):
     """Chains and crowds of near copies around the bound, boilerplate, short texts: with lists short and long."""
     monkeypatch.setattr(set_relations, "COMMON", [4, 32, 2][seed])
-    monkeypatch.setattr(set_relations, "ROUNDS", [2, 1, 1][seed])
+    monkeypatch.setattr(answers, "ROUNDS", [2, 1, 1][seed])
     rng = random.Random(seed)
     rows = []
     for crowd in range(4):

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 
 from sonoloom.llm import (
+    answers,
     chargrams,
     decontaminate,
     kd_shards,
@@ -161,7 +162,7 @@ def test_near_duplicates_where_the_first_node_is_not_close_to_all(spark, monkeyp
     """A chain of drifting copies, and two crowds that only their edges join, against all pairs."""
     import random
 
-    monkeypatch.setattr(near_dup, "BLOCK", 8)
+    monkeypatch.setattr(answers, "ROUNDS", 1)
     random.seed(4)
     base, texts = [f"w{i}" for i in range(200)], []
     for step in range(40):
