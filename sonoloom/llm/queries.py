@@ -71,7 +71,7 @@ def op3_setsketch_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tokens by source, language and tokenizer after inserts, a revision, deletes, their return, and replays of every batch."""
+    """Tokens by source, language and tokenizer after inserts, a revision, deletes, their return, and replays of these three."""
     docs = table(spark, sf_dir, "documents")
     share = F.pmod(F.xxhash64("doc_id"), F.lit(10))
     named = docs.filter("doc_id IS NOT NULL")
@@ -83,7 +83,7 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         lambda: ledger.delete("deleted", named.filter(share == 3)),
         lambda: ledger.insert("again", named.filter(share == 3)),
     ]
-    for commit in [*batches, *batches]:
+    for commit in [*batches, *batches[2:]]:
         commit()
     return ledger.totals()
 

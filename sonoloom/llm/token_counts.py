@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 TOKENIZERS = {"byte_bpe_50k": "/opt/tokenizers/byte_bpe_50k.tiktoken", "byte_bpe_multi_50k": "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"}
 # fixed value: the vocabulary's published split pattern
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CACHED_CHARS = 2_000_000
+CACHED_CHARS = 9_000_000
 KEYS = ("source", "lang", "tokenizer")
 SUMS = ("docs", "tokens", "bytes")
 DELTAS = "doc_id {}, source string, lang string, tokenizer string, docs bigint, tokens bigint, bytes bigint"
