@@ -10,6 +10,7 @@ from sonoloom.operators.hooks import encode
 from sonoloom.operators.mutations import transcription_outcome
 from sonoloom.operators.planning import held_out_split
 from sonoloom.operators.transcription import outcome, transcribe
+from sonoloom.operators.transcription import transcribe_once as transcribe_with_ledger
 from sonoloom.plans.cataloguing import mapping
 from sonoloom.plans.registry import query
 from sonoloom.plans.views import STORE, embeddings, listing, recordings, sql, table, utterances, with_lists
@@ -207,6 +208,21 @@ def transcribe_and_record(spark, sf_dir):
     return transcription_outcome(rows, done).select("audio_id", NAME, "status", "is_transcribed")
 
 
+@query(
+    sql(
+        "U",
+        f"""SELECT audio_id, {NAME}, CASE WHEN NOT failed THEN concat(' clip-', replace(split_part({NAME}, '.', 1), '_', ' '), '. ', CASE WHEN odd THEN '$' ELSE '' END) END AS raw_text,
+  CASE WHEN failed THEN 'no match' END AS engine_error FROM ({ECHO})""",
+    )
+)
+def transcribe_once(spark, sf_dir):
+    """One call per clip over two runs with one ledger: the first over half of the clips, the second over all."""
+    clips = utterances(spark, sf_dir).filter("status = 'Clean'").select("audio_id", NAME, F.col(NAME).alias("path"))
+    ledger = work_path(spark, "calls")
+    transcribe_with_ledger(clips.filter("audio_id % 2 = 0"), _echo, ledger, "azure", chunk=500)
+    return transcribe_with_ledger(clips, _echo, ledger, "azure", chunk=500).drop("path")
+
+
 def _load_encoder():
     import numpy as np
 
