@@ -117,13 +117,14 @@ def file_to_speaker(spark, sf_dir):
 @query(
     sql(
         "B",
-        f"""SELECT speaker_name, was_noise, CAST(0 AS BIGINT) AS part, count(*) AS files,
-  md5(string_agg({NAME}, ',' ORDER BY {NAME})) AS files_md5 FROM B GROUP BY speaker_name, was_noise""",
+        f"""SELECT speaker_name, was_noise, CAST((rn - 1) // 10000 AS BIGINT) AS part, count(*) AS files,
+  md5(string_agg({NAME}, ',' ORDER BY {NAME})) AS files_md5 FROM (
+  SELECT *, row_number() OVER (PARTITION BY speaker_name, was_noise ORDER BY {NAME}) AS rn FROM B) GROUP BY speaker_name, was_noise, (rn - 1) // 10000""",
     )
 )
 def speaker_files(spark, sf_dir):
     """Files of each speaker, by noise flag, as ordered lists of bounded length."""
-    lists = list_parts(members(spark, sf_dir), ["speaker_name", "was_noise"], F.col(NAME), [NAME], "files")
+    lists = list_parts(members(spark, sf_dir), ["speaker_name", "was_noise"], F.col(NAME), [NAME], "files", items=10_000)
     return lists.select(
         "speaker_name",
         "was_noise",
