@@ -24,8 +24,7 @@ from sonoloom.operators.components import components
 from sonoloom.session import checkpointed, work_path
 
 # (largest pivot, reach in hundredths): wide where sketches of unrelated sets still tell them apart
-REACHES = ((500, 40), (2_500, 20))
-LEAST_REACH = 10
+REACHES = ((500, 40), (2_500, 20), (1 << 40, 10))
 ROUNDS = 2
 LIST = ["token", "block"]
 CACHED_BYTES = 50_000_000
@@ -64,10 +63,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def _near(pivot_size: Column, percent: int) -> Column:
+def _near(pivot_size: Column, percent: int, reaches: tuple) -> Column:
     """Least similarity, in hundredths, of a pivot's answers."""
-    reach = F.lit(LEAST_REACH)
-    for largest, wider in REACHES[::-1]:
+    reach = F.lit(reaches[-1][1])
+    for largest, wider in reaches[-2::-1]:
         reach = F.when(pivot_size <= largest, F.lit(wider)).otherwise(reach)
     return F.greatest(F.lit(percent) - reach, F.lit(1))
 
@@ -130,7 +129,13 @@ def _derived(pairs: DataFrame, percent: int) -> DataFrame:
 
 
 def links(
-    entries: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, percent: int, maybe: Callable[[DataFrame], DataFrame]
+    entries: DataFrame,
+    docs: DataFrame,
+    nodes: DataFrame,
+    size: int,
+    percent: int,
+    maybe: Callable[[DataFrame], DataFrame],
+    reaches: tuple = REACHES,
 ) -> DataFrame:
     """Links (a, b) between the ids of nodes that share a list: enough for the components of all such links.
 
@@ -138,7 +143,7 @@ def links(
     similarity of ``least`` hundredths.
     """
     lists = _with_pivots(entries.withColumn("near", F.lit(0)), F.col("own"), "lists")
-    answers, named, near = None, None, _near(F.col("p.n"), percent)
+    answers, named, near = None, None, _near(F.col("p.n"), percent, reaches)
     for turn in range(ROUNDS):
         others = lists.filter("id <> p.id")
         sized = 100 * F.least("n", "p.n") >= near * F.greatest("n", "p.n")
@@ -150,15 +155,16 @@ def links(
         answers = told if answers is None else answers.unionByName(told)
         direct = answers.filter(_is_link(F.col("shared"), F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
         named = checkpointed(components(direct)).select(F.col("node").alias("id"), "component")
-        lists = _beyond(lists, answers, named, turn, percent)
-    likely = checkpointed(_difference_pairs(answers, named, percent))
+        lists = _beyond(lists, answers, named, turn, percent, reaches)
+    pairs = checkpointed(_difference_pairs(answers, named, percent).withColumn("least", F.lit(percent).cast("bigint")))
+    sure, likely = pairs.filter("sure").select("a", "b"), checkpointed(maybe(pairs.filter("NOT sure")))
     parts = answers.select(F.col("a").alias("p"), "n_a", "n_b", "b", "gone", "new")
     left = parts.select("p", F.col("n_a").alias("n_p"), F.col("b").alias("a"), F.col("n_b").alias("n_a"), F.col("gone").alias("gone_a"), F.col("new").alias("new_a"))
     right = parts.select("p", "b", "n_b", F.col("gone").alias("gone_b"), F.col("new").alias("new_b"))
-    derived = _derived(likely.filter("NOT sure").join(left, ["p", "a"]).join(right, ["p", "b"]), percent)
+    derived = _derived(likely.join(left, ["p", "a"]).join(right, ["p", "b"]), percent)
     far = checkpointed(maybe(_far_pairs(lists, percent)))
     compared = _compared(docs, nodes, far, size)
-    return direct.unionByName(likely.filter("sure").select("a", "b")).unionByName(derived).unionByName(compared.select("a", "b"))
+    return direct.unionByName(sure).unionByName(derived).unionByName(compared.select("a", "b"))
 
 
 def _with_pivots(entries: DataFrame, candidate: Column, name: str) -> DataFrame:
@@ -167,7 +173,7 @@ def _with_pivots(entries: DataFrame, candidate: Column, name: str) -> DataFrame:
     return written(entries.join(pivots.filter("_n > 1 AND p IS NOT NULL").drop("_n"), LIST), name)
 
 
-def _beyond(lists: DataFrame, answers: DataFrame, named: DataFrame, turn: int, percent: int) -> DataFrame:
+def _beyond(lists: DataFrame, answers: DataFrame, named: DataFrame, turn: int, percent: int, reaches: tuple) -> DataFrame:
     """What is left of the lists after their pivots' answers, with new pivots.
 
     ``near`` has a bit for every turn in whose pivot's answers the entry was; two entries with a common bit are covered by these.
@@ -179,7 +185,7 @@ def _beyond(lists: DataFrame, answers: DataFrame, named: DataFrame, turn: int, p
     told = answers.select(F.col("a").alias("_p"), F.col("b").alias("id"), distance.alias("away"))
     left = (
         lists.withColumn("_p", F.col("p.id"))
-        .withColumn("_close", (F.lit(percent) - _near(F.col("p.n"), percent)) / 100.0 + 1e-9)
+        .withColumn("_close", (F.lit(percent) - _near(F.col("p.n"), percent, reaches)) / 100.0 + 1e-9)
         .drop("p", "component")
         .filter("id <> _p")
         .join(told, ["_p", "id"], "left")

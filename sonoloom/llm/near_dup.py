@@ -33,6 +33,8 @@ RATE = 20.0
 LARGEST = 65_535
 SHINGLE = 5
 MARGIN = 0.13
+# (largest pivot, reach in hundredths): nodes of one bucket are seldom far apart
+REACHES = ((500, 55), (2_500, 35), (1 << 40, 20))
 SEED = 0x5E7
 MASK = (1 << 64) - 1
 
@@ -138,7 +140,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, size: int = SHINGLE) ->
     buckets = banded.select(
         F.xxhash64("_band", "_value").alias("token"), F.lit(0).alias("block"), F.lit(True).alias("own"), "id", "n", F.lit(0).alias("pos")
     )
-    groups = components(written(links(buckets, docs, nodes, size, percent, lambda pairs: _likely(pairs, nodes)), "links"))
+    groups = components(written(links(buckets, docs, nodes, size, percent, lambda pairs: _likely(pairs, nodes), REACHES), "links"))
     named = (
         groups.join(nodes.select(F.col("id").alias("node"), "least"), "node")
         .groupBy("component")
