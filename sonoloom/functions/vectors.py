@@ -20,6 +20,12 @@ PIVOTS = 1_024
 SAMPLE_ROWS = 2_048
 ANGLE_ERROR = 1e-6
 BROADCAST_BYTES = 64 * 1024 * 1024
+# Where pivots rule out little, rows are compared in this many blocks of at most so many rows: every row is sent to a task once per block.
+COARSE_BLOCKS = 24
+COARSE_ROWS = 32_768
+TASK_PAIRS = 4_000_000
+MOST_COMPARED = 0.5
+TILE = 1_024
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -148,6 +154,20 @@ def _choose_pivots(sample: np.ndarray, count: int, near: float) -> np.ndarray:
     return sample[kept]
 
 
+def _share_compared(sample: np.ndarray, centres: np.ndarray, angle: float) -> float:
+    """Share of the sample's row pairs that lie in cells which have to be compared."""
+    near = sample @ centres.T
+    best = np.argmax(near, axis=1)
+    away = np.arccos(np.clip(near[np.arange(len(best)), best], -1.0, 1.0))
+    cell, inverse, rows = np.unique(2 * best + (away > angle / 2 - ANGLE_ERROR), return_inverse=True, return_counts=True)
+    radius = np.zeros(len(cell))
+    np.maximum.at(radius, inverse, away)
+    pivot = centres[cell // 2]
+    apart = np.arccos(np.clip(pivot @ pivot.T, -1.0, 1.0))
+    near = apart <= radius[:, None] + radius[None, :] + angle + ANGLE_ERROR
+    return float((np.outer(rows, rows) * near).sum() / max(1, rows.sum()) ** 2)
+
+
 def block_pairs(
     vectors: DataFrame,
     key: str,
@@ -166,6 +186,10 @@ def block_pairs(
     angle of their pivots is at most the sum of the cell radii and the wanted angle: beyond
     it, by the triangle inequality, no pair is close enough.
 
+    Where the sample shows that most cells have to be compared, many small cells would only send every row to many more
+    tasks: there are fewer pivots then, and larger blocks, of up to ``COARSE_ROWS``; without ``skip_sure`` also such that a
+    task finds about ``TASK_PAIRS`` pairs at most.
+
     By the same inequality all pairs inside a core are close enough.  With ``skip_sure`` they
     are not compared but linked to the least member (``sure``), so a large group of near
     copies costs one link per row.
@@ -176,10 +200,17 @@ def block_pairs(
     angle = float(np.arccos(np.clip(similarity, -1.0, 1.0)))
     flag = F.col(moved) if moved else F.lit(True)
     rows = vectors.select(F.col(key).alias("_id"), F.col(vector).cast("array<double>").alias("_v"), flag.alias("_moved"))
-    wanted = max(1, min(pivots, ceil(rows.count() / block_rows)))
+    count = rows.count()
+    wanted = max(1, min(pivots, ceil(count / block_rows)))
     sampled = rows.orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE_ROWS).toPandas()
     sample = matrix(sampled["_v"]) if len(sampled) else np.zeros((0, 1))
     centres = _choose_pivots(sample, wanted, angle / 4)
+    coarse = min(ceil(count / COARSE_BLOCKS), COARSE_ROWS)
+    if not skip_sure and len(sample):
+        coarse = min(coarse, int((TASK_PAIRS / (sample @ sample.T >= similarity).mean()) ** 0.5))
+    if coarse > block_rows and _share_compared(sample, centres, angle) > MOST_COMPARED:
+        block_rows = coarse
+        centres = _choose_pivots(sample, max(1, min(pivots, ceil(count / block_rows / 2))), angle / 4)
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -227,15 +258,20 @@ def block_pairs(
     return BlockPairs(first, second, ["_p", "_a", "_q", "_b"], ["_p2", "_a2", "_q2", "_b2"], sure)
 
 
-def _close(left: pd.DataFrame, right: pd.DataFrame, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Positions and similarity of the pairs at or above the bound, each pair of a block once."""
-    scores = matrix(left["_v"]) @ matrix(right["_v2"]).T
-    if (left["_p"].iat[0], left["_a"].iat[0]) == (left["_q"].iat[0], left["_b"].iat[0]):
-        keep = left["_id"].to_numpy()[:, None] < right["_id2"].to_numpy()[None, :]
-        i, j = np.nonzero((scores >= similarity) & keep)
-    else:
-        i, j = np.nonzero(scores >= similarity)
-    return i, j, scores[i, j]
+def _close(left: pd.DataFrame, right: pd.DataFrame, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Positions and similarity of the pairs at or above the bound, each pair of a block once; tile by tile."""
+    rows, columns = matrix(left["_v"]), matrix(right["_v2"])
+    same = (left["_p"].iat[0], left["_a"].iat[0]) == (left["_q"].iat[0], left["_b"].iat[0])
+    ids, ids2 = left["_id"].to_numpy(), right["_id2"].to_numpy()
+    for i0 in range(0, len(rows), TILE):
+        for j0 in range(0, len(columns), TILE):
+            scores = rows[i0 : i0 + TILE] @ columns[j0 : j0 + TILE].T
+            found = scores >= similarity
+            if same:
+                found &= ids[i0 : i0 + TILE, None] < ids2[None, j0 : j0 + TILE]
+            i, j = np.nonzero(found)
+            if len(i):
+                yield i + i0, j + j0, scores[i, j]
 
 
 def similar_pairs(
@@ -246,7 +282,8 @@ def similar_pairs(
     def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
             return pd.DataFrame({"id_a": [], "id_b": [], "similarity": []})
-        i, j, score = _close(left, right, similarity)
+        none = (np.zeros(0, "int64"), np.zeros(0, "int64"), np.zeros(0))
+        i, j, score = (np.concatenate(found) for found in zip(none, *_close(left, right, similarity)))
         a, b = left["_id"].to_numpy()[i], right["_id2"].to_numpy()[j]
         return pd.DataFrame({"id_a": np.minimum(a, b), "id_b": np.maximum(a, b), "similarity": score})
 
@@ -273,16 +310,18 @@ def linking_edges(
         ids = np.unique(np.concatenate([left["_id"].to_numpy(), right["_id2"].to_numpy()]))
         rows = np.searchsorted(ids, left["_id"].to_numpy())
         columns = np.searchsorted(ids, right["_id2"].to_numpy())
-        i, j, _ = _close(left, right, similarity)
         label = np.arange(len(ids))
-        a, b = rows[i], columns[j]
-        while len(a):
-            low, high = np.minimum(label[a], label[b]), np.maximum(label[a], label[b])
-            if (low == high).all():
-                break
-            np.minimum.at(label, high, low)
-            while (label[label] != label).any():
-                label = label[label]
+        for i, j, _ in _close(left, right, similarity):
+            a, b = rows[i], columns[j]
+            while len(a):
+                low, high = label[a], label[b]
+                apart = low != high
+                if not apart.any():
+                    break
+                a, b, low, high = a[apart], b[apart], low[apart], high[apart]
+                np.minimum.at(label, np.maximum(low, high), np.minimum(low, high))
+                while (label[label] != label).any():
+                    label = label[label]
         linked = label != np.arange(len(ids))
         return pd.DataFrame({"a": ids[label[linked]], "b": ids[linked]})
 

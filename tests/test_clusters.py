@@ -244,3 +244,14 @@ def test_pairs_are_complete_and_far_blocks_are_skipped(spark):
     assert sure.first.isEmpty() and sure.sure.count() == 59
     assert vec.similar_pairs(copies, "id", "v", 0.9, block_rows=10).count() == 60 * 59 // 2
     assert vec.similar_pairs(copies.limit(0), "id", "v", 0.9).count() == 0
+
+
+def test_rows_are_sent_to_few_tasks_where_pivots_rule_out_little(spark):
+    points = unit(np.random.default_rng(3).normal(size=(600, 24)))
+    df = frame(spark, points)
+    blocks = vec.block_pairs(df, "vec_id", "embedding", 0.3, block_rows=5)
+    assert blocks.first.count() + blocks.second.count() < 600 * 3 * vec.COARSE_BLOCKS
+    scores = points @ points.T
+    want = {(i, j) for i in range(600) for j in range(i + 1, 600) if scores[i, j] >= 0.3}
+    got = vec.similar_pairs(df, "vec_id", "embedding", 0.3, block_rows=5)
+    assert {(r.id_a, r.id_b) for r in got.collect()} == want
