@@ -14,7 +14,7 @@ it closes when more than 90 % is unvoiced, at that frame; the ring is emptied at
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -99,29 +99,52 @@ def _by_chunks(frames: DataFrame, keys: list[str], idx: str, flag: str, ring: in
     key_ddl = ", ".join(f"{k} {chunked.schema[k].dataType.simpleString()}" for k in chunk_keys)
     schema = f"{key_ddl}, {_SCANNED}"
 
-    def scan(frame: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
-        if frame.empty or state.empty:
-            return pd.DataFrame({c: [] for c in [*chunk_keys, "segments", "last_idx", "triggered", "ring", "open_idx"]})
-        rows, before = frame.sort_values("_idx"), state.iloc[0]
-        first = int(rows["_idx"].iat[0])
+    def one(rows: pd.DataFrame) -> dict:
+        before = rows.iloc[0]
         segments, triggered, kept, opened = scan_flags(
-            rows["_flag"].to_numpy(), first, ring, bool(before["in_triggered"]), list(before["in_ring"]), None
+            rows["_flag"].to_numpy(), int(before["_idx"]), ring, bool(before["in_triggered"]), [c == "1" for c in before["in_ring"]], None
         )
-        values = {k: [rows[k].iat[0]] for k in chunk_keys}
-        values.update(
-            segments=[[{"start_idx": s, "end_idx": e} for s, e in segments]],
-            last_idx=[int(rows["_idx"].iat[-1])],
-            triggered=[triggered],
-            ring=[kept],
-            open_idx=pd.array([opened], dtype="Int64"),
-        )
-        return pd.DataFrame(values)
+        return {
+            **{k: before[k] for k in chunk_keys},
+            "segments": [{"start_idx": s, "end_idx": e} for s, e in segments],
+            "last_idx": int(rows["_idx"].iat[-1]),
+            "triggered": triggered,
+            "ring": kept,
+            "open_idx": opened,
+        }
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The chunks of a partition, which follow one another; the last of a batch may go on in the next."""
+        held: list[pd.DataFrame] = []
+
+        def table(found: list[dict]) -> pd.DataFrame:
+            return pd.DataFrame(found, columns=[*chunk_keys, "segments", "last_idx", "triggered", "ring", "open_idx"]).astype({"open_idx": "Int64"})
+
+        for batch in batches:
+            if batch.empty:
+                continue
+            fresh = np.zeros(len(batch), bool)
+            for k in chunk_keys:
+                values = batch[k].to_numpy()
+                fresh[1:] |= values[1:] != values[:-1]
+            cuts = np.flatnonzero(fresh).tolist()
+            pieces = [batch.iloc[i:j] for i, j in zip([0, *cuts], [*cuts, len(batch)])]
+            found = []
+            for n, piece in enumerate(pieces):
+                if held and (n or any(held[0][k].iat[0] != piece[k].iat[0] for k in chunk_keys)):
+                    found.append(one(pd.concat(held) if len(held) > 1 else held[0]))
+                    held.clear()
+                held.append(piece)
+            if found:
+                yield table(found)
+        if held:
+            yield table([one(pd.concat(held))])
 
     def run(starts: DataFrame) -> DataFrame:
-        wanted = chunked.join(starts.select(*chunk_keys), chunk_keys, "left_semi")
-        state = starts.select(*[F.col(c).alias(f"at_{c}") for c in chunk_keys], "in_triggered", "in_ring")
-        by_state = state.groupBy(*[f"at_{c}" for c in chunk_keys])
-        return wanted.groupBy(*chunk_keys).cogroup(by_state).applyInPandas(scan, schema)
+        """The chunks of ``starts`` from their states: each task scans many chunks, one after the other."""
+        bits = F.array_join(F.transform("in_ring", lambda x: x.cast("int").cast("string")), "")
+        wanted = chunked.join(starts.select(*chunk_keys, "in_triggered", bits.alias("in_ring")), chunk_keys)
+        return wanted.repartition(*chunk_keys).sortWithinPartitions(*chunk_keys, "_idx").mapInPandas(scan, schema)
 
     no_ring = F.array().cast("array<boolean>")
     starts = checkpointed(

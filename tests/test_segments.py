@@ -1,7 +1,9 @@
 import random
 from collections import deque
 
+import numpy as np
 import pytest
+from conftest import rows_of
 from pyspark.sql import functions as F
 
 from sonoloom.operators import segments as seg
@@ -119,3 +121,23 @@ def test_stream_gives_the_same_closed_segments(spark, tmp_path):
     for s, flags in made.items():
         whole = model(flags, 3)
         assert got.get(s, []) in (whole, whole[:-1])
+
+
+def test_chunks_are_scanned_in_a_stream_and_may_span_batches(spark, monkeypatch):
+    """One Python call per group made many short chunks slow; chunks now follow one another in few batches."""
+    from pyspark.sql import GroupedData
+
+    def refuse(*_):
+        raise AssertionError("a Python call per chunk")
+
+    monkeypatch.setattr(GroupedData, "cogroup", refuse)
+    rng = np.random.default_rng(5)
+    rows = [(s, i, bool(f)) for s in (1, 2, 3) for i, f in enumerate(np.repeat(rng.random(40) < 0.5, 4))]
+    df = spark.createDataFrame(rows, "stream bigint, idx bigint, flag boolean")
+    want = rows_of(seg.hysteresis(df, 3))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        for chunk in (5, 23):
+            assert rows_of(seg.hysteresis(df, 3, max_group_rows=0, chunk_frames=chunk)) == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
