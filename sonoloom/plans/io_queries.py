@@ -74,12 +74,12 @@ def read_metadata_csv_short(spark, sf_dir):
     )
 )
 def read_metadata_mixed(spark, sf_dir):
-    """One folder of files with and without ``license``, large enough for several splits each, with line breaks inside quotes."""
+    """One folder of files with and without ``license``, written by many tasks, with line breaks inside quotes."""
     path = work_path(spark, "metadata")
     broken = F.concat("raw_file_name", F.lit('\n"'), F.col("audio_id").cast("string"), F.lit('"'))
     for rest in (0, 1):
         rows = _metadata(spark, sf_dir, rest == 0).filter(F.col("audio_id") % 2 == rest).withColumn("raw_file_name", broken)
-        rows.coalesce(1).write.mode("append").options(header=True, escape='"').csv(path)
+        rows.write.mode("append").options(header=True, escape='"').csv(path)
     return _metadata_read(spark, path)
 
 

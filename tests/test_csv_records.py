@@ -69,3 +69,15 @@ def test_selection_columns_by_each_file(spark, tmp_path):
     (tmp_path / "c.csv").write_text("audio_id,snr\n1,2\n")
     with pytest.raises(ValueError, match="c.csv: missing columns"):
         readers.read_selection(spark, str(tmp_path))
+
+
+def test_mixed_metadata_is_written_by_many_tasks(spark, tiny, tmp_path, monkeypatch):
+    from sonoloom.plans import io_queries
+
+    monkeypatch.setattr(io_queries, "work_path", lambda _spark, name: str(tmp_path / name))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert io_queries.read_metadata_mixed(spark, tiny).count() == spark.read.parquet(f"{tiny}/orders.parquet").count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(list((tmp_path / "metadata").glob("*.csv"))) > 2
