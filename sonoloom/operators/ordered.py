@@ -23,6 +23,7 @@ from sonoloom.session import checkpointed
 
 MAX_GROUP_ROWS = 1_000_000
 LIMIT_ROWS = 1_000
+PART_ROWS = 500_000
 
 _PART = "_part"
 
@@ -45,8 +46,15 @@ def range_split(
     """``df`` with a frozen range-partition number ``_part`` that follows (keys, order).
 
     Without ``partitions`` the session's shuffle partitions are used, and adaptive execution
-    joins neighbouring small ones; the checkpoint keeps whatever numbers came out.
+    joins neighbouring small ones; the checkpoint keeps whatever numbers came out.  Beyond ``PART_ROWS`` rows
+    there is at least one partition for as many rows, so a task's share does not grow with the table.
     """
+    if partitions is None:
+        # Written once: counting it, drawing the bounds and dealing it out would each run the input again.
+        df = checkpointed(df)
+        count = df.count()
+        if count > PART_ROWS:
+            partitions = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-count // PART_ROWS))
     columns = [*[F.col(k).asc_nulls_first() for k in keys], *order_by]
     ranged = df.repartitionByRange(*([partitions] if partitions else []), *columns)
     return checkpointed(ranged.withColumn(_PART, F.spark_partition_id()))
@@ -76,6 +84,8 @@ def running_total(
         return total if ceiling is None else total.filter(F.col(output) <= ceiling)
 
     parts = range_split(df.withColumn("_value", value), partition_by, order, partitions)
+    # Every part stays a task of its own: dealt by hash, a task would sort as many parts as fall to it.
+    parts = parts.repartitionById(max(1, parts.rdd.getNumPartitions()), F.col(_PART))
     keys = [*partition_by, _PART]
     inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     earlier = Window.partitionBy(*partition_by).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)

@@ -78,3 +78,14 @@ def test_largest_group(spark):
     rows, df = data(spark)
     assert o.largest_group(df, ["k"]) == max(sum(r[0] == k for r in rows) for k in {r[0] for r in rows})
     assert o.largest_group(df.limit(0), ["k"]) == 0
+
+
+def test_parts_of_a_total_order_do_not_grow_with_the_table(spark, monkeypatch):
+    from sonoloom.operators import ordered
+
+    monkeypatch.setattr(ordered, "PART_ROWS", 20)
+    df = spark.range(200).select((F.col("id") * 7 % 200).alias("k"))
+    parts = ordered.range_split(df, [], [F.col("k")])
+    assert parts.groupBy("_part").count().agg(F.max("count")).first()[0] < 45
+    rows = ordered.row_index(df, ["k"], output="at")
+    assert rows.filter("k <> at").isEmpty() and rows.count() == 200
