@@ -23,12 +23,12 @@ def path_attributes(listing: DataFrame, base: str, path: str = "path") -> DataFr
     Commas are removed first; a train/test level is skipped; paths without ``wav`` and paths
     that do not parse are left out.
     """
-    cleaned = F.replace(F.col(path), F.lit(","), F.lit(""))
-    split = (
-        listing.filter(F.col(path).contains("wav"))
-        .select(cleaned.alias("bucket_file_path"))
-        .withColumn("_rest", F.split(F.substring_index("bucket_file_path", base.rstrip("/") + "/", -1), "/"))
-        .withColumn("_at", F.when(F.lower(F.get("_rest", F.lit(1))).isin("train", "test"), 2).otherwise(1))
+    # Path and parts go through generators: filters and join keys on the columns would else build and split the path again, each of them.
+    paths = listing.select(F.explode(F.array(path)).alias("_path")).filter(F.col("_path").contains("wav"))
+    cleaned = paths.select(F.explode(F.array(F.replace("_path", F.lit(","), F.lit("")))).alias("bucket_file_path"))
+    rest = F.split(F.substring_index("bucket_file_path", base.rstrip("/") + "/", -1), "/")
+    split = cleaned.select("bucket_file_path", F.explode(F.array(rest)).alias("_rest")).withColumn(
+        "_at", F.when(F.lower(F.get("_rest", F.lit(1))).isin("train", "test"), 2).otherwise(1)
     )
     name = F.element_at("_rest", -1)
     raw_name = F.substring_index(F.substring(name, F.instr(name, "_") + 1, F.length(name)), ".", 1)
@@ -125,7 +125,7 @@ def valid_utterances(matched: DataFrame, listing_status: str = "status") -> Data
 
 def valid_per_audio(matched: DataFrame, listing_status: str = "status") -> DataFrame:
     """Per audio the minutes of its valid utterances and the list of their JSON, by name."""
-    listed = F.array_sort(F.collect_list(F.struct("utterances_file_name", "utterance_json")))
+    listed = F.sort_array(F.collect_list(F.struct("utterances_file_name", "utterance_json")))
     return (
         valid_utterances(matched, listing_status)
         .groupBy("audio_id")

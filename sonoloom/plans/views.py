@@ -147,7 +147,7 @@ def with_lists(spark: SparkSession, sf_dir: str, staging: DataFrame | None = Non
     lists = (
         utterances(spark, sf_dir)
         .groupBy("audio_id")
-        .agg(F.array_sort(F.collect_list(element)).alias("_list"))
+        .agg(F.sort_array(F.collect_list(element)).alias("_list"))
         .withColumn("_list", F.when(F.col("audio_id") % 50 == 3, F.to_json(old_form)).otherwise(F.to_json("_list")))
     )
     special = F.when(F.col("audio_id") % 50 == 1, "null").when(F.col("audio_id") % 50 == 2, "[]")
