@@ -9,7 +9,6 @@ from sonoloom.operators import reconcile as rec
 from sonoloom.operators.ordered import row_index
 from sonoloom.plans.registry import query
 from sonoloom.plans.views import STORE, listing, recordings, sql, utterances, with_lists
-from sonoloom.session import checkpointed
 from sonoloom.sources.readers import list_children as children_of
 
 BASE = STORE
@@ -54,8 +53,8 @@ WHERE NOT EXISTS (SELECT 1 FROM X WHERE X.audio_id = A.audio_id AND X.utterances
     )
 )
 def bucket_not_in_catalog(spark, sf_dir):
-    # Written once: the listing is a union, and the anti-join would run once per branch.
-    rows = rec.stored_not_catalogued(checkpointed(stored(spark, sf_dir)), exploded(spark, sf_dir))
+    # The listing is a union, and the anti-join runs once per branch; both read one exchange of the catalogue.
+    rows = rec.stored_not_catalogued(stored(spark, sf_dir), exploded(spark, sf_dir))
     named = [F.col("source_x").alias("source"), F.col("source").alias("catalogued_source")]
     return rows.select("bucket_file_path", "audio_id", "status", *named, "utterances_file_duration")
 

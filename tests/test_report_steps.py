@@ -1,8 +1,10 @@
 """The report's steps run their input once: paths are split once a row, a written report is not computed again."""
 
+from check import duck
 from conftest import rows_of
 
 from sonoloom.operators import reconcile as rec
+from sonoloom.plans import load
 from sonoloom.plans.reconciling import stored
 from sonoloom.plans.views import STORE
 
@@ -22,3 +24,10 @@ def test_paths_with_commas_other_names_and_nulls(spark):
     listing = spark.createDataFrame([(p, 1) for p in paths], "path string, length bigint")
     found = rows_of(rec.path_attributes(listing, STORE), "source", "audio_id", "raw_file_name", "utterances_file_name", "status")
     assert found == [("src0", 7, "a", "1_a.wav", "clean"), ("src1", 8, "NA", "b.wav", "rejected")]
+
+
+def test_stored_not_catalogued_is_read_without_a_checkpoint(spark, tiny):
+    query = load()
+    df = query.QUERIES["bucket_not_in_catalog"](spark, tiny)
+    assert "ExistingRDD" not in df._jdf.queryExecution().optimizedPlan().toString() and "LogicalRDD" not in optimized(df)
+    assert df.count() == len(duck(tiny).execute(query.CHECKS["bucket_not_in_catalog"]).fetchall())
