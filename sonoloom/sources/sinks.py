@@ -51,7 +51,7 @@ def write_final_report(
     line = F.to_csv("_row", {"escape": '"', "emptyValue": ""})
     headed = F.when(F.col("_at") % rows_per_file == 0, F.concat(F.lit(header + "\n"), line)).otherwise(line)
     write_lines(numbered, root, F.col("_file"), headed, ["_at"])
-    files = -(-final.count() // rows_per_file)
+    files = -(-numbered.count() // rows_per_file)  # of the checkpointed rows: ``final`` would run once more
     if not files:
         _write_one(final.sparkSession, header, name, root)
     stem = name.removesuffix(".csv")

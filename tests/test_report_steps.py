@@ -1,12 +1,16 @@
 """The report's steps run their input once: paths are split once a row, a written report is not computed again."""
 
+from datetime import datetime
+
 from check import duck
 from conftest import rows_of
+from pyspark.sql import functions as F
 
 from sonoloom.operators import reconcile as rec
 from sonoloom.plans import load
 from sonoloom.plans.reconciling import stored
 from sonoloom.plans.views import STORE
+from sonoloom.sources import sinks
 
 
 def optimized(df):
@@ -31,3 +35,17 @@ def test_stored_not_catalogued_is_read_without_a_checkpoint(spark, tiny):
     df = query.QUERIES["bucket_not_in_catalog"](spark, tiny)
     assert "ExistingRDD" not in df._jdf.queryExecution().optimizedPlan().toString() and "LogicalRDD" not in optimized(df)
     assert df.count() == len(duck(tiny).execute(query.CHECKS["bucket_not_in_catalog"]).fetchall())
+
+
+def test_a_report_is_computed_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def watched(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    rows = spark.range(0, 25, 1, 2).select("id", F.concat(F.lit("n"), "id").alias("name")).mapInPandas(watched, "id bigint, name string")
+    files = sinks.write_final_report(rows, str(tmp_path), "src", datetime(2021, 1, 1), ["id"], rows_per_file=10)
+    assert seen.value == 25 and len(files) == 3
+    assert spark.read.option("header", True).csv(files).count() == 25
