@@ -85,11 +85,10 @@ def transcribe_once(
     keyed = utterances.withColumn("_call", call)
     calls = keyed.groupBy(F.col("_call").alias("call")).agg(F.min(path).alias("path"))
 
-    def answers() -> DataFrame:
-        reader = spark.read.schema("call string, text string").options(recursiveFileLookup=True, pathGlobFilter="*.json")
-        return reader.json(root).dropDuplicates(["call"])
-
-    todo = calls.join(answers(), "call", "left_anti")
+    # The files of earlier runs only: what this run asks comes back beside the commits, so it is not read again.
+    reader = spark.read.schema("call string, text string").options(recursiveFileLookup=True, pathGlobFilter="*.json")
+    known = reader.json(root).dropDuplicates(["call"])
+    todo = calls.join(known, "call", "left_anti")
     todo = todo.repartition(*([partitions] if partitions else []), "call")
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -118,9 +117,8 @@ def transcribe_once(
                 yield pd.DataFrame(results, columns=["call", "text", "error"])
 
     asked = checkpointed(todo.mapInPandas(ask, "call string, text string, error string"))
-    failed = asked.filter("error IS NOT NULL").select("call", F.col("error").alias("engine_error"))
-    told = answers().select("call", F.col("text").alias("raw_text"))
-    both = told.join(failed, "call", "full").withColumnRenamed("call", "_call")
+    told = known.withColumn("error", F.lit(None).cast("string")).unionByName(asked)
+    both = told.select(F.col("call").alias("_call"), F.col("text").alias("raw_text"), F.col("error").alias("engine_error"))
     return keyed.join(both, "_call", "left").select(*utterances.columns, "raw_text", "engine_error")
 
 

@@ -38,3 +38,11 @@ def test_calls_after_a_killed_task(spark, tmp_path):
     named.count()
     fresh = open(log).read().split()[before:]
     assert all(c.endswith("7") for c in fresh if fresh.count(c) > 1) and len([c for c in fresh if not c.endswith("7")]) <= 20
+
+
+def test_answers_of_a_run_are_not_read_back_from_its_ledger(spark, tmp_path):
+    clips = spark.createDataFrame([(i, f"p{i}") for i in range(9)], "id int, path string")
+    first = transcribe_once(clips, str.upper, str(tmp_path), "e", chunk=2)
+    assert not [f for f in first.inputFiles() if f.endswith(".json")]
+    again = transcribe_once(clips, str.lower, str(tmp_path), "e", chunk=2)
+    assert sorted(r.raw_text for r in first.collect()) == sorted(r.raw_text for r in again.collect()) == [f"P{i}" for i in range(9)]
