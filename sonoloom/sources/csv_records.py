@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -24,7 +25,7 @@ SPLIT = ["file", "block"]
 def _lines(spark: SparkSession, path: str, pattern: str | None) -> DataFrame:
     """(file, block, quotes, value): the lines of all files, in order within a partition."""
     options = {"lineSep": "\n", **({"pathGlobFilter": pattern, "recursiveFileLookup": True} if pattern else {})}
-    quotes = F.length("value") - F.length(F.translate("value", '"', ""))
+    quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))
     return spark.read.options(**options).text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), quotes.alias("quotes"), "value"
     )
@@ -36,12 +37,30 @@ def _is_small(table: DataFrame) -> bool:
 
 def _splits(lines: DataFrame) -> DataFrame:
     """(file, block, start, first): quote parity at the start of each split, and its first line that is not blank."""
-    first = F.min_by(F.when(F.trim("value", F.lit(" \r\t")) != "", F.col("value")), F.when(F.trim("value", F.lit(" \r\t")) != "", F.col("_i")))
-    facts = lines.withColumn("_i", F.monotonically_increasing_id()).groupBy(*SPLIT).agg((F.sum("quotes") % 2).alias("parity"), first.alias("first"))
+    first = F.min_by("value", F.when(F.trim("value", F.lit(" \r\t")) != "", F.col("_i")))
+    # With a collected set beside it the aggregate keeps its few splits in a hash map; with texts alone it would sort all lines.
+    odd = F.collect_set(F.col("quotes") % 2)
+    facts = lines.withColumn("_i", F.monotonically_increasing_id()).groupBy(*SPLIT).agg(
+        (F.sum("quotes") % 2).alias("parity"), first.alias("first"), F.array_contains(odd, 1).alias("odd")
+    )
+    facts = facts.withColumn("parity", F.when(F.col("odd"), F.col("parity")).otherwise(0))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     return facts.select(*SPLIT, F.coalesce(F.sum("parity").over(before) % 2, F.lit(0)).cast("int").alias("start"), "first")
 
 
+def _split_of(batch: pa.RecordBatch, row: int) -> tuple[str, int]:
+    return batch.column("file")[row].as_py(), batch.column("block")[row].as_py()
+
+
+def _has_whole_lines(batch: pa.RecordBatch, where: tuple[str, int] | None) -> bool:
+    """All rows are of one split, and every line begins and ends outside quotes; ``where`` is the split before, outside quotes."""
+    if not batch.num_rows or _split_of(batch, 0) != _split_of(batch, batch.num_rows - 1):
+        return False
+    if _split_of(batch, 0) != where and batch.column("start")[0].as_py():
+        return False
+    return not pc.any(pc.not_equal(pc.bit_wise_and(batch.column("quotes"), 1), 0)).as_py()
+
+
 def _joiner(cut: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Records of each split in order, either the whole ones or the pieces of cut ones.
 
@@ -69,6 +88,18 @@ def _joiner(cut: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], [*SPLIT, "kind", "first", "record"])
 
         for batch in batches:
+            if not lines and not inside and _has_whole_lines(batch, where):
+                # no record goes over a line break here: the lines that are not blank are the records
+                if _split_of(batch, 0) != where:
+                    where, kind, fresh = _split_of(batch, 0), WHOLE, batch.column("block")[0].as_py() == 0
+                kept = batch.filter(pc.not_equal(pc.utf8_trim_whitespace(batch.column("value")), ""))
+                if kept.num_rows and not cut:
+                    firsts = pa.array([fresh] + [False] * (kept.num_rows - 1), pa.bool_())
+                    whole = pa.array([WHOLE] * kept.num_rows, pa.int32())
+                    columns = [kept.column("file"), kept.column("block"), whole, firsts, kept.column("value")]
+                    yield pa.RecordBatch.from_arrays(columns, [*SPLIT, "kind", "first", "record"])
+                fresh = fresh and not kept.num_rows
+                continue
             for file, block, start, quotes, value in zip(*(batch.column(c).to_pylist() for c in (*SPLIT, "start", "quotes", "value"))):
                 if (file, block) != where:
                     if lines:

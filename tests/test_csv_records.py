@@ -8,6 +8,7 @@ import pytest
 from conftest import rows_of
 
 from sonoloom.schemas import METADATA_COLUMNS
+from sonoloom.sources import csv_records as records_module
 from sonoloom.sources import readers
 from sonoloom.sources.csv_records import csv_records
 
@@ -81,3 +82,31 @@ def test_mixed_metadata_is_written_by_many_tasks(spark, tiny, tmp_path, monkeypa
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert len(list((tmp_path / "metadata").glob("*.csv"))) > 2
+
+
+def test_lines_are_not_sorted_to_find_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(' \n\t\r\na,b\n1,"x\ny"\n\n2,z\n')
+    lines = records_module._lines(spark, str(tmp_path), None)
+    splits = records_module._splits(lines)
+    plan = splits._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+    assert [(r.start, r.first) for r in splits.select("start", "first").collect()] == [(0, "a,b")]
+    assert [r.quotes for r in lines.select("quotes").collect()] == [0, 0, 0, 1, 1, 0, 0]
+
+
+def test_batches_without_open_quotes_are_joined_as_the_others(spark):
+    import pyarrow as pa
+
+    def batch(rows):
+        columns = list(zip(*rows))
+        kinds = (pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.string())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["file", "block", "start", "quotes", "value"])
+
+    rows = [("f", 0, 0, 0, " "), ("f", 0, 0, 0, "h"), ("f", 0, 0, 2, '"a"'), ("f", 0, 0, 1, 'b"'), ("f", 0, 0, 0, ""), ("f", 0, 0, 1, '"c')]
+    rows += [("f", 9, 1, 1, 'd"'), ("f", 9, 1, 0, "e"), ("g", 0, 0, 0, "\u3000"), ("g", 0, 0, 0, "h"), ("g", 0, 0, 0, "\x1c"), ("g", 0, 0, 0, "i")]
+    for cut in (False, True):
+        found = {}
+        for size in (1, 2, 3, len(rows)):
+            parts = [batch(rows[i : i + size]) for i in range(0, len(rows), size)]
+            found[size] = [tuple(r.values()) for b in records_module._joiner(cut)(iter(parts)) for r in b.to_pylist()]
+        assert found[1] == found[2] == found[3] == found[len(rows)], cut
