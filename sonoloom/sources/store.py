@@ -6,6 +6,7 @@ A location is a path or a URI that Arrow's file systems know (local, HDFS, S3, G
 from __future__ import annotations
 
 import fnmatch
+import json
 import re
 import uuid
 from collections.abc import Iterator, Sequence
@@ -25,6 +26,9 @@ from sonoloom.session import work_path
 FOLDERS_PER_TASK = 64
 MOST_TASKS = 20_000
 MOVERS = 16
+FEW_FILES = 10_000
+FOLDERS = "folders"
+TWO_TASKS = "two tasks wrote lines of one file"
 LISTED = "path string, length bigint, modificationTime timestamp"
 
 
@@ -91,22 +95,49 @@ def list_levels(spark: SparkSession, root: str, pattern: str) -> DataFrame:
 
 @dataclass
 class Written(WriterCommitMessage):
-    """Files that one task completed: temporary path and final name."""
+    """The folder of one task and how many files it completed; their final names are in the folder's list, by number."""
 
-    files: list[tuple[str, str]]
+    folder: str
+    count: int
+
+
+def _moves(store: fs.FileSystem, folder: str) -> list[tuple[str, str]]:
+    """Temporary path and final name of the files of one task."""
+    with store.open_input_stream(f"{folder}/names") as names:
+        return [(f"{folder}/{i}", json.loads(line)) for i, line in enumerate(names.read().splitlines())]
+
+
+def _move(store: fs.FileSystem, root: str, moves: list[tuple[str, str]]) -> None:
+    """Files to their names; one that an earlier attempt moved is left where it is."""
+
+    def move(file: tuple[str, str]) -> None:
+        try:
+            store.move(file[0], f"{root}/{file[1]}")
+        except FileNotFoundError:
+            if store.get_file_info(f"{root}/{file[1]}").type != fs.FileType.File:
+                raise
+
+    for folder in {f"{root}/{name}".rsplit("/", 1)[0] for _, name in moves} | {root}:
+        store.create_dir(folder)
+    with ThreadPoolExecutor(MOVERS) as movers:
+        list(movers.map(move, moves))
+
+
+def _clear(store: fs.FileSystem, root: str, pending: str) -> None:
+    with suppress(FileNotFoundError):
+        store.delete_dir(f"{root}/{pending}")
 
 
 class NamedFilesWriter(DataSourceArrowWriter):
     """Writes lines to the files they name; nothing has its final name before all tasks are done."""
 
-    def __init__(self, location: str):
-        self.location = location.rstrip("/")
-        self.pending = f"_pending-{uuid.uuid4().hex}"
+    def __init__(self, location: str, pending: str):
+        self.location, self.pending = location.rstrip("/"), pending
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         store, root = located(self.location)
-        folder, files, out, last = f"{root}/{self.pending}/{uuid.uuid4().hex}", [], None, None
-        seen = set()
+        folder, out, last = f"{root}/{self.pending}/{uuid.uuid4().hex}", None, None
+        seen: dict[str, None] = {}
         try:
             for batch in iterator:
                 for name, line in zip(batch.column("file").to_pylist(), batch.column("value").to_pylist()):
@@ -115,36 +146,35 @@ class NamedFilesWriter(DataSourceArrowWriter):
                             out.close()
                         if name in seen:
                             raise ValueError(f"the lines of {name} do not follow one another")
-                        if not files:
+                        if not seen:
                             store.create_dir(folder)
-                        seen.add(name)
-                        files.append((f"{folder}/{len(files)}", name))
-                        out, last = store.open_output_stream(files[-1][0]), name
+                        out, last = store.open_output_stream(f"{folder}/{len(seen)}"), name
+                        seen[name] = None
                     out.write(f"{line}\n".encode())
         finally:
             if out is not None:
                 out.close()
-        return Written(files)
+        if seen:
+            with store.open_output_stream(f"{folder}/names") as names:
+                names.write("".join(f"{json.dumps(name)}\n" for name in seen).encode())
+        return Written(folder, len(seen))
 
     def commit(self, messages: Sequence[Written | None]) -> None:
         store, root = located(self.location)
-        moves = [move for message in messages if message is not None for move in message.files]
-        names = [name for _, name in moves]
-        if len(set(names)) < len(names):
+        done = [message for message in messages if message is not None and message.count]
+        if sum(message.count for message in done) > FEW_FILES:  # left to tasks, see ``write_lines``
+            with store.open_output_stream(f"{root}/{self.pending}/{FOLDERS}") as folders:
+                folders.write("".join(f"{message.folder}\n" for message in done).encode())
+            return
+        moves = [move for message in done for move in _moves(store, message.folder)]
+        if len({name for _, name in moves}) < len(moves):
             self.abort(messages)
-            raise ValueError("two tasks wrote lines of one file")
-        for folder in {f"{root}/{name}".rsplit("/", 1)[0] for name in names} | {root}:
-            store.create_dir(folder)
-        with ThreadPoolExecutor(MOVERS) as movers:
-            list(movers.map(lambda move: store.move(move[0], f"{root}/{move[1]}"), moves))
-        self._clear(store, root)
+            raise ValueError(TWO_TASKS)
+        _move(store, root, moves)
+        _clear(store, root, self.pending)
 
     def abort(self, messages: Sequence[Written | None]) -> None:
-        self._clear(*located(self.location))
-
-    def _clear(self, store: fs.FileSystem, root: str) -> None:
-        with suppress(FileNotFoundError):
-            store.delete_dir(f"{root}/{self.pending}")
+        _clear(*located(self.location), self.pending)
 
 
 class NamedFiles(DataSource):
@@ -164,7 +194,7 @@ class NamedFiles(DataSource):
     def writer(self, schema: StructType, overwrite: bool) -> NamedFilesWriter:
         if [f.name for f in schema.fields] != ["file", "value"]:
             raise ValueError("named files are written from the columns file and value")
-        return NamedFilesWriter(self.options["path"])
+        return NamedFilesWriter(self.options["path"], self.options["pending"])
 
 
 def write_lines(rows: DataFrame, path: str, file: Column, value: Column, order_by: Sequence[str]) -> None:
@@ -177,4 +207,39 @@ def write_lines(rows: DataFrame, path: str, file: Column, value: Column, order_b
     order = [F.col(o).alias(f"_o{i}") for i, o in enumerate(order_by)]
     lines = rows.select(file.alias("file"), value.alias("value"), *order).repartition("file")
     placed = lines.sortWithinPartitions("file", *[f"_o{i}" for i in range(len(order))]).select("file", "value")
-    placed.write.format("named_files").mode("append").option("path", path).save()
+    pending = f"_pending-{uuid.uuid4().hex}"
+    placed.write.format("named_files").mode("append").option("path", path).option("pending", pending).save()
+    _publish(rows.sparkSession, path.rstrip("/"), pending)
+
+
+def _publish(spark: SparkSession, path: str, pending: str) -> None:
+    """Move many files to their names by tasks, one for each folder that a task wrote; the driver knows only the folders."""
+    store, root = located(path)
+    listed = f"{root}/{pending}/{FOLDERS}"
+    if store.get_file_info(listed).type != fs.FileType.File:
+        return
+    with store.open_input_stream(listed) as lines:
+        folders = lines.read().decode().splitlines()
+    dealt = spark.createDataFrame([(i, folder) for i, folder in enumerate(folders)], "part int, folder string").repartitionById(len(folders), "part")
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, _ = located(path)
+        for batch in batches:
+            for folder in batch.column("folder").to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array([name for _, name in _moves(store, folder)], pa.string())], ["file"])
+
+    def moved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = located(path)
+        for batch in batches:
+            for folder in batch.column("folder").to_pylist():
+                moves = _moves(store, folder)
+                _move(store, root, moves)
+                yield pa.RecordBatch.from_arrays([pa.array([len(moves)], pa.int64())], ["files"])
+
+    try:
+        repeated = dealt.mapInArrow(named, "file string").groupBy("file").count().filter("count > 1")
+        if not repeated.isEmpty():
+            raise ValueError(TWO_TASKS)
+        dealt.mapInArrow(moved, "files bigint").agg(F.sum("files")).collect()
+    finally:
+        _clear(store, root, pending)

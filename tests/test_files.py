@@ -161,3 +161,18 @@ def test_increments(spark, tmp_path):
         run = each_increment(follow_staging(spark, source), lambda df, n: seen.append(df.count()), str(tmp_path / "ck"))
         run.awaitTermination(60)
     assert seen == [2]
+
+
+def test_many_files_are_named_by_tasks(spark, tmp_path, monkeypatch):
+    from sonoloom.sources import store
+
+    rows = spark.range(0, 60, 1, 3).select("id", F.concat(F.lit("line "), F.col("id").cast("string")).alias("line"))
+    name = F.concat(F.lit("d"), (F.col("id") % 2).cast("string"), F.lit("/"), (F.col("id") % 20).cast("string"), F.lit(".txt"))
+    for few in (100, 5):
+        root = tmp_path / str(few)
+        monkeypatch.setattr(store, "FEW_FILES", few)
+        write_lines(rows, str(root), name, F.col("line"), ["id"])
+        found = {str(p.relative_to(root)): p.read_text() for p in root.rglob("*") if p.is_file()}
+        assert found == {f"d{i % 2}/{i}.txt": "".join(f"line {j}\n" for j in (i, i + 20, i + 40)) for i in range(20)}
+    message = store.Written("folder", 1_000_000)
+    assert set(vars(message)) == {"folder", "count"}
