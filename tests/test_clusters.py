@@ -89,6 +89,20 @@ def test_repeated_rounds_against_lists(spark):
     assert sizes == {k: len(v) for k, v in state.items()}
 
 
+def test_rounds_carry_no_size_estimate_on(spark, monkeypatch):
+    """The planner's size of the clusters stays that of the table, and the log of the rounds is put together on the way."""
+    groups = random_groups(3, 20)
+    monkeypatch.setattr(cl, "LOGGED_ROUNDS", 1)
+    current, mapping = cl.merge_until_stable(sums(spark, groups), 0.95, 0.94)
+    sizes = {}
+    for r in mapping.collect():
+        sizes[r.new] = sizes.get(r.new, 0) + len(groups[r.old])
+    assert len(sizes) < len(groups)
+    assert {r.cluster: r["size"] for r in current.collect()} == sizes
+    for table in (current, cl.compose_moves(mapping.filter("old <> new"))):
+        assert int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < 1_000_000
+
+
 def test_copies_give_few_edges(spark):
     copies = spark.createDataFrame([(i, [1.0, 0.0, 0.0]) for i in range(300)], "id bigint, v array<double>")
     edges = vec.linking_edges(copies, "id", "v", 0.9, block_rows=100)
