@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sonoloom.llm.chargrams import CLASS_BITS, CLASSES, count_grams, grams, pieces, print_classes, sums_by_row
+from sonoloom.llm.answers import written
 from sonoloom.llm.common import keep_possible
 from sonoloom.session import checkpointed
 
@@ -79,11 +80,11 @@ def log_probabilities(counted: DataFrame, wanted: DataFrame | None = None) -> Da
     needed = {ORDER: (counted if wanted is None else wanted).select("lang", "gram")}
     for order in range(ORDER - 1, 0, -1):
         tail = _tail("gram", order).alias("gram")
-        counts[order] = checkpointed(counts[order + 1].groupBy("lang", tail).agg(F.count(F.lit(1)).alias("n")))
+        counts[order] = written(counts[order + 1].groupBy("lang", tail).agg(F.count(F.lit(1)).alias("n")), "counts")
         needed[order] = needed[order + 1].select("lang", tail).distinct()
     level = None
     for order in range(1, ORDER + 1):
-        level = checkpointed(_level(needed[order], counts[order], level, order))
+        level = written(_level(needed[order], counts[order], level, order), "level")
     return level.select("lang", "gram", F.log("p").alias("log_p"))
 
 
@@ -177,17 +178,17 @@ def judge_quality(
     key = F.xxhash64("doc_id").alias("_key")
     good = keep_possible(rows.select("*", key), "_key", ids.select(key)).join(ids, "doc_id", "left_semi")
     fold = F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(FOLDS)).cast("string")  # by text: copies share a fold
-    good = checkpointed(good.select("doc_id", F.concat(fold, "_lang").alias("_lang"), "text"))
+    good = written(good.select("doc_id", F.concat(fold, "_lang").alias("_lang"), "text"), "trusted")
     own = count_grams(good, "_lang", ORDER, print_classes)
-    own = checkpointed(own.select(F.substring("_lang", 1, 1).alias("fold"), F.substring("_lang", 2, 1 << 30).alias("lang"), "gram", "n"))
+    own = written(own.select(F.substring("_lang", 1, 1).alias("fold"), F.substring("_lang", 2, 1 << 30).alias("lang"), "gram", "n"), "own")
     seen = count_grams(rows, "_lang", ORDER, print_classes).select(F.col("_lang").alias("lang"), "gram", F.lit(0).cast("bigint").alias("n"))
-    counted = checkpointed(seen.unionByName(own.drop("fold")).groupBy("lang", "gram").agg(F.sum("n").alias("trusted")))
+    counted = written(seen.unionByName(own.drop("fold")).groupBy("lang", "gram").agg(F.sum("n").alias("trusted")), "counted")
     judged = checkpointed(_perplexities(rows, log_probabilities(counted), counted.count(), broadcast_rows))
     by_fold = own.groupBy("lang", "gram").agg(*[F.sum(F.when(F.col("fold") == str(f), F.col("n")).otherwise(0)).alias(f"n{f}") for f in range(FOLDS)])
     total = sum(F.col(f"n{f}") for f in range(FOLDS))
     left = F.explode(F.array(*[F.struct(F.lit(str(f)).alias("fold"), (total - F.col(f"n{f}")).alias("trusted"), (F.col(f"n{f}") > 0).alias("own")) for f in range(FOLDS)]))
     others = by_fold.select("lang", "gram", left.alias("z")).select(F.concat("z.fold", "lang").alias("lang"), "gram", "z.trusted", "z.own")
-    others = checkpointed(others)
+    others = written(others, "others")
     wanted = others.filter("own")
     held_out = _perplexities(good, log_probabilities(others, wanted), wanted.count(), broadcast_rows)
     limits = held_out.groupBy(F.substring("_lang", 2, 1 << 30).alias("_lang")).agg(
