@@ -9,12 +9,13 @@ batches before it, so a replay changes nothing, whichever batches came since and
 from __future__ import annotations
 
 import base64
-import re
 import sys
 import types
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import tiktoken
 from pyspark.errors import AnalysisException
@@ -29,32 +30,72 @@ KEYS = ("source", "lang", "tokenizer")
 SUMS = ("docs", "tokens", "bytes")
 DELTAS = "doc_id {}, source string, lang string, tokenizer string, docs bigint, tokens bigint, bytes bigint"
 LOG = "seq bigint, attempt bigint, batch string, deltas string, rollup string"
-UNSPLIT = re.compile(r"\s\s|^\s|\s$")
+GROUP_CHARS = 1_000_000
 
 
 class WordCounter:
-    """Token counts of texts.  The split pattern never joins a word to the blank after it, so words are counted once and kept."""
+    """Token counts of texts by one or more vocabularies.
 
-    def __init__(self, vocabulary: bytes):
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
-        self.encoding = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    The split pattern never joins a word to the blank after it, so words are counted once and kept.  The counts by all vocabularies
+    are kept in one integer, 32 bits each.  Words that are empty, or have other white space at an end, may belong to a longer
+    stretch of white space: their texts are encoded whole.
+    """
+
+    def __init__(self, *vocabularies: bytes):
+        self.encodings, self.begins = [], []
+        for vocabulary in vocabularies:
+            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
+            self.encodings.append(tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}))
+            begins = np.zeros(max(ranks.values()) + 1, bool)
+            begins[[n for token, n in ranks.items() if token.startswith(b" ")]] = True
+            self.begins.append(begins)
+        self.encoding = self.encodings[0]
+        self.whole = -(1 << 32 * (len(vocabularies) + 1))  # for words whose texts are encoded whole: no sum of counts makes up for it
         self.known: dict[str, int] = {}
         self.held = 0
 
     def count(self, text: str | None) -> int:
-        if not text:
-            return 0
-        if UNSPLIT.search(text):
-            return len(self.encoding.encode_ordinary(text))
-        first, *rest = text.split(" ")
-        missing = [w for w in set(rest) if w not in self.known]
+        """Tokens of a text by the first vocabulary."""
+        return self.counts([text])[0][0]
+
+    def counts(self, texts: Sequence[str | None]) -> list[list[int]]:
+        """Tokens of each text by each vocabulary."""
+        found, group, held = [], [], 0
+        for text in texts:
+            group.append(text or "")
+            held += len(group[-1])
+            if held >= GROUP_CHARS:
+                found += self._counted(group)
+                group, held = [], 0
+        return found + self._counted(group)
+
+    def _counted(self, texts: list[str]) -> list[list[int]]:
+        split = [t.split(" ") for t in texts]
         if self.held > CACHED_CHARS:
             self.known.clear()
-            missing, self.held = list(set(rest)), 0
-        self.held += sum(map(len, missing)) + 20 * len(missing)
-        for word in missing:
-            self.known[word] = len(self.encoding.encode_ordinary(" " + word))
-        return len(self.encoding.encode_ordinary(first)) + sum(map(self.known.__getitem__, rest))
+            self.held = 0
+        self._learn([w for w in set(chain.from_iterable(split)) if w not in self.known])
+        found, mask = [], (1 << 32) - 1
+        for text, words in zip(texts, split):
+            packed = sum(map(self.known.__getitem__, words))
+            alone = text if packed < 0 else words[0]  # nothing comes before the first word
+            packed = 0 if packed < 0 else packed - self.known[alone]
+            found.append([(packed >> 32 * i & mask) + len(e.encode_ordinary(alone)) for i, e in enumerate(self.encodings)])
+        return found
+
+    def _learn(self, words: list[str]) -> None:
+        """Count new words, each after a blank, all in one text: a token that begins with a blank begins a word."""
+        self.held += sum(map(len, words)) + 20 * len(words)
+        self.known.update((w, self.whole) for w in words if not w or w[0].isspace() or w[-1].isspace())
+        plain = [w for w in words if w not in self.known]
+        if not plain:
+            return
+        packed = [0] * len(plain)
+        for i, (encoding, begins) in enumerate(zip(self.encodings, self.begins)):
+            tokens = np.array(encoding.encode_ordinary(" " + " ".join(plain)), np.int64)
+            at = np.append(np.flatnonzero(begins[tokens]), len(tokens))
+            packed = [p + (n << 32 * i) for p, n in zip(packed, np.diff(at).tolist(), strict=True)]
+        self.known.update(zip(plain, packed))
 
 
 def read_vocabularies(paths: dict[str, str]) -> dict[str, bytes]:
@@ -71,13 +112,12 @@ def counter(spark: SparkSession, tokenizers: dict[str, str] | None = None) -> Co
     shared = spark.sparkContext.broadcast(read_vocabularies(tokenizers or TOKENIZERS))
 
     def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        # a vocabulary takes long to build and much memory, so a worker process keeps its counters from task to task
+        # a vocabulary takes long to build and much memory, so a worker process keeps its counter from task to task
         kept = sys.modules.setdefault("_sonoloom_worker", types.ModuleType("_sonoloom_worker")).__dict__
         if paths not in kept:
-            kept[paths] = [WordCounter(v) for _, v in sorted(shared.value.items())]
-        counters = kept[paths]
+            kept[paths] = WordCounter(*[v for _, v in sorted(shared.value.items())])
         for texts in batches:
-            yield pa.array([[c.count(t) for c in counters] for t in texts.to_pylist()], pa.list_(pa.int64()))
+            yield pa.array(kept[paths].counts(texts.to_pylist()), pa.list_(pa.int64()))
 
     return F.arrow_udf(count, "array<bigint>")
 

@@ -329,6 +329,26 @@ def test_word_counter_agrees_with_the_tokenizer(text):
     assert counter.count(text) == len(counter.encoding.encode_ordinary(text))
 
 
+def test_word_counter_encodes_new_words_together():
+    counter = token_counts.WordCounter(*[v for _, v in sorted(token_counts.read_vocabularies(token_counts.TOKENIZERS).items())])
+    rng = random.Random(1)
+    texts = ["".join(rng.choice("   ab's1\n\u3000\x1c\x85é!Z中") for _ in range(rng.randrange(15))) for _ in range(3000)] + [None, "", "one", "one " * 9 + "two"]
+    assert counter.counts(texts) == [[len(e.encode_ordinary(t or "")) for e in counter.encodings] for t in texts]
+
+    class Counted:
+        def __init__(self, encoding):
+            self.encoding, self.calls = encoding, 0
+
+        def encode_ordinary(self, text):
+            self.calls += 1
+            return self.encoding.encode_ordinary(text)
+
+    counter.encodings = [Counted(e) for e in counter.encodings]
+    new = [" ".join(f"w{i}x{j}" for j in range(500)) for i in range(4)]
+    assert counter.counts(new) == [[len(e.encoding.encode_ordinary(t)) for e in counter.encodings] for t in new]
+    assert all(e.calls <= len(new) + 1 for e in counter.encodings)
+
+
 def test_segmentations(spark, docs, none):
     full = {(r.doc_id, r.decoded): r for r in sentencepiece_lattice.segmentations(docs, k=3).collect()}
     assert {k for k in full} == {(i, t or "") for i, t, _ in TEXTS}
