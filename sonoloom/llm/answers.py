@@ -114,8 +114,11 @@ def _is_link(shared: Column, n_a: Column, n_b: Column, percent: int) -> Column:
     return 100 * shared >= percent * (n_a + n_b - shared)
 
 
-def _derived(pairs: DataFrame, percent: int) -> DataFrame:
-    """Linked pairs (a, b) by their differences to a pivot both are highly similar to."""
+def _derived(pairs: DataFrame, answers: DataFrame, percent: int) -> DataFrame:
+    """The linked ones among pairs (p, a, b, ...) by their differences to the pivot p both are highly similar to."""
+    parts, columns = answers.select(F.col("a").alias("p"), "n_a", "n_b", "b", "gone", "new"), pairs.columns
+    left = parts.select("p", F.col("n_a").alias("n_p"), F.col("b").alias("a"), F.col("n_b").alias("n_a"), F.col("gone").alias("gone_a"), F.col("new").alias("new_a"))
+    right = parts.select("p", "b", "n_b", F.col("gone").alias("gone_b"), F.col("new").alias("new_b"))
 
     def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
@@ -123,9 +126,9 @@ def _derived(pairs: DataFrame, percent: int) -> DataFrame:
             for n, n_a, n_b, gone_a, gone_b, new_a, new_b in zip(*(rows[c] for c in ("n_p", "n_a", "n_b", "gone_a", "gone_b", "new_a", "new_b"))):
                 shared = n - len(np.union1d(gone_a, gone_b)) + len(np.intersect1d(new_a, new_b, True))
                 good.append(100 * shared >= percent * (n_a + n_b - shared))
-            yield rows.loc[np.array(good, bool), ["a", "b"]]
+            yield rows.loc[np.array(good, bool), columns]
 
-    return pairs.mapInPandas(answer, "a bigint, b bigint")
+    return pairs.join(left, ["p", "a"]).join(right, ["p", "b"]).mapInPandas(answer, pairs.schema)
 
 
 def links(
@@ -156,12 +159,7 @@ def links(
         direct = answers.filter(_is_link(F.col("shared"), F.col("n_a"), F.col("n_b"), percent)).select("a", "b")
         named = checkpointed(components(direct)).select(F.col("node").alias("id"), "component")
         lists = _beyond(lists, answers, named, turn, percent, reaches)
-    pairs = checkpointed(_difference_pairs(answers, named, percent).withColumn("least", F.lit(percent).cast("bigint")))
-    sure, likely = pairs.filter("sure").select("a", "b"), checkpointed(maybe(pairs.filter("NOT sure")))
-    parts = answers.select(F.col("a").alias("p"), "n_a", "n_b", "b", "gone", "new")
-    left = parts.select("p", F.col("n_a").alias("n_p"), F.col("b").alias("a"), F.col("n_b").alias("n_a"), F.col("gone").alias("gone_a"), F.col("new").alias("new_a"))
-    right = parts.select("p", "b", "n_b", F.col("gone").alias("gone_b"), F.col("new").alias("new_b"))
-    derived = _derived(likely.join(left, ["p", "a"]).join(right, ["p", "b"]), percent)
+    sure, derived = _between_answers(answers, named, percent, maybe)
     far = checkpointed(maybe(_far_pairs(lists, percent)))
     compared = _compared(docs, nodes, far, size)
     return direct.unionByName(sure).unionByName(derived).unionByName(compared.select("a", "b"))
@@ -207,11 +205,13 @@ def _ordered(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def _difference_pairs(answers: DataFrame, named: DataFrame, percent: int) -> DataFrame:
-    """(p, a, b, sure): pairs in different components that are both near pivot p and may be linked, or are for sure.
+def _between_answers(answers: DataFrame, named: DataFrame, percent: int, maybe: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) between answers of one pivot p in different components: those that are sure by the sizes, and those derived.
 
     x and y are linked iff |x - y| + |y - x| <= c (|x| + |y|) with c = (1 - t) / (1 + t).  With slack = c |x| - |D_x|, all in units
-    of 1 / (100 + percent), that is 2 |D_x & D_y| >= -(slack_x + slack_y).
+    of 1 / (100 + percent), that is 2 |D_x & D_y| >= -(slack_x + slack_y).  Sets that share a difference are a list; its apart
+    set with the most slack is compared with all others first and what it links is contracted, so that a group of near copies
+    apart from the pivot costs one pair a set.  What is still in different components is compared then.
     """
     unit = 100 + percent
     slack = (100 - percent) * F.col("n") - unit * F.col("d")
@@ -226,10 +226,10 @@ def _difference_pairs(answers: DataFrame, named: DataFrame, percent: int) -> Dat
         .select("p", "id", "component", "apart", "d", slack.alias("slack"), "_d")
     )
     tops = balls.groupBy("p").agg(
-        F.max(F.struct("slack", "id")).alias("best"), F.max(F.when(F.col("apart"), F.col("slack"))).alias("best_apart"), F.max("apart").alias("_open")
+        F.max(F.struct("slack", "id", "component")).alias("best"), F.max(F.when(F.col("apart"), F.col("slack"))).alias("best_apart"), F.max("apart").alias("_open")
     )
     balls = written(balls.join(tops.filter("_open").drop("_open"), "p"), "balls")
-    sure = balls.filter("apart AND id <> best.id AND slack + best.slack >= 0").select("p", *_ordered(F.col("id"), F.col("best.id")), F.lit(True).alias("sure"))
+    sure = balls.filter("apart AND id <> best.id AND slack + best.slack >= 0")
 
     def needed(slacks: Column) -> Column:
         return F.greatest(F.lit(1), F.ceil(-slacks / (2.0 * unit) - 1e-9)).cast("int")
@@ -245,9 +245,28 @@ def _difference_pairs(answers: DataFrame, named: DataFrame, percent: int) -> Dat
         .select("p", "token", F.floor(F.col("slack") / (8.0 * unit)).cast("int").alias("block"), "id", "component", "apart", "slack", "room"),
         "differences",
     )
-    blocks = entries.groupBy("p", "token", "block").agg(F.max("room").alias("most"), F.max("slack").alias("top"))
+    least = F.lit(percent).cast("bigint").alias("least")
+    firsts = entries.filter("apart").groupBy("p", "token").agg(F.max(F.struct("slack", "id", "component", "room")).alias("x"))
+    meet = (F.col("component") != F.col("x.component")) & (F.least("room", "x.room") >= needed(F.col("slack") + F.col("x.slack")))
+    stars = entries.join(firsts, ["p", "token"]).filter(meet)
+    stars = stars.select(*_ordered(F.col("x.id"), F.col("id")), "p", F.col("x.component").alias("ca"), F.col("component").alias("cb"))
+    stars = stars.groupBy("a", "b").agg(F.max("p").alias("p"), F.min(F.least("ca", "cb")).alias("ca"), F.max(F.greatest("ca", "cb")).alias("cb"))
+    told = written(_derived(checkpointed(maybe(stars.withColumn("least", least))), answers, percent), "stars")
+    joined = told.select(F.col("ca").alias("a"), F.col("cb").alias("b")).unionByName(sure.select(F.col("component").alias("a"), F.col("best.component").alias("b")))
+    merged = checkpointed(components(joined)).select(F.col("node").alias("component"), F.col("component").alias("_to"))
+    left = (
+        entries.join(firsts.select("p", "token", F.col("x.id").alias("_x")), ["p", "token"])
+        .filter("id <> _x")
+        .drop("_x")
+        .join(merged, "component", "left")
+        .withColumn("component", F.coalesce("_to", "component"))
+        .drop("_to")
+    )
+    mixed = left.groupBy("p", "token").agg(F.min("component").alias("_low"), F.max("component").alias("_high"), F.max("apart").alias("_hit"))
+    left = written(left.join(mixed.filter("_hit AND _low <> _high").select("p", "token"), ["p", "token"], "left_semi"), "differences")
+    blocks = left.groupBy("p", "token", "block").agg(F.max("room").alias("most"), F.max("slack").alias("top"))
     probes = (
-        entries.filter("apart")
+        left.filter("apart")
         .select("p", "token", F.col("id").alias("x"), F.col("component").alias("_cx"), F.col("slack").alias("_sx"), F.col("room").alias("_rx"))
         .join(blocks, ["p", "token"])
         .filter(F.least("_rx", "most") >= needed(F.col("_sx") + F.col("top")))
@@ -257,9 +276,11 @@ def _difference_pairs(answers: DataFrame, named: DataFrame, percent: int) -> Dat
         & (~F.col("apart") | (F.col("x") < F.col("id")))
         & (F.least("_rx", "room") >= needed(F.col("_sx") + F.col("slack")))
     )
-    shared = probes.join(entries, ["p", "token", "block"]).filter(meet)
+    shared = probes.join(left, ["p", "token", "block"]).filter(meet)
     pairs = shared.select("p", *_ordered(F.col("x"), F.col("id"))).groupBy("a", "b").agg(F.max("p").alias("p"))
-    return sure.unionByName(pairs.select("p", "a", "b", F.lit(False).alias("sure")))
+    derived = _derived(checkpointed(maybe(pairs.withColumn("least", least))), answers, percent)
+    sure = sure.select(*_ordered(F.col("id"), F.col("best.id")))
+    return sure, told.select("a", "b").unionByName(derived.select("a", "b"))
 
 
 def _far_pairs(lists: DataFrame, percent: int) -> DataFrame:

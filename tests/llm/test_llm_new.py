@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sonoloom.llm import answers, fill_in_middle, queries, set_relations, whitening
+from sonoloom.operators.components import components
 
 TOKENS = re.compile("[\x20\x09-\x0d]*[^\x20\x09-\x0d]+|[\x20\x09-\x0d]+")
 
@@ -184,3 +185,22 @@ def test_op11(spark, tiny):
         i, c = at[r.vec_id], r.component - 1
         assert math.isclose(r.whitened * np.sign(signs[c]), white[i, c], abs_tol=1e-9) and math.isclose(r.explained, explained[c], rel_tol=1e-9)
         assert (r.n, r.deviation) == (n, deviation[i]) and r.identity_error < 1e-9
+
+
+def test_near_copies_apart_from_the_pivot_are_linked_by_one_pair_each(spark):
+    """A family whose sets are linked to each other but not to their list's pivot is not compared all with all."""
+    base, family = [f"w{i}" for i in range(100)], 60
+    texts = [base] + [[*(f"v{j}" for j in range(8)), *base[8:-1], f"own{i}"] for i in range(family)]
+    docs = spark.createDataFrame([(i, " ".join(words)) for i, words in enumerate(texts)], "doc_id bigint, text string")
+    nodes = docs.select(F.col("doc_id").alias("id"), F.lit(98).cast("bigint").alias("n"), F.xxhash64("text").alias("text_hash"))
+    place = F.when(F.col("id") == 0, 0).otherwise(1).alias("pos")
+    entries = nodes.select(F.lit(1).cast("bigint").alias("token"), F.lit(0).alias("block"), F.lit(True).alias("own"), "id", "n", place)
+    asked = []
+
+    def maybe(pairs):
+        asked.append(pairs.count())
+        return pairs
+
+    found = components(answers.links(entries, docs, nodes, 3, 90, maybe)).collect()
+    assert {(r.node, r.component) for r in found} == {(i, 1) for i in range(1, family + 1)}
+    assert sum(asked) <= 4 * family
