@@ -4,8 +4,9 @@ The pivot of a list is compared with its other entries: the sets within its reac
 sets are contracted.  Two sets among one pivot's answers have the symmetric difference of their differences D to it, so
 they are linked iff |D_x| + |D_y| - 2 |D_x & D_y| is small enough: either the sizes alone decide, then one link to the set with the
 most slack stands for all, or they share some of their differences.  These are listed by position, rare ones first, in
-blocks by slack, and a block without room for a link is skipped as a whole.  So groups of near copies meet only where they share
-edits.  By the triangle inequality a set beyond a pivot's reach is linked only to sets less than one radius inside it: lists go on
+blocks by slack, and a block without room for a link is skipped as a whole.  The set with the most slack of those that share a difference
+is compared with the others first and what it links is contracted.  So groups of near copies meet only where they share edits
+and are not linked yet.  By the triangle inequality a set beyond a pivot's reach is linked only to sets less than one radius inside it: lists go on
 with these and a new pivot for a few turns, and what is left then is compared.
 """
 
