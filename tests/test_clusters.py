@@ -89,6 +89,27 @@ def test_repeated_rounds_against_lists(spark):
     assert sizes == {k: len(v) for k, v in state.items()}
 
 
+@pytest.mark.parametrize("closest", [True, False])
+def test_a_task_goes_through_the_rounds_as_spark_does(spark, monkeypatch, closest):
+    def merged(clusters):
+        current, mapping = cl.merge_until_stable(clusters, 0.72, 0.6, 0.1, closest, block_rows=17)
+        assert int(str(current._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < 1_000_000
+        return [(r.cluster, r["size"], [round(x, 6) for x in r.total]) for r in current.orderBy("cluster").collect()], rows_of(mapping)
+
+    clusters = sums(spark, random_groups(7, 60))
+    monkeypatch.setattr(cl, "BROADCAST_BYTES", 0)
+    by_spark = merged(clusters)
+    assert len(by_spark[0]) < 40
+    monkeypatch.undo()
+
+    def no_round(*_):
+        raise AssertionError("a round by Spark")
+
+    monkeypatch.setattr(cl, "components", no_round)
+    assert merged(clusters) == by_spark
+    assert merged(clusters.limit(0)) == ([], [])
+
+
 def test_rounds_carry_no_size_estimate_on(spark, monkeypatch):
     """The planner's size of the clusters stays that of the table, and the log of the rounds is put together on the way."""
     groups = random_groups(3, 20)
