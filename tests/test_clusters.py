@@ -1,4 +1,7 @@
+import tracemalloc
+
 import numpy as np
+import pandas as pd
 import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
@@ -229,6 +232,21 @@ def test_nearest_ties_take_the_lowest_id(spark):
         assert rows_of(got.select("id", "centre")) == [(0, 2), (1, 9)]
 
 
+def test_nearest_centres_are_compared_in_tiles():
+    rng = np.random.default_rng(6)
+    points, centres = unit(rng.normal(size=(5_000, 8))), unit(rng.normal(size=(5_000, 8)))
+    centres[4_000:] = centres[:1_000]
+    rows = pd.Series(list(points))
+    tracemalloc.start()
+    got = vec._nearest(pd.Series(range(5_000)), rows, np.arange(5_000) * 2, centres)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 50_000_000  # all distances at once are 200 MB
+    away = 1.0 - points @ centres[:4_000].T
+    assert (got["centre"] == np.argmin(away, axis=1) * 2).all()
+    assert np.allclose(got["distance"], away.min(axis=1))
+
+
 def test_vector_expressions(spark):
     df = spark.createDataFrame([([1.0, 2.0, 3.0, 4.0],)], "v array<double>")
     x = np.array([1.0, 2.0, 3.0, 4.0])
