@@ -9,7 +9,7 @@ from sonoloom.functions.text import first_stem
 from sonoloom.schemas import MANIFEST, METADATA_COLUMNS, SOURCE_SUMMARY, metadata_schema
 from sonoloom.session import load_moment
 from sonoloom.sources.csv_records import csv_records, values_by_file
-from sonoloom.sources.store import is_reachable, list_levels
+from sonoloom.sources.store import is_folder, is_reachable, list_levels, read_files
 
 SELECTION_DDL = "speaker_id double, clipped_utterance_file_name string, clipped_utterance_duration double, audio_id bigint, snr double"
 
@@ -75,7 +75,14 @@ def read_experiment_chunks(spark: SparkSession, prefix: str) -> DataFrame:
 
 
 def read_transcripts(spark: SparkSession, path: str) -> DataFrame:
-    """(stem, text) of whole ``.txt`` files at any depth; many small ones are packed into one task."""
+    """(stem, text) of whole ``.txt`` files at any depth; many small ones are packed into one task.
+
+    A folder is listed and read by tasks.  Only another path, or a store that tasks cannot reach by themselves, is listed by
+    Spark's file index, on the driver.
+    """
+    if is_folder(path):
+        files = read_files(spark, path, "*.txt")
+        return files.select(first_stem(F.col("file_name")).alias("stem"), F.col("content").cast("string").alias("text"))
     files = (
         spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(path, wholetext=True)
     )

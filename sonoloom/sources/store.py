@@ -13,6 +13,7 @@ from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import suppress
 from dataclasses import dataclass
+from urllib.parse import quote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -27,6 +28,11 @@ FOLDERS_PER_TASK = 64
 MOST_TASKS = 20_000
 MOVERS = 16
 FEW_FILES = 10_000
+LISTED_ROWS = 10_000
+READ_FILES = 1_024
+READ_BYTES = 64 * 1024 * 1024
+CHUNK_FILES = 256
+CHUNK_BYTES = 8 * 1024 * 1024
 FOLDERS = "folders"
 TWO_TASKS = "two tasks wrote lines of one file"
 LISTED = "path string, length bigint, modificationTime timestamp"
@@ -45,7 +51,19 @@ def is_reachable(location: str) -> bool:
     return True
 
 
-def _expander(root: str, pattern: str):
+def is_folder(location: str) -> bool:
+    """Whether a location is a folder that tasks can reach."""
+    if not is_reachable(location):
+        return False
+    store, root = located(location)
+    return store.get_file_info(root).type == fs.FileType.Directory
+
+
+def _left_out(name: str, keyed: bool) -> bool:
+    return name[0] == "." or name[0] == "_" and not (keyed and "=" in name)
+
+
+def _expander(root: str, pattern: str, keyed: bool):
     """Entries one level below each folder: matching files, and all folders."""
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -53,38 +71,40 @@ def _expander(root: str, pattern: str):
         for batch in batches:
             for folder in batch.column("path").to_pylist():
                 inside = base + folder[len(root) :]
-                rows = []
-                for entry in store.get_file_info(fs.FileSelector(inside, allow_not_found=folder != root)):
-                    is_folder = entry.type == fs.FileType.Directory
-                    if entry.base_name[0] not in "._" and (is_folder or fnmatch.fnmatchcase(entry.base_name, pattern)):
-                        rows.append((f"{folder}/{entry.base_name}", None if is_folder else entry.size, entry.mtime, is_folder))
-                paths, sizes, times, folders = zip(*rows) if rows else ((), (), (), ())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(paths, pa.string()),
-                        pa.array(sizes, pa.int64()),
-                        pa.array(times, pa.timestamp("us", tz="UTC")),
-                        pa.array(folders, pa.bool_()),
-                    ],
-                    ["path", "length", "modificationTime", "is_folder"],
-                )
+                entries = store.get_file_info(fs.FileSelector(inside, allow_not_found=folder != root))
+                for start in range(0, len(entries), LISTED_ROWS):
+                    rows = []
+                    for entry in entries[start : start + LISTED_ROWS]:
+                        is_folder = entry.type == fs.FileType.Directory
+                        if not _left_out(entry.base_name, keyed) and (is_folder or fnmatch.fnmatchcase(entry.base_name, pattern)):
+                            rows.append((f"{folder}/{entry.base_name}", None if is_folder else entry.size, entry.mtime, is_folder))
+                    paths, sizes, times, folders = zip(*rows) if rows else ((), (), (), ())
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(paths, pa.string()),
+                            pa.array(sizes, pa.int64()),
+                            pa.array(times, pa.timestamp("us", tz="UTC")),
+                            pa.array(folders, pa.bool_()),
+                        ],
+                        ["path", "length", "modificationTime", "is_folder"],
+                    )
 
     return expand
 
 
-def list_levels(spark: SparkSession, root: str, pattern: str) -> DataFrame:
+def list_levels(spark: SparkSession, root: str, pattern: str, keyed: bool = False) -> DataFrame:
     """(path, length, modificationTime) of the files below ``root`` whose name matches, listed by tasks.
 
     Each level's folders are dealt to tasks that list them, and the folders found are the next level, so neither the driver nor
     a single task walks the tree, and the number of jobs is its depth.  The listing is a written table; names that begin
-    with a dot or an underscore are left out, as Spark's readers do.  A missing root is an error; a folder that vanishes
+    with a dot or an underscore are left out, as Spark's readers do; those take ``_day=1``, as is done with ``keyed``.  A missing root is an error; a folder that vanishes
     meanwhile counts as empty.
     """
     root, target, level = root.rstrip("/"), work_path(spark, "listing"), 0
     folders = spark.createDataFrame([(root,)], "path string")
     while True:
         written = f"{target}/level={level}"
-        folders.mapInArrow(_expander(root, pattern), f"{LISTED}, is_folder boolean").write.parquet(written)
+        folders.mapInArrow(_expander(root, pattern, keyed), f"{LISTED}, is_folder boolean").write.parquet(written)
         found = spark.read.parquet(written).filter("is_folder").select("path")
         count = found.count()
         if not count:
@@ -93,6 +113,48 @@ def list_levels(spark: SparkSession, root: str, pattern: str) -> DataFrame:
     return spark.read.schema(f"{LISTED}, is_folder boolean").parquet(target).filter("NOT is_folder").select("path", "length", "modificationTime")
 
 
+def _uri_name(name: str) -> str:
+    """A file name as ``_metadata.file_name`` has it, with the characters escaped that a URI's path may not hold."""
+    return re.sub(r"[^A-Za-z0-9\-_.!~*'():@&=+$,;\u0080-\U0010ffff]|[\s\x80-\x9f]", lambda found: quote(found[0]), name)
+
+
+def read_files(spark: SparkSession, root: str, pattern: str) -> DataFrame:
+    """(file_name, content) of the whole files below ``root`` whose name matches, without empty ones; listed and read by tasks.
+
+    The driver knows neither the files nor their number of bytes one by one.  A task reads about ``READ_FILES`` files or
+    ``READ_BYTES``, some at a time and a chunk after the other.
+    """
+    root = root.rstrip("/")
+    files = list_levels(spark, root, pattern, keyed=True).filter("length > 0").select("path", "length")
+    facts = files.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("bytes")).first()
+    tasks = max(1, -(-facts["n"] // READ_FILES), -(-(facts["bytes"] or 0) // READ_BYTES))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, base = located(root)
+
+        def whole(path: str) -> bytes:
+            with store.open_input_stream(base + path[len(root) :], compression=None) as content:
+                return content.read()
+
+        def chunk(paths: list[str]) -> pa.RecordBatch:
+            names = [_uri_name(path.rsplit("/", 1)[1]) for path in paths]
+            return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(readers.map(whole, paths), pa.binary())], ["file_name", "content"])
+
+        with ThreadPoolExecutor(MOVERS) as readers:
+            for batch in batches:
+                paths, held = [], 0
+                for path, length in zip(batch.column("path").to_pylist(), batch.column("length").to_pylist()):
+                    if paths and (len(paths) == CHUNK_FILES or held + length > CHUNK_BYTES):
+                        yield chunk(paths)
+                        paths, held = [], 0
+                    paths.append(path)
+                    held += length
+                if paths:
+                    yield chunk(paths)
+
+    return files.repartition(min(tasks, MOST_TASKS)).mapInArrow(read, "file_name string, content binary")
+
+
 @dataclass
 class Written(WriterCommitMessage):
     """The folder of one task and how many files it completed; their final names are in the folder's list, by number."""

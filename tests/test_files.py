@@ -51,6 +51,28 @@ def test_transcripts_and_listing(spark, tmp_path):
     assert listed.columns == ["path", "length", "modificationTime"]
 
 
+def test_transcripts_are_listed_by_tasks_and_read_as_spark_does(spark, tmp_path):
+    files = {
+        "e.txt": b"", "a b/x%20y.v1.txt": b"ab\xff\xc3", "_q.txt": b"h", "_k=1.txt": b"k", ".z.txt": b"z", "_h/i.txt": b"i", "_k=1/j.txt": b"j",
+        ".d/k.txt": b"d", "up.TXT": b"u", "[z] #?\u3000;.txt": b"br", "é'(+),~&@$!.txt": b"acc\r\n", "deep/er/twice.txt": b"1", "twice.txt": b"2" * 5_000,
+    }
+    for name, content in files.items():
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(content)
+    (tmp_path / "none").mkdir()
+    read = readers.read_transcripts(spark, str(tmp_path))
+    assert not [f for f in read.inputFiles() if f.endswith(".txt")]
+    spark_reads = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(str(tmp_path), wholetext=True)
+    want = rows_of(spark_reads.select(F.substring_index("_metadata.file_name", ".", 1), F.hex("value")))
+    assert len(want) == 7
+    for root in (str(tmp_path), f"file://{tmp_path}/"):
+        assert rows_of(readers.read_transcripts(spark, root).select("stem", F.hex("text"))) == want
+    assert rows_of(readers.read_transcripts(spark, str(tmp_path / "twice.txt"))) == [("twice", "2" * 5_000)]
+    assert readers.read_transcripts(spark, str(tmp_path / "none")).count() == 0
+    with pytest.raises(Exception, match="nowhere"):
+        readers.read_transcripts(spark, str(tmp_path / "nowhere")).count()
+
+
 def test_children(spark):
     paths = ["b/s/a.wav", "b/s/d/x.wav", "b/s/d/y.wav", "b/s/e/f/z.wav", "b/s/n.txt", "b/t/q.wav"]
     listing = spark.createDataFrame([(p,) for p in paths], "path string")
